@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxaflow.errors import BindingMismatch, IntegrityError, InvalidInput
+from taxaflow.sources.storage import qualified
 
 LANES = 4  # 32 bits each: sums of 2^31 rows still fit a BIGINT
 
@@ -41,12 +42,8 @@ def file_inventory(spark: SparkSession, path: str, *, glob: str | None = None, c
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     files = reader.load(path)
-    root = path.split("://")[-1].rstrip("/")
-    root = root[root.index("/"):] if "/" in root else root
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    plain = F.regexp_replace("path", r"^[a-z0-9]+:(//[^/]*(?=/))?", "")
-    relative = F.substring(plain, F.lit(len(root) + 2), F.length(plain))
+    prefix = len(qualified(spark, path)) + 2
+    relative = F.substring("path", prefix, 1 << 20)
     digest = F.sha2("content", 256) if content else F.lit(None).cast("string")
     return files.select(relative.alias("path"), F.col("length").alias("bytes"), digest.alias("sha256"))
 
@@ -78,20 +75,10 @@ def registry_audit(registry: DataFrame, observed: DataFrame) -> DataFrame:
     return r.join(o, "path", "full_outer").select("path", status.alias("status"))
 
 
-def file_set_digest(files: DataFrame, groups: int = 4096) -> DataFrame:
-    """One digest for a set of files, whatever their order: (path, hash) pairs.
-
-    Pairs are hashed per bucket of paths first, so no task lists all files.
-    """
-    entry = F.concat_ws(" ", "path", "sha256")
-    bucket = F.conv(F.substring(F.sha2("path", 256), 1, 8), 16, 10).cast("bigint") % groups
-    parts = files.groupBy(bucket.alias("bucket")).agg(
-        F.sha2(F.array_join(F.sort_array(F.collect_list(entry)), "\n"), 256).alias("h")
-    )
-    return parts.agg(
-        F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("bucket", "h"))), lambda s: s["h"]), ""), 256)
-        .alias("sha256")
-    )
+def file_set_digest(files: DataFrame) -> DataFrame:
+    """One digest for a set of files, whatever their order: all (path, hash) pairs."""
+    pairs = files.select(F.sha2(F.concat_ws("\n", "path", "sha256"), 256).alias("h"), "bytes")
+    return content_digest(pairs, [], "h", "bytes")
 
 
 def missing_required(required: DataFrame, registry: DataFrame) -> DataFrame:

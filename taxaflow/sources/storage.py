@@ -10,6 +10,12 @@ def _path(spark: SparkSession, path: str):
     return handle, handle.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with scheme and without a final slash, as file listings show it."""
+    handle, fs = _path(spark, path)
+    return fs.makeQualified(handle).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     handle, fs = _path(spark, path)
     return fs.exists(handle)
