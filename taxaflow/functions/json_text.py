@@ -9,6 +9,9 @@ _SHORT_ESCAPES = [("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("
 _RARE_ESCAPES = [("\b", "\\b"), ("\f", "\\f")] + [
     (chr(n), f"\\u{n:04x}") for n in range(0x20) if chr(n) not in "\b\f\n\r\t"
 ]
+_RARE_TABLE = "array(" + ", ".join(
+    f"named_struct('raw', chr({ord(raw)}), 'escaped', r'{escaped}')" for raw, escaped in _RARE_ESCAPES
+) + ")"
 _RARE_PATTERN = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
 
 # A run of strings and other text, then one separator.  All quantifiers are
@@ -51,9 +54,7 @@ def json_string(text: Column) -> Column:
     plain = text
     for raw, escaped in _SHORT_ESCAPES:
         plain = F.replace(plain, F.lit(raw), F.lit(escaped))
-    full = plain
-    for raw, escaped in _RARE_ESCAPES:
-        full = F.replace(full, F.lit(raw), F.lit(escaped))
+    full = F.aggregate(F.expr(_RARE_TABLE), plain, lambda done, e: F.replace(done, e["raw"], e["escaped"]))
     return F.concat(F.lit('"'), F.when(text.rlike(_RARE_PATTERN), full).otherwise(plain), F.lit('"'))
 
 

@@ -1,0 +1,25 @@
+"""Registered queries and the SQL that checks them."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
+CHECKS: dict[str, str] = {}
+
+
+def query(name: str, check: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under ``name``; ``check`` is equivalent SQL on the same tables."""
+    def add(function: Query) -> Query:
+        if name in QUERIES:
+            raise ValueError(f"Query {name} is registered twice")
+        QUERIES[name] = function
+        if check is not None:
+            CHECKS[name] = check
+        return function
+
+    return add
