@@ -35,8 +35,13 @@ def require_unique(df: DataFrame, keys: list[str]) -> None:
         raise DuplicateDocuments("Duplicate IDs, for example " + ", ".join(shown))
 
 
-def repeated_ids(batch: DataFrame, committed: DataFrame, key: str = "sample_id") -> DataFrame:
-    """IDs of a batch that occur twice in it or were committed before."""
+def repeated_ids(batch: DataFrame, committed: DataFrame, key: str = "sample_id", *, small_batch: bool = False) -> DataFrame:
+    """IDs of a batch that occur twice in it or were committed before.
+
+    With ``small_batch`` (the caller counted it) the batch is broadcast to the
+    scan of the committed IDs, so the growing side is never shuffled.
+    """
     inside = duplicate_keys(batch, [key]).select(key)
-    seen = batch.select(key).join(committed.select(key), key, "left_semi")
+    arrived = batch.select(key)
+    seen = committed.select(key).join(F.broadcast(arrived) if small_batch else arrived, key, "left_semi")
     return inside.union(seen).distinct()

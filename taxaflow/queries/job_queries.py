@@ -1 +1,197 @@
-"""Queries."""
+"""Queries that run whole jobs over the given documents."""
+
+from __future__ import annotations
+
+import hashlib
+
+from pyspark.sql import functions as F
+
+from taxaflow.operators.integrity import content_digest, file_inventory, registry_audit
+from taxaflow.operators.scoring import ScoredBatch
+from taxaflow.plans.export import export
+from taxaflow.plans.prepare import prepare
+from taxaflow.plans.run import run
+from taxaflow.queries.inputs import (
+    CONTRACT, DOCUMENTS_SQL, LINE_SQL, MODEL_INPUT_SQL, PRIMARY_SQL, SHARD_ROWS, STATE_JSON_SQL, WORDS_SQL, decode_sql,
+    digest_sql, raw_records,
+)
+from taxaflow.operators.memberships import EXPORTS, state_json
+from taxaflow.queries.registry import query
+from taxaflow.session import shared_dir
+from taxaflow.sources.jobs import read_job, read_predictions
+from taxaflow.streaming.incremental import score_new_files
+
+
+class DigestScorer:
+    """Logits made from the SHA-256 of the text: any engine can recompute them.
+
+    Each of the 64 hex digits d gives the logit (d - 7.5) / 2, so there are many ties.
+    """
+
+    def score(self, sample_ids, texts):
+        import hashlib as h
+
+        import numpy as np
+
+        digits = [[int(c, 16) for c in h.sha256(t.encode()).hexdigest()] for t in texts]
+        return ScoredBatch(sample_ids, (np.array(digits, dtype=np.float32) - 7.5) * 0.5)
+
+
+MODEL = hashlib.sha256(b"digest scorer").hexdigest()
+
+DIGEST_LOGITS_SQL = f"""{MODEL_INPUT_SQL}, emb AS (
+    SELECT doc_id AS vec_id, sample_id, list_transform(range(1, 65), lambda i:
+        ((strpos('0123456789abcdef', substr(sha, i, 1)) - 8.5) * 0.5)::FLOAT) AS l
+    FROM (SELECT doc_id, sample_id, sha256(model_input) AS sha FROM inputs))"""
+
+SCORED_SQL = f"""{decode_sql(DIGEST_LOGITS_SQL)}, scored AS (
+    SELECT d.*, e.l, len({WORDS_SQL.format("d.model_input")})::BIGINT AS input_tokens,
+        coalesce((SELECT string_agg(code, '|' ORDER BY idx) FROM root_sel r WHERE r.sample_id = d.sample_id), '') AS roots,
+        coalesce((SELECT string_agg(code, '|' ORDER BY code) FROM kept k WHERE k.sample_id = d.sample_id), '') AS exact
+    FROM inputs d JOIN emb e ON e.sample_id = d.sample_id)"""
+
+PREDICTION_ROWS_SQL = f"""
+WITH {SCORED_SQL}
+SELECT sample_id, roots, exact, {PRIMARY_SQL} AS auxiliary_primary, {STATE_JSON_SQL} AS document_state, input_tokens,
+    input_tokens > 768 AS truncated, source_family, source_locator, raw_windowed,
+    sha256(model_input) AS model_input_sha256 FROM scored"""
+
+_jobs: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark, sf_dir, what, make):
+    """Jobs of one session and scale are run once and then read by several queries."""
+    key = (spark.sparkContext.applicationId, sf_dir, what)
+    if key not in _jobs:
+        path = shared_dir(spark, what)
+        make(path)
+        _jobs[key] = path
+    return _jobs[key]
+
+
+def _lines(spark, sf_dir, files=None):
+    def make(path):
+        records = raw_records(spark, sf_dir).drop("doc_id")
+        (records.repartition(files, "sample_id") if files else records).write.json(path)
+
+    return _once(spark, sf_dir, f"lines-{files}", make)
+
+
+def _prepared(spark, sf_dir):
+    source = _lines(spark, sf_dir)
+    return _once(spark, sf_dir, "job", lambda path: prepare(spark, source, path, shard_rows=SHARD_ROWS))
+
+
+def _scored(spark, sf_dir):
+    job = _prepared(spark, sf_dir)
+    return _once(spark, sf_dir, "scored", lambda path: run(spark, job, path, DigestScorer, CONTRACT, model_sha256=MODEL))
+
+
+def _exported(spark, sf_dir):
+    job, scored = _prepared(spark, sf_dir), _scored(spark, sf_dir)
+    return _once(spark, sf_dir, "tables", lambda path: export(spark, job, scored, path))
+
+
+def _shown(predictions):
+    return predictions.select(
+        "sample_id", F.array_join("roots", "|").alias("roots"), F.array_join("exact", "|").alias("exact"),
+        "auxiliary_primary", state_json(F.col("document_state")).alias("document_state"), "input_tokens", "truncated",
+        "source_family", "source_locator", "raw_windowed", "model_input_sha256",
+    )
+
+
+@query("prepare_job", f"""
+WITH {DOCUMENTS_SQL}
+SELECT count(*) AS rows, ((count(*) + {SHARD_ROWS - 1}) // {SHARD_ROWS})::BIGINT AS shards,
+    sum(octet_length(encode({LINE_SQL})) + 1)::BIGINT AS bytes, {digest_sql("sha256(" + LINE_SQL + ")")} AS digest,
+    count(*) AS positions FROM docs""")
+def prepare_job(spark, sf_dir):
+    job = read_job(spark, _prepared(spark, sf_dir))
+    content = content_digest(job.documents, [], "row_sha256", "row_bytes")
+    shards = job.shards.agg(F.count(F.lit(1)).alias("shards"))
+    # Positions are 0..n-1 without a gap exactly if they are distinct and the largest is n-1.
+    places = job.documents.agg(F.countDistinct("input_pos").alias("n"), (F.max("input_pos") + 1).alias("m"))
+    positions = places.select(F.when(F.col("n") == F.col("m"), F.col("n")).alias("positions"))
+    one = F.lit(1)
+    return (
+        content.withColumn("k", one).join(shards.withColumn("k", one), "k").join(positions.withColumn("k", one), "k").drop("k")
+    )
+
+
+@query("scoring_job", PREDICTION_ROWS_SQL)
+def scoring_job(spark, sf_dir):
+    return _shown(read_predictions(spark, _scored(spark, sf_dir)))
+
+
+@query("resumed_job", PREDICTION_ROWS_SQL)
+def resumed_job(spark, sf_dir):
+    """A run that dies after its first commit and is started again with the same command."""
+    job = _prepared(spark, sf_dir)
+
+    def make(path):
+        def die(_record):
+            raise InterruptedError
+
+        options = dict(model_sha256=MODEL, wave_shards=2 + read_job(spark, job).manifest["shards"] // 2)
+        try:
+            run(spark, job, path, DigestScorer, CONTRACT, on_commit=die, **options)
+        except InterruptedError:
+            run(spark, job, path, DigestScorer, CONTRACT, **options)
+
+    return _shown(read_predictions(spark, _once(spark, sf_dir, "resumed", make)))
+
+
+@query("export_counts", f"""
+WITH {SCORED_SQL}
+SELECT 'documents' AS table_name, count(*) AS rows FROM scored
+UNION ALL SELECT 'root_membership', count(*) FROM root_sel
+UNION ALL SELECT 'exact_membership', count(*) FROM kept
+UNION ALL SELECT 'review_queue', count(*) FROM scored WHERE exact = '' OR input_tokens > 768 OR raw_windowed""")
+def export_counts(spark, sf_dir):
+    path = _exported(spark, sf_dir)
+    out = None
+    for name in EXPORTS:
+        one = spark.read.parquet(f"{path}/{name}").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("exported_memberships", f"""
+WITH {SCORED_SQL}
+SELECT sample_id, 'root' AS kind, code, round(score, 6) AS score FROM root_sel
+UNION ALL SELECT sample_id, 'exact', code, round(score, 6) FROM kept""")
+def exported_memberships(spark, sf_dir):
+    path = _exported(spark, sf_dir)
+    parts = [spark.read.parquet(f"{path}/{kind}_membership").withColumn("kind", F.lit(kind)) for kind in ("root", "exact")]
+    return parts[0].unionByName(parts[1]).select("sample_id", "kind", "code", F.round("score", 6).alias("score"))
+
+
+@query("verify_job")
+def verify_job(spark, sf_dir):
+    """Audit of the exported files against their registry."""
+    path = _exported(spark, sf_dir)
+    found = file_inventory(spark, path, glob="*.parquet").where(~F.col("path").startswith("files/"))
+    return registry_audit(spark.read.parquet(f"{path}/files"), found)
+
+
+@query("incremental_resume", PREDICTION_ROWS_SQL)
+def incremental_resume(spark, sf_dir):
+    """Files arrive in a folder; the stream dies after a commit, resumes, and is then run with nothing to do."""
+    source = _lines(spark, sf_dir, files=3)
+
+    def make(path):
+        def die(_record):
+            raise InterruptedError
+
+        options = dict(model_sha256=MODEL, max_files_per_trigger=2)
+        try:
+            score_new_files(spark, source, path, DigestScorer, CONTRACT, on_commit=die, **options)
+        except Exception as error:  # noqa: BLE001
+            if "InterruptedError" not in str(error):
+                raise
+        score_new_files(spark, source, path, DigestScorer, CONTRACT, **options)
+        again = score_new_files(spark, source, path, DigestScorer, CONTRACT, **options)
+        if again["status"] != "already_complete":
+            raise AssertionError("a stream with nothing to do did something")
+
+    return _shown(read_predictions(spark, _once(spark, sf_dir, "stream", make)))

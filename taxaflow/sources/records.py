@@ -80,18 +80,19 @@ def scan_lines(spark: SparkSession, paths: str | list[str], max_record_chars: in
     error too.
     """
     value = F.col("value")
-    too_large = F.length(value) + 1 > max_record_chars
-    lines = (
-        spark.read.text(paths)
-        .select(
-            value,
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_block_start").alias("block_start"),
-        )
-        .where(is_nonblank(value) | too_large)
-        .withColumn("seq", F.monotonically_increasing_id())
+    lines = spark.read.text(paths).select(
+        value,
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block_start"),
     )
-    return lines.withColumn(
+    return with_scan_errors(lines, max_record_chars).withColumn("seq", F.monotonically_increasing_id())
+
+
+def with_scan_errors(lines: DataFrame, max_record_chars: int) -> DataFrame:
+    """Skip blank lines and mark unreadable ones."""
+    value = F.col("value")
+    too_large = F.length(value) + 1 > max_record_chars
+    return lines.where(is_nonblank(value) | too_large).withColumn(
         "scan_error",
         F.when(too_large, "record_too_large")
         .when(~F.is_valid_utf8(value), "invalid_utf8")
