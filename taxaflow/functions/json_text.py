@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,9 +16,10 @@ _RARE_TABLE = "array(" + ", ".join(
 ) + ")"
 _RARE_PATTERN = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
 
-# A run of strings and other text, then one separator.  All quantifiers are
+# A run of strings and other text, then one separator.  Each match starts where
+# the last one ended, so none starts inside a string.  All quantifiers are
 # possessive, so long values cannot overflow the matcher's stack.
-_SEPARATOR_PATTERN = r'((?:"(?:[^"\\]++|\\.)*+"|[^,:"]++)*+)([,:])'
+_SEPARATOR_PATTERN = r'\G((?:"(?:[^"\\]++|\\.)*+"|[^,:"]++)*+)([,:])'
 _STRING_PATTERN = r'"(?:[^"\\]++|\\.)*+"'
 
 _HIGH = r"\\u[dD][89abAB][0-9a-fA-F]{2}"
@@ -33,8 +36,18 @@ def strict_json(text: Column) -> Column:
     mark = F.xxhash64(text).cast("string")
     wrapped = F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]'))
     parsed = F.from_json(wrapped, "array<variant>", {"allowSingleQuotes": "false"})
-    found = F.try_variant_get(F.get(parsed, F.lit(1)), "$", "string")
-    return F.when((F.size(parsed) == 2) & (found == mark), F.get(parsed, F.lit(0)))
+    return once(
+        F.struct(parsed.alias("values"), mark.alias("mark")),
+        lambda p: F.when(
+            (F.size(p["values"]) == 2) & (F.try_variant_get(F.get(p["values"], F.lit(1)), "$", "string") == p["mark"]),
+            F.get(p["values"], F.lit(0)),
+        ),
+    )
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed a single time, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def variant_type(value: Column) -> Column:

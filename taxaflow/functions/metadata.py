@@ -41,7 +41,8 @@ def _truthy(value: Column) -> Column:
 
 def _printed(value: Column) -> Column:
     kind = variant_type(value)
-    text = F.try_variant_get(value, "$", "string")
+    # Escaping never shortens, so characters beyond the clip cannot show up.
+    text = F.substring(F.try_variant_get(value, "$", "string"), 1, METADATA_CHARS)
     return F.when(kind == "STRING", json_string(text)).when(kind.isin("BOOLEAN", "BIGINT"), text)
 
 
@@ -52,7 +53,10 @@ def _join_pieces(pieces: dict[str, Column]) -> Column:
 
 def canonical_strings(values: dict[str, Column]) -> Column:
     """Canonical metadata from plain string columns, without any JSON parsing."""
-    pieces = {key: F.when(value != "", json_string(value)) for key, value in values.items() if key in ALLOWED_KEYS}
+    pieces = {
+        key: F.when(value != "", json_string(F.substring(value, 1, METADATA_CHARS)))
+        for key, value in values.items() if key in ALLOWED_KEYS
+    }
     return F.substring(_join_pieces(pieces), 1, METADATA_CHARS)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from taxaflow.functions.metadata import with_canonical_metadata
 from taxaflow.functions.json_text import strict_json, variant_type
-from taxaflow.functions.text import reread_metadata
+from taxaflow.functions.text import VISIBLE_TOKENS, reread_metadata, token_ids_sha256, words
 from taxaflow.operators.duplicates import duplicate_keys, repeated_ids
 from taxaflow.operators.integrity import content_digest, is_safe_path, manifest_faults
 from taxaflow.operators.normalize import normalize, normalize_fields
@@ -221,16 +221,26 @@ def model_input_hash(spark, sf_dir):
 @query("token_window", f"""
 WITH {MODEL_INPUT_SQL}, tokens AS (SELECT sample_id, {WORDS_SQL.format("model_input")} AS t FROM inputs)
 SELECT sample_id, len(t)::BIGINT AS input_tokens, least(len(t), 768)::BIGINT AS visible_tokens, len(t) > 768 AS truncated,
-    'supplied_window_prefix_768' AS input_scope,
-    sha256('[' || array_to_string(list_transform(t[1:768], lambda w: ('0x' || substr(md5(w), 1, 7))::BIGINT), ',') || ']')
-        AS token_ids_sha256
+    'supplied_window_prefix_768' AS input_scope, sha256(array_to_string(t[1:768], ' ')) AS visible_sha256
 FROM tokens""")
 def token_window(spark, sf_dir):
-    return with_model_input(documents(spark, sf_dir)).select(
-        "sample_id", "input_tokens", "visible_tokens", "truncated", "input_scope", "token_ids_sha256"
+    ready = with_model_input(documents(spark, sf_dir))
+    visible = F.slice(words(F.col("model_input")), 1, VISIBLE_TOKENS)
+    return ready.select(
+        "sample_id", "input_tokens", "visible_tokens", "truncated", "input_scope",
+        F.sha2(F.array_join(visible, " "), 256).alias("visible_sha256"),
     )
 
 
+@query("id_list_hash", """
+SELECT vec_id, sha256('[' || array_to_string(list_transform(embedding, lambda x: floor(x::DOUBLE * 1000)::BIGINT), ',') || ']')
+    AS token_ids_sha256 FROM embeddings""")
+def id_list_hash(spark, sf_dir):
+    """The hash of a list of token IDs, on the integer parts of the vectors."""
+    ids = F.transform("embedding", lambda x: F.floor(x.cast("double") * 1000).cast("bigint"))
+    return table(spark, sf_dir, "embeddings").select("vec_id", token_ids_sha256(ids).alias("token_ids_sha256"))
+
+
 @query("duplicate_ids", """
 SELECT conv_id, count(*) AS copies FROM conversations GROUP BY conv_id HAVING count(*) > 1""")
 def duplicate_ids(spark, sf_dir):
