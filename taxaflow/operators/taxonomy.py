@@ -42,6 +42,8 @@ class HeadContract:
             raise InvalidInput("Codes of a head contract must be distinct")
         if not all(0 <= i < len(self.roots) for i in self.exact_root_indices):
             raise InvalidInput("Root index out of range")
+        if any("\n" in code for code in [*self.roots, *self.exact]):
+            raise InvalidInput("A code must not hold a line break")
         if len(self.roots) + len(self.exact) > MAX_CODES:
             raise InvalidInput("Too many codes for a head contract")
 
@@ -111,10 +113,12 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
 
 
 def label_memberships(memberships: DataFrame, taxonomy: DataFrame) -> DataFrame:
-    """Memberships with label, parent and definition.  The taxonomy is small: its
-    contract is refused above ``MAX_CODES`` codes."""
+    """Memberships with label, parent and definition.
+
+    No broadcast is forced: Spark does it when the taxonomy's measured size allows.
+    """
     names = taxonomy.select("code", "parent", "label", "definition").dropDuplicates(["code"])
-    return memberships.join(F.broadcast(names), "code", "left")
+    return memberships.join(names, "code", "left")
 
 
 def table_difference(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -17,10 +17,11 @@ from taxaflow.operators.sharding import shard_id, shard_index, shard_path, split
 from taxaflow.schemas import DOCUMENT_FIELDS
 from taxaflow.session import configure
 from taxaflow.sources import storage
-from taxaflow.sources.jobs import JOB_FORMAT, write_json_record
-from taxaflow.sources.records import MAX_RECORD_CHARS, read_records
+from taxaflow.sources.jobs import JOB_DOCUMENTS, JOB_FORMAT, write_json_record
+from taxaflow.sources.records import MAX_RECORD_CHARS, is_parquet, read_records
 
 SPLIT = ["file_path", "block_start"]
+PLACE = ["input_pos", "shard_index"]
 
 
 def source_state(spark: SparkSession, paths: list[str], check: str) -> str:
@@ -50,6 +51,24 @@ def shard_table(documents: DataFrame) -> DataFrame:
     )
 
 
+def _table_splits(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Rows per Parquet file: no column is read, the footers say it."""
+    return spark.read.parquet(*paths).select(
+        F.col("_metadata.file_path").alias("file_path"), F.lit(0).cast("bigint").alias("block_start"),
+        F.lit(0).cast("bigint").alias("seq"),
+    )
+
+
+def numbered(rows: DataFrame, counted: DataFrame, staging: str, shard_rows: int, *, hashed: bool = True) -> DataFrame:
+    """Give ``rows`` their position and shard, from the split sizes found in ``counted``."""
+    spark = rows.sparkSession
+    split_offsets(counted, SPLIT).write.parquet(f"{staging}/splits")
+    offsets = spark.read.parquet(f"{staging}/splits")
+    placed = with_position(rows, offsets, SPLIT, n_splits=offsets.count())
+    placed = placed.withColumn("shard_index", shard_index(F.col("input_pos"), shard_rows))
+    return with_content_hash(placed) if hashed else placed
+
+
 def write_shard_lines(documents: DataFrame, path: str, files: int | None = None) -> None:
     """JSON lines, one folder and one ordered file per shard, for tools that want files.
 
@@ -75,9 +94,11 @@ def prepare(
 ) -> dict:
     """Write ``documents``, ``shards`` and ``manifest`` below ``output``, all or nothing.
 
-    The input is parsed once, into a staging table that every later step reads
-    by column.  Documents are never shuffled: numbering needs only the size of
-    each input split, and a shard is a range of numbers in an ordered file.
+    The input is parsed once, into a table that every later step reads by
+    column.  Documents are never shuffled: numbering needs only the size of each
+    input split, and a shard is a range of numbers in an ordered file.  Parquet
+    input is numbered while it is read (its footers hold the sizes), so it is
+    written once; JSON lines are numbered in a second, narrow write.
     ``on_error="quarantine"`` writes bad records to ``rejects`` instead of failing.
     """
     if shard_rows < 1 or max_record_chars < 1:
@@ -92,10 +113,14 @@ def prepare(
     paths = [input_path] if isinstance(input_path, str) else list(input_path)
     before = source_state(spark, paths, source_check)
 
-    records = read_records(
-        spark, paths, id_field=id_field, text_field=text_field, max_record_chars=max_record_chars
+    records = normalize_fields(
+        read_records(spark, paths, id_field=id_field, text_field=text_field, max_record_chars=max_record_chars),
+        max_record_chars,
     )
-    normalize_fields(records, max_record_chars).write.parquet(f"{staging}/scan")
+    direct = all(is_parquet(p) for p in paths)
+    if direct:
+        records = numbered(records, _table_splits(spark, paths), staging, shard_rows)
+    records.write.parquet(f"{staging}/scan")
     scanned = spark.read.parquet(f"{staging}/scan")
     clean = F.size("violations") == 0
     facts = scanned.agg(
@@ -110,19 +135,17 @@ def prepare(
         scanned.where(~clean).drop("exact_line").write.parquet(f"{staging}/rejects")
     if not facts["good"]:
         raise InvalidInput("Input contains no documents")
-    good = scanned.where(clean)
-    require_unique(good, ["sample_id"])
-
-    split_offsets(scanned, SPLIT).write.parquet(f"{staging}/splits")
-    offsets = spark.read.parquet(f"{staging}/splits")
-    placed = with_position(good, offsets, SPLIT, n_splits=offsets.count())
-    if facts["inexact"]:
-        placed = exact_fields(placed)
-    documents = with_content_hash(
-        placed.select(*DOCUMENT_FIELDS, "input_pos", shard_index(F.col("input_pos"), shard_rows).alias("shard_index"))
-    )
-    documents.write.parquet(f"{staging}/documents")
-    written = spark.read.parquet(f"{staging}/documents")
+    require_unique(scanned.where(clean), ["sample_id"])
+
+    if direct and not facts["bad"] and not facts["inexact"]:
+        storage.publish(spark, f"{staging}/scan", f"{staging}/documents")
+    else:
+        rows = scanned if direct else numbered(scanned, scanned, staging, shard_rows, hashed=False)
+        rows = rows.where(clean)
+        if facts["inexact"]:
+            rows = exact_fields(rows)
+        with_content_hash(rows.select(*DOCUMENT_FIELDS, *PLACE)).write.parquet(f"{staging}/documents")
+    written = spark.read.schema(JOB_DOCUMENTS).parquet(f"{staging}/documents")
     shard_table(written).write.parquet(f"{staging}/shards")
     shards = spark.read.parquet(f"{staging}/shards")
     if line_files:

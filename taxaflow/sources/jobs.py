@@ -12,12 +12,20 @@ from pyspark.sql import types as T
 from taxaflow.errors import InvalidInput
 from taxaflow.functions.json_text import json_string, python_spacing, strict_json, variant_type
 from taxaflow.operators.integrity import require_valid_manifest
-from taxaflow.schemas import PREDICTION, SHARDS
+from taxaflow.schemas import DOCUMENT, PREDICTION, SHARDS
 from taxaflow.sources import storage
 from taxaflow.session import configure
 
 JOB_FORMAT = "taxaflow-job-v1"
 
+JOB_DOCUMENTS = T.StructType([
+    *DOCUMENT.fields,
+    T.StructField("input_pos", T.LongType()),
+    T.StructField("shard_index", T.LongType()),
+    T.StructField("row_bytes", T.LongType()),
+    T.StructField("row_sha256", T.StringType()),
+])
+
 RECEIPTS = T.StructType([
     T.StructField("shard_index", T.LongType()),
     T.StructField("id", T.StringType()),
@@ -61,7 +69,8 @@ def read_job(spark: SparkSession, path: str) -> Job:
         raise InvalidInput("Unsupported job manifest")
     shards = spark.read.schema(SHARDS).parquet(f"{path}/shards")
     require_valid_manifest(shards, manifest["rows"])
-    return Job(path, manifest, line["sha"], shards, spark.read.parquet(f"{path}/documents"))
+    documents = spark.read.schema(JOB_DOCUMENTS).parquet(f"{path}/documents")
+    return Job(path, manifest, line["sha"], shards, documents)
 
 
 def read_manifest_file(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

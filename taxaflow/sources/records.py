@@ -33,7 +33,7 @@ def _paths(path: str | Iterable[str]) -> list[str]:
     return [path] if isinstance(path, str) else list(path)
 
 
-def _is_parquet(path: str) -> bool:
+def is_parquet(path: str) -> bool:
     return path.rstrip("/").endswith(".parquet")
 
 
@@ -52,8 +52,8 @@ def read_records(
     """
     configure(spark)
     paths = _paths(path)
-    tables = [p for p in paths if _is_parquet(p)]
-    lines = [p for p in paths if not _is_parquet(p)]
+    tables = [p for p in paths if is_parquet(p)]
+    lines = [p for p in paths if not is_parquet(p)]
     parts = []
     if lines:
         scanned = scan_lines(spark, lines, max_record_chars)
