@@ -14,4 +14,4 @@ class IntegrityError(ValueError):
 
 
 class BindingMismatch(IntegrityError):
-    """The output belongs to another input, model, code or batch size."""
+    """The output was made with other settings."""

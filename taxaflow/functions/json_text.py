@@ -20,6 +20,8 @@ _RARE_PATTERN = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
 # the last one ended, so none starts inside a string.  All quantifiers are
 # possessive, so long values cannot overflow the matcher's stack.
 _SEPARATOR_PATTERN = r'\G((?:"(?:[^"\\]++|\\.)*+"|[^,:"]++)*+)([,:])'
+# Control characters whose escape has a letter; Java prints it in upper case.
+_UPPER_ESCAPES = ["0B", "0E", "0F", "1A", "1B", "1C", "1D", "1E", "1F"]
 _STRING_PATTERN = r'"(?:[^"\\]++|\\.)*+"'
 
 _HIGH = r"\\u[dD][89abAB][0-9a-fA-F]{2}"
@@ -72,11 +74,14 @@ def json_string(text: Column) -> Column:
 
 
 def python_spacing(compact: Column) -> Column:
-    """Compact JSON text with ", " and ": " as separators."""
-    return F.regexp_replace(compact, _SEPARATOR_PATTERN, "$1$2 ")
+    """Compact JSON text as Python prints it: ", " and ": ", escapes in lower case."""
+    lowered = compact
+    for code in _UPPER_ESCAPES:
+        lowered = F.regexp_replace(lowered, rf"(?<!\\)((?:\\\\)*)\\u00{code}", rf"$1\\u00{code.lower()}")
+    text = F.when(compact.contains("\\u00"), lowered).otherwise(compact)
+    return F.regexp_replace(text, _SEPARATOR_PATTERN, "$1$2 ")
 
 
-def needs_exact_printing(compact: Column) -> Column:
-    """True if Java and Python may print this JSON text differently."""
-    bare = F.regexp_replace(compact, _STRING_PATTERN, "")
-    return bare.rlike(r"[0-9][.eE]|[0-9]{19}") | compact.contains("\\u")
+def has_fraction(compact: Column) -> Column:
+    """True if the JSON text holds a number Java and Python may print differently."""
+    return F.regexp_replace(compact, _STRING_PATTERN, "").rlike(r"[0-9][.eE]")

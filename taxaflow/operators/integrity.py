@@ -163,7 +163,7 @@ def require_empty(faults: DataFrame, message: str, error: type[Exception] = Inte
 def require_same_binding(stored: dict, wanted: dict) -> None:
     if stored != wanted:
         changed = sorted(k for k in {*stored, *wanted} if stored.get(k) != wanted.get(k))
-        raise BindingMismatch("Output belongs to another configuration; changed: " + ", ".join(changed))
+        raise BindingMismatch("This output was made with other settings; changed: " + ", ".join(changed))
 
 
 def require_valid_manifest(shards: DataFrame, total_rows: int) -> None:

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from taxaflow.functions.json_text import json_string
+from taxaflow.functions.metadata import exact_fields
 from taxaflow.functions.text import is_nonblank
 from taxaflow.schemas import DOCUMENT_FIELDS
-from taxaflow.sources.records import MAX_RECORD_CHARS, fields_from_columns
+from taxaflow.sources.records import MAX_RECORD_CHARS, fields_from_columns, may_be_inexact
 
 UNSPECIFIED = "unspecified"
 
@@ -50,8 +51,13 @@ def normalize(
     max_record_chars: int = MAX_RECORD_CHARS,
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """Normalize any DataFrame of records; narrow, no shuffle."""
-    return normalize_fields(fields_from_columns(df, id_field, text_field, keep or []), max_record_chars)
+    """Normalize any DataFrame of records; narrow, no shuffle.
+
+    A Python stage is added only if the column types allow values that Spark
+    and Python print differently.
+    """
+    rows = normalize_fields(fields_from_columns(df, id_field, text_field, keep or []), max_record_chars)
+    return exact_fields(rows) if may_be_inexact(df.schema) else rows
 
 
 def record_line() -> Column:

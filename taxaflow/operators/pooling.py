@@ -34,11 +34,11 @@ def mean_pool(tokens: DataFrame, dim: int, *, key: str, mask: str = "mask", vect
         sums = [F.sum(F.when(present, F.get(vector, F.lit(i)).cast("double"))).alias(f"s{i}") for i in range(dim)]
         totals = tokens.groupBy(key).agg(F.count(F.when(present, 1)).alias("n"), *sums)
         values = F.array(*[F.col(f"s{i}") / F.col("n") for i in range(dim)])
-        guarded = F.when(F.col("n") > 0, values).otherwise(F.raise_error(F.lit("Empty token row")))
+        guarded = F.when(F.col("n") > 0, values).otherwise(F.raise_error(F.lit("A document has no unmasked token")))
         return totals.select(key, guarded.cast("array<float>").alias("pooled"))
     unfolded = tokens.select(key, present.alias("present"), F.posexplode(vector).alias("dim", "x"))
     means = unfolded.groupBy(key, "dim").agg(F.avg(F.when(F.col("present"), F.col("x").cast("double"))).alias("mean"))
     listed = means.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("dim", "mean"))).alias("m"))
     filled = F.when(F.forall("m", lambda s: s["mean"].isNotNull()), F.transform("m", lambda s: s["mean"]))
-    guarded = F.coalesce(filled, F.raise_error(F.lit("Empty token row")))
+    guarded = F.coalesce(filled, F.raise_error(F.lit("A document has no unmasked token")))
     return listed.select(key, guarded.cast("array<float>").alias("pooled"))

@@ -12,10 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from taxaflow.functions.metadata import with_canonical_metadata
+from taxaflow.functions.metadata import exact_fields, with_canonical_metadata
 from taxaflow.functions.json_text import strict_json
 from taxaflow.functions.text import (
-    INPUT_SCOPE, VISIBLE_TOKENS, document_text, hashed_token_ids, reread_metadata, token_ids_sha256, words,
+    INPUT_SCOPE, VISIBLE_TOKENS, document_text, hashed_token_ids, is_nonblank, reread_metadata, token_ids_sha256, words,
 )
 from taxaflow.schemas import PREDICTION
 
@@ -79,20 +79,22 @@ def with_token_window(df: DataFrame) -> DataFrame:
 def prepare_inputs(df: DataFrame, *, text: str = "text", metadata: str | None = "metadata") -> DataFrame:
     """Model input from raw text and raw metadata JSON, without a prepared job.
 
-    Rows without usable text stop the query.  ``exact_line`` is not kept here:
-    metadata with fractions or nested values goes through a prepared job.
+    Rows without usable text stop the query.
     """
-    usable = F.coalesce(F.col(text).rlike(r"[^\s\x1c-\x1f\x85\p{Z}]"), F.lit(False))
-    checked = F.when(usable, F.col(text)).otherwise(F.raise_error(F.lit("Provide nonempty text strings")))
+    usable = F.coalesce(is_nonblank(F.col(text)), F.lit(False))
+    checked = F.when(usable, F.col(text)).otherwise(F.raise_error(F.lit("Every row needs text that is not blank")))
     df = df.withColumn(text, checked)
     if metadata is None:
         return df.withColumn("model_input", document_text(F.col(text), F.lit("")))
-    df = df.withColumn("_metadata", strict_json(F.col(metadata)))
-    df = with_canonical_metadata(df, "_metadata")
-    clean = F.when(F.col("metadata_inexact"), F.raise_error(F.lit("Prepare documents with such metadata first"))).otherwise(
-        F.col("metadata_compact")
+    df = with_canonical_metadata(df.withColumn("_metadata", strict_json(F.col(metadata))), "_metadata")
+    line = F.concat(F.lit('{"metadata_compact": '), F.col(metadata), F.lit("}"))
+    marked = df.withColumn("exact_line", F.when(F.col("metadata_inexact"), line)).withColumn(
+        "source_locator", F.lit(None).cast("string")
+    )
+    exact = exact_fields(marked)
+    return exact.withColumn("model_input", document_text(F.col(text), F.col("metadata_compact"))).drop(
+        "metadata_compact", "metadata_inexact", "exact_line", "source_locator"
     )
-    return df.withColumn("model_input", document_text(F.col(text), clean)).drop("metadata_compact", "metadata_inexact")
 
 
 def _with_fields(schema: T.StructType, drop: set[str], added: list[tuple[str, T.DataType]]) -> T.StructType:
@@ -134,7 +136,7 @@ def score_documents(
                 result = scorer.score(ids, part.column(text).to_pylist())
                 logits = np.ascontiguousarray(result.logits, dtype=np.float32)
                 if list(result.sample_ids) != ids or logits.ndim != 2 or len(logits) != len(ids):
-                    raise ValueError("Prediction identity/order mismatch")
+                    raise ValueError("Scorer output does not match its documents")
                 offsets = np.arange(len(ids) + 1, dtype=np.int32) * logits.shape[1]
                 columns = [part.column(name) for name in passed]
                 columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(logits.ravel())))
@@ -180,7 +182,7 @@ def predict_documents(
                 rows = part.to_pylist()
                 results = predictor.predict(rows)
                 if [r["sample_id"] for r in results] != [r["sample_id"] for r in rows]:
-                    raise ValueError("Prediction identity/order mismatch")
+                    raise ValueError("Scorer output does not match its documents")
                 columns = []
                 for field in target:
                     values = [r.get(field.name) for r in results]

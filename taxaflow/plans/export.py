@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from taxaflow.errors import IntegrityError
 from taxaflow.operators.integrity import (
-    dangling, file_inventory, pending_shards, registry_audit, require_empty,
+    dangling, file_inventory, missing_required, pending_shards, registry_audit, require_empty,
 )
 from taxaflow.operators.memberships import EXPORTS
 from taxaflow.plans.run import verify_receipts
@@ -47,7 +47,7 @@ def export(spark: SparkSession, job_path: str, predictions_path: str, output: st
     job = read_job(spark, job_path)
     binding = read_json_record(spark, f"{predictions_path}/run_binding")
     if binding["manifest_sha256"] != job.manifest_sha256:
-        raise IntegrityError("Predictions do not belong to this input manifest")
+        raise IntegrityError("These predictions were made from another job")
     require_empty(
         pending_shards(job.shards, read_receipts(spark, predictions_path)).select("id"), "Shards are not complete"
     )
@@ -56,7 +56,7 @@ def export(spark: SparkSession, job_path: str, predictions_path: str, output: st
     storage.remove(spark, staging)
     counts = write_exports(read_predictions(spark, predictions_path), staging)
     if counts["documents"] != job.manifest["rows"]:
-        raise IntegrityError("Export row count mismatch")
+        raise IntegrityError("Exported documents differ in number from the job")
     if check_references:
         documents = spark.read.parquet(f"{staging}/documents")
         for kind in ("exact_membership", "root_membership", "review_queue"):
@@ -69,10 +69,21 @@ def export(spark: SparkSession, job_path: str, predictions_path: str, output: st
     return dict(status="complete", counts=counts, output=output)
 
 
-def verify(spark: SparkSession, path: str, registry: DataFrame | None = None) -> dict:
-    """Audit a published folder against its file registry; raise on any difference."""
-    registry = spark.read.parquet(f"{path}/files") if registry is None else registry
-    found = file_inventory(spark, path, glob="*.parquet").where(~F.col("path").startswith("files/"))
-    audit = registry_audit(registry, found)
-    require_empty(audit.where("status <> 'ok'"), "Registry mismatch")
+def verify(
+    spark: SparkSession, path: str, registry: DataFrame | None = None, required: DataFrame | None = None
+) -> dict:
+    """Audit a folder against its file registry; raise on any difference.
+
+    A published export brings its own registry of Parquet files.  With a given
+    ``registry`` every file below the folder must be in it, and ``required``
+    names paths it must not lack.
+    """
+    if registry is None:
+        registry = spark.read.parquet(f"{path}/files")
+        found = file_inventory(spark, path, glob="*.parquet").where(~F.col("path").startswith("files/"))
+    else:
+        found = file_inventory(spark, path)
+    if required is not None:
+        require_empty(missing_required(required, registry), "Required files are not registered")
+    require_empty(registry_audit(registry, found).where("status <> 'ok'"), "Files differ from their registry")
     return dict(status="passed", files=registry.count())

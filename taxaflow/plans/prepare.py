@@ -102,12 +102,12 @@ def prepare(
     ``on_error="quarantine"`` writes bad records to ``rejects`` instead of failing.
     """
     if shard_rows < 1 or max_record_chars < 1:
-        raise InvalidInput("Positive shard size and record limit required")
+        raise InvalidInput("shard_rows and max_record_chars must be at least 1")
     if on_error not in ("fail", "quarantine") or source_check not in ("stat", "digest"):
         raise InvalidInput("Unknown on_error or source_check")
     configure(spark)
     if storage.exists(spark, output):
-        raise FileExistsError(f"Job already exists; reuse it or choose a new output: {output}")
+        raise FileExistsError(f"{output} exists; a job is never overwritten")
     staging = f"{output.rstrip('/')}.preparing"
     storage.remove(spark, staging)
     paths = [input_path] if isinstance(input_path, str) else list(input_path)
@@ -134,7 +134,7 @@ def prepare(
             raise InvalidInput(f"{facts['bad']} bad records, for example {[tuple(r) for r in shown]}")
         scanned.where(~clean).drop("exact_line").write.parquet(f"{staging}/rejects")
     if not facts["good"]:
-        raise InvalidInput("Input contains no documents")
+        raise InvalidInput("The input has no documents")
     require_unique(scanned.where(clean), ["sample_id"])
 
     if direct and not facts["bad"] and not facts["inexact"]:
@@ -153,10 +153,10 @@ def prepare(
 
     total = shards.agg(F.count(F.lit(1)).alias("n"), F.sum("rows").alias("rows")).first()
     if total["rows"] != facts["good"]:
-        raise IntegrityError("Shard rows do not add up to the documents")
+        raise IntegrityError("The shards do not hold all documents")
     shard_rows_hash = shards.select(F.sha2(F.concat_ws("\n", "id", F.col("rows").cast("string"), "digest"), 256).alias("h"), "bytes")
     if source_state(spark, paths, source_check) != before:
-        raise IntegrityError("Input files changed during preparation")
+        raise IntegrityError("Input files changed while they were read")
     manifest = dict(
         format=JOB_FORMAT, rows=total["rows"], shards=total["n"], shard_rows=shard_rows,
         shards_digest=content_digest(shard_rows_hash, [], "h", "bytes").first()["digest"],

@@ -89,13 +89,13 @@ def verify_inputs(job: Job) -> None:
     stored = job.shards.select("id", F.col("digest").alias("stored"))
     found = recomputed.select("id", F.col("digest").alias("found"))
     faults = stored.join(found, "id", "full_outer").where(~F.col("stored").eqNullSafe(F.col("found")))
-    require_empty(faults.select("id"), "Input shard checksum mismatch")
+    require_empty(faults.select("id"), "Shard content differs from the manifest")
 
 
 def verify_receipts(spark: SparkSession, job: Job, output: str) -> None:
     """Completed shards must match their manifest entry and their stored predictions."""
     audit = receipt_audit(job.shards, read_receipts(spark, output), prediction_digests(read_predictions(spark, output)))
-    require_empty(audit.where(~F.col("status").isin("complete", "pending")), "Completed shard is corrupt or foreign")
+    require_empty(audit.where(~F.col("status").isin("complete", "pending")), "Stored predictions differ from their receipt")
 
 
 def label(documents: DataFrame, factory: Callable, contract: HeadContract | None, *, batch_size: int,
@@ -135,7 +135,7 @@ def run(
     made again.  ``on_commit`` gets one progress record per wave.
     """
     if batch_size < 1 or wave_shards < 1:
-        raise InvalidInput("Positive batch and wave size required")
+        raise InvalidInput("batch_size and wave_shards must be at least 1")
     started = time.perf_counter()
     configure(spark)
     job = read_job(spark, job_path)
@@ -184,7 +184,7 @@ def run(
         plain = documents.drop("row_bytes", "row_sha256")
         label(plain, factory, contract, batch_size=batch_size, own_tokens=own_tokens, profile=profile).write.parquet(target)
         written = spark.read.parquet(target)
-        require_empty(identity_faults(documents, written), "Prediction identity/order mismatch")
+        require_empty(identity_faults(documents, written), "Scorer output does not match its documents")
         seconds = time.perf_counter() - begun
         receipts = shards.join(prediction_digests(written).drop("id", "rows").withColumnRenamed("digest", "predictions_digest"), "shard_index")
         receipts.select(

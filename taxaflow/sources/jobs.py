@@ -66,7 +66,7 @@ def read_job(spark: SparkSession, path: str) -> Job:
     line = spark.read.text(f"{path}/manifest").select("value", F.sha2("value", 256).alias("sha")).first()
     manifest = json.loads(line["value"])
     if manifest.get("format") != JOB_FORMAT:
-        raise InvalidInput("Unsupported job manifest")
+        raise InvalidInput("Not a job manifest of this library")
     shards = spark.read.schema(SHARDS).parquet(f"{path}/shards")
     require_valid_manifest(shards, manifest["rows"])
     documents = spark.read.schema(JOB_DOCUMENTS).parquet(f"{path}/documents")

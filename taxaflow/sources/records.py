@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from taxaflow.functions.json_text import (
-    json_string, needs_exact_printing, python_spacing, strict_json, unpaired_surrogate, variant_type,
+    json_string, has_fraction, python_spacing, strict_json, unpaired_surrogate, variant_type,
 )
 from taxaflow.functions.metadata import ALLOWED_KEYS, OVERLAY_KEY, canonical_strings, with_canonical_metadata
 from taxaflow.functions.scores import is_finite
@@ -166,7 +166,7 @@ def fields_from_lines(lines: DataFrame, id_field: str, text_field: str) -> DataF
     )
     fields = with_canonical_metadata(fields, "metadata")
     compact = F.col("compact_locator")
-    locator_inexact = F.col("locator_unordered") | (F.col("locator_other") & F.coalesce(needs_exact_printing(compact), F.lit(False)))
+    locator_inexact = F.col("locator_unordered") | (F.col("locator_other") & F.coalesce(has_fraction(compact), F.lit(False)))
     return fields.select(
         *ORDER,
         "scan_error", "sample_id", "text_window", "metadata_compact", "source_family", "family_error",
@@ -176,14 +176,36 @@ def fields_from_lines(lines: DataFrame, id_field: str, text_field: str) -> DataF
     )
 
 
-def _may_hold_nan(kind: T.DataType) -> bool:
-    if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return True
+def _holds(kind: T.DataType, leaves: tuple[type, ...]) -> bool:
+    """True if a type is, or contains, one of the given types."""
     if isinstance(kind, T.StructType):
-        return any(_may_hold_nan(f.dataType) for f in kind.fields)
+        return any(_holds(f.dataType, leaves) for f in kind.fields)
     if isinstance(kind, T.ArrayType):
-        return _may_hold_nan(kind.elementType)
-    return isinstance(kind, T.MapType)
+        return _holds(kind.elementType, leaves)
+    if isinstance(kind, T.MapType):
+        return _holds(kind.keyType, leaves) or _holds(kind.valueType, leaves)
+    return isinstance(kind, leaves)
+
+
+_FLOATING = (T.FloatType, T.DoubleType)
+_FRACTIONS = (T.FloatType, T.DoubleType, T.DecimalType, T.VariantType)
+
+
+def _plain_metadata(kind: T.DataType | None) -> bool:
+    """True for a struct of strings: printed without any JSON parsing."""
+    if not isinstance(kind, T.StructType):
+        return False
+    members = {f.name: f.dataType for f in kind.fields}
+    used = [v for k, v in members.items() if k in ALLOWED_KEYS]
+    return OVERLAY_KEY not in members and all(isinstance(v, T.StringType) for v in used)
+
+
+def may_be_inexact(schema: T.StructType) -> bool:
+    """True if some row of such records may need :func:`exact_fields`."""
+    types = {f.name: f.dataType for f in schema.fields}
+    metadata, locator = types.get("metadata_compact"), types.get("source_locator")
+    parsed = isinstance(metadata, (T.StructType, T.VariantType, T.StringType)) and not _plain_metadata(metadata)
+    return parsed or (locator is not None and _holds(locator, _FRACTIONS))
 
 
 def fields_from_columns(df: DataFrame, id_field: str, text_field: str, keep: Iterable[str] = ()) -> DataFrame:
@@ -213,17 +235,17 @@ def fields_from_columns(df: DataFrame, id_field: str, text_field: str, keep: Ite
         locator = json_string(F.col("source_locator"))
     elif isinstance(locator_type, T.VariantType):
         compact = F.to_json(F.col("source_locator"))
-        locator, locator_exact = F.when(compact != "null", python_spacing(compact)), needs_exact_printing(compact)
+        locator, locator_exact = F.when(compact != "null", python_spacing(compact)), has_fraction(compact)
     elif isinstance(locator_type, (T.StructType, T.ArrayType, T.MapType)):
         compact = F.to_json(F.col("source_locator"), {"ignoreNullFields": "false"})
-        locator, locator_exact = python_spacing(compact), needs_exact_printing(compact)
-        if _may_hold_nan(locator_type):
+        locator, locator_exact = python_spacing(compact), has_fraction(compact)
+        if _holds(locator_type, _FLOATING):
             locator_error = F.coalesce(compact.rlike(r'"(NaN|-?Infinity)"'), F.lit(False))
     elif locator_type is not None and not isinstance(locator_type, T.NullType):
         wrapped = F.to_json(F.struct(F.col("source_locator").alias("v")))
         compact = F.regexp_extract(wrapped, r'^\{"v":(.*)\}$', 1)
-        locator, locator_exact = F.nullif(compact, F.lit("")), needs_exact_printing(compact)
-        if _may_hold_nan(locator_type):
+        locator, locator_exact = F.nullif(compact, F.lit("")), has_fraction(compact)
+        if _holds(locator_type, _FLOATING):
             locator_error = F.coalesce(F.isnan("source_locator") | F.abs("source_locator").cast("double").isin(float("inf")), F.lit(False))
 
     fields = df.select(
@@ -252,17 +274,15 @@ def fields_from_columns(df: DataFrame, id_field: str, text_field: str, keep: Ite
 
 def _column_metadata(df: DataFrame, kind: T.DataType | None) -> DataFrame:
     """Turn a typed ``metadata_compact`` column into canonical text."""
+    if _plain_metadata(kind):
+        column = F.col("metadata_compact")
+        text = canonical_strings({f.name: column[f.name] for f in kind.fields if f.name in ALLOWED_KEYS})
+        return (
+            df.withColumn("metadata_compact", F.when(column.isNotNull(), text).otherwise(F.lit("")))
+            .withColumn("metadata_inexact", F.lit(False))
+            .withColumn("raw_metadata", F.lit(None).cast("string"))
+        )
     if isinstance(kind, T.StructType):
-        members = {f.name: f.dataType for f in kind.fields}
-        used = {k: v for k, v in members.items() if k in ALLOWED_KEYS}
-        if OVERLAY_KEY not in members and all(isinstance(v, T.StringType) for v in used.values()):
-            column = F.col("metadata_compact")
-            text = canonical_strings({k: column[k] for k in used})
-            return (
-                df.withColumn("metadata_compact", F.when(column.isNotNull(), text).otherwise(F.lit("")))
-                .withColumn("metadata_inexact", F.lit(False))
-                .withColumn("raw_metadata", F.lit(None).cast("string"))
-            )
         raw, variant = F.col("metadata_compact"), F.to_variant_object(F.col("metadata_compact"))
     elif isinstance(kind, T.VariantType):
         raw = variant = F.col("metadata_compact")

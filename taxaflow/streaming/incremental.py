@@ -74,7 +74,7 @@ def process_batch(
         "overwrite"
     ).parquet(target)
     written = spark.read.parquet(target)
-    require_empty(identity_faults(place, written), "Prediction identity/order mismatch", IntegrityError)
+    require_empty(identity_faults(place, written), "Scorer output does not match its documents", IntegrityError)
     inputs = content_digest(with_content_hash(place), ["shard_index"], "row_sha256", "row_bytes").withColumnRenamed(
         "digest", "input_digest"
     )

@@ -29,7 +29,8 @@ def spark(tmp_path_factory):
 
 @pytest.fixture
 def rows():
-    return [dict(sample_id=f"synthetic-{i}", text_window=f"Document {i}", raw_windowed=True) for i in range(7)]
+    names = ["ash", "birch", "cedar", "elm", "fir", "hazel", "larch", "oak"]
+    return [{"sample_id": n, "text_window": f"About the {n} tree", "raw_windowed": True} for n in names]
 
 
 @pytest.fixture

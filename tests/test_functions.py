@@ -60,6 +60,13 @@ def test_strict_json(spark, text, kind):
     assert apply(spark, [text], lambda v: variant_type(strict_json(v))) == [kind]
 
 
+def test_java_escapes_become_lower_case(spark):
+    value = {"a\x1f,": ["\x0b\x0e:", "\\u001F", "\\\\u001A\x1a"]}
+    frame = spark.createDataFrame([(json.dumps({"v": value}),)], "line string")
+    compact = F.get_json_object("line", "$.v")
+    assert frame.select(python_spacing(compact)).first()[0] == json.dumps(value)
+
+
 def test_unpaired_surrogates(spark):
     texts = [r"😀", r"\ud83d", r"x\ude00", r"\\ud83d", r"\\\ud83d", "plain", r"😀 \ud800x"]
     assert apply(spark, texts, unpaired_surrogate) == [False, True, True, False, True, False, True]
@@ -150,7 +157,9 @@ def test_prepare_inputs(spark):
     frame = spark.createDataFrame([("body", '{"title":"t","x":1}'), ("other", None)], "text string, metadata string")
     got = [r["model_input"] for r in prepare_inputs(frame).orderBy("text").collect()]
     assert got == ['[DOCUMENT METADATA]\n{"title": "t"}\n\n[DOCUMENT]\nbody', "[DOCUMENT METADATA]\n\n\n[DOCUMENT]\nother"]
-    with pytest.raises(Exception, match="nonempty"):
+    nested = spark.createDataFrame([("b", '{"title":{"z":1.50,"a":[]}}')], "text string, metadata string")
+    assert prepare_inputs(nested).first()["model_input"] == '[DOCUMENT METADATA]\n{"title": {"a": [], "z": 1.5}}\n\n[DOCUMENT]\nb'
+    with pytest.raises(Exception, match="not blank"):
         prepare_inputs(spark.createDataFrame([(" 　", None)], "text string, metadata string")).collect()
 
 

@@ -250,7 +250,7 @@ def test_pooling(spark):
         pooling.MAX_WIDE_SUMS, old = limit, pooling.MAX_WIDE_SUMS
         try:
             mean = {r["doc"]: r["pooled"] for r in mean_pool(some, 4, key="doc").collect()}
-            with pytest.raises(Exception, match="Empty token row"):
+            with pytest.raises(Exception, match="no unmasked token"):
                 mean_pool(frame.withColumn("mask", F.col("token_id") != 0), 4, key="doc").collect()
         finally:
             pooling.MAX_WIDE_SUMS = old
@@ -327,7 +327,7 @@ def test_receipts_and_keys(spark):
 def test_prediction_lines_round_trip(spark, tmp_path):
     lines = [
         dict(sample_id="a", roots=["S"], exact=["S.A"], root_probabilities={"S": 0.8}, exact_probabilities={"S.A": 0.96},
-             auxiliary_primary="S.A", document_state={"topic_structure": "single_topic"}, input_tokens=12, visible_tokens=12,
+             auxiliary_primary="S.A", document_state={"topic_structure": "multi_topic"}, input_tokens=5, visible_tokens=5,
              truncated=False, empty_exact=False, source_locator={"z": 1, "a": "x,y"}, raw_windowed=None),
         dict(sample_id="b", roots=[], exact=[], root_probabilities={}, exact_probabilities={}, truncated=False, empty_exact=True,
              source_locator="plain"),
