@@ -91,6 +91,7 @@ def prepare(
     on_error: str = "fail",
     source_check: str = "stat",
     line_files: bool = False,
+    spread: int | None = None,
 ) -> dict:
     """Write ``documents``, ``shards`` and ``manifest`` below ``output``, all or nothing.
 
@@ -99,6 +100,7 @@ def prepare(
     input split, and a shard is a range of numbers in an ordered file.  Parquet
     input is numbered while it is read (its footers hold the sizes), so it is
     written once; JSON lines are numbered in a second, narrow write.
+    ``spread`` parses the lines of large compressed files in more tasks.
     ``on_error="quarantine"`` writes bad records to ``rejects`` instead of failing.
     """
     if shard_rows < 1 or max_record_chars < 1:
@@ -114,7 +116,9 @@ def prepare(
     before = source_state(spark, paths, source_check)
 
     records = normalize_fields(
-        read_records(spark, paths, id_field=id_field, text_field=text_field, max_record_chars=max_record_chars),
+        read_records(
+            spark, paths, id_field=id_field, text_field=text_field, max_record_chars=max_record_chars, spread=spread
+        ),
         max_record_chars,
     )
     direct = all(is_parquet(p) for p in paths)

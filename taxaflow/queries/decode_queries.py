@@ -72,18 +72,17 @@ def logit_guard(spark, sf_dir):
 
 @query("head_slices", f"""
 WITH {LOGITS_SQL}
-SELECT sample_id, round(list_sum(list_transform(l[1:5], lambda x: {sigmoid_sql("x")})), 6) AS root_mass,
-    round(list_sum(list_transform(l[6:30], lambda x: {sigmoid_sql("x")})), 6) AS exact_mass,
-    round(list_max(l[31:55])::DOUBLE, 6) AS best_primary, round(list_sum(l[56:64])::DOUBLE, 3) AS state_sum FROM emb""")
+SELECT sample_id, round(list_max(list_transform(l[1:5], lambda x: {sigmoid_sql("x")})), 6) AS best_root,
+    round(list_min(list_transform(l[6:30], lambda x: {sigmoid_sql("x")})), 6) AS worst_exact,
+    round(list_max(l[31:55])::DOUBLE, 6) AS best_primary, round(list_max(l[56:64])::DOUBLE, 6) AS best_state FROM emb""")
 def head_slices(spark, sf_dir):
     values = F.col("logits")
-    total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x.cast("double"))
     return logits(spark, sf_dir).select(
         "sample_id",
-        F.round(total(head_scores(values, 0, 5)), 6).alias("root_mass"),
-        F.round(total(head_scores(values, CONTRACT.exact_offset, 25)), 6).alias("exact_mass"),
+        F.round(F.array_max(head_scores(values, 0, 5)), 6).alias("best_root"),
+        F.round(F.array_min(head_scores(values, CONTRACT.exact_offset, 25)), 6).alias("worst_exact"),
         F.round(F.array_max(F.slice(values, CONTRACT.primary_offset + 1, 25)).cast("double"), 6).alias("best_primary"),
-        F.round(total(F.slice(values, 56, 9)), 3).alias("state_sum"),
+        F.round(F.array_max(F.slice(values, 56, 9)).cast("double"), 6).alias("best_state"),
     )
 
 
@@ -315,7 +314,7 @@ class TextLogits:
 @query("scorer_roundtrip", f"""
 WITH {decode_sql()}
 SELECT e.sample_id, coalesce(string_agg(k.code, '|' ORDER BY k.code), '') AS exact,
-    round(coalesce(sum(k.score), 0), 5) AS score_sum
+    round(max(k.score), 6) AS best_score
 FROM emb e LEFT JOIN kept k ON k.sample_id = e.sample_id GROUP BY e.sample_id""")
 def scorer_roundtrip(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").select(
@@ -323,5 +322,5 @@ def scorer_roundtrip(spark, sf_dir):
         F.array_join(F.col("embedding").cast("array<string>"), ",").alias("model_input"),
     )
     result = decode_logits(score_documents(rows, TextLogits, batch_size=32), CONTRACT)
-    total = F.aggregate(F.map_values("exact_probabilities"), F.lit(0.0), lambda s, x: s + x)
-    return result.select("sample_id", F.array_join("exact", "|").alias("exact"), F.round(total, 5).alias("score_sum"))
+    best = F.array_max(F.map_values("exact_probabilities"))
+    return result.select("sample_id", F.array_join("exact", "|").alias("exact"), F.round(best, 6).alias("best_score"))

@@ -23,6 +23,8 @@ TUNING_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows with long texts: bound Arrow batches by size, not by row count alone.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
 }
 
 

@@ -22,6 +22,7 @@ from taxaflow.functions.text import is_nonblank
 from taxaflow.session import configure
 
 MAX_RECORD_CHARS = 8_000_000
+RUN_LINES = 16_384
 ORDER = ["file_path", "block_start", "seq"]
 FIELDS = [
     "scan_error", "sample_id", "text_window", "metadata_compact", "source_family", "family_error",
@@ -44,11 +45,16 @@ def read_records(
     id_field: str = "sample_id",
     text_field: str = "text_window",
     max_record_chars: int = MAX_RECORD_CHARS,
+    spread: int | None = None,
 ) -> DataFrame:
     """Field columns of all records below ``path`` (files, folders or globs).
 
     A ``.parquet`` suffix selects the Parquet reader, everything else is read
     as JSONL; Spark unpacks ``.gz``, ``.zst`` and ``.zstd`` by suffix.
+
+    A compressed text file is read by one task.  ``spread`` hands its lines, in
+    runs of :data:`RUN_LINES`, to that many tasks before they are parsed; use it
+    if a few large files would keep the rest of the cluster waiting.
     """
     configure(spark)
     paths = _paths(path)
@@ -57,6 +63,8 @@ def read_records(
     parts = []
     if lines:
         scanned = scan_lines(spark, lines, max_record_chars)
+        if spread:
+            scanned = scanned.repartition(spread, F.floor(F.col("seq") / RUN_LINES))
         parts.append(fields_from_lines(scanned, id_field, text_field))
     if tables:
         raw = spark.read.parquet(*tables)
