@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from taxaflow.functions.arrays import once
+
 _SHORT_ESCAPES = [("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")]
 _RARE_ESCAPES = [("\b", "\\b"), ("\f", "\\f")] + [
     (chr(n), f"\\u{n:04x}") for n in range(0x20) if chr(n) not in "\b\f\n\r\t"
@@ -47,11 +47,6 @@ def strict_json(text: Column) -> Column:
     )
 
 
-def once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed a single time, however often it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def variant_type(value: Column) -> Column:
     """Type name of a VARIANT, e.g. STRING, BIGINT, VOID (JSON null); NULL if absent."""
     return F.schema_of_variant(value)

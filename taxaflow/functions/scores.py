@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from taxaflow.functions.arrays import once
+
 
 def sigmoid(logit: Column) -> Column:
     """Single-precision sigmoid, widened so that thresholds compare as doubles."""
@@ -13,7 +15,7 @@ def sigmoid(logit: Column) -> Column:
 
 def argmax(values: Column) -> Column:
     """0-based index of the largest value; the first one on ties."""
-    return F.array_position(values, F.array_max(values)) - F.lit(1)
+    return once(values, lambda v: F.array_position(v, F.array_max(v)) - F.lit(1))
 
 
 def is_finite(value: Column) -> Column:

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from taxaflow.functions.hierarchy import is_ancestor
+from taxaflow.functions.arrays import once, unfold
+from taxaflow.functions.hierarchy import is_ancestor, nonredundant
 from taxaflow.functions.scores import all_finite, argmax, sigmoid
 from taxaflow.operators.taxonomy import EXACT_THRESHOLD, ROOT_THRESHOLD, HeadContract
 
@@ -35,9 +36,8 @@ def _logit_bound(threshold: float) -> float | None:
 
 def checked_logits(logits: Column, contract: HeadContract) -> Column:
     """The logits; a row of wrong width or with a value that is not finite stops the job."""
-    return F.when(all_finite(logits, contract.width), logits).otherwise(
-        F.raise_error(F.lit(f"Expected {contract.width} finite logits per document"))
-    )
+    problem = F.raise_error(F.lit(f"Expected {contract.width} finite logits per document"))
+    return once(logits, lambda values: F.when(all_finite(values, contract.width), values).otherwise(problem))
 
 
 def head_scores(logits: Column, offset: int, size: int) -> Column:
@@ -72,29 +72,31 @@ def selected_from_logits(logits: Column, offset: int, names: list[str], threshol
     return F.filter(scored, lambda s: s["score"] >= F.lit(threshold))
 
 
+_KEPT = "array<struct<order: double, code: string, score: double, root: string>>"
+
+
 def keep_nonredundant(candidates: Column, contract: HeadContract, roots: Column) -> Column:
     """Candidates of the selected roots, best first, without relatives inside a root."""
     root_of = _names([contract.roots[i] for i in contract.exact_root_indices])
+    gated = F.filter(candidates, lambda c: F.array_contains(roots, F.get(root_of, c["idx"])))
     ranked = F.array_sort(
-        F.filter(
-            F.transform(
-                candidates,
-                lambda c: F.struct(
-                    (-c["score"]).alias("order"),
-                    c["code"].alias("code"),
-                    c["score"].alias("score"),
-                    F.get(root_of, c["idx"]).alias("root"),
-                ),
+        F.transform(
+            gated,
+            lambda c: F.struct(
+                (-c["score"]).alias("order"),
+                c["code"].alias("code"),
+                c["score"].alias("score"),
+                F.get(root_of, c["idx"]).alias("root"),
             ),
-            lambda c: F.array_contains(roots, c["root"]),
         )
     )
-    related = lambda a, b: (a["root"] == b["root"]) & (
-        is_ancestor(a["code"], b["code"]) | is_ancestor(b["code"], a["code"])
-    )
+
+    def related(a: Column, b: Column) -> Column:
+        return (a["root"] == b["root"]) & (is_ancestor(a["code"], b["code"]) | is_ancestor(b["code"], a["code"]))
+
     return F.aggregate(
         ranked,
-        F.filter(ranked, lambda _: F.lit(False)),
+        F.array().cast(_KEPT),
         lambda kept, c: F.when(F.exists(kept, lambda k: related(k, c)), kept).otherwise(F.array_append(kept, c)),
     )
 
@@ -104,19 +106,30 @@ def _score_map(entries: Column) -> Column:
     return F.map_from_entries(F.array_distinct(pairs))
 
 
-def _exact_columns(df: DataFrame, contract: HeadContract, override: Column | None) -> DataFrame:
-    """From ``_roots`` and ``_candidates`` to the label columns."""
-    roots = F.transform(F.col("_roots"), lambda r: r["code"]) if override is None else override
-    df = df.withColumn("roots", roots)
-    df = df.withColumn("_kept", keep_nonredundant(F.col("_candidates"), contract, F.col("roots")))
-    kept = F.col("_kept")
-    codes = F.transform(kept, lambda k: k["code"])
-    if override is not None:
-        # A root the caller names twice yields its codes twice.
-        codes = F.flatten(
-            F.transform(F.col("roots"), lambda r: F.transform(F.filter(kept, lambda k: k["root"] == r), lambda k: k["code"]))
-        )
-    return df.withColumn("exact", F.sort_array(codes))
+def _codes(entries: Column) -> Column:
+    return F.transform(entries, lambda e: e["code"])
+
+
+def _labels(root_entries: Column, candidates: Column, contract: HeadContract, named: Column | None) -> Column:
+    """``struct(roots, exact, root_entries, kept)``; each part is computed once."""
+    def with_kept(s: Column) -> Column:
+        roots = _codes(s["root_entries"]) if named is None else s["named"]
+        kept = keep_nonredundant(s["candidates"], contract, roots)
+        return F.struct(roots.alias("roots"), s["root_entries"].alias("root_entries"), kept.alias("kept"))
+
+    def with_exact(s: Column) -> Column:
+        codes = _codes(s["kept"])
+        if named is not None:
+            # A root the caller names twice yields its codes twice.
+            codes = F.flatten(
+                F.transform(s["roots"], lambda r: _codes(F.filter(s["kept"], lambda k: k["root"] == r)))
+            )
+        return F.struct(s["roots"], F.sort_array(codes).alias("exact"), s["root_entries"], s["kept"])
+
+    parts = [root_entries.alias("root_entries"), candidates.alias("candidates")]
+    if named is not None:
+        parts.append(named.alias("named"))
+    return once(F.struct(*parts), lambda s: once(with_kept(s), with_exact))
 
 
 def predict_sets(
@@ -131,11 +144,13 @@ def predict_sets(
 ) -> DataFrame:
     """Select ``roots`` and ``exact`` from score arrays; column ``roots`` replaces the gate."""
     kept = [c for c in df.columns if c not in ("roots", "exact")]
-    override = None if roots is None else F.col(roots)
-    staged = df.withColumn("_roots", selected(F.col(root_scores), contract.roots, root_threshold)).withColumn(
-        "_candidates", selected(F.col(exact_scores), contract.exact, exact_threshold)
+    labels = _labels(
+        once(F.col(root_scores), lambda s: selected(s, contract.roots, root_threshold)),
+        once(F.col(exact_scores), lambda s: selected(s, contract.exact, exact_threshold)),
+        contract,
+        None if roots is None else F.col(roots),
     )
-    return _exact_columns(staged, contract, override).select(*kept, "roots", "exact")
+    return df.withColumn("_labels", labels).select(*kept, "_labels.roots", "_labels.exact")
 
 
 def decode_logits(
@@ -148,31 +163,41 @@ def decode_logits(
     roots: str | None = None,
     check: bool = True,
 ) -> DataFrame:
-    """Add the label columns and drop the logits; other columns pass through."""
+    """Add the label columns and drop the logits; other columns pass through.
+
+    Columns that are not used later are not computed.
+    """
     made = ["roots", "exact", "root_probabilities", "exact_probabilities", "auxiliary_primary", "document_state"]
     passed = [c for c in df.columns if c not in (*made, logits)]
-    override = None if roots is None else F.col(roots)
-    values = F.col(logits)
+    named = None if roots is None else F.col(roots)
+
+    def roots_of(values: Column) -> Column:
+        if named is None:
+            return selected_from_logits(values, 0, contract.roots, root_threshold)
+        return F.filter(
+            selected_from_logits(values, 0, contract.roots, 0.0), lambda r: F.array_contains(named, r["code"])
+        )
+
     if check:
-        df = df.withColumn(logits, checked_logits(values, contract))
-    staged = df.withColumn("_roots", selected_from_logits(values, 0, contract.roots, root_threshold)).withColumn(
-        "_candidates", selected_from_logits(values, contract.exact_offset, contract.exact, exact_threshold)
+        df = df.withColumn(logits, checked_logits(F.col(logits), contract))
+    labels = once(
+        F.col(logits),
+        lambda values: _labels(
+            roots_of(values),
+            selected_from_logits(values, contract.exact_offset, contract.exact, exact_threshold),
+            contract,
+            named,
+        ),
     )
-    labelled = _exact_columns(staged, contract, override)
-    root_map = _score_map(F.col("_roots"))
-    if override is not None:
-        scores = F.transform(
-            F.filter(F.sequence(F.lit(0), F.lit(len(contract.roots) - 1)),
-                     lambda i: F.array_contains(F.col("roots"), F.get(_names(contract.roots), i))),
-            lambda i: F.struct(F.get(_names(contract.roots), i).alias("code"), sigmoid(F.get(values, i)).alias("score")),
-        )
-        root_map = _score_map(scores)
-    return labelled.select(
-        *passed, "roots", "exact",
-        root_map.alias("root_probabilities"),
-        _score_map(F.col("_kept")).alias("exact_probabilities"),
-        primary_code(values, contract).alias("auxiliary_primary"),
-        document_state(values, contract).alias("document_state"),
+    found = F.col("_labels")
+    return df.withColumn("_labels", labels).select(
+        *passed,
+        found["roots"].alias("roots"),
+        found["exact"].alias("exact"),
+        _score_map(found["root_entries"]).alias("root_probabilities"),
+        _score_map(found["kept"]).alias("exact_probabilities"),
+        primary_code(F.col(logits), contract).alias("auxiliary_primary"),
+        document_state(F.col(logits), contract).alias("document_state"),
     )
 
 
@@ -198,14 +223,10 @@ def exact_rank(df: DataFrame, contract: HeadContract, taxonomy: DataFrame, *, ke
     Only passing codes are unfolded.  Rank groups are bounded by the codes of a
     root, however many documents there are.
     """
-    from pyspark.sql import Window
-
     values = F.col(logits)
-    passing = df.select(
-        key,
-        F.transform(selected_from_logits(values, 0, contract.roots, root_threshold), lambda r: r["code"]).alias("roots"),
-        F.explode(selected_from_logits(values, contract.exact_offset, contract.exact, exact_threshold)).alias("e"),
-    ).select(key, "roots", "e.idx", "e.score")
+    roots = once(values, lambda v: _codes(selected_from_logits(v, 0, contract.roots, root_threshold)))
+    entries = once(values, lambda v: selected_from_logits(v, contract.exact_offset, contract.exact, exact_threshold))
+    passing = unfold(df, [key, roots.alias("roots")], entries, "e").select(key, "roots", "e.idx", "e.score")
     exact = taxonomy.where("head = 'exact'").select("idx", "code", "root_code")
     order = Window.partitionBy(key, "root_code").orderBy(F.desc("score"), "code")
     return (
@@ -217,13 +238,11 @@ def exact_rank(df: DataFrame, contract: HeadContract, taxonomy: DataFrame, *, ke
 
 def decode_long(ranked: DataFrame, *, key: str = "sample_id") -> DataFrame:
     """Greedy selection on the ranked long form; a readable check of the row-local decoder."""
-    from taxaflow.functions.hierarchy import nonredundant
-
     listed = ranked.groupBy(key, "root_code").agg(
         F.array_sort(F.collect_list(F.struct("rank", "code"))).alias("codes")
     )
     kept = nonredundant(F.transform("codes", lambda c: c["code"]))
-    return listed.select(key, F.explode(kept).alias("code"))
+    return unfold(listed, [key], kept, "code")
 
 
 def register_decode_function(spark: SparkSession, contract: HeadContract, name: str = "decode_memberships") -> None:
@@ -236,7 +255,7 @@ def register_decode_function(spark: SparkSession, contract: HeadContract, name:
         return "array(" + ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values) + ")"
 
     n_roots, n_exact = len(contract.roots), len(contract.exact)
-    score = "cast(cast(1.0D / (1.0D + exp(-cast(get(l, i + {o}) as double))) as float) as double)"
+    score = "cast(cast(1.0D / (1.0D + exp(-cast(get(v, i + {o}) as double))) as float) as double)"
     entry = "named_struct('neg', -{s}, 'code', get({c}, i), 'score', {s}, 'root', get({r}, i))"
     roots = literals(contract.roots)
     root_of = literals([contract.roots[i] for i in contract.exact_root_indices])
@@ -254,15 +273,16 @@ def register_decode_function(spark: SparkSession, contract: HeadContract, name:
     related = (
         "(k.root = c.root and (startswith(c.code, concat(k.code, '.')) or startswith(k.code, concat(c.code, '.'))))"
     )
+    entry_type = "array<struct<neg: double, code: string, score: double, root: string>>"
     kept = (
-        f"aggregate({gated}, filter({gated}, e -> false), "
+        f"aggregate({gated}, cast(array() as {entry_type}), "
         f"(acc, c) -> if(exists(acc, k -> {related}), acc, array_append(acc, c)))"
     )
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {name}(l ARRAY<FLOAT>)
         RETURNS TABLE(kind STRING, code STRING, score DOUBLE)
         RETURN SELECT m.kind, m.e.code, m.e.score FROM (
-            SELECT explode(concat(
+            SELECT explode_outer(get(transform(array(l), v -> concat(
                 transform({root_rows}, x -> named_struct('kind', 'root', 'e', x)),
-                transform({kept}, x -> named_struct('kind', 'exact', 'e', x)))) AS m)
+                transform({kept}, x -> named_struct('kind', 'exact', 'e', x)))), 0)) AS m) WHERE m.kind IS NOT NULL
     """)

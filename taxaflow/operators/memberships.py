@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from taxaflow.functions.arrays import unfold
 from taxaflow.functions.json_text import json_string
 from taxaflow.operators.taxonomy import STATE_LABELS
 from taxaflow.schemas import EXPORT_DOCUMENTS
@@ -42,7 +43,7 @@ def export_documents(predictions: DataFrame) -> DataFrame:
 def membership(predictions: DataFrame, kind: str) -> DataFrame:
     """One row per document and code of one kind (``root`` or ``exact``)."""
     codes, scores = KINDS[kind]
-    unfolded = predictions.select("sample_id", F.col(scores).alias("scores"), F.explode(codes).alias("code"))
+    unfolded = unfold(predictions, ["sample_id", F.col(scores).alias("scores")], F.col(codes), "code")
     score = F.try_element_at("scores", F.col("code"))
     missing = F.raise_error(F.concat(F.lit("Selected code without a score: "), F.col("code"))).cast("double")
     return unfolded.select("sample_id", "code", F.coalesce(score, missing).alias("score"))
@@ -58,7 +59,7 @@ def all_memberships(predictions: DataFrame) -> DataFrame:
         )
 
     both = F.concat(entries("root"), entries("exact"))
-    return predictions.select("sample_id", F.explode(both).alias("m")).select("sample_id", "m.*")
+    return unfold(predictions, ["sample_id"], both, "m").select("sample_id", "m.*")
 
 
 def review_reasons() -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from taxaflow.functions.arrays import once, unfold
 from taxaflow.functions.scores import all_finite
 from taxaflow.operators.decode import (
     decode_logits, decode_long, document_state, exact_rank, head_scores, predict_sets, primary_code,
@@ -49,8 +50,8 @@ PREDICTED_SQL = f"""{decode_sql()}, {MODEL_INPUT_SQL}, predicted AS (
 WITH {decode_sql()}
 SELECT sample_id, code, round(score, 6) AS score, idx FROM root_sel""")
 def root_gate(spark, sf_dir):
-    gate = selected_from_logits(F.col("logits"), 0, CONTRACT.roots, 0.5)
-    return logits(spark, sf_dir).select("sample_id", F.explode(gate).alias("r")).select(
+    gate = once(F.col("logits"), lambda v: selected_from_logits(v, 0, CONTRACT.roots, 0.5))
+    return unfold(logits(spark, sf_dir), ["sample_id"], gate, "r").select(
         "sample_id", "r.code", score6("r.score"), "r.idx"
     )
 
@@ -98,7 +99,7 @@ def gate_override(spark, sf_dir):
     chosen = F.when(rest == 0, F.array(F.lit("T.A"))).when(rest == 1, F.array(F.lit("T.C"), F.lit("T.B"))).otherwise(none)
     rows = logits(spark, sf_dir).withColumn("chosen", chosen)
     result = decode_logits(rows, CONTRACT, roots="chosen")
-    return result.select("sample_id", F.explode("exact").alias("code"))
+    return unfold(result, ["sample_id"], F.col("exact"), "code")
 
 
 @query("other_thresholds", f"""
@@ -112,7 +113,7 @@ def other_thresholds(spark, sf_dir):
         head_scores(values, CONTRACT.exact_offset, 25).alias("exact_scores"),
     )
     result = predict_sets(rows, CONTRACT, root_threshold=0.2, exact_threshold=0.7)
-    return result.select("sample_id", F.explode("exact").alias("code"))
+    return unfold(result, ["sample_id"], F.col("exact"), "code")
 
 
 @query("exact_rank", f"""
@@ -307,7 +308,7 @@ class TextLogits:
     def score(self, sample_ids, texts):
         import numpy as np
 
-        rows = [np.array(t.split(","), dtype=np.float64) * LOGIT_SCALE for t in texts]
+        rows = [np.array(t.split(","), dtype=np.float32).astype(np.float64) * LOGIT_SCALE for t in texts]
         return ScoredBatch(sample_ids, np.stack(rows).astype(np.float32))
 
 
