@@ -10,6 +10,9 @@ from taxaflow.functions.json_text import json_string
 from taxaflow.operators.taxonomy import STATE_LABELS
 from taxaflow.schemas import EXPORT_DOCUMENTS
 
+# Review reasons in their order, each with the flag that gives it.
+REVIEW_REASONS = {"no_exact_label": "empty_exact", "token_truncated": "truncated", "raw_windowed": "raw_windowed"}
+
 KINDS = {"root": ("roots", "root_probabilities"), "exact": ("exact", "exact_probabilities")}
 
 
@@ -63,18 +66,12 @@ def all_memberships(predictions: DataFrame) -> DataFrame:
 
 
 def review_reasons() -> Column:
-    return F.array_compact(
-        F.array(
-            F.when(F.col("empty_exact"), "no_exact_label"),
-            F.when(F.col("truncated"), "token_truncated"),
-            F.when(F.col("raw_windowed"), "raw_windowed"),
-        )
-    )
+    return F.array_compact(F.array(*[F.when(F.col(flag), reason) for reason, flag in REVIEW_REASONS.items()]))
 
 
 def review_queue(predictions: DataFrame) -> DataFrame:
-    flagged = F.col("empty_exact") | F.col("truncated") | F.coalesce(F.col("raw_windowed"), F.lit(False))
-    return predictions.where(flagged).select("sample_id", review_reasons().alias("reasons"))
+    empty, cut, windowed = (F.coalesce(F.col(flag), F.lit(False)) for flag in REVIEW_REASONS.values())
+    return predictions.where(empty | cut | windowed).select("sample_id", review_reasons().alias("reasons"))
 
 
 EXPORTS = {

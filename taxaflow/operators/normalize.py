@@ -9,6 +9,7 @@ from taxaflow.functions.json_text import json_string
 from taxaflow.functions.metadata import exact_fields
 from taxaflow.functions.text import is_nonblank
 from taxaflow.schemas import DOCUMENT_FIELDS
+from taxaflow.session import configure
 from taxaflow.sources.records import MAX_RECORD_CHARS, fields_from_columns, may_be_inexact
 
 UNSPECIFIED = "unspecified"
@@ -56,6 +57,7 @@ def normalize(
     A Python stage is added only if the column types allow values that Spark
     and Python print differently.
     """
+    configure(df.sparkSession)
     rows = normalize_fields(fields_from_columns(df, id_field, text_field, keep or []), max_record_chars)
     return exact_fields(rows) if may_be_inexact(df.schema) else rows
 

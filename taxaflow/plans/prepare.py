@@ -91,6 +91,7 @@ def prepare(
     on_error: str = "fail",
     source_check: str = "stat",
     line_files: bool = False,
+    input_format: str = "auto",
     spread: int | None = None,
 ) -> dict:
     """Write ``documents``, ``shards`` and ``manifest`` below ``output``, all or nothing.
@@ -117,11 +118,12 @@ def prepare(
 
     records = normalize_fields(
         read_records(
-            spark, paths, id_field=id_field, text_field=text_field, max_record_chars=max_record_chars, spread=spread
+            spark, paths, id_field=id_field, text_field=text_field, max_record_chars=max_record_chars,
+            input_format=input_format, spread=spread,
         ),
         max_record_chars,
     )
-    direct = all(is_parquet(p) for p in paths)
+    direct = all(is_parquet(p, input_format) for p in paths)
     if direct:
         records = numbered(records, _table_splits(spark, paths), staging, shard_rows)
     records.write.parquet(f"{staging}/scan")

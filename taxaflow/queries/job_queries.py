@@ -166,12 +166,19 @@ def exported_memberships(spark, sf_dir):
     return parts[0].unionByName(parts[1]).select("sample_id", "kind", "code", F.round("score", 6).alias("score"))
 
 
-@query("verify_job")
+@query("verify_job", f"""
+WITH {SCORED_SQL}, tables AS (
+    SELECT 'documents' AS table_name, count(*) AS n FROM scored UNION ALL SELECT 'root_membership', count(*) FROM root_sel
+    UNION ALL SELECT 'exact_membership', count(*) FROM kept
+    UNION ALL SELECT 'review_queue', count(*) FROM scored WHERE exact = '' OR input_tokens > 768 OR raw_windowed)
+SELECT table_name, 'ok' AS status, n > 0 AS found FROM tables""")
 def verify_job(spark, sf_dir):
-    """Audit of the exported files against their registry."""
+    """Audit of the exported files against their registry, per table."""
     path = _exported(spark, sf_dir)
     found = file_inventory(spark, path, glob="*.parquet").where(~F.col("path").startswith("files/"))
-    return registry_audit(spark.read.parquet(f"{path}/files"), found)
+    audit = registry_audit(spark.read.parquet(f"{path}/files"), found)
+    table_name = F.get(F.split("path", "/"), F.lit(0)).alias("table_name")
+    return audit.groupBy(table_name, "status").agg((F.count(F.lit(1)) > 0).alias("found"))
 
 
 @query("incremental_resume", PREDICTION_ROWS_SQL)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from taxaflow.errors import InvalidInput
 from taxaflow.functions.json_text import (
     json_string, has_fraction, python_spacing, strict_json, unpaired_surrogate, variant_type,
 )
@@ -34,8 +35,11 @@ def _paths(path: str | Iterable[str]) -> list[str]:
     return [path] if isinstance(path, str) else list(path)
 
 
-def is_parquet(path: str) -> bool:
-    return path.rstrip("/").endswith(".parquet")
+def is_parquet(path: str, input_format: str = "auto") -> bool:
+    """Whether a path is read as Parquet: by its suffix, or as the caller says."""
+    if input_format not in ("auto", "parquet", "lines"):
+        raise InvalidInput(f"Unknown input format: {input_format}")
+    return input_format == "parquet" or (input_format == "auto" and path.rstrip("/").endswith(".parquet"))
 
 
 def read_records(
@@ -45,12 +49,13 @@ def read_records(
     id_field: str = "sample_id",
     text_field: str = "text_window",
     max_record_chars: int = MAX_RECORD_CHARS,
+    input_format: str = "auto",
     spread: int | None = None,
 ) -> DataFrame:
     """Field columns of all records below ``path`` (files, folders or globs).
 
     A ``.parquet`` suffix selects the Parquet reader, everything else is read
-    as JSONL; Spark unpacks ``.gz``, ``.zst`` and ``.zstd`` by suffix.
+    as JSONL unless ``input_format`` says otherwise; Spark unpacks ``.gz``, ``.zst`` and ``.zstd`` by suffix.
 
     A compressed text file is read by one task.  ``spread`` hands its lines, in
     runs of :data:`RUN_LINES`, to that many tasks before they are parsed; use it
@@ -58,8 +63,8 @@ def read_records(
     """
     configure(spark)
     paths = _paths(path)
-    tables = [p for p in paths if is_parquet(p)]
-    lines = [p for p in paths if not is_parquet(p)]
+    tables = [p for p in paths if is_parquet(p, input_format)]
+    lines = [p for p in paths if not is_parquet(p, input_format)]
     parts = []
     if lines:
         scanned = scan_lines(spark, lines, max_record_chars)

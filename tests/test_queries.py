@@ -14,7 +14,7 @@ SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
 # These give hashes of stored files, which no SQL twin can see.
-UNCHECKED = {"file_inventory", "verify_job"}
+UNCHECKED = {"file_inventory"}
 
 
 @pytest.fixture(scope="module")
@@ -31,10 +31,7 @@ def test_every_query_has_a_check():
 def test_query(spark, tables, name):
     frame = entry.queries()[name](spark, SF_DIR)
     if name in UNCHECKED:
-        rows = frame.collect()
-        assert rows
-        if name == "verify_job":
-            assert {r["status"] for r in rows} == {"ok"}
+        assert frame.collect()
     else:
         assert differences(frame, tables, entry.oracle_sql()[name]) is None
 
