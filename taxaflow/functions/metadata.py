@@ -129,7 +129,7 @@ def _exact_fields(lines: pd.Series) -> pd.DataFrame:
 
 
 def exact_fields(df: DataFrame) -> DataFrame:
-    """Reprint the rows that kept their raw line; a job calls this only if there are any."""
+    """Reprint the rows that kept their raw line."""
     exact = _exact_fields(F.col("exact_line"))
     marked = F.col("exact_line").isNotNull()
     return (
@@ -138,3 +138,18 @@ def exact_fields(df: DataFrame) -> DataFrame:
         .withColumn("source_locator", F.when(marked, F.col("_exact.locator")).otherwise(F.col("source_locator")))
         .drop("_exact")
     )
+
+
+def reprint_stored(rows: DataFrame, inexact: int, total: int) -> DataFrame:
+    """:func:`exact_fields` for a stored table, given how many rows need it.
+
+    Without such rows there is no Python stage.  With few of them, only they
+    pass through Python: the other rows are read in a branch of their own, and
+    the branch with Python skips row groups that hold no raw line.
+    """
+    if not inexact:
+        return rows
+    if inexact * 10 > total:
+        return exact_fields(rows)
+    marked = F.col("exact_line").isNotNull()
+    return rows.where(~marked).unionByName(exact_fields(rows.where(marked)))

@@ -18,19 +18,20 @@ def row_digest_lanes(sha256_hex: Column) -> list[Column]:
     ]
 
 
-def content_digest(df: DataFrame, by: list[str], row_sha256: str, row_bytes: str) -> DataFrame:
-    """Rows, bytes and an order-free digest per group.
+def content_digest(df: DataFrame, by: list[str], row_sha256: str, row_bytes: str, extra: tuple[Column, ...] = ()) -> DataFrame:
+    """Rows, bytes and an order-free digest per group; ``extra`` aggregates ride along.
 
     Summing row hashes instead of hashing sorted content needs no sort and
     combines on the map side: one row per group and task is shuffled.
     """
     sums = [F.sum(lane).alias(f"lane{i}") for i, lane in enumerate(row_digest_lanes(F.col(row_sha256)))]
     totals = df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes), F.lit(0)).cast("bigint").alias("bytes"), *sums
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes), F.lit(0)).cast("bigint").alias("bytes"), *sums, *extra
     )
     lanes = [F.coalesce(F.col(f"lane{i}"), F.lit(0)).cast("string") for i in range(LANES)]
     digest = F.sha2(F.concat_ws(":", F.col("rows").cast("string"), *lanes), 256)
-    return totals.select(*by, "rows", "bytes", digest.alias("digest"))
+    computed = {*by, "rows", "bytes", *[f"lane{i}" for i in range(LANES)]}
+    return totals.select(*by, "rows", "bytes", digest.alias("digest"), *[c for c in totals.columns if c not in computed])
 
 
 def file_inventory(spark: SparkSession, path: str, *, glob: str | None = None, content: bool = True) -> DataFrame:

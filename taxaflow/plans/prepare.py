@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxaflow.errors import IntegrityError, InvalidInput
-from taxaflow.functions.metadata import exact_fields
+from taxaflow.functions.metadata import reprint_stored
 from taxaflow.functions.text import INPUT_SCOPE, VISIBLE_TOKENS
 from taxaflow.operators.duplicates import require_unique
 from taxaflow.operators.integrity import content_digest
@@ -147,9 +147,7 @@ def prepare(
         storage.publish(spark, f"{staging}/scan", f"{staging}/documents")
     else:
         rows = scanned if direct else numbered(scanned, scanned, staging, shard_rows, hashed=False)
-        rows = rows.where(clean)
-        if facts["inexact"]:
-            rows = exact_fields(rows)
+        rows = reprint_stored(rows.where(clean), facts["inexact"], facts["good"])
         with_content_hash(rows.select(*DOCUMENT_FIELDS, *PLACE)).write.parquet(f"{staging}/documents")
     written = spark.read.schema(JOB_DOCUMENTS).parquet(f"{staging}/documents")
     shard_table(written).write.parquet(f"{staging}/shards")

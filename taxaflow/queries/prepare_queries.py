@@ -107,7 +107,7 @@ def reject_report(spark, sf_dir):
 
 @query("jsonl_sources", f"""
 WITH {DOCUMENTS_SQL}
-SELECT format, count(*) AS documents, count(DISTINCT sample_id) AS ids, sum(length(text_window))::BIGINT AS chars,
+SELECT format, count(*) AS documents, sum(length(text_window))::BIGINT AS chars,
     {digest_sql("sha256(" + LINE_SQL + ")")} AS digest
 FROM docs JOIN (VALUES ('plain'), ('gzip'), ('parquet')) AS f(format) ON true GROUP BY format""")
 def jsonl_sources(spark, sf_dir):
@@ -122,13 +122,9 @@ def jsonl_sources(spark, sf_dir):
         else:
             records.write.parquet(path)
         read = with_content_hash(normalize_fields(read_records(spark, path))).withColumn("format", F.lit(name))
-        digest = content_digest(read, ["format"], "row_sha256", "row_bytes").select("format", "digest")
-        totals = read.groupBy("format").agg(
-            F.count(F.lit(1)).alias("documents"),
-            F.countDistinct("sample_id").alias("ids"),
-            F.sum(F.length("text_window")).alias("chars"),
-        )
-        results.append(totals.join(digest, "format"))
+        chars = F.sum(F.length("text_window")).alias("chars")
+        totals = content_digest(read, ["format"], "row_sha256", "row_bytes", (chars,))
+        results.append(totals.select("format", F.col("rows").alias("documents"), "chars", "digest"))
     out = results[0]
     for one in results[1:]:
         out = out.unionByName(one)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxaflow.errors import DuplicateDocuments, IntegrityError, InvalidInput
-from taxaflow.functions.metadata import exact_fields
+from taxaflow.functions.metadata import reprint_stored
 from taxaflow.operators.duplicates import repeated_ids
 from taxaflow.operators.integrity import content_digest, require_empty
 from taxaflow.operators.normalize import normalize_fields
@@ -63,8 +63,7 @@ def process_batch(
         return None
     repeated = repeated_ids(rows, read_predictions(spark, output), small_batch=facts["rows"] <= MAX_BROADCAST_IDS)
     require_empty(repeated, "Documents arrived twice", DuplicateDocuments)
-    if facts["inexact"]:
-        rows = exact_fields(rows)
+    rows = reprint_stored(rows, facts["inexact"], facts["rows"])
     place = rows.select(
         *DOCUMENT_FIELDS, F.lit(batch_id).cast("bigint").alias("shard_index"),
         F.xxhash64("file_path", "block_start", "seq").alias("input_pos"),
