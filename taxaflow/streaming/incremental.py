@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from taxaflow.errors import DuplicateDocuments, IntegrityError, InvalidInput
 from taxaflow.functions.metadata import reprint_stored
@@ -27,7 +28,7 @@ from taxaflow.schemas import DOCUMENT_FIELDS
 from taxaflow.session import configure
 from taxaflow.sources import storage
 from taxaflow.sources.jobs import commits, read_predictions
-from taxaflow.sources.records import MAX_RECORD_CHARS, fields_from_lines, with_scan_errors
+from taxaflow.sources.records import MAX_RECORD_CHARS, ORDER, fields_from_columns, fields_from_lines, with_scan_errors
 
 # Batches up to this many IDs are broadcast to the scan of the committed IDs.
 MAX_BROADCAST_IDS = 1_000_000
@@ -38,18 +39,23 @@ def batch_name(batch_id: int) -> str:
 
 
 def process_batch(
-    lines: DataFrame, batch_id: int, output: str, factory: Callable, contract: HeadContract | None, *,
+    arrived: DataFrame, batch_id: int, output: str, factory: Callable, contract: HeadContract | None, *,
     batch_size: int, id_field: str, text_field: str, max_record_chars: int, own_tokens: bool, profile,
 ) -> dict | None:
     """Check, score and publish one batch; None if it is empty or already published."""
-    spark = lines.sparkSession
+    spark = arrived.sparkSession
     name = batch_name(batch_id)
     if storage.is_complete(spark, f"{output}/receipts/{name}"):
         return None
     began = time.perf_counter()
     # Parsed once; every later step reads columns of this table.
     inbox = f"{output}/inbox/{name}"
-    fields = fields_from_lines(lines, id_field, text_field)
+    # A stream cannot number rows; a batch can.
+    rows = arrived.withColumn("seq", F.monotonically_increasing_id())
+    if "scan_error" in rows.columns:
+        fields = fields_from_lines(rows, id_field, text_field)
+    else:
+        fields = fields_from_columns(rows, id_field, text_field, keep=ORDER)
     normalize_fields(fields, max_record_chars).write.mode("overwrite").parquet(inbox)
     rows = spark.read.parquet(inbox)
     clean = F.size("violations") == 0
@@ -100,6 +106,7 @@ def score_new_files(
     text_field: str = "text_window",
     max_record_chars: int = MAX_RECORD_CHARS,
     max_files_per_trigger: int = 1000,
+    table_schema: StructType | None = None,
     own_tokens: bool = False,
     profile=None,
     code_sha256: str | None = None,
@@ -109,6 +116,8 @@ def score_new_files(
 
     Bad records and IDs seen before stop the query; nothing is dropped.  The
     binding beside the checkpoint refuses another model, code or batch size.
+    Files are JSON lines (plain or compressed), or Parquet if ``table_schema``
+    is given.
     """
     configure(spark)
     bind(spark, output, dict(
@@ -120,9 +129,9 @@ def score_new_files(
     ))
     done: list[dict] = []
 
-    def publish(lines: DataFrame, batch_id: int) -> None:
+    def publish(arrived: DataFrame, batch_id: int) -> None:
         result = process_batch(
-            lines, batch_id, output, factory, contract, batch_size=batch_size, id_field=id_field,
+            arrived, batch_id, output, factory, contract, batch_size=batch_size, id_field=id_field,
             text_field=text_field, max_record_chars=max_record_chars, own_tokens=own_tokens, profile=profile,
         )
         if result is not None:
@@ -130,12 +139,14 @@ def score_new_files(
             if on_commit is not None:
                 on_commit(result)
 
-    stream = spark.readStream.option("maxFilesPerTrigger", str(max_files_per_trigger)).text(input_dir)
-    lines = with_scan_errors(stream.select(
-        "value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block_start"),
-    ), max_record_chars)
+    reader = spark.readStream.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    files = reader.text(input_dir) if table_schema is None else reader.schema(table_schema).parquet(input_dir)
+    placed = files.select(
+        *files.columns, F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block_start")
+    )
+    stream = with_scan_errors(placed, max_record_chars) if table_schema is None else placed
     running = (
-        lines.writeStream.foreachBatch(lambda df, i: publish(numbered(df), i))
+        stream.writeStream.foreachBatch(publish)
         .option("checkpointLocation", f"{output}/checkpoint")
         .trigger(availableNow=True)
         .start()
@@ -146,8 +157,3 @@ def score_new_files(
         status="complete" if done else "already_complete", batches=len(done), processed_rows=rows,
         committed=len(commits(spark, output)),
     )
-
-
-def numbered(lines: DataFrame) -> DataFrame:
-    """Row numbers are a matter of one batch; a stream itself cannot have them."""
-    return lines.withColumn("seq", F.monotonically_increasing_id())

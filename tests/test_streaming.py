@@ -1,8 +1,11 @@
 """Incremental scoring: resume, refusal, replay."""
 
+import gzip
 import json
 import sys
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark import cloudpickle
 
@@ -60,6 +63,21 @@ def test_new_files_are_scored_once(spark, tmp_path):
     assert [r["rows"] for r in read_receipts(spark, out).orderBy("shard_index").collect()] == [2, 1, 1]
 
 
+def test_tables_and_compressed_lines(spark, tmp_path):
+    folder, out = tmp_path / "tables", str(tmp_path / "out")
+    folder.mkdir()
+    for name, rows in (("1", ["a", "b"]), ("2", ["c"])):
+        pq.write_table(pa.Table.from_pylist([dict(key=i, body=f"text {i}") for i in rows]), folder / f"{name}.parquet")
+    schema = spark.read.parquet(str(folder)).schema
+    options = dict(table_schema=schema, id_field="key", text_field="body")
+    assert score(spark, folder, out, **options)["processed_rows"] == 3
+    assert ids(spark, out) == ["a", "b", "c"]
+    packed, out = tmp_path / "packed", str(tmp_path / "out2")
+    packed.mkdir()
+    (packed / "1.jsonl.gz").write_bytes(gzip.compress(b'{"sample_id":"z","text_window":"t"}\n\n'))
+    assert score(spark, packed, out)["processed_rows"] == 1
+
+
 def test_death_before_and_after_a_commit(spark, tmp_path):
     folder, out = tmp_path / "in", str(tmp_path / "out")
     put(folder, "1.jsonl", ["a1", "a2"])
