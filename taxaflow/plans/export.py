@@ -21,11 +21,9 @@ def write_exports(predictions: DataFrame, output: str) -> dict[str, int]:
 
     Row counts come back from the footers of the written files.
     """
-    spark = predictions.sparkSession
     counts = {}
     for name, project in EXPORTS.items():
-        project(predictions).write.option("compression", "zstd").parquet(f"{output}/{name}")
-        counts[name] = spark.read.parquet(f"{output}/{name}").count()
+        counts[name] = storage.write_table(project(predictions), f"{output}/{name}", compression="zstd").count()
     return counts
 
 

@@ -61,9 +61,7 @@ def _table_splits(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def numbered(rows: DataFrame, counted: DataFrame, staging: str, shard_rows: int, *, hashed: bool = True) -> DataFrame:
     """Give ``rows`` their position and shard, from the split sizes found in ``counted``."""
-    spark = rows.sparkSession
-    split_offsets(counted, SPLIT).write.parquet(f"{staging}/splits")
-    offsets = spark.read.parquet(f"{staging}/splits")
+    offsets = storage.write_table(split_offsets(counted, SPLIT), f"{staging}/splits")
     placed = with_position(rows, offsets, SPLIT, n_splits=offsets.count())
     placed = placed.withColumn("shard_index", shard_index(F.col("input_pos"), shard_rows))
     return with_content_hash(placed) if hashed else placed
@@ -126,8 +124,7 @@ def prepare(
     direct = all(is_parquet(p, input_format) for p in paths)
     if direct:
         records = numbered(records, _table_splits(spark, paths), staging, shard_rows)
-    records.write.parquet(f"{staging}/scan")
-    scanned = spark.read.parquet(f"{staging}/scan")
+    scanned = storage.write_table(records, f"{staging}/scan")
     clean = F.size("violations") == 0
     facts = scanned.agg(
         F.count(F.when(clean, 1)).alias("good"),
@@ -150,8 +147,7 @@ def prepare(
         rows = reprint_stored(rows.where(clean), facts["inexact"], facts["good"])
         with_content_hash(rows.select(*DOCUMENT_FIELDS, *PLACE)).write.parquet(f"{staging}/documents")
     written = spark.read.schema(JOB_DOCUMENTS).parquet(f"{staging}/documents")
-    shard_table(written).write.parquet(f"{staging}/shards")
-    shards = spark.read.parquet(f"{staging}/shards")
+    shards = storage.write_table(shard_table(written), f"{staging}/shards")
     if line_files:
         write_shard_lines(written, f"{staging}/inputs")
 

@@ -182,8 +182,8 @@ def run(
         name = f"{first:012d}-{uuid.uuid4().hex[:12]}"
         target = f"{output}/predictions/{name}"
         plain = documents.drop("row_bytes", "row_sha256")
-        label(plain, factory, contract, batch_size=batch_size, own_tokens=own_tokens, profile=profile).write.parquet(target)
-        written = spark.read.parquet(target)
+        labelled = label(plain, factory, contract, batch_size=batch_size, own_tokens=own_tokens, profile=profile)
+        written = storage.write_table(labelled, target)
         require_empty(identity_faults(documents, written), "Scorer output does not match its documents")
         seconds = time.perf_counter() - begun
         receipts = shards.join(prediction_digests(written).drop("id", "rows").withColumnRenamed("digest", "predictions_digest"), "shard_index")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _path(spark: SparkSession, path: str):
@@ -45,6 +45,12 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(handle, True)
 
 
+def write_table(df: DataFrame, path: str, mode: str = "errorifexists", **options: str) -> DataFrame:
+    """Write a Parquet table and return it as stored; its known schema spares a look into the files."""
+    df.write.mode(mode).options(**options).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def publish(spark: SparkSession, staged: str, target: str) -> None:
     """Make a finished staging folder visible under its final name in one rename."""
     source, fs = _path(spark, staged)

@@ -56,8 +56,7 @@ def process_batch(
         fields = fields_from_lines(rows, id_field, text_field)
     else:
         fields = fields_from_columns(rows, id_field, text_field, keep=ORDER)
-    normalize_fields(fields, max_record_chars).write.mode("overwrite").parquet(inbox)
-    rows = spark.read.parquet(inbox)
+    rows = storage.write_table(normalize_fields(fields, max_record_chars), inbox, "overwrite")
     clean = F.size("violations") == 0
     facts = rows.agg(
         F.count(F.lit(1)).alias("rows"), F.count(F.when(~clean, 1)).alias("bad"), F.count("exact_line").alias("inexact")
@@ -75,10 +74,8 @@ def process_batch(
         F.xxhash64("file_path", "block_start", "seq").alias("input_pos"),
     )
     target = f"{output}/predictions/{name}"
-    label(place, factory, contract, batch_size=batch_size, own_tokens=own_tokens, profile=profile).write.mode(
-        "overwrite"
-    ).parquet(target)
-    written = spark.read.parquet(target)
+    labelled = label(place, factory, contract, batch_size=batch_size, own_tokens=own_tokens, profile=profile)
+    written = storage.write_table(labelled, target, "overwrite")
     require_empty(identity_faults(place, written), "Scorer output does not match its documents", IntegrityError)
     inputs = content_digest(with_content_hash(place), ["shard_index"], "row_sha256", "row_bytes").withColumnRenamed(
         "digest", "input_digest"
