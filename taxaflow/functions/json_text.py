@@ -7,15 +7,6 @@ from pyspark.sql import functions as F
 
 from taxaflow.functions.arrays import once
 
-_SHORT_ESCAPES = [("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")]
-_RARE_ESCAPES = [("\b", "\\b"), ("\f", "\\f")] + [
-    (chr(n), f"\\u{n:04x}") for n in range(0x20) if chr(n) not in "\b\f\n\r\t"
-]
-_RARE_TABLE = "array(" + ", ".join(
-    f"named_struct('raw', chr({ord(raw)}), 'escaped', r'{escaped}')" for raw, escaped in _RARE_ESCAPES
-) + ")"
-_RARE_PATTERN = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
-
 # A run of strings and other text, then one separator.  Each match starts where
 # the last one ended, so none starts inside a string.  All quantifiers are
 # possessive, so long values cannot overflow the matcher's stack.
@@ -61,20 +52,24 @@ def unpaired_surrogate(line: Column) -> Column:
 
 def json_string(text: Column) -> Column:
     """``text`` as a JSON string literal, non-ASCII kept, like Python prints it."""
-    plain = text
-    for raw, escaped in _SHORT_ESCAPES:
-        plain = F.replace(plain, F.lit(raw), F.lit(escaped))
-    full = F.aggregate(F.expr(_RARE_TABLE), plain, lambda done, e: F.replace(done, e["raw"], e["escaped"]))
-    return F.concat(F.lit('"'), F.when(text.rlike(_RARE_PATTERN), full).otherwise(plain), F.lit('"'))
+    wrapped = F.to_json(F.struct(text.alias("t")))
+    literal = once(wrapped, lambda w: _lower_escapes(F.substring(w, F.lit(6), F.length(w) - 6)))
+    return F.when(text.isNotNull(), literal)
+
+
+def _lower_escapes(compact: Column) -> Column:
+    """Escapes of control characters in lower case; escaped backslashes are told apart."""
+    def lowered(text: Column) -> Column:
+        for code in _UPPER_ESCAPES:
+            text = F.regexp_replace(text, rf"(?<!\\)((?:\\\\)*)\\u00{code}", rf"$1\\u00{code.lower()}")
+        return text
+
+    return once(compact, lambda c: F.when(c.contains("\\u00"), lowered(c)).otherwise(c))
 
 
 def python_spacing(compact: Column) -> Column:
     """Compact JSON text as Python prints it: ", " and ": ", escapes in lower case."""
-    lowered = compact
-    for code in _UPPER_ESCAPES:
-        lowered = F.regexp_replace(lowered, rf"(?<!\\)((?:\\\\)*)\\u00{code}", rf"$1\\u00{code.lower()}")
-    text = F.when(compact.contains("\\u00"), lowered).otherwise(compact)
-    return F.regexp_replace(text, _SEPARATOR_PATTERN, "$1$2 ")
+    return F.regexp_replace(_lower_escapes(compact), _SEPARATOR_PATTERN, "$1$2 ")
 
 
 def has_fraction(compact: Column) -> Column:

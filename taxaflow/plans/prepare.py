@@ -33,12 +33,23 @@ def source_state(spark: SparkSession, paths: list[str], check: str) -> str:
 
 
 def with_content_hash(documents: DataFrame) -> DataFrame:
-    """Size and hash of each document's JSON line, line break included in the size."""
-    return (
-        documents.withColumn("_line", record_line())
-        .withColumn("row_bytes", (F.octet_length("_line") + 1).cast("bigint"))
-        .withColumn("row_sha256", F.sha2("_line", 256))
-        .drop("_line")
+    """Size and hash of each document's content.
+
+    The fields are hashed one after another, behind a line with their lengths:
+    nothing is escaped, and no two documents have the same hashed text.
+    """
+    missing = F.lit("null")
+    parts = [
+        F.col("sample_id"), F.col("text_window"), F.col("metadata_compact"), F.col("source_family"),
+        F.coalesce(F.col("source_locator"), missing), F.coalesce(F.col("raw_windowed").cast("string"), missing),
+    ]
+    sizes = [F.octet_length(p) for p in parts]
+    head = F.concat_ws(",", *[s.cast("string") for s in sizes])
+    total = sizes[0]
+    for size in sizes[1:]:
+        total = total + size
+    return documents.withColumn("row_bytes", total.cast("bigint")).withColumn(
+        "row_sha256", F.sha2(F.concat(head, F.lit("\n"), *parts), 256)
     )
 
 

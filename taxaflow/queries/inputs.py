@@ -81,6 +81,13 @@ MODEL_INPUT_SQL = DOCUMENTS_SQL + """, inputs AS (
 
 WORDS_SQL = r"regexp_extract_all({}, '[^ \t\n\r\f\x0b]+')"
 
+_PARTS = ["sample_id", "text_window", "metadata_compact", "source_family", "source_locator",
+          "coalesce(raw_windowed::VARCHAR, 'null')"]
+CONTENT_BYTES_SQL = "(" + " + ".join(f"octet_length(encode({p}))" for p in _PARTS) + ")"
+CONTENT_SHA_SQL = "sha256(" + " || ',' || ".join(f"octet_length(encode({p}))" for p in _PARTS) + " || chr(10) || " + (
+    " || ".join(_PARTS) + ")"
+)
+
 LINE_SQL = """'{"sample_id": ' || to_json(sample_id)::VARCHAR || ', "text_window": ' || to_json(text_window)::VARCHAR
     || ', "metadata_compact": ' || to_json(metadata_compact)::VARCHAR || ', "source_family": '
     || to_json(source_family)::VARCHAR || ', "source_locator": ' || source_locator || ', "raw_windowed": '

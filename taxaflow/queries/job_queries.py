@@ -12,7 +12,7 @@ from taxaflow.plans.export import export
 from taxaflow.plans.prepare import prepare
 from taxaflow.plans.run import run
 from taxaflow.queries.inputs import (
-    CONTRACT, DOCUMENTS_SQL, LINE_SQL, MODEL_INPUT_SQL, PRIMARY_SQL, SHARD_ROWS, STATE_JSON_SQL, WORDS_SQL, decode_sql,
+    CONTENT_BYTES_SQL, CONTENT_SHA_SQL, CONTRACT, DOCUMENTS_SQL, MODEL_INPUT_SQL, PRIMARY_SQL, SHARD_ROWS, STATE_JSON_SQL, WORDS_SQL, decode_sql,
     digest_sql, raw_records,
 )
 from taxaflow.operators.memberships import EXPORTS, state_json
@@ -103,7 +103,7 @@ def _shown(predictions):
 @query("prepare_job", f"""
 WITH {DOCUMENTS_SQL}
 SELECT count(*) AS rows, ((count(*) + {SHARD_ROWS - 1}) // {SHARD_ROWS})::BIGINT AS shards,
-    sum(octet_length(encode({LINE_SQL})) + 1)::BIGINT AS bytes, {digest_sql("sha256(" + LINE_SQL + ")")} AS digest,
+    sum({CONTENT_BYTES_SQL})::BIGINT AS bytes, {digest_sql(CONTENT_SHA_SQL)} AS digest,
     count(*) AS positions FROM docs""")
 def prepare_job(spark, sf_dir):
     job = read_job(spark, _prepared(spark, sf_dir))

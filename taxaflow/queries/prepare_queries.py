@@ -9,14 +9,14 @@ from taxaflow.functions.json_text import strict_json, variant_type
 from taxaflow.functions.text import VISIBLE_TOKENS, reread_metadata, token_ids_sha256, words
 from taxaflow.operators.duplicates import duplicate_keys, repeated_ids
 from taxaflow.operators.integrity import content_digest, is_safe_path, manifest_faults
-from taxaflow.operators.normalize import normalize, normalize_fields
+from taxaflow.operators.normalize import normalize, normalize_fields, record_line
 from taxaflow.operators.scoring import prepare_inputs, with_model_input
 from taxaflow.operators.sharding import (
     batch_number, forwards, shard_id, shard_index, split_offsets, with_position, worker,
 )
 from taxaflow.plans.prepare import shard_table, with_content_hash
 from taxaflow.queries.inputs import (
-    DOCUMENTS_SQL, LINE_SQL, MODEL_INPUT_SQL, SHARD_ROWS, WORDS_SQL, digest_sql, documents, raw_records, table,
+    CONTENT_BYTES_SQL, CONTENT_SHA_SQL, DOCUMENTS_SQL, LINE_SQL, MODEL_INPUT_SQL, SHARD_ROWS, WORDS_SQL, digest_sql, documents, raw_records, table,
 )
 from taxaflow.queries.registry import query
 from taxaflow.session import configure, shared_dir
@@ -37,6 +37,15 @@ def normalize_documents(spark, sf_dir):
     )
 
 
+@query("record_lines", f"""
+WITH {DOCUMENTS_SQL}
+SELECT sample_id, sha256({LINE_SQL}) AS line_sha256, octet_length(encode({LINE_SQL})) AS line_bytes FROM docs""")
+def record_lines(spark, sf_dir):
+    """Documents as JSON lines, byte for byte."""
+    lines = documents(spark, sf_dir).select("sample_id", record_line().alias("line"))
+    return lines.select("sample_id", F.sha2("line", 256).alias("line_sha256"), F.octet_length("line").alias("line_bytes"))
+
+
 def _faulty_lines(spark, sf_dir):
     """Every document as a JSON line, with a fault planted in most of them."""
     doc_id = F.col("doc_id")
@@ -108,7 +117,7 @@ def reject_report(spark, sf_dir):
 @query("jsonl_sources", f"""
 WITH {DOCUMENTS_SQL}
 SELECT format, count(*) AS documents, sum(length(text_window))::BIGINT AS chars,
-    {digest_sql("sha256(" + LINE_SQL + ")")} AS digest
+    {digest_sql(CONTENT_SHA_SQL)} AS digest
 FROM docs JOIN (VALUES ('plain'), ('gzip'), ('parquet')) AS f(format) ON true GROUP BY format""")
 def jsonl_sources(spark, sf_dir):
     """The same records through every reader."""
@@ -283,7 +292,7 @@ def _placed(spark, sf_dir, shard_rows=SHARD_ROWS):
 
 
 PLACED_SQL = DOCUMENTS_SQL + f""", placed AS (
-    SELECT *, doc_pos // {SHARD_ROWS} AS shard_index, sha256({LINE_SQL}) AS row_sha, octet_length(encode({LINE_SQL})) + 1 AS row_bytes
+    SELECT *, doc_pos // {SHARD_ROWS} AS shard_index, {CONTENT_SHA_SQL} AS row_sha, {CONTENT_BYTES_SQL} AS row_bytes
     FROM (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS doc_pos FROM docs))"""
 
 
@@ -372,7 +381,7 @@ def safe_paths(spark, sf_dir):
 
 @query("dataset_digest", f"""
 WITH {DOCUMENTS_SQL}
-SELECT source_family, count(*) AS rows, {digest_sql("sha256(" + LINE_SQL + ")")} AS digest FROM docs GROUP BY source_family""")
+SELECT source_family, count(*) AS rows, {digest_sql(CONTENT_SHA_SQL)} AS digest FROM docs GROUP BY source_family""")
 def dataset_digest(spark, sf_dir):
     hashed = with_content_hash(documents(spark, sf_dir))
     return content_digest(hashed, ["source_family"], "row_sha256", "row_bytes").drop("bytes")

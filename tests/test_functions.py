@@ -34,6 +34,7 @@ def test_blank_is_what_python_strips(spark):
 def test_json_string_prints_like_python(spark):
     texts = ["".join(map(chr, range(0x30))), 'a"b\\c\n\\u001F é \x7f  ', "", "😀", "\\\\n"]
     assert apply(spark, texts, json_string) == [json.dumps(t, ensure_ascii=False) for t in texts]
+    assert apply(spark, [None], json_string) == [None]
 
 
 @settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
