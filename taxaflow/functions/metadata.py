@@ -73,29 +73,28 @@ def with_canonical_metadata(df: DataFrame, source: str) -> DataFrame:
     df = df.withColumn(
         source, F.when(kind == "STRING", strict_json(F.try_variant_get(value, "$", "string"))).otherwise(value)
     )
+    # One lambda per step over the five keys keeps the generated code small.
+    pairs = F.array(*[
+        F.struct(
+            F.try_variant_get(value, f"$.{k}", "variant").alias("top"),
+            F.try_variant_get(value, f"$.{OVERLAY_KEY}.{k}", "variant").alias("overlay"),
+        )
+        for k in ALLOWED_KEYS
+    ])
     df = df.select(
-        *kept,
-        F.coalesce(variant_type(value).startswith("OBJECT"), F.lit(False)).alias("_is_object"),
-        *[F.try_variant_get(value, f"$.{k}", "variant").alias(f"_top_{k}") for k in ALLOWED_KEYS],
-        *[F.try_variant_get(value, f"$.{OVERLAY_KEY}.{k}", "variant").alias(f"_sub_{k}") for k in ALLOWED_KEYS],
+        *kept, F.coalesce(variant_type(value).startswith("OBJECT"), F.lit(False)).alias("_is_object"), pairs.alias("_pairs")
     )
-    df = df.select(
-        *kept,
-        "_is_object",
-        *[
-            F.when(_truthy(F.col(f"_sub_{k}")), F.col(f"_sub_{k}"))
-            .when(_truthy(F.col(f"_top_{k}")), F.col(f"_top_{k}"))
-            .alias(f"_{k}")
-            for k in ALLOWED_KEYS
-        ],
+    chosen = F.transform(
+        "_pairs", lambda p: F.when(_truthy(p["overlay"]), p["overlay"]).when(_truthy(p["top"]), p["top"])
     )
-    inexact = F.lit(False)
-    for k in ALLOWED_KEYS:
-        inexact = inexact | F.coalesce(~variant_type(F.col(f"_{k}")).isin("STRING", "BOOLEAN", "BIGINT"), F.lit(False))
-    text = F.substring(_join_pieces({k: _printed(F.col(f"_{k}")) for k in ALLOWED_KEYS}), 1, METADATA_CHARS)
+    df = df.select(*kept, "_is_object", chosen.alias("_chosen"))
+    keys = F.split(F.lit(",".join(ALLOWED_KEYS)), ",")
+    pieces = F.zip_with(keys, "_chosen", lambda k, v: F.concat(F.lit('"'), k, F.lit('": '), _printed(v)))
+    text = F.concat(F.lit("{"), F.array_join(pieces, ", "), F.lit("}"))  # the join skips NULL pieces
+    inexact = F.exists("_chosen", lambda v: F.coalesce(~variant_type(v).isin("STRING", "BOOLEAN", "BIGINT"), F.lit(False)))
     return df.select(
         *kept,
-        F.when(F.col("_is_object"), text).otherwise(F.lit("")).alias("metadata_compact"),
+        F.when(F.col("_is_object"), F.substring(text, 1, METADATA_CHARS)).otherwise(F.lit("")).alias("metadata_compact"),
         (F.col("_is_object") & inexact).alias("metadata_inexact"),
     )
 
