@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,7 +94,10 @@ def taxonomy_table(spark: SparkSession, contract: HeadContract, catalog: DataFra
     rows += [
         ("exact", i, code, contract.roots[contract.exact_root_indices[i]]) for i, code in enumerate(contract.exact)
     ]
-    table = spark.createDataFrame(rows, "head string, idx int, code string, root_code string")
+    names = ["head", "idx", "code", "root_code"]
+    # An Arrow table becomes a local relation: Spark knows its size and may broadcast it.
+    table = spark.createDataFrame(pa.table(dict(zip(names, map(list, zip(*rows))))))
+    table = table.withColumn("idx", F.col("idx").cast("int"))
     if catalog is None:
         empty = [F.lit(None).cast("string").alias(c) for c in ("parent", "label", "definition")]
         return table.select("*", *empty)

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from taxaflow.errors import InvalidInput
 from taxaflow.functions.json_text import json_string, python_spacing, strict_json, variant_type
@@ -50,7 +51,7 @@ class Job:
 def write_json_record(spark: SparkSession, record: dict, path: str) -> None:
     """One JSON record as a one-row text table; an existing one is never replaced."""
     line = json.dumps(record, ensure_ascii=False, sort_keys=True, allow_nan=False)
-    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("errorifexists").text(path)
+    spark.range(0, 1, 1, 1).select(F.lit(line).alias("value")).write.mode("errorifexists").text(path)
 
 
 def read_json_record(spark: SparkSession, path: str) -> dict:
@@ -87,10 +88,15 @@ def commits(spark: SparkSession, output: str) -> list[str]:
     return [n for n in names if storage.is_complete(spark, f"{output}/receipts/{n}")]
 
 
+def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty local table; unlike an empty list, Spark knows its size."""
+    return spark.createDataFrame(to_arrow_schema(schema).empty_table(), schema)
+
+
 def read_receipts(spark: SparkSession, output: str) -> DataFrame:
     paths = [f"{output}/receipts/{n}" for n in commits(spark, output)]
     if not paths:
-        return spark.createDataFrame([], RECEIPTS)
+        return _empty(spark, RECEIPTS)
     return spark.read.schema(RECEIPTS).parquet(*paths)
 
 
@@ -99,7 +105,7 @@ def read_predictions(spark: SparkSession, output: str) -> DataFrame:
     schema = T.StructType([*PREDICTION.fields, T.StructField("shard_index", T.LongType()), T.StructField("input_pos", T.LongType())])
     paths = [f"{output}/predictions/{n}" for n in commits(spark, output)]
     if not paths:
-        return spark.createDataFrame([], schema)
+        return _empty(spark, schema)
     return spark.read.schema(schema).parquet(*paths)
 
 

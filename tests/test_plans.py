@@ -8,12 +8,12 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from taxaflow.operators.decode import decode_logits
+from taxaflow.operators.decode import decode_logits, decode_long, exact_rank
 from taxaflow.operators.duplicates import duplicate_keys, repeated_ids
 from taxaflow.operators.integrity import content_digest
 from taxaflow.operators.memberships import EXPORTS
 from taxaflow.operators.normalize import normalize
-from taxaflow.operators.taxonomy import HeadContract
+from taxaflow.operators.taxonomy import HeadContract, taxonomy_table
 from taxaflow.plans.prepare import numbered, shard_table, with_content_hash
 from taxaflow.plans.run import label
 from taxaflow.schemas import PREDICTION
@@ -100,6 +100,14 @@ def test_committed_ids_stay_in_place(spark, stored):
     assert schema.strip() == "struct<sample_id:string>"
 
 
+def test_the_taxonomy_is_broadcast_by_its_known_size(spark, stored):
+    logits = stored("logits", "sample_id string, logits array<float>")
+    text = plan(exact_rank(logits, HEAD, taxonomy_table(spark, HEAD)))
+    assert "BroadcastHashJoin" in text and text.count("Exchange hashpartitioning") == 1
+    # Both steps of the long form share that one exchange.
+    assert plan(decode_long(exact_rank(logits, HEAD, taxonomy_table(spark, HEAD)))).count("Exchange hashpartitioning") == 1
+
+
 def test_counting_combines_before_the_shuffle(spark, stored):
     keys = stored("keys", "k string, sha string, n bigint")
     for text in (plan(duplicate_keys(keys, ["k"])), plan(content_digest(keys, ["k"], "sha", "n"))):
