@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from taxaflow.llm.common import table
 from taxaflow.llm.decontamination import contamination_digest
+from taxaflow.llm.minhash import near_duplicates
 from taxaflow.llm.mixing import mix_digest
 from taxaflow.llm.neighbours import nearest
 from taxaflow.llm.pii import personal_data_digest
@@ -55,3 +56,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_pii")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op3_minhash")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), width=2, threshold=0.8)

@@ -27,20 +27,22 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values
 
 
-def powers(count: int) -> np.ndarray:
-    """MULTIPLIER ** 0 .. count - 1, modulo 2 ** 64."""
-    out = np.full(max(count, 1), MULTIPLIER, np.uint64)
+INVERSE = np.uint64(pow(int(MULTIPLIER), -1, 1 << 64))
+
+
+def powers(base: np.uint64, count: int) -> np.ndarray:
+    """base ** 0 .. count - 1, modulo 2 ** 64."""
+    out = np.full(max(count, 1), base, np.uint64)
     out[0] = 1
     return np.multiply.accumulate(out)
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of data[start:end] for each span, by polynomial prefix sums."""
-    power = powers(len(data) + 1)
     prefix = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(mix(np.arange(256, dtype=np.uint64))[data] * power[:-1], out=prefix[1:])
-    # Sums with rising powers: scale each span as if it began at the end of the buffer.
-    raw = (prefix[ends] - prefix[starts]) * power[len(data) - starts]
+    np.cumsum(mix(np.arange(256, dtype=np.uint64))[data] * powers(MULTIPLIER, len(data)), out=prefix[1:])
+    # Powers rise along the buffer: scale each span as if it began at its start.
+    raw = (prefix[ends] - prefix[starts]) * powers(INVERSE, len(data) + 1)[starts]
     return mix(raw ^ mix((ends - starts).astype(np.uint64)))
 
 
