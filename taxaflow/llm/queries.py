@@ -12,6 +12,7 @@ from taxaflow.llm.neighbours import nearest
 from taxaflow.llm.pii import personal_data_digest
 from taxaflow.llm.registry import query
 from taxaflow.llm.secret_scan import fit_formats, secret_digest
+from taxaflow.llm.suffix_dedup import repeat_digest
 from taxaflow.llm.token_counts import token_count_table
 from taxaflow.llm.toxicity import toxicity_digest
 from taxaflow.llm.url_filters import url_verdicts
@@ -61,3 +62,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_minhash")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=2, threshold=0.8)
+
+
+@query("op2_suffix_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digest(table(spark, sf_dir, "documents"))
