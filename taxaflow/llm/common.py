@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from taxaflow.session import shared_dir
 
-PIECE_BYTES = 1 << 21  # text handled by one pass of array code inside a task
+PIECE_BYTES = 1 << 18  # text handled by one pass of array code inside a task
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
