@@ -304,7 +304,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     dealt = texts.withColumn("chunk", F.pmod(F.xxhash64("doc", "mark"), F.lit(chunks)).cast("int"))
 
     digests = stored(dealt.select("chunk", "doc", "mark", F.md5(F.col("text").cast("binary")).alias("digest")), "digests")
-    firsts = digests.groupBy("digest").agg(F.min("doc").alias("first"), F.count("*").alias("n")).where("n > 1")
+    firsts = stored(digests.groupBy("digest").agg(F.min("doc").alias("first"), F.count("*").alias("n")).where("n > 1"), "firsts")
     copies = digests.join(firsts, "digest").where("doc > first").select("chunk", F.lit(0).alias("bucket"), F.lit(COPY).alias("kind"), F.lit(None).cast("binary").alias("data"), "doc", "mark")
     copies = stored(copies.distinct(), "copies")
 
