@@ -5,8 +5,8 @@ Documents with equal shingle sets form a class; only classes are compared.  A cl
 COORDINATES - MATCHES + 1 rarest values of both (prefix filter); more frequent lists are skipped and only
 counted by comparing whole signatures.  Candidates with enough agreements are confirmed on full sets.
 
-Only components are asked for, so a list is not expanded into all pairs: first every member is compared with
-pivots of its lists; then, where a list still spans several components, members outside its largest component are
+Only components are asked for, so a list is not expanded into all pairs: in some rounds every member is compared
+with pivots of its lists that stand in other components; then, where a list still spans several components, members outside its largest component are
 compared with all members of other components.  No pair that could join two components is left out.
 
 A text without words has an empty set and is linked with nothing; NULL is such a text.  Rows of one doc_id are one
@@ -29,7 +29,8 @@ from taxaflow.llm.wordsets import mix, shingle_sets
 
 COORDINATES = 64
 MISSED = 1e-6  # most probability that a pair exactly at the threshold agrees in too few coordinates
-PIVOTS = 2  # pivots a class is compared with at first, most alike ones first
+PIVOTS = 2  # pivots a class is compared with in a round, most alike ones first
+ROUNDS = 4  # rounds of pivots before what is left is compared in full
 
 _FACTORS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64)) | np.uint64(1)
 _MASKS = mix(np.arange(101, COORDINATES + 101, dtype=np.uint64))
@@ -138,19 +139,33 @@ def _ordered(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _first_pairs(postings: DataFrame, classes: DataFrame, needed: int) -> DataFrame:
-    """Every class with the pivots of its lists that are most alike; a list's pivot is its first member by hash."""
-    pivots = postings.groupBy("token").agg(F.min_by("rep", F.xxhash64("rep", "token")).alias("pivot"), F.count("*").alias("members")).where("members > 1")
-    pairs = postings.join(pivots, "token").where("rep <> pivot").select("rep", "pivot").distinct()
+def _round_of_pairs(members: DataFrame, compared: DataFrame | None, classes: DataFrame, needed: int, seed: int) -> DataFrame:
+    """Classes with the most alike pivots of their lists, where the pivot stands in another component.
+
+    A list's pivot is its first member by a hash that differs from round to round.
+    """
+    pivots = members.groupBy("token").agg(F.min_by(F.struct("rep", "component"), F.xxhash64("rep", "token", F.lit(seed))).alias("pivot"), F.count("*").alias("n")).where("n > 1")
+    met = members.join(pivots.select("token", "pivot"), "token").where("component <> pivot.component")
+    pairs = met.select("rep", F.col("pivot.rep").alias("pivot")).distinct()
+    if compared is not None:
+        known = compared.select(F.col("a").alias("rep"), F.col("b").alias("pivot"))
+        pairs = pairs.join(known.unionAll(known.select(F.col("pivot").alias("rep"), F.col("rep").alias("pivot"))), ["rep", "pivot"], "left_anti")
     agreeing = _agreeing(pairs.select(F.col("pivot").alias("a"), F.col("rep").alias("b")), classes, needed)
     best = Window.partitionBy("b").orderBy(F.col("agree").desc(), "a")
     return agreeing.withColumn("place", F.row_number().over(best)).where(F.col("place") <= PIVOTS).select(*_ordered("a", "b")).distinct()
 
 
-def _open_pairs(postings: DataFrame, components: DataFrame, compared: DataFrame) -> DataFrame:
+def _members(postings: DataFrame, components: DataFrame | None) -> DataFrame:
+    """(token, rep, component) of the members of lists that span several components."""
+    if components is None:
+        return postings.select("token", "rep", F.col("rep").alias("component"))
+    placed = postings.join(components.select(F.col("node").alias("rep"), "component"), "rep", "left").select("token", "rep", F.coalesce("component", "rep").alias("component"))
+    spanning = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
+    return stored(placed.join(spanning, "token"), "members")
+
+
+def _open_pairs(members: DataFrame, compared: DataFrame) -> DataFrame:
     """Pairs of list members that stand in different components and have not been compared."""
-    members = postings.join(components.select(F.col("node").alias("rep"), "component"), "rep", "left").select("token", "rep", F.coalesce("component", "rep").alias("component"))
-    members = stored(members, "members")
     groups = members.groupBy("token", "component").agg(F.count("*").alias("n"))
     lists = groups.groupBy("token").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
     spanning = members.join(lists.select("token", "main"), "token")
@@ -172,12 +187,20 @@ def near_duplicates(docs: DataFrame, width: int = 2, threshold: float = 0.8) ->
     # Rows of one doc_id with different sets tie their classes together.
     tied = usable.select("doc_id", "f1", "f2").join(classes.select("f1", "f2", "rep"), ["f1", "f2"]).groupBy("doc_id").agg(F.min("rep").alias("a"), F.collect_set("rep").alias("reps"))
     tied = tied.where(F.size("reps") > 1).select("a", F.explode("reps").alias("b")).where("a <> b")
-    compared = stored(_first_pairs(postings, classes, needed), "pairs")
-    links = stored(_confirmed(compared, docs, width, percent).unionAll(tied), "links")
-    components = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    left = stored(_agreeing(_open_pairs(postings, components, compared), classes, needed).select("a", "b"), "pairs")
+    links, compared, components = stored(tied, "links"), None, None
+    for number in range(ROUNDS):
+        members = _members(postings, components)
+        pairs = stored(_round_of_pairs(members, compared, classes, needed, number), "pairs")
+        more = stored(_confirmed(pairs, docs, width, percent), "links")
+        compared = pairs if compared is None else compared.unionAll(pairs)
+        links = links.unionAll(more)
+        components = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        if more.isEmpty():
+            break
+    left = stored(_agreeing(_open_pairs(_members(postings, components), compared), classes, needed).select("a", "b"), "pairs")
     more = stored(_confirmed(left, docs, width, percent), "links")
-    components = connected_components(links.unionAll(more).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    if not more.isEmpty():
+        components = connected_components(links.unionAll(more).select(F.col("a").alias("u"), F.col("b").alias("v")))
     found = classes.select("f1", "f2", "rep").join(components, classes["rep"] == components["node"], "left").select("f1", "f2", F.coalesce("component", "rep").alias("component"))
     joined = rows.select("doc_id", "n", "f1", "f2").join(found, ["f1", "f2"], "left")
     component = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
