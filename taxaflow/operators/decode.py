@@ -48,7 +48,8 @@ def selected(scores: Column, names: list[str], threshold: float) -> Column:
     """``struct(code, score, idx)`` of every score at or above the threshold, in contract order."""
     positions = F.sequence(F.lit(0), F.lit(len(names) - 1))
     codes = _names(names)
-    passed = F.filter(positions, lambda i: F.get(scores, i).cast("double") >= F.lit(threshold))
+    # NaN is Spark's largest value, but passes no threshold.
+    passed = F.filter(positions, lambda i: (F.get(scores, i).cast("double") >= F.lit(threshold)) & ~F.isnan(F.get(scores, i)))
     return F.transform(
         passed,
         lambda i: F.struct(F.get(codes, i).alias("code"), F.get(scores, i).cast("double").alias("score"), i.alias("idx")),
@@ -223,7 +224,7 @@ def exact_rank(df: DataFrame, contract: HeadContract, taxonomy: DataFrame, *, ke
     Only passing codes are unfolded.  Rank groups are bounded by the codes of a
     root, however many documents there are.
     """
-    values = F.col(logits)
+    values = checked_logits(F.col(logits), contract)
     roots = once(values, lambda v: _codes(selected_from_logits(v, 0, contract.roots, root_threshold)))
     entries = once(values, lambda v: selected_from_logits(v, contract.exact_offset, contract.exact, exact_threshold))
     passing = unfold(df, [key, roots.alias("roots")], entries, "e").select(key, "roots", "e.idx", "e.score")
@@ -278,11 +279,14 @@ def register_decode_function(spark: SparkSession, contract: HeadContract, name:
         f"aggregate({gated}, cast(array() as {entry_type}), "
         f"(acc, c) -> if(exists(acc, k -> {related}), acc, array_append(acc, c)))"
     )
+    finite = "forall(l, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity'))"
+    problem = f"cast(raise_error('Expected {contract.width} finite logits per document') AS array<float>)"
+    guarded = f"if(size(l) = {contract.width} AND {finite}, l, {problem})"
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {name}(l ARRAY<FLOAT>)
         RETURNS TABLE(kind STRING, code STRING, score DOUBLE)
         RETURN SELECT m.kind, m.e.code, m.e.score FROM (
-            SELECT explode_outer(get(transform(array(l), v -> concat(
+            SELECT explode_outer(get(transform(array({guarded}), v -> concat(
                 transform({root_rows}, x -> named_struct('kind', 'root', 'e', x)),
                 transform({kept}, x -> named_struct('kind', 'exact', 'e', x)))), 0)) AS m) WHERE m.kind IS NOT NULL
     """)

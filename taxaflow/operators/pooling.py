@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Wider vectors are unfolded instead of getting one aggregate per dimension.
-MAX_WIDE_SUMS = 256
-
 
 def last_pool(tokens: DataFrame, *, key: str, position: str = "pos", token: str = "token_id", vector: str = "vec",
               pad: int | None = None) -> DataFrame:
@@ -24,20 +21,19 @@ def last_pool(tokens: DataFrame, *, key: str, position: str = "pos", token: str
 
 
 def mean_pool(tokens: DataFrame, dim: int, *, key: str, mask: str = "mask", vector: str = "vec") -> DataFrame:
-    """Mean of the unmasked vectors.  A document without unmasked token stops the query.
+    """Mean of the unmasked vectors.
+
+    A document without unmasked token stops the query, and so does an unmasked vector that is not ``dim`` numbers.
 
     Sums are combined on the map side, so a document that owns a third of all
     tokens reaches the reducer as one partial row per task.
     """
     present = F.col(mask)
-    if dim <= MAX_WIDE_SUMS:
-        sums = [F.sum(F.when(present, F.get(vector, F.lit(i)).cast("double"))).alias(f"s{i}") for i in range(dim)]
-        totals = tokens.groupBy(key).agg(F.count(F.when(present, 1)).alias("n"), *sums)
-        values = F.array(*[F.col(f"s{i}") / F.col("n") for i in range(dim)])
-        guarded = F.when(F.col("n") > 0, values).otherwise(F.raise_error(F.lit("A document has no unmasked token")))
-        return totals.select(key, guarded.cast("array<float>").alias("pooled"))
-    unfolded = tokens.select(key, present.alias("present"), F.posexplode(vector).alias("dim", "x"))
-    means = unfolded.groupBy(key, "dim").agg(F.avg(F.when(F.col("present"), F.col("x").cast("double"))).alias("mean"))
+    fits = (F.size(vector) == dim) & ~F.exists(vector, lambda x: x.isNull())
+    checked = F.when(fits, F.col(vector)).otherwise(F.raise_error(F.lit(f"A token vector is not {dim} numbers")))
+    values = F.when(present, checked).otherwise(F.array_repeat(F.lit(None).cast("double"), dim))
+    unfolded = tokens.select(key, F.posexplode(values).alias("dim", "x"))
+    means = unfolded.groupBy(key, "dim").agg(F.avg(F.col("x").cast("double")).alias("mean"))
     listed = means.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("dim", "mean"))).alias("m"))
     filled = F.when(F.forall("m", lambda s: s["mean"].isNotNull()), F.transform("m", lambda s: s["mean"]))
     guarded = F.coalesce(filled, F.raise_error(F.lit("A document has no unmasked token")))

@@ -109,9 +109,11 @@ def taxonomy_table(spark: SparkSession, contract: HeadContract, catalog: DataFra
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     """Code catalog (JSON map of code to ``label, parent, prompt_definition``) as rows."""
     entry = "struct<label: string, parent: string, prompt_definition: string>"
+    codes = F.from_json("value", f"map<string, {entry}>")
+    listed = F.when(codes.isNotNull(), codes).otherwise(F.raise_error(F.lit(f"Not a code catalog: {path}")))
     return (
         spark.read.text(path, wholetext=True)
-        .select(F.explode(F.from_json("value", f"map<string, {entry}>")).alias("code", "entry"))
+        .select(F.explode(listed).alias("code", "entry"))
         .select("code", "entry.parent", "entry.label", F.col("entry.prompt_definition").alias("definition"))
     )
 

@@ -29,7 +29,10 @@ def write_exports(predictions: DataFrame, output: str) -> dict[str, int]:
 
 def write_prediction_lines(predictions: DataFrame, path: str) -> None:
     """Predictions as JSON lines, one record per document."""
-    predictions.write.option("ignoreNullFields", "false").json(path)
+    # The locator is JSON text already: it goes into the record as it is.
+    others = F.struct(*[c for c in predictions.columns if c != "source_locator"])
+    locator = F.coalesce("source_locator", F.lit("null"))
+    predictions.select(F.concat(F.regexp_replace(F.to_json(others, {"ignoreNullFields": "false"}), r"\}$", ""), F.lit(',"source_locator":'), locator, F.lit("}"))).write.text(path)
 
 
 def dangling_memberships(memberships: DataFrame, documents: DataFrame) -> DataFrame:

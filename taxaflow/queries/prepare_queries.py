@@ -261,11 +261,11 @@ def duplicate_texts(spark, sf_dir):
 
 @query("repeated_ids", """
 SELECT DISTINCT conv_id::VARCHAR AS sample_id FROM conversations c
-WHERE turn = 0 AND (EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = c.conv_id)
-    OR (SELECT count(*) FROM conversations x WHERE x.turn = 0 AND x.conv_id = c.conv_id) > 1)""")
+WHERE EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = c.conv_id)
+    OR (SELECT count(*) FROM conversations x WHERE x.conv_id = c.conv_id) > 1""")
 def repeated(spark, sf_dir):
     """IDs of a new batch that are doubled or were committed before."""
-    batch = table(spark, sf_dir, "conversations").where("turn = 0").select(F.col("conv_id").cast("string").alias("sample_id"))
+    batch = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("sample_id"))
     committed = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("sample_id"))
     return repeated_ids(batch, committed)
 

@@ -135,10 +135,12 @@ def read_prediction_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    """``files`` map of a JSON registry as rows ``path, bytes, sha256``."""
+    """``files`` map of a JSON registry as rows ``path, bytes, sha256``.  A malformed registry stops the query."""
     entry = "struct<bytes: bigint, sha256: string>"
+    files = F.from_json("value", f"struct<files: map<string, {entry}>>")["files"]
+    listed = F.when(files.isNotNull(), files).otherwise(F.raise_error(F.lit(f"Not a registry: {path}")))
     return (
         spark.read.text(path, wholetext=True)
-        .select(F.explode(F.from_json("value", f"struct<files: map<string, {entry}>>")["files"]).alias("path", "entry"))
+        .select(F.explode(listed).alias("path", "entry"))
         .select("path", "entry.bytes", "entry.sha256")
     )

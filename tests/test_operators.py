@@ -245,16 +245,16 @@ def test_pooling(spark):
     assert end[0] == pytest.approx(list(vectors[0, 4]))
     some = frame.where("doc <> 1").withColumn("mask", F.col("token_id") != 0)
     want = {d: np.mean([vectors[d, p] for p, t in enumerate(ids) if t], axis=0) for d, ids in docs.items() if any(ids)}
-    import taxaflow.operators.pooling as pooling
-    for limit in (256, 1):
-        pooling.MAX_WIDE_SUMS, old = limit, pooling.MAX_WIDE_SUMS
-        try:
-            mean = {r["doc"]: r["pooled"] for r in mean_pool(some, 4, key="doc").collect()}
-            with pytest.raises(Exception, match="no unmasked token"):
-                mean_pool(frame.withColumn("mask", F.col("token_id") != 0), 4, key="doc").collect()
-        finally:
-            pooling.MAX_WIDE_SUMS = old
-        assert set(mean) == set(want) and all(mean[d] == pytest.approx(list(want[d]), abs=1e-6) for d in want)
+    mean = {r["doc"]: r["pooled"] for r in mean_pool(some, 4, key="doc").collect()}
+    assert set(mean) == set(want) and all(mean[d] == pytest.approx(list(want[d]), abs=1e-6) for d in want)
+    with pytest.raises(Exception, match="no unmasked token"):
+        mean_pool(frame.withColumn("mask", F.col("token_id") != 0), 4, key="doc").collect()
+    for dim in (3, 5):
+        with pytest.raises(Exception, match="is not"):
+            mean_pool(some, dim, key="doc").collect()
+    holes = some.withColumn("vec", F.transform("vec", lambda x, i: F.when(i > 0, x)))
+    with pytest.raises(Exception, match="is not"):
+        mean_pool(holes, 4, key="doc").collect()
 
 
 def test_safe_paths(spark):
@@ -339,7 +339,8 @@ def test_prediction_lines_round_trip(spark, tmp_path):
     assert by_id["a"]["source_locator"] == '{"z": 1, "a": "x,y"}' and by_id["b"]["source_locator"] == '"plain"'
     assert by_id["a"]["exact_probabilities"] == {"S.A": 0.96} and by_id["b"]["auxiliary_primary"] is None
     write_prediction_lines(got, str(tmp_path / "out"))
-    assert spark.read.json(str(tmp_path / "out")).count() == 2
+    again = {r["sample_id"]: r.asDict() for r in read_prediction_lines(spark, str(tmp_path / "out")).collect()}
+    assert again == {k: r.asDict() for k, r in by_id.items()}
     path.write_text('{"sample_id": "a"} trailing\n')
     with pytest.raises(Exception, match="Malformed prediction"):
         read_prediction_lines(spark, str(path)).collect()
