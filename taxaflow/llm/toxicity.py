@@ -128,8 +128,15 @@ def _terms(folded: str) -> set[str]:
     return out
 
 
-def _term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _small_batches(batches: Iterator[pd.DataFrame], rows: int = 200) -> Iterator[pd.DataFrame]:
+    """Rows of Arrow batches, few at a time, so that counts of terms stay small in a worker."""
     for batch in batches:
+        for begin in range(0, len(batch), rows):
+            yield batch.iloc[begin:begin + rows]
+
+
+def _term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in _small_batches(batches):
         counts: dict[tuple[str, int], int] = Counter()
         for value, label in zip(batch["text"], batch["label"], strict=True):
             counts.update((t, int(label)) for t in _terms(fold(as_text(value))))
@@ -172,7 +179,7 @@ def _exceptions(sample: DataFrame, entries: dict[str, float]) -> list[str]:
 
     def phrases(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = shared_value(heads)
-        for batch in batches:
+        for batch in _small_batches(batches):
             counts: Counter = Counter()
             for value, label in zip(batch["text"], batch["label"], strict=True):
                 words = fold(as_text(value)).split()
