@@ -1,9 +1,11 @@
 """MinHash near-duplicates: an inverted join over the coordinates of signatures.
 
-Documents with equal shingle sets form a class; only classes are compared.  A class is posted under its
-(coordinate, value) pairs.  A linked pair agrees in at least MATCHES of COORDINATES values, so it shares one of the
-COORDINATES - MATCHES + 1 rarest values of both (prefix filter); more frequent lists are skipped and only
-counted by comparing whole signatures.  Candidates with enough agreements are confirmed on full sets.
+Documents with equal shingle sets form a class; only classes are compared.  Neighbouring coordinates of a signature
+are taken together as one wider coordinate, and a class is posted under its (coordinate, value) pairs.  A linked
+pair agrees in ``needed`` of COORDINATES values but for one case in 1 / MISSED; the values that differ spoil one
+wide coordinate each, so some wide ones agree still, and one of them is among the rarest values of both (prefix
+filter).  More frequent lists are skipped and only counted by comparing whole signatures.  Candidates with
+enough agreements are confirmed on full sets.
 
 Only components are asked for, so a list is not expanded into all pairs: in some rounds every member is compared
 with pivots of its lists that stand in other components; then, where a list still spans several components, members outside its largest component are
@@ -104,15 +106,31 @@ def sketch_documents(docs: DataFrame, width: int) -> DataFrame:
     return sketched.select("doc_id", "s.n", "s.f1", "s.f2", "s.sig")
 
 
+def wide_coordinates(needed: int, coordinates: int = COORDINATES) -> tuple[int, int, int]:
+    """(coordinates in one, wide coordinates, how many of them agree at least), the widest that is sure to agree.
+
+    Each of the ``coordinates - needed`` values that may differ spoils one wide coordinate.
+    """
+    for width in range(coordinates, 0, -1):
+        count = -(-coordinates // width)
+        if (agree := count - (coordinates - needed)) > 0:
+            return width, count, agree
+    raise ValueError("needed must be between 1 and the number of coordinates")
+
+
 def prefix_postings(classes: DataFrame, needed: int) -> DataFrame:
-    """(rep, token): the rarest values of each class, as far as another class has them too."""
-    token = F.shiftleft(F.col("k").cast("bigint"), 32).bitwiseOR(F.col("value").cast("bigint").bitwiseAND(F.lit((1 << 32) - 1)))
-    posts = classes.select("rep", F.posexplode("sig").alias("k", "value")).select("rep", token.alias("token"))
+    """(rep, token): the rarest wide values of each class, as far as another class has them too.
+
+    Tokens are hashes of coordinate and value; two that meet by chance only add a candidate.
+    """
+    width, count, agree = wide_coordinates(needed)
+    tokens = F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda k: F.xxhash64(k, F.slice("sig", k * width + 1, F.lit(width))))
+    posts = classes.select("rep", F.explode(tokens).alias("token"))
     shared = posts.groupBy("token").agg(F.count("*").alias("members")).where("members > 1")
     listed = posts.join(shared, "token")
     own = Window.partitionBy("rep")
     # Values that no other class has are the rarest of all: they fill the prefix first.
-    room = COORDINATES - needed + 1 - (COORDINATES - F.count("*").over(own))
+    room = count - agree + 1 - (count - F.count("*").over(own))
     ranked = listed.withColumns({"room": room, "place": F.row_number().over(own.orderBy("members", "token"))})
     return ranked.where("place <= room").select("rep", "token")
 
