@@ -72,7 +72,8 @@ def read_records(
             scanned = scanned.repartition(spread, F.floor(F.col("seq") / RUN_LINES))
         parts.append(fields_from_lines(scanned, id_field, text_field))
     if tables:
-        raw = spark.read.parquet(*tables)
+        # Files may differ in columns: every file keeps its own, clashing types stop the read.
+        raw = spark.read.option("mergeSchema", "true").parquet(*tables)
         located = raw.select(
             "*",
             F.col("_metadata.file_path").alias("file_path"),
