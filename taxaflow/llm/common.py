@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +44,18 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
+    """Send fewer rows at once to Python stages that run inside, so that long texts need little memory there."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def pieces(sizes: list[int], limit: int = PIECE_BYTES) -> Iterator[slice]:
     """Slices of rows whose sizes add up to about ``limit``, one row at least."""
     begin, total = 0, 0

@@ -1,15 +1,16 @@
 """MinHash near-duplicates: an inverted join over the coordinates of signatures.
 
-Documents with equal shingle sets form a class; only classes are compared.  Neighbouring coordinates of a signature
-are taken together as one wider coordinate, and a class is posted under its (coordinate, value) pairs.  A linked
-pair agrees in ``needed`` of COORDINATES values but for one case in 1 / MISSED; the values that differ spoil one
-wide coordinate each, so some wide ones agree still, and one of them is among the rarest values of both (prefix
-filter).  More frequent lists are skipped and only counted by comparing whole signatures.  Candidates with
-enough agreements are confirmed on full sets.
-
-Only components are asked for, so a list is not expanded into all pairs: in some rounds every member is compared
-with pivots of its lists that stand in other components; then, where a list still spans several components, members outside its largest component are
-compared with all members of other components.  No pair that could join two components is left out.
+Documents with equal shingle sets form a class; only classes are compared.  A coordinate is made of ROWS min-hashes.
+A class is posted under its (coordinate, value) pairs; a linked pair collides in SHARED of COORDINATES values at
+least, but for one case in a million, so the most frequent values of a class need no posting (prefix filter) and
+only lists with two members or more are read (skip merging).  Where two classes meet, their collisions are counted
+on whole signatures: SHARED coordinates and ``needed`` single min-hashes must agree.  What is left is confirmed
+on full sets.
+
+Only components are asked for, so a list is not expanded into all pairs.  In ROUNDS rounds every member is compared
+with pivots of its lists that stand in other components.  Lists that span several components then are cut into
+blocks of BLOCK members by size of set, and blocks are compared with array code.  Left out are only pairs within one
+component, pairs of sets whose sizes alone rule out a link, and pairs that meet in an earlier list too.
 
 A text without words has an empty set and is linked with nothing; NULL is such a text.  Rows of one doc_id are one
 document.  Rows without doc_id are linked with nothing, have no component_id, and are kept.
@@ -18,27 +19,34 @@ document.  Rows without doc_id are linked with nothing, have no component_id, an
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import IntegerType
 
-from taxaflow.llm.common import as_text, pieces, stored, text_or_empty
+from taxaflow.llm.common import PIECE_BYTES, as_text, pieces, small_batches, stored, text_or_empty
 from taxaflow.llm.components import connected_components
 from taxaflow.llm.wordsets import mix, shingle_sets
 
-COORDINATES = 64
-MISSED = 1e-6  # most probability that a pair exactly at the threshold agrees in too few coordinates
+COORDINATES = 32
+ROWS = 4  # min-hashes in one coordinate
+SHARED = 2  # coordinates that a pair must share
+MISSED = 1e-6  # most probability that a pair exactly at the threshold agrees in too few min-hashes
 PIVOTS = 2  # pivots a class is compared with in a round, most alike ones first
-ROUNDS = 4  # rounds of pivots before what is left is compared in full
+ROUNDS = 2  # rounds of pivots before what is left is compared in full
+BLOCK = 256  # members of a list that are compared at once with as many others
 
-_FACTORS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64)) | np.uint64(1)
-_MASKS = mix(np.arange(101, COORDINATES + 101, dtype=np.uint64))
+_MIN_HASHES = COORDINATES * ROWS
+_FACTORS = mix(np.arange(1, _MIN_HASHES + 1, dtype=np.uint64)) | np.uint64(1)
+_MASKS = mix(np.arange(1001, _MIN_HASHES + 1001, dtype=np.uint64))
 
 
-def matches_needed(similarity: float, coordinates: int = COORDINATES, missed: float = MISSED) -> int:
+def matches_needed(similarity: float, coordinates: int = _MIN_HASHES, missed: float = MISSED) -> int:
     """The largest number of agreements that a pair of this similarity reaches but for ``missed``."""
     below = 0.0
     for count in range(coordinates + 1):
@@ -48,11 +56,13 @@ def matches_needed(similarity: float, coordinates: int = COORDINATES, missed: fl
     return coordinates
 
 
-def signatures(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Set sizes, two 64-bit sums that tell sets apart, and signatures; row i is text i."""
+def signatures(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Set sizes, two 64-bit sums that tell sets apart, a token for each coordinate's value, and one byte for each
+    min-hash; row i is text i.  The lowest bits of a token are its coordinate."""
     sizes = np.zeros(len(texts), np.int64)
     sums = np.zeros((len(texts), 2), np.uint64)
-    values = np.zeros((len(texts), COORDINATES), np.uint32)
+    tokens = np.zeros((len(texts), COORDINATES), np.uint64)
+    marks = np.zeros((len(texts), _MIN_HASHES), np.uint8)
     for part in pieces([len(t) for t in texts]):
         hashes, counts = shingle_sets(texts[part], width)
         sizes[part] = counts
@@ -62,33 +72,71 @@ def signatures(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray, np
         begin = (np.cumsum(counts) - counts)[counts > 0]
         for k, seed in enumerate((0x5851F42D4C957F2D, 0x14057B7EF767814F)):
             sums[rows, k] = np.add.reduceat(mix(hashes ^ np.uint64(seed)), begin)
-        for k in range(COORDINATES):
-            values[rows, k] = np.minimum.reduceat((hashes ^ _MASKS[k]) * _FACTORS[k], begin) >> np.uint64(32)
-    return sizes, sums, values
+        for k in range(_MIN_HASHES):
+            least = mix(np.minimum.reduceat((hashes ^ _MASKS[k]) * _FACTORS[k], begin))
+            tokens[rows, k // ROWS] = mix(tokens[rows, k // ROWS] ^ least)
+            marks[rows, k] = least >> np.uint64(56)
+    return sizes, sums, (tokens & ~np.uint64(COORDINATES - 1)) | np.arange(COORDINATES, dtype=np.uint64), marks
 
 
 def _sketcher(width: int):
-    @pandas_udf("struct<n:bigint,f1:bigint,f2:bigint,sig:array<int>>")
+    @pandas_udf("struct<n:bigint,f1:bigint,f2:bigint,tokens:array<bigint>,sig:binary>")
     def sketch(texts: pd.Series) -> pd.DataFrame:
-        sizes, sums, values = signatures([as_text(t) for t in texts], width)
-        return pd.DataFrame({"n": sizes, "f1": sums[:, 0].view(np.int64), "f2": sums[:, 1].view(np.int64), "sig": list(values.view(np.int32))})
+        sizes, sums, tokens, marks = signatures([as_text(t) for t in texts], width)
+        return pd.DataFrame({"n": sizes, "f1": sums[:, 0].view(np.int64), "f2": sums[:, 1].view(np.int64), "tokens": list(tokens.view(np.int64)), "sig": [m.tobytes() for m in marks]})
 
     return sketch
 
 
+def _common(sets: list[np.ndarray], first: list[int], second: list[int]) -> np.ndarray:
+    """Size of the intersection of sets[first[i]] and sets[second[i]], for each i; each element is numbered once."""
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    numbers = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    start = np.cumsum(sizes) - sizes
+    marked = np.zeros(sizes.sum() + 1, bool)
+    a, b = np.array(first), np.array(second)
+    order = np.argsort(b, kind="stable")
+    out = np.zeros(len(a), np.int64)
+    for rows in np.split(order, np.flatnonzero(np.diff(b[order])) + 1):
+        own = slice(start[b[rows[0]]], start[b[rows[0]]] + sizes[b[rows[0]]])
+        marked[numbers[own]] = True
+        for part in pieces(sizes[a[rows]].tolist()):
+            asked = a[rows[part]]
+            ends = np.cumsum(sizes[asked])
+            at = np.arange(ends[-1]) + np.repeat(start[asked] - ends + sizes[asked], sizes[asked])
+            found = np.concatenate([[0], np.cumsum(marked[numbers[at]])])
+            out[rows[part]] = found[ends] - found[ends - sizes[asked]]
+        marked[numbers[own]] = False
+    return out
+
+
+def _distinct_texts(first: list[str], second: list[str]) -> Iterator[tuple[slice, dict[str, int]]]:
+    """Slices of pairs with their distinct texts, numbered, of some PIECE_BYTES in all or one pair at least."""
+    begin, numbers, size = 0, {}, 0
+    for i, pair in enumerate(zip(first, second, strict=True)):
+        if numbers and size > 8 * PIECE_BYTES:
+            yield slice(begin, i), numbers
+            begin, numbers, size = i, {}, 0
+        for text in pair:
+            if text not in numbers:
+                numbers[text] = len(numbers)
+                size += len(text)
+    if numbers:
+        yield slice(begin, len(first)), numbers
+
+
 def linked(first: list[str], second: list[str], width: int, percent: int) -> np.ndarray:
     """Whether the full sets of each pair of texts reach the similarity."""
     out = np.zeros(len(first), bool)
-    for part in pieces([len(a) + len(b) for a, b in zip(first, second, strict=True)]):
-        a, n_a = shingle_sets(first[part], width)
-        b, n_b = shingle_sets(second[part], width)
-        owner = np.concatenate([np.repeat(np.arange(len(n_a)), n_a), np.repeat(np.arange(len(n_b)), n_b)])
-        both = np.concatenate([a, b])
-        order = np.lexsort((both, owner))
-        both, owner = both[order], owner[order]
-        same = (both[1:] == both[:-1]) & (owner[1:] == owner[:-1])
-        common = np.bincount(owner[1:][same], minlength=len(n_a))
-        out[part] = (common > 0) & (100 * common >= percent * (n_a + n_b - common))
+    for part, numbers in _distinct_texts(first, second):
+        texts, sets = list(numbers), []
+        for some in pieces([len(t) for t in texts]):
+            hashes, counts = shingle_sets(texts[some], width)
+            sets += np.split(hashes, np.cumsum(counts)[:-1])
+        a, b = [numbers[t] for t in first[part]], [numbers[t] for t in second[part]]
+        common = _common(sets, a, b)
+        union = np.array([len(sets[i]) + len(sets[j]) for i, j in zip(a, b, strict=True)]) - common
+        out[part] = (common > 0) & (100 * common >= percent * union)
     return out
 
 
@@ -101,46 +149,45 @@ def _confirmer(width: int, percent: int):
 
 
 def sketch_documents(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n, f1, f2, sig) of each row."""
+    """(doc_id, n, f1, f2, tokens, sig) of each row."""
     sketched = docs.select("doc_id", _sketcher(width)(text_or_empty("text")).alias("s"))
-    return sketched.select("doc_id", "s.n", "s.f1", "s.f2", "s.sig")
+    return sketched.select("doc_id", "s.n", "s.f1", "s.f2", "s.tokens", "s.sig")
 
 
-def wide_coordinates(needed: int, coordinates: int = COORDINATES) -> tuple[int, int, int]:
-    """(coordinates in one, wide coordinates, how many of them agree at least), the widest that is sure to agree.
+def prefix_postings(classes: DataFrame, percent: int) -> DataFrame:
+    """(rep, f1, band, posted, token): the rarest values of each class, as far as another class has them too.
 
-    Each of the ``coordinates - needed`` values that may differ spoils one wide coordinate.
+    ``posted`` has a bit for each coordinate the class is posted under.  Sets whose sizes allow a link lie in one
+    band of sizes or in neighbouring ones.
     """
-    for width in range(coordinates, 0, -1):
-        count = -(-coordinates // width)
-        if (agree := count - (coordinates - needed)) > 0:
-            return width, count, agree
-    raise ValueError("needed must be between 1 and the number of coordinates")
+    posts = classes.select("rep", "f1", "n", F.explode("tokens").alias("token"))
+    shared = posts.groupBy("token").agg(F.count("*").alias("members")).where("members > 1")
+    own = posts.join(shared, "token").groupBy("rep", "f1", "n").agg(F.sort_array(F.collect_list(F.struct("members", "token"))).alias("own"))
+    # Values that no other class has are the rarest of all: they fill the prefix first.
+    room = F.size("own") - (SHARED - 1)
+    kept = own.where(room > 0).select("rep", "f1", "n", F.transform(F.slice("own", 1, room), lambda x: x["token"]).alias("tokens"))
+    posted = F.aggregate("tokens", F.lit(0).cast("bigint"), lambda bits, token: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), _coordinate(token))))
+    band = F.floor(F.log("n") / math.log(100 / percent * (1 + 1e-9))).cast("int")
+    return kept.select("rep", "f1", band.alias("band"), posted.alias("posted"), F.explode("tokens").alias("token"))
 
 
-def prefix_postings(classes: DataFrame, needed: int) -> DataFrame:
-    """(rep, token): the rarest wide values of each class, as far as another class has them too.
+def _coordinate(token: Column | str) -> Column:
+    return (F.col(token) if isinstance(token, str) else token).bitwiseAND(F.lit(COORDINATES - 1).cast("bigint")).cast("int")
 
-    Tokens are hashes of coordinate and value; two that meet by chance only add a candidate.
-    """
-    width, count, agree = wide_coordinates(needed)
-    tokens = F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda k: F.xxhash64(k, F.slice("sig", k * width + 1, F.lit(width))))
-    posts = classes.select("rep", F.explode(tokens).alias("token"))
-    shared = posts.groupBy("token").agg(F.count("*").alias("members")).where("members > 1")
-    listed = posts.join(shared, "token")
-    own = Window.partitionBy("rep")
-    # Values that no other class has are the rarest of all: they fill the prefix first.
-    room = count - agree + 1 - (count - F.count("*").over(own))
-    ranked = listed.withColumns({"room": room, "place": F.row_number().over(own.orderBy("members", "token"))})
-    return ranked.where("place <= room").select("rep", "token")
+
+@pandas_udf(IntegerType())
+def _agreements(first: pd.Series, second: pd.Series) -> pd.Series:
+    """Min-hashes that agree; 0 if fewer than SHARED coordinates do."""
+    a, b = (np.frombuffer(b"".join(x), np.uint8).reshape(len(x), COORDINATES, ROWS) for x in (first, second))
+    same = a == b
+    return pd.Series(np.where(same.all(2).sum(1) >= SHARED, same.sum((1, 2)), 0).astype(np.int32))
 
 
 def _agreeing(pairs: DataFrame, classes: DataFrame, needed: int) -> DataFrame:
     """Pairs (a, b) whose signatures agree often enough, with the number of agreements."""
     first = classes.select(F.col("rep").alias("a"), F.col("sig").alias("sig_a"))
     second = classes.select(F.col("rep").alias("b"), F.col("sig").alias("sig_b"))
-    agree = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
-    return pairs.join(first, "a").join(second, "b").select("a", "b", agree.alias("agree")).where(F.col("agree") >= needed)
+    return pairs.join(first, "a").join(second, "b").select("a", "b", _agreements("sig_a", "sig_b").alias("agree")).where(F.col("agree") >= needed)
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -160,10 +207,10 @@ def _ordered(a: str, b: str) -> list:
 def _round_of_pairs(members: DataFrame, compared: DataFrame | None, classes: DataFrame, needed: int, seed: int) -> DataFrame:
     """Classes with the most alike pivots of their lists, where the pivot stands in another component.
 
-    A list's pivot is its first member by a hash that differs from round to round.
+    Each band of sizes of a list has a pivot: its first member by a hash that differs from round to round.
     """
-    pivots = members.groupBy("token").agg(F.min_by(F.struct("rep", "component"), F.xxhash64("rep", "token", F.lit(seed))).alias("pivot"), F.count("*").alias("n")).where("n > 1")
-    met = members.join(pivots.select("token", "pivot"), "token").where("component <> pivot.component")
+    pivots = members.groupBy("token", "band").agg(F.min_by(F.struct("rep", "component"), F.xxhash64("rep", "token", F.lit(seed))).alias("pivot"), F.count("*").alias("n")).where("n > 1")
+    met = members.join(pivots.select("token", "band", "pivot"), ["token", "band"]).where("component <> pivot.component")
     pairs = met.select("rep", F.col("pivot.rep").alias("pivot")).distinct()
     if compared is not None:
         known = compared.select(F.col("a").alias("rep"), F.col("b").alias("pivot"))
@@ -174,34 +221,103 @@ def _round_of_pairs(members: DataFrame, compared: DataFrame | None, classes: Dat
 
 
 def _members(postings: DataFrame, components: DataFrame | None) -> DataFrame:
-    """(token, rep, component) of the members of lists that span several components."""
+    """The postings of lists that span several components, with the component of each member."""
     if components is None:
-        return postings.select("token", "rep", F.col("rep").alias("component"))
-    placed = postings.join(components.select(F.col("node").alias("rep"), "component"), "rep", "left").select("token", "rep", F.coalesce("component", "rep").alias("component"))
+        return postings.withColumn("component", F.col("rep"))
+    placed = postings.join(components.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     spanning = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
     return stored(placed.join(spanning, "token"), "members")
 
 
-def _open_pairs(members: DataFrame, compared: DataFrame) -> DataFrame:
-    """Pairs of list members that stand in different components and have not been compared."""
-    groups = members.groupBy("token", "component").agg(F.count("*").alias("n"))
-    lists = groups.groupBy("token").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
-    spanning = members.join(lists.select("token", "main"), "token")
-    outside = spanning.where("component <> main").select("token", F.col("rep").alias("x"), F.col("component").alias("of_x"))
-    others = spanning.select("token", F.col("rep").alias("y"), F.col("component").alias("of_y"))
-    pairs = outside.join(others, "token").where("of_x <> of_y").select(*_ordered("x", "y")).distinct()
-    return pairs.join(compared, ["a", "b"], "left_anti")
+def _blocks(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """(token, cell, salt, members, partners): lists cut by band of sizes, by whether members are in the list's
+    largest component, and by a hash, into blocks of about BLOCK members.
+
+    A partner is another block of the list to compare with.  Blocks of the largest component are not compared
+    with each other.
+    """
+    groups = members.groupBy("token", "band", "component").agg(F.count("*").alias("n"))
+    main = groups.groupBy("token").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
+    cell = (F.col("band") * 2 + (F.col("component") != F.col("main")).cast("int")).alias("cell")
+    counted = groups.join(main, "token").groupBy("token", "main", cell).agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
+    lists = counted.groupBy("token", "main").agg(F.collect_list(F.struct("cell", "blocks")).alias("cells"))
+    placed = members.join(lists, "token").withColumn("cell", cell)
+    blocks = F.element_at(F.map_from_entries("cells"), F.col("cell"))
+    placed = placed.withColumn("salt", F.pmod(F.xxhash64("rep"), blocks).cast("int")).select("token", "cell", "salt", "rep", "f1", "component", "posted", "cells")
+    signed = placed.join(classes.select("rep", "f1", "n", "sig"), ["rep", "f1"])
+    member = F.struct("rep", "n", "component", "posted", "sig")
+    grouped = signed.groupBy("token", "cell", "salt").agg(F.collect_list(member).alias("members"), F.first("cells").alias("cells"))
+
+    def wanted(other: Column) -> Column:
+        below, above = F.floor(F.col("cell") / 2), F.floor(other["cell"] / 2)
+        outside = (F.col("cell") % 2 + other["cell"] % 2) > 0
+        return outside & (((above == below) & (other["cell"] >= F.col("cell"))) | (above == below + 1))
+
+    def numbered(other: Column) -> Column:
+        every = F.transform(F.sequence(F.lit(0), other["blocks"] - 1), lambda salt: F.struct(other["cell"].alias("cell"), salt.alias("salt")))
+        return F.filter(every, lambda x: (x["cell"] != F.col("cell")) | (x["salt"] > F.col("salt")))
+
+    partners = F.flatten(F.transform(F.filter("cells", wanted), numbered))
+    return stored(grouped.select("token", "cell", "salt", "members", partners.alias("partners")), "blocks")
+
+
+def _comparer(needed: int, percent: int):
+    def part(column: pa.ListArray, row: int) -> dict[str, np.ndarray]:
+        found = column.slice(row, 1).flatten()
+        out = {name: found.field(name).to_numpy() for name in ("rep", "n", "component", "posted")}
+        return out | {"sig": np.frombuffer(b"".join(found.field("sig").to_pylist()), np.uint8).reshape(len(found), _MIN_HASHES)}
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs (a, b) of two blocks, or of one block, that may be linked and meet in no earlier list."""
+        for batch in batches:
+            tokens, firsts, seconds = batch.column("token").to_numpy(), batch.column("first"), batch.column("second")
+            found = [np.zeros((0, 2), np.int64)]
+            for row in range(batch.num_rows):
+                x = part(firsts, row)
+                y = part(seconds, row) if seconds[row].is_valid else x
+                bit = np.int64(1) << (tokens[row] & (COORDINATES - 1))
+                low, high = np.minimum.outer(x["n"], y["n"]), np.maximum.outer(x["n"], y["n"])
+                i, j = np.nonzero((x["component"][:, None] != y["component"][None]) & (100 * low >= percent * high))
+                if y is x:
+                    i, j = i[i < j], j[i < j]
+                # Whole coordinates first: most pairs that meet by chance share no second one.
+                same = x["sig"].view(np.uint32)[i] == y["sig"].view(np.uint32)[j]
+                bits = same @ (np.int64(1) << np.arange(COORDINATES)) & x["posted"][i] & y["posted"][j]
+                may = np.flatnonzero((same.sum(1) >= SHARED) & ((bits & (bit - 1)) == 0))
+                i, j = i[may], j[may]
+                may = (x["sig"][i] == y["sig"][j]).sum(1) >= needed
+                found.append(np.stack([x["rep"][i[may]], y["rep"][j[may]]], 1))
+            pairs = np.sort(np.concatenate(found), 1)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    return compare
+
+
+def _open_pairs(members: DataFrame, compared: DataFrame, classes: DataFrame, needed: int, percent: int) -> DataFrame:
+    """Pairs of list members in different components that may be linked and have not been compared."""
+    blocks = _blocks(members, classes)
+    alone = blocks.where("cell % 2 = 1 AND size(members) > 1").select("token", F.col("members").alias("first"), F.lit(None).cast(blocks.schema["members"].dataType).alias("second"))
+    asked = blocks.select("token", F.col("members").alias("first"), F.explode("partners").alias("p"))
+    other = blocks.select("token", F.col("cell").alias("other"), F.col("salt").alias("number"), F.col("members").alias("second"))
+    met = asked.select("token", "first", F.col("p.cell").alias("other"), F.col("p.salt").alias("number")).join(other, ["token", "other", "number"]).select("token", "first", "second")
+    pairs = alone.unionAll(met).mapInArrow(_comparer(needed, percent), "a bigint, b bigint")
+    return pairs.distinct().join(compared, ["a", "b"], "left_anti")
 
 
 def near_duplicates(docs: DataFrame, width: int = 2, threshold: float = 0.8) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs`` (doc_id, text)."""
+    with small_batches(docs.sparkSession):
+        return _near_duplicates(docs, width, threshold)
+
+
+def _near_duplicates(docs: DataFrame, width: int, threshold: float) -> DataFrame:
     percent = round(100 * threshold)
     needed = matches_needed(threshold)
     docs = docs.select("doc_id", "text")
     rows = stored(sketch_documents(docs, width), "sketches")
     usable = rows.where("n > 0 AND doc_id IS NOT NULL")
-    classes = stored(usable.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "classes")
-    postings = stored(prefix_postings(classes, needed), "postings")
+    classes = stored(usable.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("sig").alias("sig")), "classes")
+    postings = stored(prefix_postings(classes, percent), "postings")
     # Rows of one doc_id with different sets tie their classes together.
     tied = usable.select("doc_id", "f1", "f2").join(classes.select("f1", "f2", "rep"), ["f1", "f2"]).groupBy("doc_id").agg(F.min("rep").alias("a"), F.collect_set("rep").alias("reps"))
     tied = tied.where(F.size("reps") > 1).select("a", F.explode("reps").alias("b")).where("a <> b")
@@ -215,7 +331,7 @@ def near_duplicates(docs: DataFrame, width: int = 2, threshold: float = 0.8) ->
         components = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
         if more.isEmpty():
             break
-    left = stored(_agreeing(_open_pairs(_members(postings, components), compared), classes, needed).select("a", "b"), "pairs")
+    left = stored(_open_pairs(_members(postings, components), compared, classes, needed, percent), "pairs")
     more = stored(_confirmed(left, docs, width, percent), "links")
     if not more.isEmpty():
         components = connected_components(links.unionAll(more).select(F.col("a").alias("u"), F.col("b").alias("v")))
