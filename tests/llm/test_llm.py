@@ -93,6 +93,30 @@ def test_near_duplicates(documents, width):
     assert [r for r in got if r[0] is None] == [(None, len(rows[-2][1]), None, True)]
 
 
+def test_blocks_of_a_large_family(spark, monkeypatch):
+    """Many texts around the threshold, in lists that are cut into several blocks, against all pairs."""
+    monkeypatch.setattr(minhash, "BLOCK", 7)
+    monkeypatch.setattr(minhash, "ROUNDS", 1)
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(80)]
+    sets = []
+    for i in range(70):
+        words = list(base)
+        for at in rng.choice(80, rng.integers(3, 10), replace=False):
+            words[at] = f"own{i}x{at}"
+        sets.append(" ".join(words[: 80 - int(rng.integers(0, 12))]))
+    docs = spark.createDataFrame(list(enumerate(sets)), "doc_id bigint, text string")
+    part = {i: i for i in range(len(sets))}
+    grams = [shingles(t, 2) for t in sets]
+    for i, a in enumerate(grams):
+        for j in range(i):
+            if 100 * len(a & grams[j]) >= 80 * len(a | grams[j]) and part[i] != part[j]:
+                low, high = sorted((part[i], part[j]))
+                part = {k: low if v == high else v for k, v in part.items()}
+    assert 1 < len(set(part.values())) < len(sets)
+    assert {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs).collect()} == part
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "u bigint, v bigint")
     found = {r["node"]: r["component"] for r in connected_components(edges).collect()}
