@@ -10,7 +10,7 @@ on full sets.
 Only components are asked for, so a list is not expanded into all pairs.  In ROUNDS rounds every member is compared
 with pivots of its lists that stand in other components.  Lists that span several components then are cut into
 blocks of BLOCK members by size of set, and blocks are compared with array code.  Left out are only pairs within one
-component, pairs of sets whose sizes alone rule out a link, and pairs that meet in an earlier list too.
+component and pairs of sets whose sizes alone rule out a link; a pair that meets in several lists is found in each.
 
 A text without words has an empty set and is linked with nothing; NULL is such a text.  Rows of one doc_id are one
 document.  Rows without doc_id are linked with nothing, have no component_id, and are kept.
@@ -40,6 +40,7 @@ MISSED = 1e-6  # most probability that a pair exactly at the threshold agrees in
 PIVOTS = 2  # pivots a class is compared with in a round, most alike ones first
 ROUNDS = 2  # rounds of pivots before what is left is compared in full
 BLOCK = 256  # members of a list that are compared at once with as many others
+PAIRS_OUT = 1 << 17  # pairs that a task gathers before it hands them on
 
 _MIN_HASHES = COORDINATES * ROWS
 _FACTORS = mix(np.arange(1, _MIN_HASHES + 1, dtype=np.uint64)) | np.uint64(1)
@@ -155,10 +156,9 @@ def sketch_documents(docs: DataFrame, width: int) -> DataFrame:
 
 
 def prefix_postings(classes: DataFrame, percent: int) -> DataFrame:
-    """(rep, f1, band, posted, token): the rarest values of each class, as far as another class has them too.
+    """(rep, f1, band, token): the rarest values of each class, as far as another class has them too.
 
-    ``posted`` has a bit for each coordinate the class is posted under.  Sets whose sizes allow a link lie in one
-    band of sizes or in neighbouring ones.
+    Sets whose sizes allow a link lie in one band of sizes or in neighbouring ones.
     """
     posts = classes.select("rep", "f1", "n", F.explode("tokens").alias("token"))
     shared = posts.groupBy("token").agg(F.count("*").alias("members")).where("members > 1")
@@ -166,13 +166,8 @@ def prefix_postings(classes: DataFrame, percent: int) -> DataFrame:
     # Values that no other class has are the rarest of all: they fill the prefix first.
     room = F.size("own") - (SHARED - 1)
     kept = own.where(room > 0).select("rep", "f1", "n", F.transform(F.slice("own", 1, room), lambda x: x["token"]).alias("tokens"))
-    posted = F.aggregate("tokens", F.lit(0).cast("bigint"), lambda bits, token: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), _coordinate(token))))
     band = F.floor(F.log("n") / math.log(100 / percent * (1 + 1e-9))).cast("int")
-    return kept.select("rep", "f1", band.alias("band"), posted.alias("posted"), F.explode("tokens").alias("token"))
-
-
-def _coordinate(token: Column | str) -> Column:
-    return (F.col(token) if isinstance(token, str) else token).bitwiseAND(F.lit(COORDINATES - 1).cast("bigint")).cast("int")
+    return kept.select("rep", "f1", band.alias("band"), F.explode("tokens").alias("token"))
 
 
 @pandas_udf(IntegerType())
@@ -243,9 +238,9 @@ def _blocks(members: DataFrame, classes: DataFrame) -> DataFrame:
     lists = counted.groupBy("token", "main").agg(F.collect_list(F.struct("cell", "blocks")).alias("cells"))
     placed = members.join(lists, "token").withColumn("cell", cell)
     blocks = F.element_at(F.map_from_entries("cells"), F.col("cell"))
-    placed = placed.withColumn("salt", F.pmod(F.xxhash64("rep"), blocks).cast("int")).select("token", "cell", "salt", "rep", "f1", "component", "posted", "cells")
+    placed = placed.withColumn("salt", F.pmod(F.xxhash64("rep"), blocks).cast("int")).select("token", "cell", "salt", "rep", "f1", "component", "cells")
     signed = placed.join(classes.select("rep", "f1", "n", "sig"), ["rep", "f1"])
-    member = F.struct("rep", "n", "component", "posted", "sig")
+    member = F.struct("rep", "n", "component", "sig")
     grouped = signed.groupBy("token", "cell", "salt").agg(F.collect_list(member).alias("members"), F.first("cells").alias("cells"))
 
     def wanted(other: Column) -> Column:
@@ -264,31 +259,37 @@ def _blocks(members: DataFrame, classes: DataFrame) -> DataFrame:
 def _comparer(needed: int, percent: int):
     def part(column: pa.ListArray, row: int) -> dict[str, np.ndarray]:
         found = column.slice(row, 1).flatten()
-        out = {name: found.field(name).to_numpy() for name in ("rep", "n", "component", "posted")}
+        out = {name: found.field(name).to_numpy() for name in ("rep", "n", "component")}
         return out | {"sig": np.frombuffer(b"".join(found.field("sig").to_pylist()), np.uint8).reshape(len(found), _MIN_HASHES)}
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs (a, b) of two blocks, or of one block, that may be linked and meet in no earlier list."""
+        """Pairs (a, b) of two blocks, or of one block, that may be linked."""
         for batch in batches:
-            tokens, firsts, seconds = batch.column("token").to_numpy(), batch.column("first"), batch.column("second")
-            found = [np.zeros((0, 2), np.int64)]
+            firsts, seconds = batch.column("first"), batch.column("second")
+            found, size = [np.zeros((0, 2), np.int64)], 0
             for row in range(batch.num_rows):
                 x = part(firsts, row)
                 y = part(seconds, row) if seconds[row].is_valid else x
-                bit = np.int64(1) << (tokens[row] & (COORDINATES - 1))
                 low, high = np.minimum.outer(x["n"], y["n"]), np.maximum.outer(x["n"], y["n"])
                 i, j = np.nonzero((x["component"][:, None] != y["component"][None]) & (100 * low >= percent * high))
                 if y is x:
                     i, j = i[i < j], j[i < j]
                 # Whole coordinates first: most pairs that meet by chance share no second one.
                 same = x["sig"].view(np.uint32)[i] == y["sig"].view(np.uint32)[j]
-                bits = same @ (np.int64(1) << np.arange(COORDINATES)) & x["posted"][i] & y["posted"][j]
-                may = np.flatnonzero((same.sum(1) >= SHARED) & ((bits & (bit - 1)) == 0))
+                may = np.flatnonzero(same.sum(1) >= SHARED)
                 i, j = i[may], j[may]
                 may = (x["sig"][i] == y["sig"][j]).sum(1) >= needed
                 found.append(np.stack([x["rep"][i[may]], y["rep"][j[may]]], 1))
-            pairs = np.sort(np.concatenate(found), 1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+                size += len(found[-1])
+                if size >= PAIRS_OUT:
+                    yield packed(found)
+                    found, size = [], 0
+            if found:
+                yield packed(found)
+
+    def packed(found: list[np.ndarray]) -> pa.RecordBatch:
+        pairs = np.sort(np.concatenate(found), 1)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     return compare
 

@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,6 +118,18 @@ def test_blocks_of_a_large_family(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs).collect()} == part
 
 
+def test_coordinate_equal_by_bytes_only():
+    """Two classes meet in the list of coordinate 5; the bytes of coordinate 0 are equal, its tokens need not be."""
+    first = np.arange(128, dtype=np.uint8)
+    second = first.copy()
+    second[4:20] += 128  # coordinates 1 to 4 differ
+    members = [{"rep": rep, "n": 100, "component": rep, "posted": 0b100001, "sig": sig.tobytes()} for rep, sig in ((8, first), (3, second))]
+    kind = pa.list_(pa.struct([(name, pa.int64()) for name in ("rep", "n", "component", "posted")] + [("sig", pa.binary())]))
+    batch = pa.RecordBatch.from_arrays([pa.array([5], pa.int64()), pa.array([members], kind), pa.array([None], kind)], ["token", "first", "second"])
+    pairs = [row for out in minhash._comparer(80, 80)([batch]) for row in out.to_pylist()]
+    assert pairs == [{"a": 3, "b": 8}]
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "u bigint, v bigint")
     found = {r["node"]: r["component"] for r in connected_components(edges).collect()}
