@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -64,6 +65,62 @@ def test_suffix_dedup(documents, monkeypatch):
     assert sorted(got) == sorted(want) and any(w[2] for w in want)
 
 
+def plainly_kept(rows):
+    """What is left of each (doc, bytes): every 50-byte string that a smaller doc holds goes."""
+    first = {}
+    for i, b in sorted(rows):
+        for k in range(len(b) - 49):
+            first.setdefault(b[k:k + 50], i)
+    out = []
+    for i, b in rows:
+        gone = bytearray(len(b))
+        for k in range(len(b) - 49):
+            if first[b[k:k + 50]] < i:
+                gone[k:k + 50] = b"\1" * 50
+        out.append((i, bytes(c for c, g in zip(b, gone, strict=True) if not g)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("hot", [5, 10**6])
+def test_hot_anchors(hot):
+    """A line shorter than a window in all documents, with different neighbours in most: no bucket gathers its contexts."""
+    rng = np.random.default_rng(8)
+    line = "a line of forty-one bytes in every text. "
+    ends = ["".join(rng.choice(list("abcdef "), 60)) for _ in range(30)]
+    docs = [(i, ends[i % 30] + line + ends[(i * 7 + i // 30) % 30] + line + ends[i % 4]) for i in range(60)]
+    frame = pd.DataFrame([(i % 3, i, i, i, t, 1) for i, t in docs], columns=["chunk", "doc_id", "doc", "mark", "text", "n"])
+    none, buckets = suffix_dedup._messages([]), 2
+
+    def chunks(step, told):
+        return [step(own, told[told["chunk"] == c]) for c, own in frame.groupby("chunk")]
+
+    def at_buckets(step, sent):
+        return pd.concat([none, *(step(own) for _, own in pd.concat(sent).groupby("bucket"))])
+
+    told = at_buckets(suffix_dedup._shared_anchors(hot), chunks(suffix_dedup._send_anchors(buckets), none))
+    sent = chunks(suffix_dedup._send_contexts(buckets), told)
+    kinds = ((np.uint64, 1), (np.uint64, 1))
+    anchors = np.concatenate([np.zeros(0, np.uint64)] + [suffix_dedup._unpack(d, *kinds)[0] for x in sent for d in x[x["kind"] == suffix_dedup.SHARED]["data"]])
+    most = max(np.unique(anchors, return_counts=True)[1], default=0)
+    assert most <= hot and (hot == 5 or most > 30)
+    answers = at_buckets(suffix_dedup._answer_contexts, sent)
+    found = pd.concat(chunks(suffix_dedup._remove(buckets), pd.concat([told, answers])))
+    got = sorted(zip(found["doc_id"].astype(int), found["kept"], strict=True))
+    want = plainly_kept([(i, t.encode()) for i, t in docs])
+    assert got == want and any(len(k) < len(t) for (_, k), (_, t) in zip(want, docs, strict=True))
+
+
+def test_repeated_rows_are_judged_once(spark, monkeypatch):
+    text = "one text that many rows without doc_id share, and that is longer than a window"
+    seen, plain_collapsed = [], suffix_dedup._collapsed
+    monkeypatch.setattr(suffix_dedup, "_collapsed", lambda *x: seen.append(plain_collapsed(*x)) or seen[-1])
+    frame = spark.createDataFrame([(None, text)] * 40 + [(7, text)] * 30 + [(3, "x " + text), (None, None), (None, None)], "doc_id bigint, text string")
+    got = [tuple(r)[:3] for r in suffix_dedup.repeat_digest(frame).collect()]
+    n = len(text)
+    assert sorted(got, key=str) == sorted([(None, n, n)] * 40 + [(7, n, n)] * 30 + [(3, n + 2, 0)] + [(None, 0, 0)] * 2, key=str)
+    assert seen[0].count() == 4
+
+
 def test_hashed_mergesort():
     rng = np.random.default_rng(1)
     strings = rng.integers(97, 99, (300, 12)).astype(np.uint8)
