@@ -4,6 +4,9 @@ One more component makes all vectors equally long, so the largest inner product
 the triangle inequality prunes.  A branch is left out if ``factor`` times its least possible distance exceeds the
 distance of the worst neighbour found so far: factor 1 is exact search, larger factors search less.
 
+Rounding is bounded for each query and point by their own lengths.  Whatever may be among the nearest within these
+bounds is scored once more, pair by pair and always in the same way, and only such scores rank and cut.
+
 Shards and blocks of queries have bounded sizes; each pair of them is one task's group, and returns no more
 than ``k`` neighbours for each of its queries.
 
@@ -26,7 +29,7 @@ SHARD_ROWS = 16_384
 BLOCK_QUERIES = 4_096
 LEAF = 256
 FACTOR = 1.0
-SPARE = 12  # further neighbours kept until exact scores decide
+PAIRS = 1 << 14  # pairs scored in one pass
 
 
 class VantageTree:
@@ -65,26 +68,42 @@ class _Search:
     def __init__(self, tree: VantageTree, queries: np.ndarray, ids: np.ndarray, keep: int, factor: float) -> None:
         self.tree, self.queries, self.ids, self.factor = tree, queries, ids, factor
         self.square = np.einsum("ij,ij->i", queries, queries)
-        self.unit = 1e-10 * max(tree.longest * float(np.sqrt(self.square.max(initial=0.0))), 1e-300)  # scores that differ by less are ties here
+        rounding = 4 * (queries.shape[1] + 8) * np.finfo(float).eps  # bounds the error of a sum of products, relative to both lengths
+        self.slack = rounding * np.sqrt(self.square)
+        self.lengths = np.sqrt(np.einsum("ij,ij->i", tree.points, tree.points))
+        self.square_slack = rounding * (self.square + tree.longest**2)  # bounds the error of squared distances
         self.scores = np.full((len(queries), keep), -np.inf)
         self.rows = np.full((len(queries), keep), -1)
         self.row_ids = np.full((len(queries), keep), np.iinfo(np.int64).max)
 
     def _reach(self, q: np.ndarray) -> np.ndarray:
         """Distance of the worst neighbour of each query; infinite while it has fewer than wanted."""
-        worst = self.scores[q, -1] - 2 * self.unit
-        return np.where(np.isfinite(worst), np.sqrt(np.maximum(self.square[q] + self.tree.longest**2 - 2 * worst, 0.0)), np.inf)
+        worst = self.scores[q, -1]
+        known = np.isfinite(worst)
+        square = self.square[q] + self.tree.longest**2 - 2 * np.where(known, worst, 0.0)
+        return np.where(known, np.sqrt(np.maximum(square, 0.0) + self.square_slack[q]), np.inf)
 
     def _leaf(self, rows: np.ndarray, q: np.ndarray) -> None:
-        found = np.round(self.queries[q] @ self.tree.points[rows].T / self.unit) * self.unit
-        better = (found >= self.scores[q, -1:]).any(axis=1)
+        keep = self.scores.shape[1]
+        found = self.queries[q] @ self.tree.points[rows].T
+        slack = self.slack[q][:, None] * self.lengths[rows]
+        least = self.scores[q, -1]
+        if len(rows) > keep:
+            least = np.maximum(least, np.partition(found - slack, -keep, axis=1)[:, -keep])
+        near = found + slack >= least[:, None]
+        better = near.any(axis=1)
         if not better.any():
             return
-        q, found = q[better], found[better]
+        q, near = q[better], near[better]
+        found = np.full(near.shape, -np.inf)
+        i, j = np.nonzero(near)
+        for begin in range(0, len(i), PAIRS):
+            a, b = i[begin:begin + PAIRS], j[begin:begin + PAIRS]
+            found[a, b] = pair_scores(self.tree.points[rows[b]], self.queries[q[a]])
         scores = np.hstack([self.scores[q], found])
         row = np.hstack([self.rows[q], np.broadcast_to(rows, found.shape)])
         row_ids = np.hstack([self.row_ids[q], np.broadcast_to(self.ids[rows], found.shape)])
-        order = np.lexsort((row_ids, -scores), axis=1)[:, : self.scores.shape[1]]
+        order = np.lexsort((row_ids, -scores), axis=1)[:, :keep]
         for own, new in ((self.scores, scores), (self.rows, row), (self.row_ids, row_ids)):
             own[q] = np.take_along_axis(new, order, axis=1)
 
@@ -92,20 +111,27 @@ class _Search:
         if not len(q):
             return
         if "rows" in node:
-            self._leaf(node["rows"], q)
+            for begin in range(0, len(node["rows"]), LEAF):
+                self._leaf(node["rows"][begin:begin + LEAF], q)
             return
         tree, v = self.tree, node["vantage"]
         # A query has no extra component; points lie on the sphere of the longest one.
-        distance = np.sqrt(np.maximum(self.square[q] + tree.longest**2 - 2 * (self.queries[q] @ tree.points[v]), 0.0))
-        first = distance <= node["middle"]
+        square = np.maximum(self.square[q] + tree.longest**2 - 2 * (self.queries[q] @ tree.points[v]), 0.0)
+        low, high = np.sqrt(np.maximum(square - self.square_slack[q], 0.0)), np.sqrt(square + self.square_slack[q])
+        first = np.sqrt(square) <= node["middle"]
         self.visit(node["inner"], q[first])
         self.visit(node["outer"], q[~first])
-        gap = np.maximum(node["outer_least"] - distance[first], distance[first] - node["outer_most"])
+        gap = np.maximum(node["outer_least"] - high[first], low[first] - node["outer_most"])
         self.visit(node["outer"], q[first][self.factor * gap <= self._reach(q[first]) + 1e-9 * tree.longest])
-        gap = distance[~first] - node["inner_most"]
+        gap = low[~first] - node["inner_most"]
         self.visit(node["inner"], q[~first][self.factor * gap <= self._reach(q[~first]) + 1e-9 * tree.longest])
 
 
+def pair_scores(points: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Inner product of each row with its partner; the same for a pair wherever it is computed."""
+    return np.einsum("ij,ij->i", points, queries)
+
+
 def search_shard(vec_ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int = K, factor: float = FACTOR) -> pd.DataFrame:
     """(query_id, vec_id, score): the ``k`` nearest vectors of each query, its own id left out."""
     order = np.argsort(vec_ids, kind="stable")
@@ -116,11 +142,11 @@ def search_shard(vec_ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray
     begin = np.searchsorted(place[by_point], np.arange(len(points) + 1))
     first_ids = vec_ids[by_point[begin[:-1]]]
     longest = float(np.sqrt(np.einsum("ij,ij->i", points, points).max(initial=0.0)))
-    found = VantageTree(points, longest).search(queries, first_ids, min(k + 1 + SPARE, len(points)), factor)
+    found = VantageTree(points, longest).search(queries, first_ids, min(k + 1, len(points)), factor)
     out = []
     for i, query in enumerate(query_ids):
         rows = found[i][found[i] >= 0]
-        scores = np.einsum("ij,j->i", points[rows], queries[i])
+        scores = pair_scores(points[rows], np.broadcast_to(queries[i], (len(rows), len(queries[i]))).copy())
         pairs = []
         for row, score in zip(rows, scores, strict=True):
             ids = vec_ids[by_point[begin[row]:begin[row + 1]][: k + 1]]

@@ -347,6 +347,21 @@ def test_neighbours(spark, monkeypatch, factor, recall):
     assert set(found) == set(range(0, 700, 20)) and hits >= recall * 700
 
 
+def test_neighbours_of_mixed_lengths():
+    """One very long vector, a query too, must not make ties of all other scores."""
+    rng = np.random.default_rng(9)
+    v = rng.normal(size=(3000, 8))
+    v /= np.sqrt((v**2).sum(1))[:, None]
+    v[40] *= 1e6
+    queries = np.arange(0, 3000, 20)
+    got = neighbours.search_shard(np.arange(3000), v, queries, v[queries])
+    for q, own in got.groupby("query_id"):
+        scores = v @ v[q]
+        scores[q] = -np.inf
+        assert own["vec_id"].tolist() == np.argsort(-scores, kind="stable")[:20].tolist()
+    assert set(got["query_id"]) == set(queries)
+
+
 def test_empty_tables(spark, documents):
     empty = documents.limit(0)
     bench = spark.createDataFrame([(1, "a b c")], "item_id bigint, text string")
