@@ -31,7 +31,8 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 BASE_KINDS = ("assign", "access", "hex")
 
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")  # candidates of the learned formats
+LEAST = 12  # characters of the shortest candidate, as of the shortest assigned credential
+TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")  # candidates of the learned formats
 LABELLED_ROWS = 2_000  # most credentials, and most ordinary tokens, that a model is fitted on
 MAX_STATES = 4_000  # most states of a prefix tree before merging: longer tails share one state
 ALPHA = 0.05  # level of the compatibility test
@@ -193,15 +194,29 @@ def all_spans(text: str, formats: Formats | None, base: list[tuple[str, int, int
         return base
     extra = []
     for m in TOKEN.finditer(text):
-        token = m[0]
-        if not any("0" <= c <= "9" for c in token) or any(s < m.end() and m.start() < e for _, s, e in base):
-            continue
-        if formats.score(token) >= ACCEPT:
-            extra.append(("format", m.start(), m.end()))
+        for start, end in _outside(m.start(), m.end(), base):
+            if formats.score(text[start:end]) >= ACCEPT:
+                extra.append(("format", start, end))
+                continue
+            # A credential may stand between ordinary words with dots.
+            for part in re.finditer(r"[^.]{%d,}" % LEAST, text[start:end]):
+                if len(part[0]) < end - start and formats.score(part[0]) >= ACCEPT:
+                    extra.append(("format", start + part.start(), start + part.end()))
     order = (*BASE_KINDS, "format")
     return sorted(base + extra, key=lambda s: (s[1], order.index(s[0])))
 
 
+def _outside(start: int, end: int, base: list[tuple[str, int, int]]) -> Iterator[tuple[int, int]]:
+    """Stretches of LEAST characters or more that no base span covers."""
+    for _, s, e in base:  # by start
+        if s < end and start < e:
+            if s - start >= LEAST:
+                yield start, s
+            start = max(start, e)
+    if end - start >= LEAST:
+        yield start, end
+
+
 def _joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
 

@@ -281,6 +281,27 @@ def test_secrets(spark, documents):
     assert secret_scan.secret_digest(frame.limit(0), secret_scan.fit_formats(frame.limit(0))).count() == 0
 
 
+def test_candidates_of_learned_formats():
+    """Short, dotted and digitless credentials without assignment are scored too, also beside a base span."""
+    rng = np.random.default_rng(12)
+    letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+
+    def key(size, chars):
+        return "".join(rng.choice(chars, size))
+
+    assigned = [key(20, letters + list("0123456789")) for _ in range(400)]
+    ordinary = [key(int(rng.integers(12, 18)), list("etaoinshrdlu")) for _ in range(400)]
+    formats = secret_scan.Formats({"assign": assigned}, ordinary)
+    short, dotted, digitless = "k7QwZ2mXp9Ra", "Zk8Qw2.Lp4Xv9.Rt6Ym1", "QzKwXpRvTyBnMgHjLsDf"
+    for secret in (short, dotted, digitless):
+        text = f"some {ordinary[0]} {secret} end"
+        assert secret_scan.all_spans(text, formats, []) == [("format", text.index(secret), text.index(secret) + len(secret))], secret
+    base = "deadbeefdeadbeef"
+    text = f"{base}.{digitless}"
+    assert ("format", 16, len(text)) in secret_scan.all_spans(text, formats, secret_scan.base_spans(text))
+    assert not any(secret_scan.all_spans(word, formats, []) for word in ordinary)
+
+
 def test_toxicity(spark):
     rng = np.random.default_rng(4)
     rows = [(i, " ".join(rng.choice(["blue", "green", "tree", "river", "stone", "cloud"], 30)) + (" grumblefoot" if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(300)]
