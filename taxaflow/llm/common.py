@@ -80,3 +80,29 @@ def share(spark: SparkSession, value: object) -> Broadcast:
 
 def shared_value(shared: Broadcast) -> object:
     return pickle.loads(shared.value)
+
+
+HOT_SHARE = 1_000
+
+
+def with_group_value(rows: DataFrame, groups: DataFrame, key: str, value: str) -> DataFrame:
+    """Add a group's ``value`` to its rows; ``groups`` has one row of ``key, n, value`` for each key, NULL included.
+
+    A key that fills a thousandth of the rows or more (there are at most a thousand of them) is looked up in a
+    broadcast table, and its rows are dealt out one by one, not by the key; the others are joined by key.  ``rows``
+    should be read straight from a table, so that a task made again numbers them alike.
+    """
+    def named(column: Column) -> Column:
+        return F.coalesce(F.concat(F.lit("v"), column.cast("string")), F.lit("n"))
+
+    held = stored(groups.select(F.col(key).alias("_k"), "n", F.col(value).alias("_v")), "groups")
+    total = held.agg(F.sum("n")).first()[0] or 0
+    common = F.col("n") * HOT_SHARE >= total
+    hot = held.where(common).select("_k", F.col("_v").alias("_hot"), F.lit(True).alias("_is_hot"))
+    cold = held.where(~common).select(named(F.col("_k")).alias("_cold"), "_v")
+    marked = rows.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_k")), "left").drop("_k")
+    # Rows found above meet nothing below: each has a key of its own.
+    single = F.concat(F.lit("h"), F.monotonically_increasing_id().cast("string"))
+    keyed = marked.withColumn("_cold", F.when(F.col("_is_hot"), single).otherwise(named(F.col(key))))
+    joined = keyed.join(cold, "_cold", "left")
+    return joined.withColumn(value, F.when(F.col("_is_hot"), F.col("_hot")).otherwise(F.col("_v"))).drop("_cold", "_hot", "_is_hot", "_v")

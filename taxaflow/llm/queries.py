@@ -11,11 +11,81 @@ from taxaflow.llm.mixing import mix_digest
 from taxaflow.llm.neighbours import nearest
 from taxaflow.llm.pii import personal_data_digest
 from taxaflow.llm.registry import query
+from taxaflow.llm.resampling import resampling_digest
 from taxaflow.llm.secret_scan import fit_formats, secret_digest
 from taxaflow.llm.suffix_dedup import repeat_digest
 from taxaflow.llm.token_counts import token_count_table
 from taxaflow.llm.toxicity import toxicity_digest
 from taxaflow.llm.url_filters import url_verdicts
+from taxaflow.llm.vector_codes import vector_codes
+from taxaflow.llm.web_archives import archive_digest
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+HASHED_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+# DuckDB has no crc32: eight shifts for each byte of a distinct word.
+RESAMPLING_SQL = f"""
+WITH feats AS (
+    SELECT 'd' AS side, doc_id AS id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{HASHED_WORD}')) AS w FROM documents
+    UNION ALL SELECT 'b', item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{HASHED_WORD}')) FROM benchmark
+), vocabulary AS (
+    SELECT w, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, strlen(w)),
+        lambda i: ('0x' || substr(hex(w), (2 * i + 1)::INT, 2))::BIGINT)),
+        lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(0, 8)),
+            lambda c, k: xor(c >> 1, (c & 1) * 3988292384::BIGINT))), 4294967295::BIGINT) % 10000 AS bucket
+    FROM (SELECT DISTINCT w FROM feats)
+), hashed AS (SELECT side, id, bucket FROM feats JOIN vocabulary USING (w)),
+counts AS (SELECT bucket, count(*) FILTER (WHERE side = 'd') AS s, count(*) FILTER (WHERE side = 'b') AS t FROM hashed GROUP BY bucket),
+sums AS (SELECT coalesce(sum(s), 0) AS ss, coalesce(sum(t), 0) AS tt FROM counts),
+gains AS (
+    SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * (ss + 10000)::DOUBLE) / ((s + 1)::DOUBLE * (tt + 10000)::DOUBLE)))::BIGINT AS gain
+    FROM counts, sums
+), weights AS (
+    SELECT id AS doc_id, count(*) AS n_features, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+    FROM hashed JOIN gains USING (bucket) WHERE side = 'd' GROUP BY id
+), scored AS (
+    SELECT d.doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+    FROM documents d LEFT JOIN weights USING (doc_id)
+), ranked AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_features >= 20
+)
+SELECT s.doc_id, n_features::BIGINT AS n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank
+FROM scored s LEFT JOIN ranked USING (doc_id)"""
+
+_NEAREST = """assigned{k} AS MATERIALIZED (
+    SELECT vec_id, p, any_value(w) AS w, min(struct_pack(d := list_sum(list_transform(list_zip(w, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, e := e)) AS best
+    FROM parts JOIN book{k} USING (p) GROUP BY vec_id, p)"""
+_MOVED = """means{n} AS MATERIALIZED (
+    SELECT p, best.e AS e, i, sum(w[i])::BIGINT AS s, count(*) AS n FROM assigned{k}, range(1, 9) t(i) GROUP BY p, best.e, i),
+book{n} AS MATERIALIZED (
+    SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM book{k} b LEFT JOIN (
+        SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM means{n} GROUP BY p, e) m ON b.p = m.p AND b.e = m.e)"""
+
+VECTOR_CODES_SQL = """
+WITH kept AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (SELECT vec_id, p, v[p * 8 + 1:p * 8 + 8] AS w FROM kept, range(0, 8) t(p)),
+book0 AS (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, w AS c
+    FROM parts WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 16)),
+""" + ",\n".join(x for k in range(6) for x in (_NEAREST.format(k=k), _MOVED.format(k=k, n=k + 1))) + ",\n" + _NEAREST.format(k=6) + """,
+coded AS (
+    SELECT vec_id, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM assigned6 GROUP BY vec_id
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+    (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, e, i)) FROM (SELECT p, e, unnest(c) AS x, generate_subscripts(c, 1) AS i FROM book6)) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)"""
+
+ARCHIVES_SQL = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS html, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+    list_aggregate(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        ((('0x' || substr(sha1(html), (5 * (k // 4) + 1)::INT, 5))::BIGINT >> (15 - 5 * (k % 4))) & 31)::INT + 1, 1)), 'string_agg', '') AS payload_digest,
+    CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first THEN first END AS refers_to
+FROM payloads"""
 
 
 @query("op1_url_filters")
@@ -67,3 +137,18 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_suffix_dedup")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op11_resampling", RESAMPLING_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_vector_codes", VECTOR_CODES_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_web_archives", ARCHIVES_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_digest(table(spark, sf_dir, "pages"))
