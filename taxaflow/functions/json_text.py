@@ -75,3 +75,13 @@ def python_spacing(compact: Column) -> Column:
 def has_fraction(compact: Column) -> Column:
     """True if the JSON text holds a number Java and Python may print differently."""
     return F.regexp_replace(compact, _STRING_PATTERN, "").rlike(r"[0-9][.eE]")
+
+
+def colons(compact: Column) -> Column:
+    """Colons outside strings, one for each key a JSON text spells out."""
+    return F.length(F.regexp_replace(F.regexp_replace(compact, _STRING_PATTERN, ""), "[^:]", ""))
+
+
+def negative_zero(text: Column) -> Column:
+    """True if the text may hold the whole number -0, which Python prints as 0."""
+    return text.rlike(r"-0(?![0-9.])")

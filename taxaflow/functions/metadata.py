@@ -10,14 +10,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from taxaflow.functions.json_text import json_string, strict_json, variant_type
+from taxaflow.functions.locators import print_locator
 from taxaflow.functions.text import METADATA_CHARS
 
 # The metadata keys a model may see, and the overlay key.
 ALLOWED_KEYS = ["date", "format_family", "language", "publisher", "title"]
 OVERLAY_KEY = "metadata_subset"
 
-_EXACT = T.StructType([
-    T.StructField("metadata", T.StringType()),
+# Where a key's value was taken from: the overlay, the record itself, or nowhere.
+_OVERLAY, _TOP, _NONE = "o", "t", "-"
+
+_REPRINTED = T.StructType([
+    T.StructField("pieces", T.ArrayType(T.StringType())),
     T.StructField("locator", T.StringType()),
 ])
 
@@ -61,11 +65,12 @@ def canonical_strings(values: dict[str, Column]) -> Column:
 
 
 def with_canonical_metadata(df: DataFrame, source: str) -> DataFrame:
-    """Replace VARIANT column ``source`` by ``metadata_compact`` and ``metadata_inexact``.
+    """Replace VARIANT column ``source`` by ``metadata_compact``, ``metadata_inexact`` and ``metadata_layers``.
 
     Strings, booleans and integers are printed natively.  ``metadata_inexact``
     marks rows with other values (fractions, nested values): those need
-    :func:`exact_fields`.
+    :func:`exact_fields`.  ``metadata_layers`` says for each allowed key where
+    its value comes from; it is empty if the metadata is no object.
     """
     kept = [c for c in df.columns if c != source]
     value = F.col(source)
@@ -84,71 +89,79 @@ def with_canonical_metadata(df: DataFrame, source: str) -> DataFrame:
     df = df.select(
         *kept, F.coalesce(variant_type(value).startswith("OBJECT"), F.lit(False)).alias("_is_object"), pairs.alias("_pairs")
     )
-    chosen = F.transform(
-        "_pairs", lambda p: F.when(_truthy(p["overlay"]), p["overlay"]).when(_truthy(p["top"]), p["top"])
-    )
-    df = df.select(*kept, "_is_object", chosen.alias("_chosen"))
+    def choice(pair: Column) -> Column:
+        def one(layer: str, value: Column) -> Column:
+            return F.struct(F.lit(layer).alias("layer"), value.alias("value"))
+
+        return (
+            F.when(_truthy(pair["overlay"]), one(_OVERLAY, pair["overlay"]))
+            .when(_truthy(pair["top"]), one(_TOP, pair["top"]))
+            .otherwise(one(_NONE, F.lit(None).cast("variant")))
+        )
+
+    df = df.select(*kept, "_is_object", F.transform("_pairs", choice).alias("_chosen"))
     keys = F.split(F.lit(",".join(ALLOWED_KEYS)), ",")
-    pieces = F.zip_with(keys, "_chosen", lambda k, v: F.concat(F.lit('"'), k, F.lit('": '), _printed(v)))
-    text = F.concat(F.lit("{"), F.array_join(pieces, ", "), F.lit("}"))  # the join skips NULL pieces
-    inexact = F.exists("_chosen", lambda v: F.coalesce(~variant_type(v).isin("STRING", "BOOLEAN", "BIGINT"), F.lit(False)))
+    pieces = F.zip_with(keys, "_chosen", lambda k, c: F.concat(F.lit('"'), k, F.lit('": '), _printed(c["value"])))
+    inexact = F.exists(
+        "_chosen", lambda c: F.coalesce(~variant_type(c["value"]).isin("STRING", "BOOLEAN", "BIGINT"), F.lit(False))
+    )
+    layers = F.array_join(F.transform("_chosen", lambda c: c["layer"]), "")
     return df.select(
         *kept,
-        F.when(F.col("_is_object"), F.substring(text, 1, METADATA_CHARS)).otherwise(F.lit("")).alias("metadata_compact"),
+        F.when(F.col("_is_object"), _object_text(pieces)).otherwise(F.lit("")).alias("metadata_compact"),
         (F.col("_is_object") & inexact).alias("metadata_inexact"),
+        F.when(F.col("_is_object"), layers).otherwise(F.lit("")).alias("metadata_layers"),
     )
 
 
-def _metadata_text(value) -> str:
-    if isinstance(value, str):
-        try:
-            value = json.loads(value)
-        except ValueError:
-            return ""
-    if not isinstance(value, dict):
-        return ""
-    overlay = value.get(OVERLAY_KEY)
-    layers = [value, overlay] if isinstance(overlay, dict) else [value]
-    merged = {key: layer[key] for layer in layers for key in ALLOWED_KEYS if layer.get(key)}
-    return json.dumps(merged, ensure_ascii=False, sort_keys=True)[:METADATA_CHARS]
+def _object_text(pieces: Column) -> Column:
+    """Named values as one object, clipped; NULL pieces are left out."""
+    text = F.concat(F.lit("{"), F.array_join(pieces, ", "), F.lit("}"))
+    return F.substring(text, 1, METADATA_CHARS)
+
+
+def _printed_values(metadata: object, layers: str) -> list[str]:
+    """The values that ``layers`` points at, as Python prints them."""
+    holder = json.loads(metadata) if isinstance(metadata, str) else metadata
+    found = []
+    for key, layer in zip(ALLOWED_KEYS, layers):
+        if layer != _NONE:
+            value = (holder[OVERLAY_KEY] if layer == _OVERLAY else holder)[key]
+            found.append(f'"{key}": {json.dumps(value, ensure_ascii=False, sort_keys=True)}')
+    return found
 
 
-@F.pandas_udf(_EXACT)
-def _exact_fields(lines: pd.Series) -> pd.DataFrame:
-    def one(line):
+@F.pandas_udf(_REPRINTED)
+def _reprinted(lines: pd.Series, layers: pd.Series) -> pd.DataFrame:
+    def one(line, layer):
         if line is None:
             return (None, None)
         record = json.loads(line)
-        locator = record.get("source_locator")
-        # A locator that is not JSON (NaN in it) stops the job.
-        printed = None if locator is None else json.dumps(locator, ensure_ascii=False, allow_nan=False)
-        return (_metadata_text(record.get("metadata_compact")), printed)
+        pieces = _printed_values(record.get("metadata_compact"), layer) if layer else None
+        return (pieces, print_locator(record))
 
-    return pd.DataFrame([one(line) for line in lines], columns=["metadata", "locator"])
+    return pd.DataFrame([one(*pair) for pair in zip(lines, layers)], columns=["pieces", "locator"])
 
 
 def exact_fields(df: DataFrame) -> DataFrame:
-    """Reprint the rows that kept their raw line."""
-    exact = _exact_fields(F.col("exact_line"))
+    """Reprint the rows that kept their raw line: Python spells out the values, what is kept was decided before."""
     marked = F.col("exact_line").isNotNull()
     return (
-        df.withColumn("_exact", exact)
-        .withColumn("metadata_compact", F.when(marked, F.col("_exact.metadata")).otherwise(F.col("metadata_compact")))
+        df.withColumn("_exact", _reprinted("exact_line", "exact_layers"))
+        .withColumn("metadata_compact", F.coalesce(_object_text(F.col("_exact.pieces")), F.col("metadata_compact")))
         .withColumn("source_locator", F.when(marked, F.col("_exact.locator")).otherwise(F.col("source_locator")))
         .drop("_exact")
     )
 
 
-def reprint_stored(rows: DataFrame, inexact: int, total: int) -> DataFrame:
+def reprint_stored(rows: DataFrame, inexact: int) -> DataFrame:
     """:func:`exact_fields` for a stored table, given how many rows need it.
 
-    Without such rows there is no Python stage.  With few of them, only they
-    pass through Python: the other rows are read in a branch of their own, and
-    the branch with Python skips row groups that hold no raw line.
+    Without such rows there is no Python stage.  Else only they pass through
+    Python: the other rows are read in a branch of their own, and the branch
+    with Python skips row groups that hold no raw line.
     """
     if not inexact:
         return rows
-    if inexact * 10 > total:
-        return exact_fields(rows)
     marked = F.col("exact_line").isNotNull()
     return rows.where(~marked).unionByName(exact_fields(rows.where(marked)))

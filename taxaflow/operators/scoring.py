@@ -90,10 +90,10 @@ def prepare_inputs(df: DataFrame, *, text: str = "text", metadata: str | None =
     line = F.concat(F.lit('{"metadata_compact": '), F.col(metadata), F.lit("}"))
     marked = df.withColumn("exact_line", F.when(F.col("metadata_inexact"), line)).withColumn(
         "source_locator", F.lit(None).cast("string")
-    )
+    ).withColumnRenamed("metadata_layers", "exact_layers")
     exact = exact_fields(marked)
     return exact.withColumn("model_input", document_text(F.col(text), F.col("metadata_compact"))).drop(
-        "metadata_compact", "metadata_inexact", "exact_line", "source_locator"
+        "metadata_compact", "metadata_inexact", "exact_line", "exact_layers", "source_locator"
     )
 
 

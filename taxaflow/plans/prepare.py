@@ -64,7 +64,7 @@ def shard_table(documents: DataFrame) -> DataFrame:
 
 def _table_splits(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Rows per Parquet file: no column is read, the footers say it."""
-    return spark.read.parquet(*paths).select(
+    return spark.read.schema("__none string").parquet(*paths).select(
         F.col("_metadata.file_path").alias("file_path"), F.lit(0).cast("bigint").alias("block_start"),
         F.lit(0).cast("bigint").alias("seq"),
     )
@@ -146,7 +146,7 @@ def prepare(
         if on_error == "fail":
             shown = scanned.where(~clean).select("file_path", "sample_id", "violations").limit(5).collect()
             raise InvalidInput(f"{facts['bad']} bad records, for example {[tuple(r) for r in shown]}")
-        scanned.where(~clean).drop("exact_line").write.parquet(f"{staging}/rejects")
+        scanned.where(~clean).drop("exact_line", "exact_layers").write.parquet(f"{staging}/rejects")
     if not facts["good"]:
         raise InvalidInput("The input has no documents")
     require_unique(scanned.where(clean), ["sample_id"])
@@ -155,7 +155,7 @@ def prepare(
         storage.publish(spark, f"{staging}/scan", f"{staging}/documents")
     else:
         rows = scanned if direct else numbered(scanned, scanned, staging, shard_rows, hashed=False)
-        rows = reprint_stored(rows.where(clean), facts["inexact"], facts["good"])
+        rows = reprint_stored(rows.where(clean), facts["inexact"])
         with_content_hash(rows.select(*DOCUMENT_FIELDS, *PLACE)).write.parquet(f"{staging}/documents")
     written = spark.read.schema(JOB_DOCUMENTS).parquet(f"{staging}/documents")
     shards = storage.write_table(shard_table(written), f"{staging}/shards")

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from taxaflow.errors import InvalidInput
-from taxaflow.functions.json_text import json_string, python_spacing, strict_json, variant_type
+from taxaflow.functions.json_text import strict_json, variant_type
+from taxaflow.functions.locators import locator_parts, walked_locator
 from taxaflow.operators.integrity import require_valid_manifest
 from taxaflow.schemas import DOCUMENT, PREDICTION, SHARDS
 from taxaflow.sources import storage
@@ -118,11 +119,11 @@ def read_prediction_lines(spark: SparkSession, path: str) -> DataFrame:
     record = F.from_json(value, T.StructType(fields), {"mode": "PERMISSIVE"})
     lines = spark.read.text(path).where(F.length(F.trim(value)) > 0)
     parsed = lines.withColumn("v", strict_json(value)).withColumn("r", record)
-    locator = F.try_variant_get(F.col("v"), "$.source_locator", "variant")
-    kind = variant_type(locator)
-    printed = F.when(kind == "STRING", json_string(F.try_variant_get(locator, "$", "string"))).otherwise(
-        F.when(kind != "VOID", python_spacing(F.coalesce(F.get_json_object(value, "$.source_locator"), F.to_json(locator))))
-    )
+    parts = locator_parts(value, F.try_variant_get(F.col("v"), "$.source_locator", "variant"))
+    parsed = parsed.withColumn("l", parts)
+    # Only lines that need it are sent to Python; all others go there as NULL.
+    walked = walked_locator(F.when(F.col("l.reprint"), value))
+    printed = F.when(F.col("l.reprint"), walked).otherwise(F.col("l.text"))
     sound = F.coalesce(variant_type(F.col("v")).startswith("OBJECT"), F.lit(False)) & F.col("r.sample_id").isNotNull()
     checked = F.when(sound, F.col("r.sample_id")).otherwise(
         F.raise_error(F.concat(F.lit("Malformed prediction record: "), F.substring(value, 1, 200)))

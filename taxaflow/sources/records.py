@@ -17,17 +17,20 @@ from taxaflow.errors import InvalidInput
 from taxaflow.functions.json_text import (
     json_string, has_fraction, python_spacing, strict_json, unpaired_surrogate, variant_type,
 )
+from taxaflow.functions.locators import locator_parts
 from taxaflow.functions.metadata import ALLOWED_KEYS, OVERLAY_KEY, canonical_strings, with_canonical_metadata
 from taxaflow.functions.scores import is_finite
 from taxaflow.functions.text import is_nonblank
 from taxaflow.session import configure
+from taxaflow.sources.tables import PLACE, scan_tables
 
 MAX_RECORD_CHARS = 8_000_000
 RUN_LINES = 16_384
+RECORD_COLUMNS = ["metadata_compact", "source_family", "source_locator", "raw_windowed"]
 ORDER = ["file_path", "block_start", "seq"]
 FIELDS = [
     "scan_error", "sample_id", "text_window", "metadata_compact", "source_family", "family_error",
-    "source_locator", "locator_error", "raw_windowed", "flag_error", "exact_line",
+    "source_locator", "locator_error", "raw_windowed", "flag_error", "exact_line", "exact_layers",
 ]
 
 
@@ -71,16 +74,8 @@ def read_records(
         if spread:
             scanned = scanned.repartition(spread, F.floor(F.col("seq") / RUN_LINES))
         parts.append(fields_from_lines(scanned, id_field, text_field))
-    if tables:
-        # Files may differ in columns: every file keeps its own, clashing types stop the read.
-        raw = spark.read.option("mergeSchema", "true").parquet(*tables)
-        located = raw.select(
-            "*",
-            F.col("_metadata.file_path").alias("file_path"),
-            F.lit(0).cast("bigint").alias("block_start"),
-            F.col("_metadata.row_index").alias("seq"),
-        )
-        parts.append(fields_from_columns(located, id_field, text_field, keep=ORDER))
+    for scan in scan_tables(spark, tables, [id_field, text_field, *RECORD_COLUMNS]) if tables else []:
+        parts.append(fields_from_columns(scan, id_field, text_field, place=PLACE))
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
@@ -154,14 +149,6 @@ def fields_from_lines(lines: DataFrame, id_field: str, text_field: str) -> DataF
             & (F.coalesce(F.try_variant_get(family, "$", "double"), F.lit(1.0)) == 0)
         )
     )
-    # VARIANT sorts object keys; the raw text keeps the order of the input.
-    nested = locator_kind.startswith("OBJECT") | locator_kind.startswith("ARRAY")
-    ordered = F.when(nested, F.get_json_object(value, "$.source_locator"))
-    compact = (
-        F.when(locator_kind == "VOID", F.lit(None))
-        .when(locator_kind == "STRING", json_string(F.try_variant_get(locator, "$", "string")))
-        .otherwise(F.coalesce(ordered, F.to_json(locator)))
-    )
     number = F.try_variant_get(locator, "$", "double")
     not_finite = F.coalesce((locator_kind == "DOUBLE") & ~is_finite(number), F.lit(False))
     fields = opened.select(
@@ -170,23 +157,19 @@ def fields_from_lines(lines: DataFrame, id_field: str, text_field: str) -> DataF
         "scan_error", "sample_id", "text_window", "metadata",
         _text_of(family).alias("source_family"),
         F.coalesce((family_kind != "STRING") & ~falsy, F.lit(False)).alias("family_error"),
-        compact.alias("compact_locator"),
-        F.coalesce(~locator_kind.isin("VOID", "STRING"), F.lit(False)).alias("locator_other"),
-        # A line with NaN in it has no ordered text; Python then reprints it.
-        F.coalesce(nested & ordered.isNull(), F.lit(False)).alias("locator_unordered"),
+        locator_parts(value, locator).alias("locator_parts"),
         not_finite.alias("locator_error"),
         F.when(flag_kind == "BOOLEAN", F.try_variant_get(flag, "$", "boolean")).alias("raw_windowed"),
         F.coalesce(~flag_kind.isin("BOOLEAN", "VOID"), F.lit(False)).alias("flag_error"),
     )
     fields = with_canonical_metadata(fields, "metadata")
-    compact = F.col("compact_locator")
-    locator_inexact = F.col("locator_unordered") | (F.col("locator_other") & F.coalesce(has_fraction(compact), F.lit(False)))
+    parts = F.col("locator_parts")
     return fields.select(
         *ORDER,
         "scan_error", "sample_id", "text_window", "metadata_compact", "source_family", "family_error",
-        F.when(F.col("locator_other"), python_spacing(compact)).otherwise(compact).alias("source_locator"),
-        "locator_error", "raw_windowed", "flag_error",
-        F.when(F.col("scan_error").isNull() & (F.col("metadata_inexact") | locator_inexact), value).alias("exact_line"),
+        parts["text"].alias("source_locator"), "locator_error", "raw_windowed", "flag_error",
+        F.when(F.col("scan_error").isNull() & (F.col("metadata_inexact") | parts["reprint"]), value).alias("exact_line"),
+        F.col("metadata_layers").alias("exact_layers"),
     )
 
 
@@ -222,52 +205,69 @@ def may_be_inexact(schema: T.StructType) -> bool:
     return parsed or (locator is not None and _holds(locator, _FRACTIONS))
 
 
-def fields_from_columns(df: DataFrame, id_field: str, text_field: str, keep: Iterable[str] = ()) -> DataFrame:
-    """Field columns of a typed DataFrame; a column of the wrong type is an error in every row."""
+def fields_from_columns(
+    df: DataFrame, id_field: str, text_field: str, keep: Iterable[str] = (), place: str | None = None
+) -> DataFrame:
+    """Field columns of a typed DataFrame; a column of the wrong type is an error in every row.
+
+    ``place`` names a struct of the order columns; ``keep`` names columns that pass through.
+    """
     types = {f.name: f.dataType for f in df.schema.fields}
     keep = list(keep)
+    if place:
+        # Only columns in use go on, so that the order columns clash with nothing.
+        inputs = list(dict.fromkeys(n for n in (id_field, text_field, *RECORD_COLUMNS) if n in types))
+        renamed = {n: f"__in{i}" for i, n in enumerate(inputs)}
+        df = df.select(*[F.col(f"`{n}`").alias(renamed[n]) for n in inputs], *[F.col(f"`{place}`")[n].alias(n) for n in ORDER])
+        types = {renamed[n]: types[n] for n in inputs}
+        id_field, text_field = renamed.get(id_field, id_field), renamed.get(text_field, text_field)
+        columns = {n: renamed.get(n, n) for n in RECORD_COLUMNS}
+        keep = ORDER
+    else:
+        columns = {n: n for n in RECORD_COLUMNS}
 
     def string_column(name: str) -> Column:
-        return F.col(name) if isinstance(types.get(name), T.StringType) else F.lit(None).cast("string")
+        return F.col(f"`{name}`") if isinstance(types.get(name), T.StringType) else F.lit(None).cast("string")
 
-    family_type = types.get("source_family")
-    family = string_column("source_family")
+    metadata_name, family_name, locator_name, flag_name = (columns[n] for n in RECORD_COLUMNS)
+    family_type = types.get(family_name)
+    family = string_column(family_name)
     family_error = F.lit(False)
     if family_type is not None and not isinstance(family_type, (T.StringType, T.NullType)):
-        family_error = F.col("source_family").isNotNull()
+        family_error = F.col(family_name).isNotNull()
 
-    flag_type = types.get("raw_windowed")
+    flag_type = types.get(flag_name)
     flag, flag_error = F.lit(None).cast("boolean"), F.lit(False)
     if isinstance(flag_type, T.BooleanType):
-        flag = F.col("raw_windowed")
+        flag = F.col(flag_name)
     elif flag_type is not None and not isinstance(flag_type, T.NullType):
-        flag_error = F.col("raw_windowed").isNotNull()
+        flag_error = F.col(flag_name).isNotNull()
 
-    locator_type = types.get("source_locator")
+    locator_type = types.get(locator_name)
     locator, locator_error, locator_exact = F.lit(None).cast("string"), F.lit(False), F.lit(False)
     if isinstance(locator_type, T.StringType):
-        locator = json_string(F.col("source_locator"))
+        locator = json_string(F.col(locator_name))
     elif isinstance(locator_type, T.VariantType):
-        compact = F.to_json(F.col("source_locator"))
+        compact = F.to_json(F.col(locator_name))
         locator, locator_exact = F.when(compact != "null", python_spacing(compact)), has_fraction(compact)
     elif isinstance(locator_type, (T.StructType, T.ArrayType, T.MapType)):
-        compact = F.to_json(F.col("source_locator"), {"ignoreNullFields": "false"})
+        compact = F.to_json(F.col(locator_name), {"ignoreNullFields": "false"})
         locator, locator_exact = python_spacing(compact), has_fraction(compact)
         if _holds(locator_type, _FLOATING):
             locator_error = F.coalesce(compact.rlike(r'"(NaN|-?Infinity)"'), F.lit(False))
     elif locator_type is not None and not isinstance(locator_type, T.NullType):
-        wrapped = F.to_json(F.struct(F.col("source_locator").alias("v")))
+        wrapped = F.to_json(F.struct(F.col(locator_name).alias("v")))
         compact = F.regexp_extract(wrapped, r'^\{"v":(.*)\}$', 1)
         locator, locator_exact = F.nullif(compact, F.lit("")), has_fraction(compact)
         if _holds(locator_type, _FLOATING):
-            locator_error = F.coalesce(F.isnan("source_locator") | F.abs("source_locator").cast("double").isin(float("inf")), F.lit(False))
+            locator_error = F.coalesce(F.isnan(locator_name) | F.abs(locator_name).cast("double").isin(float("inf")), F.lit(False))
 
     fields = df.select(
         *keep,
         F.lit(None).cast("string").alias("scan_error"),
         string_column(id_field).alias("sample_id"),
         string_column(text_field).alias("text_window"),
-        *(["metadata_compact"] if "metadata_compact" in types else []),
+        *([F.col(metadata_name).alias("metadata_compact")] if metadata_name in types else []),
         family.alias("source_family"),
         family_error.alias("family_error"),
         locator.alias("source_locator"),
@@ -275,15 +275,16 @@ def fields_from_columns(df: DataFrame, id_field: str, text_field: str, keep: Ite
         F.coalesce(locator_exact, F.lit(False)).alias("locator_exact"),
         flag.alias("raw_windowed"),
         flag_error.alias("flag_error"),
-        *([F.col("source_locator").alias("raw_locator")] if locator_type is not None else []),
+        *([F.col(locator_name).alias("raw_locator")] if locator_type is not None else []),
     )
-    fields = _column_metadata(fields, types.get("metadata_compact"))
+    fields = _column_metadata(fields, types.get(metadata_name))
     record = [F.col("raw_metadata").alias("metadata_compact")]
     if locator_type is not None:
         record.append(F.col("raw_locator").alias("source_locator"))
     marked = F.col("metadata_inexact") | F.col("locator_exact")
     line = F.to_json(F.struct(*record), {"ignoreNullFields": "false"})
-    return fields.withColumn("exact_line", F.when(marked, line)).select(*keep, *FIELDS)
+    fields = fields.withColumn("exact_line", F.when(marked, line)).withColumnRenamed("metadata_layers", "exact_layers")
+    return fields.select(*keep, *FIELDS)
 
 
 def _column_metadata(df: DataFrame, kind: T.DataType | None) -> DataFrame:
@@ -294,6 +295,7 @@ def _column_metadata(df: DataFrame, kind: T.DataType | None) -> DataFrame:
         return (
             df.withColumn("metadata_compact", F.when(column.isNotNull(), text).otherwise(F.lit("")))
             .withColumn("metadata_inexact", F.lit(False))
+            .withColumn("metadata_layers", F.lit(None).cast("string"))
             .withColumn("raw_metadata", F.lit(None).cast("string"))
         )
     if isinstance(kind, T.StructType):
@@ -308,6 +310,7 @@ def _column_metadata(df: DataFrame, kind: T.DataType | None) -> DataFrame:
         return (
             df.withColumn("metadata_compact", F.lit(""))
             .withColumn("metadata_inexact", F.lit(False))
+            .withColumn("metadata_layers", F.lit(None).cast("string"))
             .withColumn("raw_metadata", F.lit(None).cast("string"))
         )
     df = df.withColumn("raw_metadata", raw).withColumn("_metadata_value", variant).drop("metadata_compact")

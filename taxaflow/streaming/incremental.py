@@ -28,7 +28,8 @@ from taxaflow.schemas import DOCUMENT_FIELDS
 from taxaflow.session import configure
 from taxaflow.sources import storage
 from taxaflow.sources.jobs import commits, read_predictions
-from taxaflow.sources.records import MAX_RECORD_CHARS, ORDER, fields_from_columns, fields_from_lines, with_scan_errors
+from taxaflow.sources.records import MAX_RECORD_CHARS, RECORD_COLUMNS, fields_from_columns, fields_from_lines, with_scan_errors
+from taxaflow.sources.tables import PLACE
 
 # Batches up to this many IDs are broadcast to the scan of the committed IDs.
 MAX_BROADCAST_IDS = 1_000_000
@@ -51,11 +52,11 @@ def process_batch(
     # Parsed once; every later step reads columns of this table.
     inbox = f"{output}/inbox/{name}"
     # A stream cannot number rows; a batch can.
-    rows = arrived.withColumn("seq", F.monotonically_increasing_id())
-    if "scan_error" in rows.columns:
-        fields = fields_from_lines(rows, id_field, text_field)
+    seq = F.monotonically_increasing_id()
+    if PLACE in arrived.columns:
+        fields = fields_from_columns(arrived.withColumn(PLACE, F.col(PLACE).withField("seq", seq)), id_field, text_field, place=PLACE)
     else:
-        fields = fields_from_columns(rows, id_field, text_field, keep=ORDER)
+        fields = fields_from_lines(arrived.withColumn("seq", seq), id_field, text_field)
     rows = storage.write_table(normalize_fields(fields, max_record_chars), inbox, "overwrite")
     clean = F.size("violations") == 0
     facts = rows.agg(
@@ -68,7 +69,7 @@ def process_batch(
         return None
     repeated = repeated_ids(rows, read_predictions(spark, output), small_batch=facts["rows"] <= MAX_BROADCAST_IDS)
     require_empty(repeated, "Documents arrived twice", DuplicateDocuments)
-    rows = reprint_stored(rows, facts["inexact"], facts["rows"])
+    rows = reprint_stored(rows, facts["inexact"])
     place = rows.select(
         *DOCUMENT_FIELDS, F.lit(batch_id).cast("bigint").alias("shard_index"),
         F.xxhash64("file_path", "block_start", "seq").alias("input_pos"),
@@ -138,10 +139,13 @@ def score_new_files(
 
     reader = spark.readStream.option("maxFilesPerTrigger", str(max_files_per_trigger))
     files = reader.text(input_dir) if table_schema is None else reader.schema(table_schema).parquet(input_dir)
-    placed = files.select(
-        *files.columns, F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block_start")
-    )
-    stream = with_scan_errors(placed, max_record_chars) if table_schema is None else placed
+    hidden = files.metadataColumn("_metadata")
+    where = [hidden["file_path"].alias("file_path"), hidden["file_block_start"].alias("block_start")]
+    if table_schema is None:
+        stream = with_scan_errors(files.select(*files.columns, *where), max_record_chars)
+    else:
+        used = [F.col(f"`{n}`") for n in files.columns if n in (id_field, text_field, *RECORD_COLUMNS)]
+        stream = files.select(*used, F.struct(*where).alias(PLACE))
     running = (
         stream.writeStream.foreachBatch(publish)
         .option("checkpointLocation", f"{output}/checkpoint")

@@ -114,9 +114,13 @@ def test_counting_combines_before_the_shuffle(spark, stored):
         assert text.index("Exchange") < text.rindex("partial_")  # printed from the top: partial is below
 
 
-def test_prediction_lines_are_read_natively(spark, tmp_path):
+def test_only_awkward_prediction_lines_reach_python(spark, tmp_path):
     (tmp_path / "p.jsonl").write_text(json.dumps(dict(sample_id="a", roots=[], exact=[])) + "\n")
-    assert "Python" not in plan(read_prediction_lines(spark, str(tmp_path / "p.jsonl")))
+    read = read_prediction_lines(spark, str(tmp_path / "p.jsonl"))
+    text = plan(read)
+    # One column goes there: the line where the locator needs it, else NULL.
+    assert text.count("ArrowEvalPython") == 1 and "walked_locator(CASE WHEN" in text.replace("pythonUDF", "")
+    assert "Python" not in plan(read.select("sample_id", "roots"))
 
 
 def test_hash_of_content_is_row_local(spark, stored):
