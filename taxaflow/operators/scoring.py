@@ -103,6 +103,13 @@ def _with_fields(schema: T.StructType, drop: set[str], added: list[tuple[str, T.
     return T.StructType(kept + [T.StructField(name, kind) for name, kind in added])
 
 
+MODEL_CALL = "model_call"
+
+
+def _first_of(rows: int) -> pa.Array:
+    return pa.array([True] + [False] * (rows - 1))
+
+
 def score_documents(
     df: DataFrame,
     factory: Callable[[], Scorer],
@@ -117,9 +124,10 @@ def score_documents(
 
     The scorer is built once per task, and only when the task has a row.  The
     text crosses to Python once and does not come back.  ``profile`` is a
-    ResourceProfile, for instance one GPU per task.
+    ResourceProfile, for instance one GPU per task.  Column ``model_call`` is
+    true in the first row of every call, so its trues are the calls made.
     """
-    added: list[tuple[str, T.DataType]] = [("logits", T.ArrayType(T.FloatType()))]
+    added: list[tuple[str, T.DataType]] = [("logits", T.ArrayType(T.FloatType())), (MODEL_CALL, T.BooleanType())]
     if own_tokens:
         added += [("input_tokens", T.LongType()), ("token_ids", T.ArrayType(T.LongType()))]
     schema = _with_fields(df.schema, {text}, added)
@@ -140,6 +148,7 @@ def score_documents(
                 offsets = np.arange(len(ids) + 1, dtype=np.int32) * logits.shape[1]
                 columns = [part.column(name) for name in passed]
                 columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(logits.ravel())))
+                columns.append(_first_of(len(ids)))
                 if own_tokens:
                     columns.append(pa.array(result.input_tokens, pa.int64()))
                     columns.append(pa.array(result.token_ids, pa.list_(pa.int64())))
@@ -166,7 +175,7 @@ def predict_documents(
     Missing prediction fields become NULL.
     """
     carried = [f for f in df.schema.fields if f.name in carry]
-    schema = T.StructType(PREDICTION.fields + carried)
+    schema = T.StructType(PREDICTION.fields + carried + [T.StructField(MODEL_CALL, T.BooleanType())])
     prediction_type = T.StructType(PREDICTION.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +198,7 @@ def predict_documents(
                     if pa.types.is_map(field.type):
                         values = [None if v is None else list(v.items()) for v in values]
                     columns.append(pa.array(values, field.type))
-                columns += [part.column(f.name) for f in carried]
+                columns += [part.column(f.name) for f in carried] + [_first_of(len(rows))]
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
 
     return df.mapInArrow(run, schema, profile=profile)

@@ -44,6 +44,39 @@ def with_position(df: DataFrame, offsets: DataFrame, split: list[str], seq: str
     )
 
 
+def with_stored_place(stored: DataFrame, keep: Column) -> DataFrame:
+    """Rows of a stored table that pass ``keep``, with their place among them (``k``) and the chunk they were read from.
+
+    ``k`` rises by one from row to row of a task, and its upper bits are the task.
+    """
+    hidden = stored.metadataColumn("_metadata")
+    chunk = F.struct(hidden["file_path"].alias("file"), hidden["file_block_start"].alias("block"))
+    return stored.select("*", chunk.alias("chunk")).where(keep).withColumn("k", F.monotonically_increasing_id())
+
+
+def with_dense_position(placed: DataFrame, split: list[str], run_rows: int, seq: str = "seq") -> DataFrame:
+    """Add ``input_pos`` without holes to a table written from :func:`with_stored_place`.
+
+    Rows of one input split that were read in one go are a segment: places and ``seq`` rise together in it.  A sum over
+    the segments of each file and one over the files give a segment's first position.  A row finds its segment by the
+    number of its task, among the few segments of that task; the join key is that number.
+    """
+    task = F.shiftright("k", 33)
+    segments = placed.groupBy(task.alias("task"), *split, "chunk", F.floor(F.col(seq) / run_rows).alias("run")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("k").alias("first_k"), F.min(seq).alias("first_seq")
+    )
+    per_file = segments.groupBy(split[0]).agg(F.sum("n").alias("file_rows"))
+    before = [Window.orderBy(split[0]), Window.partitionBy(split[0]).orderBy(*split[1:], "first_seq")]
+    earlier, inside = (w.rowsBetween(Window.unboundedPreceding, -1) for w in before)
+    files = per_file.select(split[0], F.coalesce(F.sum("file_rows").over(earlier), F.lit(0)).alias("file_offset"))
+    offset = (F.col("file_offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))).cast("bigint")
+    located = segments.join(files, split[0]).select("task", F.struct("first_k", offset.alias("offset")).alias("segment"))
+    by_task = located.groupBy("task").agg(F.sort_array(F.collect_list("segment")).alias("segments"))
+    mine = F.element_at(F.filter("segments", lambda s: s["first_k"] <= F.col("k")), -1)
+    joined = placed.withColumn("task", task).join(by_task, "task")
+    return joined.withColumn("input_pos", mine["offset"] + F.col("k") - mine["first_k"]).drop("task", "segments", "chunk", "k")
+
+
 def shard_index(position: Column, shard_rows: int) -> Column:
     return F.floor(position / F.lit(shard_rows)).cast("bigint")
 

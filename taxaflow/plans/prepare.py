@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from taxaflow.errors import IntegrityError, InvalidInput
@@ -13,12 +13,14 @@ from taxaflow.functions.text import INPUT_SCOPE, VISIBLE_TOKENS
 from taxaflow.operators.duplicates import require_unique
 from taxaflow.operators.integrity import content_digest
 from taxaflow.operators.normalize import normalize_fields, record_line
-from taxaflow.operators.sharding import shard_id, shard_index, shard_path, split_offsets, with_position
+from taxaflow.operators.sharding import (
+    shard_id, shard_index, shard_path, split_offsets, with_dense_position, with_position, with_stored_place,
+)
 from taxaflow.schemas import DOCUMENT_FIELDS
 from taxaflow.session import configure
 from taxaflow.sources import storage
-from taxaflow.sources.jobs import JOB_DOCUMENTS, JOB_FORMAT, write_json_record
-from taxaflow.sources.records import MAX_RECORD_CHARS, is_parquet, read_records
+from taxaflow.sources.jobs import JOB_DOCUMENTS, JOB_FORMAT, MANIFEST, write_json_record
+from taxaflow.sources.records import MAX_RECORD_CHARS, RUN_LINES, is_parquet, read_records
 
 SPLIT = ["file_path", "block_start"]
 PLACE = ["input_pos", "shard_index"]
@@ -103,7 +105,7 @@ def prepare(
     input_format: str = "auto",
     spread: int | None = None,
 ) -> dict:
-    """Write ``documents``, ``shards`` and ``manifest`` below ``output``, all or nothing.
+    """Write documents and shards below ``output`` and publish them with a manifest, all or nothing.
 
     The input is parsed once, into a table that every later step reads by
     column.  Documents are never shuffled: numbering needs only the size of each
@@ -111,31 +113,73 @@ def prepare(
     input is numbered while it is read (its footers hold the sizes), so it is
     written once; JSON lines are numbered in a second, narrow write.
     ``spread`` parses the lines of large compressed files in more tasks.
-    ``on_error="quarantine"`` writes bad records to ``rejects`` instead of failing.
+    ``on_error="quarantine"`` writes bad records to ``rejects`` instead of failing; the others are then numbered
+    without holes, in one more narrow write.
+
+    Every attempt writes below a folder of its own.  The manifest names it and is written last; it is what readers
+    follow, and the first one stays.  What a crash leaves behind is seen by nobody.
     """
     if shard_rows < 1 or max_record_chars < 1:
         raise InvalidInput("shard_rows and max_record_chars must be at least 1")
     if on_error not in ("fail", "quarantine") or source_check not in ("stat", "digest"):
         raise InvalidInput("Unknown on_error or source_check")
     configure(spark)
-    if storage.exists(spark, output):
+    output = output.rstrip("/")
+    if storage.exists(spark, f"{output}/{MANIFEST}"):
         raise FileExistsError(f"{output} exists; a job is never overwritten")
-    staging = f"{output.rstrip('/')}.preparing"
-    storage.remove(spark, staging)
+    part = storage.new_part("data")
+    data = f"{output}/{part}"
     paths = [input_path] if isinstance(input_path, str) else list(input_path)
-    before = source_state(spark, paths, source_check)
-
-    records = normalize_fields(
-        read_records(
-            spark, paths, id_field=id_field, text_field=text_field, max_record_chars=max_record_chars,
-            input_format=input_format, spread=spread,
-        ),
-        max_record_chars,
-    )
-    direct = all(is_parquet(p, input_format) for p in paths)
-    if direct:
-        records = numbered(records, _table_splits(spark, paths), staging, shard_rows)
-    scanned = storage.write_table(records, f"{staging}/scan")
+    try:
+        before = source_state(spark, paths, source_check)
+        records = normalize_fields(
+            read_records(
+                spark, paths, id_field=id_field, text_field=text_field, max_record_chars=max_record_chars,
+                input_format=input_format, spread=spread,
+            ),
+            max_record_chars,
+        )
+        direct = all(is_parquet(p, input_format) for p in paths)
+        facts, documents = write_documents(
+            spark, records, _table_splits(spark, paths) if direct else None, data, shard_rows, on_error == "quarantine"
+        )
+        written = spark.read.schema(JOB_DOCUMENTS).parquet(f"{data}/{documents}")
+        shards = storage.write_table(shard_table(written), f"{data}/shards")
+        if line_files:
+            write_shard_lines(written, f"{data}/inputs")
+        total = shards.agg(F.count(F.lit(1)).alias("n"), F.sum("rows").alias("rows")).first()
+        if total["rows"] != facts["good"]:
+            raise IntegrityError("The shards do not hold all documents")
+        shard_rows_hash = shards.select(F.sha2(F.concat_ws("\n", "id", F.col("rows").cast("string"), "digest"), 256).alias("h"), "bytes")
+        if source_state(spark, paths, source_check) != before:
+            raise IntegrityError("Input files changed while they were read")
+        manifest = dict(
+            format=JOB_FORMAT, rows=total["rows"], shards=total["n"], shard_rows=shard_rows, data=part, documents=documents,
+            shards_digest=content_digest(shard_rows_hash, [], "h", "bytes").first()["digest"],
+            source=dict(paths=[p.rstrip("/").rsplit("/", 1)[-1] for p in paths], check=source_check, digest=before),
+            id_field=id_field, text_field=text_field, max_length=VISIBLE_TOKENS, input_scope=INPUT_SCOPE,
+            rejected=facts["bad"],
+        )
+        write_json_record(spark, manifest, f"{output}/{MANIFEST}")
+    except Exception:
+        storage.discard(spark, data)
+        raise
+    for work in ("scan", "clean", "splits"):
+        if work != documents:
+            storage.remove(spark, f"{data}/{work}")
+    return dict(documents=total["rows"], shards=total["n"], rejected=facts["bad"], manifest=f"{output}/{MANIFEST}")
+
+
+def write_documents(
+    spark: SparkSession, records: DataFrame, counted: DataFrame | None, data: str, shard_rows: int, quarantine: bool
+) -> tuple[Row, str]:
+    """Check the records and write the numbered documents below ``data``; how many there are, and the folder's name.
+
+    ``counted`` has the rows of each input split if they are known beforehand.
+    """
+    if counted is not None:
+        records = numbered(records, counted, data, shard_rows)
+    scanned = storage.write_table(records, f"{data}/scan")
     clean = F.size("violations") == 0
     facts = scanned.agg(
         F.count(F.when(clean, 1)).alias("good"),
@@ -143,40 +187,20 @@ def prepare(
         F.count("exact_line").alias("inexact"),
     ).first()
     if facts["bad"]:
-        if on_error == "fail":
+        if not quarantine:
             shown = scanned.where(~clean).select("file_path", "sample_id", "violations").limit(5).collect()
             raise InvalidInput(f"{facts['bad']} bad records, for example {[tuple(r) for r in shown]}")
-        scanned.where(~clean).drop("exact_line", "exact_layers").write.parquet(f"{staging}/rejects")
+        scanned.where(~clean).drop("exact_line", "exact_layers").write.parquet(f"{data}/rejects")
     if not facts["good"]:
         raise InvalidInput("The input has no documents")
     require_unique(scanned.where(clean), ["sample_id"])
-
-    if direct and not facts["bad"] and not facts["inexact"]:
-        storage.publish(spark, f"{staging}/scan", f"{staging}/documents")
+    if counted is not None and not facts["bad"] and not facts["inexact"]:
+        return facts, "scan"
+    if facts["bad"]:
+        kept = storage.write_table(with_stored_place(scanned.drop(*PLACE, "row_bytes", "row_sha256"), clean), f"{data}/clean")
+        rows = with_dense_position(kept, SPLIT, RUN_LINES).withColumn("shard_index", shard_index(F.col("input_pos"), shard_rows))
     else:
-        rows = scanned if direct else numbered(scanned, scanned, staging, shard_rows, hashed=False)
-        rows = reprint_stored(rows.where(clean), facts["inexact"])
-        with_content_hash(rows.select(*DOCUMENT_FIELDS, *PLACE)).write.parquet(f"{staging}/documents")
-    written = spark.read.schema(JOB_DOCUMENTS).parquet(f"{staging}/documents")
-    shards = storage.write_table(shard_table(written), f"{staging}/shards")
-    if line_files:
-        write_shard_lines(written, f"{staging}/inputs")
-
-    total = shards.agg(F.count(F.lit(1)).alias("n"), F.sum("rows").alias("rows")).first()
-    if total["rows"] != facts["good"]:
-        raise IntegrityError("The shards do not hold all documents")
-    shard_rows_hash = shards.select(F.sha2(F.concat_ws("\n", "id", F.col("rows").cast("string"), "digest"), 256).alias("h"), "bytes")
-    if source_state(spark, paths, source_check) != before:
-        raise IntegrityError("Input files changed while they were read")
-    manifest = dict(
-        format=JOB_FORMAT, rows=total["rows"], shards=total["n"], shard_rows=shard_rows,
-        shards_digest=content_digest(shard_rows_hash, [], "h", "bytes").first()["digest"],
-        source=dict(paths=[p.rstrip("/").rsplit("/", 1)[-1] for p in paths], check=source_check, digest=before),
-        id_field=id_field, text_field=text_field, max_length=VISIBLE_TOKENS, input_scope=INPUT_SCOPE,
-        rejected=facts["bad"],
-    )
-    write_json_record(spark, manifest, f"{staging}/manifest")
-    storage.remove(spark, f"{staging}/scan")
-    storage.remove(spark, f"{staging}/splits")
-    storage.publish(spark, staging, output)
-    return dict(documents=total["rows"], shards=total["n"], rejected=facts["bad"], manifest=f"{output}/manifest")
+        rows = scanned if counted is not None else numbered(scanned, scanned, data, shard_rows, hashed=False)
+    rows = reprint_stored(rows, facts["inexact"])
+    with_content_hash(rows.select(*DOCUMENT_FIELDS, *PLACE)).write.parquet(f"{data}/documents")
+    return facts, "documents"

@@ -11,6 +11,7 @@ from importlib.resources.abc import Traversable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from taxaflow.errors import IntegrityError, InvalidInput
 from taxaflow.operators.decode import decode_logits
@@ -18,20 +19,22 @@ from taxaflow.operators.integrity import (
     content_digest, pending_shards, receipt_audit, require_empty, require_same_binding,
 )
 from taxaflow.operators.scoring import (
-    prediction_columns, predict_documents, score_documents, with_model_input,
+    MODEL_CALL, prediction_columns, predict_documents, score_documents, with_model_input,
 )
-from taxaflow.operators.sharding import forwards, shard_id
+from taxaflow.operators.sharding import shard_id
 from taxaflow.operators.taxonomy import HeadContract
 from taxaflow.plans.prepare import shard_table, with_content_hash
 from taxaflow.schemas import PREDICTION
 from taxaflow.session import configure
 from taxaflow.sources import storage
 from taxaflow.sources.jobs import (
-    Job, commits, read_job, read_json_record, read_predictions, read_receipts, write_json_record,
+    BINDING, Job, commits, read_job, read_json_record, read_predictions, read_receipts, write_json_record,
 )
 
-# Shards per commit: bounds both the lost work of a crash and the broadcast of pending shards.
+# Shards per wave: bounds the broadcast of pending shards.
 WAVE_SHARDS = 65_536
+# A finished task's files are put under their final path at once, not when the whole wave is done.
+TASK_COMMIT = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
 PLACE = ["shard_index", "input_pos"]
 
 
@@ -57,12 +60,11 @@ def code_digest() -> str:
 
 def bind(spark: SparkSession, output: str, binding: dict) -> None:
     """Write the binding once; afterwards only the same configuration may go on."""
-    path = f"{output}/run_binding"
-    if storage.is_complete(spark, path):
+    path = f"{output}/{BINDING}"
+    try:
+        write_json_record(spark, binding, path)
+    except FileExistsError:
         require_same_binding(read_json_record(spark, path), binding)
-        return
-    storage.remove(spark, path)
-    write_json_record(spark, binding, path)
 
 
 def prediction_digests(predictions: DataFrame) -> DataFrame:
@@ -121,7 +123,67 @@ def label(documents: DataFrame, factory: Callable, contract: HeadContract | None
         return predict_documents(documents, factory, batch_size=batch_size, carry=tuple(place), profile=profile)
     ready = with_model_input(documents, tokenize=not own_tokens).drop("text_window", "metadata_compact")
     scored = score_documents(ready, factory, batch_size=batch_size, own_tokens=own_tokens, profile=profile)
-    return prediction_columns(decode_logits(scored, contract), place)
+    return prediction_columns(decode_logits(scored, contract), [*place, MODEL_CALL])
+
+
+def stored_receipts(shards: DataFrame, written: DataFrame, seconds: float) -> DataFrame:
+    """Receipts of shards from what now lies on disk: digests, and the model calls that were made for them."""
+    found = prediction_digests(written).select("shard_index", F.col("digest").alias("predictions_digest"))
+    calls = written.groupBy("shard_index").agg(F.count(F.when(F.col(MODEL_CALL), 1)).alias("model_calls"))
+    return shards.join(found, "shard_index").join(calls, "shard_index").select(
+        "shard_index", "id", "rows", F.col("digest").alias("input_digest"), "predictions_digest",
+        F.lit(seconds * 1.0).alias("seconds"), "model_calls", F.lit(None).cast("bigint").alias("first_pos"),
+    )
+
+
+def commit(spark: SparkSession, output: str, name: str, shards: DataFrame, written: DataFrame, seconds: float) -> dict:
+    """Publish finished predictions: receipts come last and are what readers follow."""
+    receipts = storage.write_table(stored_receipts(shards, written, seconds), f"{output}/receipts/{name}")
+    total = receipts.agg(F.count(F.lit(1)).alias("n"), F.sum("rows").alias("rows"), F.sum("model_calls").alias("calls")).first()
+    return dict(commit=name, shards=total["n"], rows=total["rows"] or 0, model_calls=total["calls"] or 0, seconds=seconds)
+
+
+def salvage(spark: SparkSession, job: Job, output: str) -> list[dict]:
+    """Commit the whole shards that finished tasks of a broken-off wave have left.
+
+    A task's files come under their final path as soon as the task is done, so after a crash they lie in a folder
+    without receipts.  Shards that are there in full, document by document, are copied to a folder of their own and get
+    receipts; the model is not called for them again.  The rest of the folder stays unseen, and nothing is deleted:
+    another run may still be writing there.
+    """
+    schema = T.StructType([*PREDICTION.fields, *[T.StructField(n, T.LongType()) for n in PLACE], T.StructField(MODEL_CALL, T.BooleanType())])
+    done = set(commits(spark, output))
+    saved = []
+    for name in storage.children(spark, f"{output}/predictions"):
+        folder = f"{output}/predictions/{name}"
+        if name in done or not any(f.endswith(".parquet") for f in storage.children(spark, folder)):
+            continue
+        begun = time.perf_counter()
+        left = spark.read.schema(schema).parquet(folder)
+        pending = pending_shards(job.shards, read_receipts(spark, output))
+        ends = left.agg(F.min("shard_index").alias("a"), F.max("shard_index").alias("b")).first()
+        if ends["a"] is None:
+            continue
+        inside = F.col("shard_index").between(ends["a"], ends["b"])
+        faults = identity_faults(job.documents.where(inside), left).select("shard_index")
+        whole = left.select("shard_index").distinct().join(faults, "shard_index", "left_anti")
+        sound = storage.write_table(pending.where(inside).join(whole, "shard_index", "left_semi"), f"{output}/salvage/{uuid.uuid4().hex}")
+        if sound.isEmpty():
+            continue
+        fresh = f"{ends['a']:012d}-{uuid.uuid4().hex[:12]}"
+        written = storage.write_table(left.join(sound.select("shard_index"), "shard_index", "left_semi").select(left.columns), f"{output}/predictions/{fresh}")
+        saved.append(commit(spark, output, fresh, sound, written, time.perf_counter() - begun))
+    return saved
+
+
+def remove_leftovers(spark: SparkSession, output: str) -> list[str]:
+    """Delete predictions without receipts; only for when no run is under way."""
+    done = set(commits(spark, output))
+    gone = [n for n in storage.children(spark, f"{output}/predictions") if n not in done]
+    for name in gone:
+        storage.remove(spark, f"{output}/predictions/{name}")
+    storage.remove(spark, f"{output}/salvage")
+    return gone
 
 
 def run(
@@ -140,11 +202,13 @@ def run(
     code_sha256: str | None = None,
     on_commit: Callable[[dict], None] | None = None,
 ) -> dict:
-    """Score all shards without a receipt.  A rerun repeats no committed wave.
+    """Score all shards without a receipt.  A rerun repeats no committed shard.
 
     A wave is a range of shards.  Its predictions are written first and its
-    receipts last; data without receipts is invisible to every reader and is
-    made again.  ``on_commit`` gets one progress record per wave.
+    receipts last; data without receipts is invisible to every reader.  If a wave
+    breaks off, the next run commits the shards that its finished tasks hold in
+    full (see :func:`salvage`), so a crash loses what was under way in a task.
+    ``on_commit`` gets one progress record per commit.
     """
     if batch_size < 1 or wave_shards < 1:
         raise InvalidInput("batch_size and wave_shards must be at least 1")
@@ -161,25 +225,24 @@ def run(
     bind(spark, output, binding)
     if check_inputs:
         verify_inputs(job)
-    done = commits(spark, output)
-    if done:
+    if commits(spark, output):
         verify_receipts(spark, job, output)
-    for name in storage.children(spark, f"{output}/predictions"):
-        if name not in done:
-            storage.remove(spark, f"{output}/predictions/{name}")
+    saved = salvage(spark, job, output)
+    if on_commit is not None:
+        for record in saved:
+            on_commit(record)
 
     pending = pending_shards(job.shards, read_receipts(spark, output))
     waves = (
         pending.groupBy(F.floor(F.col("shard_index") / wave_shards).alias("wave"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("rows").alias("rows"), F.sum(forwards(F.col("rows"), batch_size)).alias("f"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("rows").alias("rows"))
         .orderBy("wave")
         .collect()
     )
-    totals = dict(processed=sum(w["rows"] for w in waves), forwards=sum(w["f"] for w in waves))
-    skipped = job.manifest["rows"] - totals["processed"]
-    if not waves:
-        return dict(status="already_complete", processed_rows=0, skipped_rows=skipped, model_forwards=0)
-
+    scored = sum(w["rows"] for w in waves)
+    outcome = dict(
+        scored=scored, kept=job.manifest["rows"] - scored, salvaged=sum(r["rows"] for r in saved), model_calls=0, commits=0
+    )
     for wave in waves:
         begun = time.perf_counter()
         first, last = wave["wave"] * wave_shards, (wave["wave"] + 1) * wave_shards - 1
@@ -192,27 +255,19 @@ def run(
             documents = documents.join(F.broadcast(todo), "shard_index", "left_semi")
             shards = shards.join(F.broadcast(todo), "shard_index", "left_semi")
         name = f"{first:012d}-{uuid.uuid4().hex[:12]}"
-        target = f"{output}/predictions/{name}"
         plain = documents.drop("row_bytes", "row_sha256")
         labelled = label(plain, factory, contract, batch_size=batch_size, own_tokens=own_tokens, profile=profile)
-        written = storage.write_table(labelled, target)
+        written = storage.write_table(labelled, f"{output}/predictions/{name}", **TASK_COMMIT)
         require_empty(identity_faults(documents, written), "Scorer output does not match its documents")
-        seconds = time.perf_counter() - begun
-        receipts = shards.join(prediction_digests(written).drop("id", "rows").withColumnRenamed("digest", "predictions_digest"), "shard_index")
-        receipts.select(
-            "shard_index", "id", "rows", F.col("digest").alias("input_digest"), "predictions_digest",
-            F.lit(seconds * 1.0).alias("seconds"),
-        ).write.parquet(f"{output}/receipts/{name}")
+        record = commit(spark, output, name, shards, written, time.perf_counter() - begun)
+        outcome["model_calls"] += record["model_calls"]
+        outcome["commits"] += 1
         if on_commit is not None:
-            on_commit(dict(commit=name, shards=wave["n"], rows=wave["rows"], seconds=seconds))
+            on_commit(record)
 
-    left = pending_shards(job.shards, read_receipts(spark, output))
-    if not left.isEmpty():
+    if not pending_shards(job.shards, read_receipts(spark, output)).isEmpty():
         raise IntegrityError("Shards are left without a receipt")
-    seconds = time.perf_counter() - started
-    session = dict(status="complete", rows=job.manifest["rows"], seconds=seconds, binding=binding)
-    write_json_record(spark, session, f"{output}/sessions/{time.time_ns()}")
-    return dict(
-        status="complete", processed_rows=totals["processed"], skipped_rows=skipped,
-        model_forwards=totals["forwards"], seconds=seconds,
-    )
+    outcome["seconds"] = time.perf_counter() - started
+    if waves or saved:
+        write_json_record(spark, dict(job=job.manifest_sha256, binding=binding, **outcome), f"{output}/sessions/{time.time_ns()}.json")
+    return dict(state="finished" if waves or saved else "nothing_to_do", **outcome)

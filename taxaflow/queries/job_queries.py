@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from taxaflow.operators.integrity import content_digest, file_inventory, registry_audit
 from taxaflow.operators.scoring import ScoredBatch
-from taxaflow.plans.export import export
+from taxaflow.plans.export import export, export_increments
 from taxaflow.plans.prepare import prepare
 from taxaflow.plans.run import run
 from taxaflow.queries.inputs import (
@@ -18,7 +18,7 @@ from taxaflow.queries.inputs import (
 from taxaflow.operators.memberships import EXPORTS, state_json
 from taxaflow.queries.registry import query
 from taxaflow.session import shared_dir
-from taxaflow.sources.jobs import read_job, read_predictions
+from taxaflow.sources.jobs import read_exports, read_job, read_predictions, read_receipts
 from taxaflow.streaming.incremental import score_new_files
 
 
@@ -148,10 +148,10 @@ UNION ALL SELECT 'root_membership', count(*) FROM root_sel
 UNION ALL SELECT 'exact_membership', count(*) FROM kept
 UNION ALL SELECT 'review_queue', count(*) FROM scored WHERE exact = '' OR input_tokens > 768 OR raw_windowed""")
 def export_counts(spark, sf_dir):
-    path = _exported(spark, sf_dir)
+    _, tables = read_exports(spark, _exported(spark, sf_dir))
     out = None
     for name in EXPORTS:
-        one = spark.read.parquet(f"{path}/{name}").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
+        one = tables[name].agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -161,24 +161,36 @@ WITH {SCORED_SQL}
 SELECT sample_id, 'root' AS kind, code, round(score, 6) AS score FROM root_sel
 UNION ALL SELECT sample_id, 'exact', code, round(score, 6) FROM kept""")
 def exported_memberships(spark, sf_dir):
-    path = _exported(spark, sf_dir)
-    parts = [spark.read.parquet(f"{path}/{kind}_membership").withColumn("kind", F.lit(kind)) for kind in ("root", "exact")]
+    _, tables = read_exports(spark, _exported(spark, sf_dir))
+    parts = [tables[f"{kind}_membership"].withColumn("kind", F.lit(kind)) for kind in ("root", "exact")]
     return parts[0].unionByName(parts[1]).select("sample_id", "kind", "code", F.round("score", 6).alias("score"))
 
 
+ID_SUM_SQL = "coalesce(sum(('0x' || substr(sha256(sample_id), 1, 8))::BIGINT), NULL)::BIGINT"
+
+
 @query("verify_job", f"""
 WITH {SCORED_SQL}, tables AS (
-    SELECT 'documents' AS table_name, count(*) AS n FROM scored UNION ALL SELECT 'root_membership', count(*) FROM root_sel
-    UNION ALL SELECT 'exact_membership', count(*) FROM kept
-    UNION ALL SELECT 'review_queue', count(*) FROM scored WHERE exact = '' OR input_tokens > 768 OR raw_windowed)
-SELECT table_name, 'ok' AS status, n > 0 AS found FROM tables""")
+    SELECT 'documents' AS table_name, sample_id FROM scored UNION ALL SELECT 'root_membership', sample_id FROM root_sel
+    UNION ALL SELECT 'exact_membership', sample_id FROM kept
+    UNION ALL SELECT 'review_queue', sample_id FROM scored WHERE exact = '' OR input_tokens > 768 OR raw_windowed)
+SELECT table_name, 'ok' AS status, count(*) AS rows, {ID_SUM_SQL} AS id_sum FROM tables GROUP BY table_name""")
 def verify_job(spark, sf_dir):
     """Audit of the exported files against their registry, per table."""
     path = _exported(spark, sf_dir)
-    found = file_inventory(spark, path, glob="*.parquet").where(~F.col("path").startswith("files/"))
-    audit = registry_audit(spark.read.parquet(f"{path}/files"), found)
+    receipt, tables = read_exports(spark, path)
+    folder = f"{path}/{receipt['tables']}"
+    found = file_inventory(spark, folder, glob="*.parquet").where(~F.col("path").startswith("files/"))
+    audit = registry_audit(spark.read.parquet(f"{folder}/files"), found)
     table_name = F.get(F.split("path", "/"), F.lit(0)).alias("table_name")
-    return audit.groupBy(table_name, "status").agg((F.count(F.lit(1)) > 0).alias("found"))
+    status = audit.groupBy(table_name, "status").agg(F.count(F.lit(1)).alias("files"))
+    rows = None
+    for name in EXPORTS:
+        # Rows and one sum of hashes of each table's key column, read back from the audited files.
+        mark = F.sum(F.conv(F.substring(F.sha2("sample_id", 256), 1, 8), 16, 10).cast("bigint")).cast("bigint").alias("id_sum")
+        one = tables[name].agg(F.count(F.lit(1)).alias("rows"), mark).select(F.lit(name).alias("table_name"), "rows", "id_sum")
+        rows = one if rows is None else rows.unionByName(one)
+    return rows.join(status, "table_name", "left").select("table_name", "status", "rows", "id_sum")
 
 
 @query("incremental_resume", PREDICTION_ROWS_SQL)
@@ -198,7 +210,63 @@ def incremental_resume(spark, sf_dir):
                 raise
         score_new_files(spark, source, path, DigestScorer, CONTRACT, **options)
         again = score_new_files(spark, source, path, DigestScorer, CONTRACT, **options)
-        if again["status"] != "already_complete":
+        if again["state"] != "nothing_to_do":
             raise AssertionError("a stream with nothing to do did something")
 
-    return _shown(read_predictions(spark, _once(spark, sf_dir, "stream", make)))
+    return _shown(read_predictions(spark, _streamed(spark, sf_dir, make)))
+
+
+def _streamed(spark, sf_dir, make=None):
+    def plain(path):
+        score_new_files(spark, _lines(spark, sf_dir, files=3), path, DigestScorer, CONTRACT, model_sha256=MODEL, max_files_per_trigger=2)
+
+    return _once(spark, sf_dir, "stream", make or plain)
+
+
+def _table_rows_sql(source: str) -> str:
+    """One row for each row of the four tables: table, document, and a text of what else the row holds."""
+    return f"""
+SELECT 'documents' AS table_name, sample_id, roots || ' / ' || exact || ' / ' || auxiliary_primary || ' / ' || document_state AS content FROM (
+    SELECT sample_id, roots, exact, {PRIMARY_SQL} AS auxiliary_primary, {STATE_JSON_SQL} AS document_state FROM {source})
+UNION ALL SELECT 'root_membership', sample_id, code || ' ' || round(score * 1000000)::BIGINT FROM root_sel
+UNION ALL SELECT 'exact_membership', sample_id, code || ' ' || round(score * 1000000)::BIGINT FROM kept
+UNION ALL SELECT 'review_queue', sample_id, array_to_string(list_filter([CASE WHEN exact = '' THEN 'no_exact_label' END,
+    CASE WHEN input_tokens > 768 THEN 'token_truncated' END, CASE WHEN raw_windowed THEN 'raw_windowed' END], lambda x: x IS NOT NULL), ',')
+    FROM {source} WHERE exact = '' OR input_tokens > 768 OR raw_windowed"""
+
+
+def _table_rows(tables):
+    """The four exported tables in one: see the SQL above."""
+    labels = F.concat_ws(" / ", F.array_join("roots", "|"), F.array_join("exact", "|"), "auxiliary_primary", "document_state_json")
+    score = F.round(F.col("score") * 1_000_000).cast("bigint").cast("string")
+    parts = [tables["documents"].select(F.lit("documents").alias("table_name"), "sample_id", labels.alias("content"))]
+    for kind in ("root", "exact"):
+        name = f"{kind}_membership"
+        parts.append(tables[name].select(F.lit(name).alias("table_name"), "sample_id", F.concat_ws(" ", "code", score).alias("content")))
+    parts.append(tables["review_queue"].select(F.lit("review_queue").alias("table_name"), "sample_id", F.array_join("reasons", ",").alias("content")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+@query("incremental_export", f"WITH {SCORED_SQL} {_table_rows_sql('scored')}")
+def incremental_export(spark, sf_dir):
+    """All four tables of the batches that a stream has committed."""
+    source = _streamed(spark, sf_dir)
+    path = _once(spark, sf_dir, "stream-tables", lambda path: export_increments(spark, source, path, check_references=True))
+    return _table_rows(read_exports(spark, path)[1])
+
+
+@query("incremental_positions", f"""
+SELECT count(*) AS documents, count(*) AS positions, 0::BIGINT AS first_pos, count(*) - 1 AS last_pos FROM documents""")
+def incremental_positions(spark, sf_dir):
+    """Positions over all batches: each once, without a hole, and rising from batch to batch."""
+    source = _streamed(spark, sf_dir)
+    rows = read_predictions(spark, source)
+    found = rows.agg(
+        F.count(F.lit(1)).alias("documents"), F.countDistinct("input_pos").alias("positions"),
+        F.min("input_pos").alias("first_pos"), F.max("input_pos").alias("last_pos"),
+    )
+    log = read_receipts(spark, source).select("shard_index", "first_pos", (F.col("first_pos") + F.col("rows") - 1).alias("last"))
+    strays = rows.join(log, "shard_index").where(~F.col("input_pos").between(F.col("first_pos"), F.col("last")))
+    one = F.lit(1)
+    none = strays.agg(F.count(one).alias("strays")).where("strays = 0").select(one.alias("k"))
+    return found.withColumn("k", one).join(none, "k").drop("k")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from dataclasses import dataclass
 
@@ -18,7 +19,7 @@ from taxaflow.schemas import DOCUMENT, PREDICTION, SHARDS
 from taxaflow.sources import storage
 from taxaflow.session import configure
 
-JOB_FORMAT = "taxaflow-job-v1"
+JOB_FORMAT = "taxaflow-job-v2"
 
 JOB_DOCUMENTS = T.StructType([
     *DOCUMENT.fields,
@@ -35,8 +36,14 @@ RECEIPTS = T.StructType([
     T.StructField("input_digest", T.StringType()),
     T.StructField("predictions_digest", T.StringType()),
     T.StructField("seconds", T.DoubleType()),
+    T.StructField("model_calls", T.LongType()),
+    T.StructField("first_pos", T.LongType()),
 ])
 
+MANIFEST = "manifest.json"
+BINDING = "run_binding.json"
+EXPORT_RECEIPT = "export_receipt.json"
+
 
 @dataclass
 class Job:
@@ -45,34 +52,45 @@ class Job:
     path: str
     manifest: dict
     manifest_sha256: str
+    data: str
     shards: DataFrame
     documents: DataFrame
 
 
 def write_json_record(spark: SparkSession, record: dict, path: str) -> None:
-    """One JSON record as a one-row text table; an existing one is never replaced."""
-    line = json.dumps(record, ensure_ascii=False, sort_keys=True, allow_nan=False)
-    spark.range(0, 1, 1, 1).select(F.lit(line).alias("value")).write.mode("errorifexists").text(path)
+    """One JSON record in a file of its own; an existing one is never replaced."""
+    storage.put_if_absent(spark, path, json.dumps(record, ensure_ascii=False, sort_keys=True, allow_nan=False) + "\n")
+
+
+def _read_line(spark: SparkSession, path: str) -> str:
+    lines = [r[0] for r in spark.read.text(path, wholetext=True).collect()]
+    if len(lines) != 1 or not lines[0].endswith("}\n"):
+        raise InvalidInput(f"Not a finished record: {path}")
+    return lines[0]
 
 
 def read_json_record(spark: SparkSession, path: str) -> dict:
-    line = spark.read.text(path).first()
-    if line is None:
-        raise InvalidInput(f"Empty record: {path}")
-    return json.loads(line[0])
+    return json.loads(_read_line(spark, path))
 
 
 def read_job(spark: SparkSession, path: str) -> Job:
-    """Open a prepared job and check its shard table against the manifest."""
+    """Open a prepared job: the manifest says where its data is.  The shard table is checked against it."""
     configure(spark)
-    line = spark.read.text(f"{path}/manifest").select("value", F.sha2("value", 256).alias("sha")).first()
-    manifest = json.loads(line["value"])
+    line = _read_line(spark, f"{path}/{MANIFEST}")
+    manifest = json.loads(line)
     if manifest.get("format") != JOB_FORMAT:
         raise InvalidInput("Not a job manifest of this library")
-    shards = spark.read.schema(SHARDS).parquet(f"{path}/shards")
+    data = f"{path}/{manifest['data']}"
+    shards = spark.read.schema(SHARDS).parquet(f"{data}/shards")
     require_valid_manifest(shards, manifest["rows"])
-    documents = spark.read.schema(JOB_DOCUMENTS).parquet(f"{path}/documents")
-    return Job(path, manifest, line["sha"], shards, documents)
+    documents = spark.read.schema(JOB_DOCUMENTS).parquet(f"{data}/{manifest['documents']}")
+    return Job(path, manifest, hashlib.sha256(line.encode()).hexdigest(), data, shards, documents)
+
+
+def read_exports(spark: SparkSession, path: str) -> tuple[dict, dict[str, DataFrame]]:
+    """Receipt and tables of a finished export."""
+    receipt = read_json_record(spark, f"{path}/{EXPORT_RECEIPT}")
+    return receipt, {name: spark.read.parquet(f"{path}/{receipt['tables']}/{name}") for name in receipt["counts"]}
 
 
 def read_manifest_file(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -72,7 +72,7 @@ def read_records(
     if lines:
         scanned = scan_lines(spark, lines, max_record_chars)
         if spread:
-            scanned = scanned.repartition(spread, F.floor(F.col("seq") / RUN_LINES))
+            scanned = scanned.repartition(spread, F.floor(F.col("seq") / RUN_LINES)).sortWithinPartitions(*ORDER)
         parts.append(fields_from_lines(scanned, id_field, text_field))
     for scan in scan_tables(spark, tables, [id_field, text_field, *RECORD_COLUMNS]) if tables else []:
         parts.append(fields_from_columns(scan, id_field, text_field, place=PLACE))

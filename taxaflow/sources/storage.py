@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -51,12 +54,34 @@ def write_table(df: DataFrame, path: str, mode: str = "errorifexists", **options
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def publish(spark: SparkSession, staged: str, target: str) -> None:
-    """Make a finished staging folder visible under its final name in one rename."""
-    source, fs = _path(spark, staged)
-    final, _ = _path(spark, target)
-    if fs.exists(final):
-        raise FileExistsError(target)
-    fs.mkdirs(final.getParent())
-    if not fs.rename(source, final):
-        raise OSError(f"Could not publish {target}")
+def put_if_absent(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small file that must not exist yet.
+
+    This is how everything is published: data lies under its final path before, and readers follow the file that names
+    it.  Data is never renamed, so a store without cheap renames costs nothing extra.
+    """
+    handle, fs = _path(spark, path)
+    fs.mkdirs(handle.getParent())
+    try:
+        out = fs.create(handle, False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName() or fs.exists(handle):
+            raise FileExistsError(path) from None
+        raise
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()
+
+
+def new_part(kind: str) -> str:
+    """Name of a folder for one attempt's data; no two attempts share one."""
+    return f"{kind}-{uuid.uuid4().hex[:16]}"
+
+
+def discard(spark: SparkSession, part: str) -> None:
+    """Delete an attempt's own data, and the folder around it if nothing else is there."""
+    remove(spark, part)
+    parent, fs = _path(spark, part.rstrip("/").rsplit("/", 1)[0])
+    if fs.exists(parent) and not len(fs.listStatus(parent)):
+        fs.delete(parent, False)

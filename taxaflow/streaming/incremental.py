@@ -17,23 +17,19 @@ from pyspark.sql.types import StructType
 
 from taxaflow.errors import DuplicateDocuments, IntegrityError, InvalidInput
 from taxaflow.functions.metadata import reprint_stored
-from taxaflow.operators.duplicates import repeated_ids
 from taxaflow.operators.integrity import content_digest, require_empty
 from taxaflow.operators.normalize import normalize_fields
 from taxaflow.operators.sharding import shard_id
 from taxaflow.operators.taxonomy import HeadContract
-from taxaflow.plans.prepare import with_content_hash
-from taxaflow.plans.run import bind, code_digest, identity_faults, label, prediction_digests
+from taxaflow.plans.prepare import numbered, with_content_hash
+from taxaflow.plans.run import bind, code_digest, identity_faults, label, stored_receipts
 from taxaflow.schemas import DOCUMENT_FIELDS
 from taxaflow.session import configure
 from taxaflow.sources import storage
-from taxaflow.sources.jobs import commits, read_predictions
+from taxaflow.sources.jobs import commits, read_receipts
 from taxaflow.sources.records import MAX_RECORD_CHARS, RECORD_COLUMNS, fields_from_columns, fields_from_lines, with_scan_errors
 from taxaflow.sources.tables import PLACE
-
-# Batches up to this many IDs are broadcast to the scan of the committed IDs.
-MAX_BROADCAST_IDS = 1_000_000
-
+from taxaflow.streaming.seen_ids import MAX_BROADCAST_IDS, add_run, merge_runs, seen_before
 
 def batch_name(batch_id: int) -> str:
     return f"batch-{batch_id:012d}"
@@ -50,14 +46,14 @@ def process_batch(
         return None
     began = time.perf_counter()
     # Parsed once; every later step reads columns of this table.
-    inbox = f"{output}/inbox/{name}"
+    inbox = f"{output}/inbox/{storage.new_part(name)}"
     # A stream cannot number rows; a batch can.
     seq = F.monotonically_increasing_id()
     if PLACE in arrived.columns:
         fields = fields_from_columns(arrived.withColumn(PLACE, F.col(PLACE).withField("seq", seq)), id_field, text_field, place=PLACE)
     else:
         fields = fields_from_lines(arrived.withColumn("seq", seq), id_field, text_field)
-    rows = storage.write_table(normalize_fields(fields, max_record_chars), inbox, "overwrite")
+    rows = storage.write_table(normalize_fields(fields, max_record_chars), f"{inbox}/rows")
     clean = F.size("violations") == 0
     facts = rows.agg(
         F.count(F.lit(1)).alias("rows"), F.count(F.when(~clean, 1)).alias("bad"), F.count("exact_line").alias("inexact")
@@ -67,26 +63,27 @@ def process_batch(
         raise InvalidInput(f"{facts['bad']} bad records, for example {[tuple(r) for r in shown]}")
     if not facts["rows"]:
         return None
-    repeated = repeated_ids(rows, read_predictions(spark, output), small_batch=facts["rows"] <= MAX_BROADCAST_IDS)
+    ids = f"{output}/ids"
+    merge_runs(spark, ids, batch_id)
+    repeated = seen_before(rows, ids, batch_id, small_batch=facts["rows"] <= MAX_BROADCAST_IDS)
     require_empty(repeated, "Documents arrived twice", DuplicateDocuments)
-    rows = reprint_stored(rows, facts["inexact"])
-    place = rows.select(
-        *DOCUMENT_FIELDS, F.lit(batch_id).cast("bigint").alias("shard_index"),
-        F.xxhash64("file_path", "block_start", "seq").alias("input_pos"),
+    # Positions go on where the batch before ended: the receipts are the log of it.
+    earlier = read_receipts(spark, output).where(F.col("shard_index") < batch_id)
+    first_pos = earlier.agg(F.coalesce(F.max(F.col("first_pos") + F.col("rows")), F.lit(0))).first()[0]
+    placed = numbered(rows, rows, inbox, 1, hashed=False)
+    place = reprint_stored(placed, facts["inexact"]).select(
+        *DOCUMENT_FIELDS, F.lit(batch_id).cast("bigint").alias("shard_index"), (F.col("input_pos") + first_pos).alias("input_pos")
     )
     target = f"{output}/predictions/{name}"
     labelled = label(place, factory, contract, batch_size=batch_size, own_tokens=own_tokens, profile=profile)
     written = storage.write_table(labelled, target, "overwrite")
     require_empty(identity_faults(place, written), "Scorer output does not match its documents", IntegrityError)
-    inputs = content_digest(with_content_hash(place), ["shard_index"], "row_sha256", "row_bytes").withColumnRenamed(
-        "digest", "input_digest"
-    )
-    outputs = prediction_digests(written).select("shard_index", F.col("digest").alias("predictions_digest"))
+    add_run(rows, ids, batch_id)
+    inputs = content_digest(with_content_hash(place), ["shard_index"], "row_sha256", "row_bytes")
+    shard = inputs.withColumn("id", shard_id(F.col("shard_index")))
     seconds = time.perf_counter() - began
-    inputs.join(outputs, "shard_index").select(
-        "shard_index", shard_id(F.col("shard_index")).alias("id"), "rows", "input_digest", "predictions_digest",
-        F.lit(seconds).cast("double").alias("seconds"),
-    ).write.mode("overwrite").parquet(f"{output}/receipts/{name}")
+    receipt = stored_receipts(shard, written, seconds).withColumn("first_pos", F.lit(first_pos).cast("bigint"))
+    receipt.write.mode("overwrite").parquet(f"{output}/receipts/{name}")
     storage.remove(spark, inbox)
     return dict(batch=batch_id, rows=facts["rows"], seconds=seconds)
 
@@ -153,8 +150,7 @@ def score_new_files(
         .start()
     )
     running.awaitTermination()
-    rows = sum(d["rows"] for d in done)
     return dict(
-        status="complete" if done else "already_complete", batches=len(done), processed_rows=rows,
+        state="finished" if done else "nothing_to_do", batches=len(done), scored=sum(d["rows"] for d in done),
         committed=len(commits(spark, output)),
     )

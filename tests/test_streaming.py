@@ -55,10 +55,10 @@ def test_new_files_are_scored_once(spark, tmp_path):
     put(folder, "1.jsonl", ["a1", "a2"])
     put(folder, "2.jsonl", ["b1"])
     first = score(spark, folder, out)
-    assert (first["batches"], first["processed_rows"]) == (2, 3)
-    assert score(spark, folder, out, factory=Unloadable)["status"] == "already_complete"
+    assert (first["batches"], first["scored"]) == (2, 3)
+    assert score(spark, folder, out, factory=Unloadable)["state"] == "nothing_to_do"
     put(folder, "3.jsonl", ["c1"])
-    assert score(spark, folder, out)["processed_rows"] == 1
+    assert score(spark, folder, out)["scored"] == 1
     assert ids(spark, out) == ["a1", "a2", "b1", "c1"]
     assert [r["rows"] for r in read_receipts(spark, out).orderBy("shard_index").collect()] == [2, 1, 1]
 
@@ -70,12 +70,12 @@ def test_tables_and_compressed_lines(spark, tmp_path):
         pq.write_table(pa.Table.from_pylist([dict(key=i, body=f"text {i}") for i in rows]), folder / f"{name}.parquet")
     schema = spark.read.parquet(str(folder)).schema
     options = dict(table_schema=schema, id_field="key", text_field="body")
-    assert score(spark, folder, out, **options)["processed_rows"] == 3
+    assert score(spark, folder, out, **options)["scored"] == 3
     assert ids(spark, out) == ["a", "b", "c"]
     packed, out = tmp_path / "packed", str(tmp_path / "out2")
     packed.mkdir()
     (packed / "1.jsonl.gz").write_bytes(gzip.compress(b'{"sample_id":"z","text_window":"t"}\n\n'))
-    assert score(spark, packed, out)["processed_rows"] == 1
+    assert score(spark, packed, out)["scored"] == 1
 
 
 def test_death_before_and_after_a_commit(spark, tmp_path):
@@ -93,7 +93,7 @@ def test_death_before_and_after_a_commit(spark, tmp_path):
         score(spark, folder, out, on_commit=die)
     assert ids(spark, out) == ["a1", "a2", "b1"]
     # The stream does not know that the batch was published; its receipt does.
-    assert score(spark, folder, out, factory=Unloadable)["status"] == "already_complete"
+    assert score(spark, folder, out, factory=Unloadable)["state"] == "nothing_to_do"
     assert ids(spark, out) == ["a1", "a2", "b1"]
 
 
