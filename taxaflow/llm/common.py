@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +71,38 @@ def pieces(sizes: list[int], limit: int = PIECE_BYTES) -> Iterator[slice]:
         yield slice(begin, len(sizes))
 
 
+def give_back() -> None:
+    """Return what a Python worker has freed to the system; workers live on, and later stages start others beside them."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def lean(function: Callable) -> Callable:
+    """A function of one batch that gives memory back when it is done."""
+    @functools.wraps(function)
+    def run(*args):
+        try:
+            return function(*args)
+        finally:
+            give_back()
+
+    return run
+
+
+def lean_stage(function: Callable) -> Callable:
+    """A function from batches to batches that gives memory back after each."""
+    @functools.wraps(function)
+    def run(batches):
+        for out in function(batches):
+            yield out
+            give_back()
+
+    return run
+
+
 def as_text(value: object) -> str:
     """A cell of a pandas string column: missing values are empty texts."""
     return value if isinstance(value, str) else ""

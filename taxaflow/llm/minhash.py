@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import IntegerType
 
-from taxaflow.llm.common import PIECE_BYTES, as_text, pieces, small_batches, stored, text_or_empty
+from taxaflow.llm.common import PIECE_BYTES, as_text, lean, lean_stage, pieces, small_batches, stored, text_or_empty
 from taxaflow.llm.components import connected_components
 from taxaflow.llm.wordsets import mix, shingle_sets
 
@@ -82,6 +82,7 @@ def signatures(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray, np
 
 def _sketcher(width: int):
     @pandas_udf("struct<n:bigint,f1:bigint,f2:bigint,tokens:array<bigint>,sig:binary>")
+    @lean
     def sketch(texts: pd.Series) -> pd.DataFrame:
         sizes, sums, tokens, marks = signatures([as_text(t) for t in texts], width)
         return pd.DataFrame({"n": sizes, "f1": sums[:, 0].view(np.int64), "f2": sums[:, 1].view(np.int64), "tokens": list(tokens.view(np.int64)), "sig": [m.tobytes() for m in marks]})
@@ -143,6 +144,7 @@ def linked(first: list[str], second: list[str], width: int, percent: int) -> np.
 
 def _confirmer(width: int, percent: int):
     @pandas_udf("boolean")
+    @lean
     def confirm(first: pd.Series, second: pd.Series) -> pd.Series:
         return pd.Series(linked([as_text(t) for t in first], [as_text(t) for t in second], width, percent))
 
@@ -301,7 +303,7 @@ def _open_pairs(members: DataFrame, compared: DataFrame, classes: DataFrame, nee
     asked = blocks.select("token", F.col("members").alias("first"), F.explode("partners").alias("p"))
     other = blocks.select("token", F.col("cell").alias("other"), F.col("salt").alias("number"), F.col("members").alias("second"))
     met = asked.select("token", "first", F.col("p.cell").alias("other"), F.col("p.salt").alias("number")).join(other, ["token", "other", "number"]).select("token", "first", "second")
-    pairs = alone.unionAll(met).mapInArrow(_comparer(needed, percent), "a bigint, b bigint")
+    pairs = alone.unionAll(met).mapInArrow(lean_stage(_comparer(needed, percent)), "a bigint, b bigint")
     return pairs.distinct().join(compared, ["a", "b"], "left_anti")
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from taxaflow.llm.common import as_text, stored, text_or_empty
+from taxaflow.llm.common import as_text, lean, lean_stage, stored, text_or_empty
 
 # The base patterns.
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
@@ -224,6 +224,7 @@ def _joined(spans: list[tuple[str, int, int]]) -> str:
 def scanner(formats: Formats | None):
     """A column function: text -> struct<n_assign, n_access, n_hex, base, spans>."""
     @pandas_udf("struct<n_assign:bigint,n_access:bigint,n_hex:bigint,base:string,spans:string>")
+    @lean
     def scan(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for value in texts:
@@ -267,7 +268,7 @@ def _sampled(rows: int):
 
 def fit_formats(documents: DataFrame, rows: int = LABELLED_ROWS) -> Formats:
     """Fit on a bounded sample of labelled tokens: the ``rows`` distinct ones of each kind that come first by hash."""
-    tokens = stored(documents.select("text").mapInPandas(_sampled(rows), "kind string, place bigint, token string"), "credentials")
+    tokens = stored(documents.select("text").mapInPandas(lean_stage(_sampled(rows)), "kind string, place bigint, token string"), "credentials")
     by_kind = {}
     for kind in ("", *BASE_KINDS):
         sample = tokens.where(F.col("kind") == kind).select("place", "token").distinct().orderBy("place", "token").limit(rows)
@@ -288,6 +289,7 @@ def secret_digest(documents: DataFrame, formats: Formats | None) -> DataFrame:
 def redact(text: Column, spans: Column, mark: str = "[secret]") -> Column:
     """The text with each listed span replaced by ``mark``; overlapping spans become one mark."""
     @pandas_udf("string")
+    @lean
     def replaced(texts: pd.Series, listed: pd.Series) -> pd.Series:
         out = []
         for value, spans in zip(texts, listed, strict=True):

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from taxaflow.llm.common import as_text, share, shared_value, stored, text_or_empty
+from taxaflow.llm.common import as_text, give_back, lean_stage, share, shared_value, stored, text_or_empty
 
 LABELLED_ROWS = 10_000  # most labelled documents of each class that the lexicon is learned from
 LEXICON_ENTRIES = 5_000  # most lexicon entries, strongest first
@@ -159,7 +159,7 @@ def learn_lexicon(documents: DataFrame, labels: DataFrame, rows: int = LABELLED_
     totals = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not totals.get(0) or not totals.get(1):
         return Lexicon()
-    counts = sample.mapInPandas(_term_counts, "term string, label int, n bigint").groupBy("term").agg(
+    counts = sample.mapInPandas(lean_stage(_term_counts), "term string, label int, n bigint").groupBy("term").agg(
         F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("bad"), F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("good"))
     ratio = ((F.col("bad") + 0.5) / (totals[1] + 1)) / ((F.col("good") + 0.5) / (totals[0] + 1))
     kept = counts.where((F.col("bad") >= LEAST_TOXIC) & (ratio >= LEAST_RATIO)).select("term", F.log(ratio).alias("weight"), "bad")
@@ -168,7 +168,7 @@ def learn_lexicon(documents: DataFrame, labels: DataFrame, rows: int = LABELLED_
     entries = {r["term"]: r["weight"] for r in top}
     lexicon = Lexicon(entries, _exceptions(sample, entries))
     shared = share(sample.sparkSession, lexicon)
-    pairs = sample.mapInPandas(_feature_rows(shared), "weight double, density double, label int").toPandas()
+    pairs = sample.mapInPandas(lean_stage(_feature_rows(shared)), "weight double, density double, label int").toPandas()
     lexicon.curve = fit_curve(pairs[["weight", "density"]].to_numpy(), pairs["label"].to_numpy())
     return lexicon
 
@@ -190,7 +190,7 @@ def _exceptions(sample: DataFrame, entries: dict[str, float]) -> list[str]:
                 counts.update((p, int(label)) for p in found)
             yield pd.DataFrame([(p, y, n) for (p, y), n in counts.items()], columns=["phrase", "label", "n"])
 
-    counted = sample.mapInPandas(phrases, "phrase string, label int, n bigint").groupBy("phrase").agg(
+    counted = sample.mapInPandas(lean_stage(phrases), "phrase string, label int, n bigint").groupBy("phrase").agg(
         F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("bad"), F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("good"))
     spared = counted.where((F.col("bad") == 0) & (F.col("good") >= LEAST_TOXIC)).orderBy(F.col("good").desc(), "phrase").limit(LEXICON_ENTRIES)
     return [r["phrase"] for r in spared.collect()]
@@ -219,6 +219,8 @@ def toxicity_score(text: Column, lexicon: Lexicon, spark) -> Column:
                 yield pd.Series(np.zeros(len(texts)))
             else:
                 yield pd.Series(probability(features([as_text(t) for t in texts], automaton), lexicon.curve))
+            del texts
+            give_back()
 
     return score(text)
 
