@@ -7,10 +7,13 @@ only lists with two members or more are read (skip merging).  Where two classes
 on whole signatures: SHARED coordinates and ``needed`` single min-hashes must agree.  What is left is confirmed
 on full sets.
 
-Only components are asked for, so a list is not expanded into all pairs.  In ROUNDS rounds every member is compared
-with pivots of its lists that stand in other components.  Lists that span several components then are cut into
-blocks of BLOCK members by size of set, and blocks are compared with array code.  Left out are only pairs within one
-component and pairs of sets whose sizes alone rule out a link; a pair that meets in several lists is found in each.
+Only components are asked for, so a list is not expanded into all pairs.  First every member is compared with pivots
+of its lists that stand in other components.  Lists that still span several components are cut into blocks of BLOCK
+members by size of set, and blocks are compared with array code in two passes: the first one, on signatures, tells which
+members of a list may be linked with some other; the second one compares the full sets of these, again in blocks, and hands
+on links alone.  So what is moved follows the members of lists, not their pairs.  A pair that meets in several lists is
+judged in the one of its lowest common coordinate, by the tokens that both are posted under.  Left out are only pairs
+within one component and pairs of sets whose sizes alone rule out a link.
 
 A text without words has an empty set and is linked with nothing; NULL is such a text.  Rows of one doc_id are one
 document.  Rows without doc_id are linked with nothing, have no component_id, and are kept.
@@ -38,12 +41,13 @@ ROWS = 4  # min-hashes in one coordinate
 SHARED = 2  # coordinates that a pair must share
 MISSED = 1e-6  # most probability that a pair exactly at the threshold agrees in too few min-hashes
 PIVOTS = 2  # pivots a class is compared with in a round, most alike ones first
-ROUNDS = 2  # rounds of pivots before what is left is compared in full
+ROUNDS = 1  # rounds of pivots before what is left is compared in blocks
 BLOCK = 256  # members of a list that are compared at once with as many others
-PAIRS_OUT = 1 << 17  # pairs that a task gathers before it hands them on
+BLOCK_SHINGLES = 1 << 16  # and about how many shingles they have, where full sets are compared
 
 _MIN_HASHES = COORDINATES * ROWS
 _FACTORS = mix(np.arange(1, _MIN_HASHES + 1, dtype=np.uint64)) | np.uint64(1)
+_SUM_SEEDS = (0x5851F42D4C957F2D, 0x14057B7EF767814F)
 _MASKS = mix(np.arange(1001, _MIN_HASHES + 1001, dtype=np.uint64))
 
 
@@ -71,7 +75,7 @@ def signatures(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray, np
         if not len(rows):
             continue
         begin = (np.cumsum(counts) - counts)[counts > 0]
-        for k, seed in enumerate((0x5851F42D4C957F2D, 0x14057B7EF767814F)):
+        for k, seed in enumerate(_SUM_SEEDS):
             sums[rows, k] = np.add.reduceat(mix(hashes ^ np.uint64(seed)), begin)
         for k in range(_MIN_HASHES):
             least = mix(np.minimum.reduceat((hashes ^ _MASKS[k]) * _FACTORS[k], begin))
@@ -157,8 +161,13 @@ def sketch_documents(docs: DataFrame, width: int) -> DataFrame:
     return sketched.select("doc_id", "s.n", "s.f1", "s.f2", "s.tokens", "s.sig")
 
 
-def prefix_postings(classes: DataFrame, percent: int) -> DataFrame:
-    """(rep, f1, band, token): the rarest values of each class, as far as another class has them too.
+def _band(percent: int) -> float:
+    """Sizes of sets in one band differ by this factor at most."""
+    return 100 / percent * (1 + 1e-9)
+
+
+def prefix_lists(classes: DataFrame, percent: int) -> DataFrame:
+    """(rep, f1, band, tokens): the rarest values of each class, as far as another class has them too.
 
     Sets whose sizes allow a link lie in one band of sizes or in neighbouring ones.
     """
@@ -168,8 +177,8 @@ def prefix_postings(classes: DataFrame, percent: int) -> DataFrame:
     # Values that no other class has are the rarest of all: they fill the prefix first.
     room = F.size("own") - (SHARED - 1)
     kept = own.where(room > 0).select("rep", "f1", "n", F.transform(F.slice("own", 1, room), lambda x: x["token"]).alias("tokens"))
-    band = F.floor(F.log("n") / math.log(100 / percent * (1 + 1e-9))).cast("int")
-    return kept.select("rep", "f1", band.alias("band"), F.explode("tokens").alias("token"))
+    band = F.floor(F.log("n") / math.log(_band(percent))).cast("int")
+    return kept.select("rep", "f1", band.alias("band"), "tokens")
 
 
 @pandas_udf(IntegerType())
@@ -226,24 +235,28 @@ def _members(postings: DataFrame, components: DataFrame | None) -> DataFrame:
     return stored(placed.join(spanning, "token"), "members")
 
 
-def _blocks(members: DataFrame, classes: DataFrame) -> DataFrame:
+def _blocks(members: DataFrame, carried: DataFrame, percent: int) -> DataFrame:
     """(token, cell, salt, members, partners): lists cut by band of sizes, by whether members are in the list's
-    largest component, and by a hash, into blocks of about BLOCK members.
+    largest component, and by a hash, into blocks of about BLOCK members with what ``carried`` has of each.
 
-    A partner is another block of the list to compare with.  Blocks of the largest component are not compared
-    with each other.
+    Where sets are carried, a block also has some BLOCK_SHINGLES shingles at most, or one member.  A partner is another
+    block of the list to compare with.  Blocks of the largest component are not compared with each other.
     """
     groups = members.groupBy("token", "band", "component").agg(F.count("*").alias("n"))
     main = groups.groupBy("token").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
     cell = (F.col("band") * 2 + (F.col("component") != F.col("main")).cast("int")).alias("cell")
-    counted = groups.join(main, "token").groupBy("token", "main", cell).agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
+    count = F.sum("n")
+    if "shingles" in carried.columns:
+        largest = F.pow(F.lit(_band(percent)), F.max("band") + 1)
+        count = F.greatest(count, count * largest * BLOCK / BLOCK_SHINGLES)
+    counted = groups.join(main, "token").groupBy("token", "main", cell).agg(F.ceil(count / BLOCK).cast("int").alias("blocks"))
     lists = counted.groupBy("token", "main").agg(F.collect_list(F.struct("cell", "blocks")).alias("cells"))
     placed = members.join(lists, "token").withColumn("cell", cell)
     blocks = F.element_at(F.map_from_entries("cells"), F.col("cell"))
     placed = placed.withColumn("salt", F.pmod(F.xxhash64("rep"), blocks).cast("int")).select("token", "cell", "salt", "rep", "f1", "component", "cells")
-    signed = placed.join(classes.select("rep", "f1", "n", "sig"), ["rep", "f1"])
-    member = F.struct("rep", "n", "component", "sig")
-    grouped = signed.groupBy("token", "cell", "salt").agg(F.collect_list(member).alias("members"), F.first("cells").alias("cells"))
+    held = placed.join(carried, ["rep", "f1"])
+    member = F.struct("component", *[c for c in carried.columns if c != "f1"])
+    grouped = held.groupBy("token", "cell", "salt").agg(F.collect_list(member).alias("members"), F.first("cells").alias("cells"))
 
     def wanted(other: Column) -> Column:
         below, above = F.floor(F.col("cell") / 2), F.floor(other["cell"] / 2)
@@ -258,53 +271,108 @@ def _blocks(members: DataFrame, classes: DataFrame) -> DataFrame:
     return stored(grouped.select("token", "cell", "salt", "members", partners.alias("partners")), "blocks")
 
 
-def _comparer(needed: int, percent: int):
-    def part(column: pa.ListArray, row: int) -> dict[str, np.ndarray]:
-        found = column.slice(row, 1).flatten()
-        out = {name: found.field(name).to_numpy() for name in ("rep", "n", "component")}
-        return out | {"sig": np.frombuffer(b"".join(found.field("sig").to_pylist()), np.uint8).reshape(len(found), _MIN_HASHES)}
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs (a, b) of two blocks, or of one block, that may be linked."""
-        for batch in batches:
-            firsts, seconds = batch.column("first"), batch.column("second")
-            found, size = [np.zeros((0, 2), np.int64)], 0
-            for row in range(batch.num_rows):
-                x = part(firsts, row)
-                y = part(seconds, row) if seconds[row].is_valid else x
-                low, high = np.minimum.outer(x["n"], y["n"]), np.maximum.outer(x["n"], y["n"])
-                i, j = np.nonzero((x["component"][:, None] != y["component"][None]) & (100 * low >= percent * high))
-                if y is x:
-                    i, j = i[i < j], j[i < j]
-                # Whole coordinates first: most pairs that meet by chance share no second one.
-                same = x["sig"].view(np.uint32)[i] == y["sig"].view(np.uint32)[j]
-                may = np.flatnonzero(same.sum(1) >= SHARED)
-                i, j = i[may], j[may]
-                may = (x["sig"][i] == y["sig"][j]).sum(1) >= needed
-                found.append(np.stack([x["rep"][i[may]], y["rep"][j[may]]], 1))
-                size += len(found[-1])
-                if size >= PAIRS_OUT:
-                    yield packed(found)
-                    found, size = [], 0
-            if found:
-                yield packed(found)
-
-    def packed(found: list[np.ndarray]) -> pa.RecordBatch:
-        pairs = np.sort(np.concatenate(found), 1)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-
-    return compare
-
-
-def _open_pairs(members: DataFrame, compared: DataFrame, classes: DataFrame, needed: int, percent: int) -> DataFrame:
-    """Pairs of list members in different components that may be linked and have not been compared."""
-    blocks = _blocks(members, classes)
+def _block_pairs(blocks: DataFrame) -> DataFrame:
+    """(token, first, second): blocks to compare; second is NULL where a block is compared with itself."""
     alone = blocks.where("cell % 2 = 1 AND size(members) > 1").select("token", F.col("members").alias("first"), F.lit(None).cast(blocks.schema["members"].dataType).alias("second"))
     asked = blocks.select("token", F.col("members").alias("first"), F.explode("partners").alias("p"))
     other = blocks.select("token", F.col("cell").alias("other"), F.col("salt").alias("number"), F.col("members").alias("second"))
     met = asked.select("token", "first", F.col("p.cell").alias("other"), F.col("p.salt").alias("number")).join(other, ["token", "other", "number"]).select("token", "first", "second")
-    pairs = alone.unionAll(met).mapInArrow(lean_stage(_comparer(needed, percent)), "a bigint, b bigint")
-    return pairs.distinct().join(compared, ["a", "b"], "left_anti")
+    return alone.unionAll(met)
+
+
+def _block(column: pa.ListArray, row: int) -> dict:
+    """Members of one block as arrays; ``token`` and ``posted`` have a column for each coordinate."""
+    found = column.slice(row, 1).flatten()
+    out = {name: found.field(name).to_numpy() for name in ("rep", "n", "component")}
+    out["sig"] = np.frombuffer(b"".join(found.field("sig").to_pylist()), np.uint8).reshape(len(found), _MIN_HASHES)
+    lists = found.field("tokens")
+    values, owner = lists.flatten().to_numpy(), np.repeat(np.arange(len(found)), lists.value_lengths().to_numpy())
+    out["token"], out["posted"] = np.zeros((len(found), COORDINATES), np.int64), np.zeros((len(found), COORDINATES), bool)
+    place = values & (COORDINATES - 1)
+    out["token"][owner, place], out["posted"][owner, place] = values, True
+    if any(f.name == "shingles" for f in found.type):
+        out["sets"] = [np.frombuffer(x, np.uint64) for x in found.field("shingles").to_pylist()]
+    return out
+
+
+def candidates(x: dict, y: dict, coordinate: int, needed: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of two blocks of a list (or of one) that may be linked and have no common list of a lower coordinate."""
+    low, high = np.minimum.outer(x["n"], y["n"]), np.maximum.outer(x["n"], y["n"])
+    i, j = np.nonzero((x["component"][:, None] != y["component"][None]) & (100 * low >= percent * high))
+    if y is x:
+        i, j = i[i < j], j[i < j]
+    # Whole coordinates first: most pairs that meet by chance share no second one.
+    may = np.flatnonzero((x["sig"].view(np.uint32)[i] == y["sig"].view(np.uint32)[j]).sum(1) >= SHARED)
+    i, j = i[may], j[may]
+    before = (x["token"][i, :coordinate] == y["token"][j, :coordinate]) & x["posted"][i, :coordinate] & y["posted"][j, :coordinate]
+    may = np.flatnonzero(~before.any(1))
+    i, j = i[may], j[may]
+    may = (x["sig"][i] == y["sig"][j]).sum(1) >= needed
+    return i[may], j[may]
+
+
+def _scout(needed: int, percent: int):
+    def scout(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(token, rep) of the members that may be linked with another one of the list."""
+        for batch in batches:
+            tokens, reps = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for row, token in enumerate(batch.column("token").to_pylist()):
+                x = _block(batch.column("first"), row)
+                y = _block(batch.column("second"), row) if batch.column("second")[row].is_valid else x
+                i, j = candidates(x, y, token & (COORDINATES - 1), needed, percent)
+                reps.append(np.unique(np.concatenate([x["rep"][i], y["rep"][j]])))
+                tokens.append(np.full(len(reps[-1]), token, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), pa.array(np.concatenate(reps))], ["token", "rep"])
+
+    return scout
+
+
+def _judge(needed: int, percent: int):
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Links (a, b) between members of two blocks, or of one, by their full sets."""
+        for batch in batches:
+            found = [np.zeros((0, 2), np.int64)]
+            for row, token in enumerate(batch.column("token").to_pylist()):
+                x = _block(batch.column("first"), row)
+                y = _block(batch.column("second"), row) if batch.column("second")[row].is_valid else x
+                i, j = candidates(x, y, token & (COORDINATES - 1), needed, percent)
+                if len(i):
+                    common = _common([*x["sets"], *y["sets"]], i, j + len(x["sets"]))
+                    union = x["n"][i] + y["n"][j] - common
+                    linked = (common > 0) & (100 * common >= percent * union)
+                    found.append(np.sort(np.stack([x["rep"][i[linked]], y["rep"][j[linked]]], 1), 1))
+            pairs = np.concatenate(found)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    return judge
+
+
+def _full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(rep, f1, shingles): the full sets of the documents in ``ids``, as sorted hashes."""
+    @pandas_udf("struct<f1:bigint,shingles:binary>")
+    @lean
+    def sets(texts: pd.Series) -> pd.DataFrame:
+        out = []
+        for part in pieces([len(as_text(t)) for t in texts]):
+            hashes, counts = shingle_sets([as_text(t) for t in texts.iloc[part]], width)
+            for own in np.split(hashes, np.cumsum(counts)[:-1]):
+                out.append((int(mix(own ^ np.uint64(_SUM_SEEDS[0])).sum(dtype=np.uint64).view(np.int64)), own.tobytes()))
+        return pd.DataFrame(out, columns=["f1", "shingles"])
+
+    texts = docs.select(F.col("doc_id").alias("rep"), text_or_empty("text").alias("text")).join(ids, "rep", "left_semi")
+    found = texts.select("rep", sets("text").alias("s")).select("rep", "s.f1", "s.shingles")
+    return found.groupBy("rep", "f1").agg(F.first("shingles").alias("shingles"))
+
+
+def _links_in_blocks(members: DataFrame, classes: DataFrame, lists: DataFrame, docs: DataFrame, width: int, needed: int, percent: int) -> DataFrame:
+    """All links between members of a list that stand in different components."""
+    carried = stored(classes.select("rep", "f1", "n", "sig").join(lists.select("rep", "f1", "tokens"), ["rep", "f1"]), "carried")
+    scouted = _block_pairs(_blocks(members, carried, percent)).mapInArrow(lean_stage(_scout(needed, percent)), "token bigint, rep bigint")
+    involved = stored(scouted.distinct(), "involved")
+    left = stored(members.join(involved, ["token", "rep"], "left_semi"), "members")
+    sets = _full_sets(docs, involved.select("rep").distinct(), width)
+    judged = _block_pairs(_blocks(left, carried.join(sets, ["rep", "f1"]), percent))
+    return judged.mapInArrow(lean_stage(_judge(needed, percent)), "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 2, threshold: float = 0.8) -> DataFrame:
@@ -320,7 +388,8 @@ def _near_duplicates(docs: DataFrame, width: int, threshold: float) -> DataFrame
     rows = stored(sketch_documents(docs, width), "sketches")
     usable = rows.where("n > 0 AND doc_id IS NOT NULL")
     classes = stored(usable.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("sig").alias("sig")), "classes")
-    postings = stored(prefix_postings(classes, percent), "postings")
+    lists = stored(prefix_lists(classes, percent), "postings")
+    postings = lists.select("rep", "f1", "band", F.explode("tokens").alias("token"))
     # Rows of one doc_id with different sets tie their classes together.
     tied = usable.select("doc_id", "f1", "f2").join(classes.select("f1", "f2", "rep"), ["f1", "f2"]).groupBy("doc_id").agg(F.min("rep").alias("a"), F.collect_set("rep").alias("reps"))
     tied = tied.where(F.size("reps") > 1).select("a", F.explode("reps").alias("b")).where("a <> b")
@@ -334,8 +403,7 @@ def _near_duplicates(docs: DataFrame, width: int, threshold: float) -> DataFrame
         components = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
         if more.isEmpty():
             break
-    left = stored(_open_pairs(_members(postings, components), compared, classes, needed, percent), "pairs")
-    more = stored(_confirmed(left, docs, width, percent), "links")
+    more = stored(_links_in_blocks(_members(postings, components), classes, lists, docs, width, needed, percent), "links")
     if not more.isEmpty():
         components = connected_components(links.unionAll(more).select(F.col("a").alias("u"), F.col("b").alias("v")))
     found = classes.select("f1", "f2", "rep").join(components, classes["rep"] == components["node"], "left").select("f1", "f2", F.coalesce("component", "rep").alias("component"))
