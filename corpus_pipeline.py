@@ -1,7 +1,8 @@
 """From raw documents to a training mix: five stages, each written as a table before the next one reads it.
 
-Stages keep the columns of ``documents``; only the last one adds what the mix takes of each.  Rows without
-doc_id can't be addressed by other tables: they pass the stages that judge by id.
+Stages keep the columns of ``documents``; only the last one adds what the mix takes of each.  Toxicity, contamination and
+secrets are judged by a row's text.  Near-duplicates are told apart by doc_id: rows without one are kept, and so are all
+rows of a doc_id that is kept.  Columns of other names go through; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from taxaflow.llm.common import stored, table, text_or_empty
 from taxaflow.llm.decontamination import find_contamination
 from taxaflow.llm.minhash import near_duplicates
 from taxaflow.llm.mixing import mix_sources, with_keys
-from taxaflow.llm.secret_scan import find_secrets, fit_formats, redact
+from taxaflow.llm.secret_scan import fit_formats, redact_texts
 from taxaflow.llm.toxicity import held_out, learn_lexicon, toxicity_score
 
 SHINGLE_WORDS = 5
@@ -38,17 +39,21 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of the benchmark."""
     matches = find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    gone = stored(matches.where("exact").select("doc_id").where(F.col("doc_id").isNotNull()).distinct(), "contaminated")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = stored(matches.where("exact").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "contaminated")
+    # The text decides: rows of one doc_id may differ, and rows without one count too.
+    same = docs["doc_id"].eqNullSafe(gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_hash"])
+    return docs.join(gone, same, "left_anti").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret in their texts replaced; n_chars follows the text."""
-    found = find_secrets(docs, fit_formats(docs), into="_secrets")
-    spans = F.col("_secrets.spans")
-    changed = found.withColumn("text", F.when(spans == "", F.col("text")).otherwise(redact(F.col("text"), spans)))
+    flag = "_redacted"
+    while flag in docs.columns:
+        flag += "_"
+    changed = redact_texts(docs, fit_formats(docs), into=flag)
     if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.when(spans == "", F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        kind = docs.schema["n_chars"].dataType
+        changed = changed.withColumn("n_chars", F.when(F.col(flag), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     return changed.select(*docs.columns)
 
 

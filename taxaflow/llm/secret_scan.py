@@ -18,8 +18,10 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from taxaflow.llm.common import as_text, lean, lean_stage, stored, text_or_empty
@@ -286,22 +288,39 @@ def secret_digest(documents: DataFrame, formats: Formats | None) -> DataFrame:
     return found.select("doc_id", "s.n_assign", "s.n_access", "s.n_hex", F.sha2(F.col("s.base"), 256).alias("base_sha256"), "s.spans")
 
 
-def redact(text: Column, spans: Column, mark: str = "[secret]") -> Column:
-    """The text with each listed span replaced by ``mark``; overlapping spans become one mark."""
-    @pandas_udf("string")
-    @lean
-    def replaced(texts: pd.Series, listed: pd.Series) -> pd.Series:
-        out = []
-        for value, spans in zip(texts, listed, strict=True):
-            if not isinstance(value, str) or not spans:
-                out.append(value if isinstance(value, str) else None)
-                continue
-            parts, at = [], 0
-            for start, end in sorted(tuple(map(int, s.split(":")[1:])) for s in spans.split(",")):
-                if start >= at:
-                    parts += [value[at:start], mark]
-                at = max(at, end)
-            out.append("".join([*parts, value[at:]]))
-        return pd.Series(out, dtype=object)
-
-    return replaced(text, spans)
+def redacted_text(text: str, spans: list[tuple[str, int, int]], mark: str) -> str:
+    """The text with each span replaced by ``mark``; overlapping spans become one mark."""
+    parts, at = [], 0
+    for start, end in sorted((s, e) for _, s, e in spans):
+        if start >= at:
+            parts += [text[at:start], mark]
+        at = max(at, end)
+    return "".join([*parts, text[at:]])
+
+
+REDACTED_ROWS = 200
+
+
+def redact_texts(df: DataFrame, formats: Formats | None, text: str = "text", into: str = "redacted", mark: str = "[secret]") -> DataFrame:
+    """``df`` with every secret in ``text`` replaced, and ``into``: whether the row was changed.
+
+    Texts are searched and replaced in one pass, a few rows at a time; all other columns go through untouched.
+    """
+    schema = T.StructType([*df.schema.fields, T.StructField(into, T.BooleanType())])
+    place, names = df.columns.index(text), [f.name for f in schema.fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin in range(0, batch.num_rows, REDACTED_ROWS):
+                part = batch.slice(begin, REDACTED_ROWS)
+                texts, changed = part.column(place).to_pylist(), []
+                for i, value in enumerate(texts):
+                    spans = all_spans(value, formats, base_spans(value)) if value else []
+                    changed.append(bool(spans))
+                    if spans:
+                        texts[i] = redacted_text(value, spans, mark)
+                columns = list(part.columns)
+                columns[place] = pa.array(texts, columns[place].type)
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(changed, pa.bool_())], names)
+
+    return df.mapInArrow(lean_stage(run), schema)

@@ -175,16 +175,27 @@ def test_blocks_of_a_large_family(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs).collect()} == part
 
 
-def test_coordinate_equal_by_bytes_only():
-    """Two classes meet in the list of coordinate 5; the bytes of coordinate 0 are equal, its tokens need not be."""
+def test_a_pair_is_judged_in_its_lowest_common_list():
+    """Two classes meet in the lists of coordinates 5 and 7; the bytes of coordinate 0 are equal, its tokens are not."""
     first = np.arange(128, dtype=np.uint8)
     second = first.copy()
     second[4:20] += 128  # coordinates 1 to 4 differ
-    members = [{"rep": rep, "n": 100, "component": rep, "posted": 0b100001, "sig": sig.tobytes()} for rep, sig in ((8, first), (3, second))]
-    kind = pa.list_(pa.struct([(name, pa.int64()) for name in ("rep", "n", "component", "posted")] + [("sig", pa.binary())]))
-    batch = pa.RecordBatch.from_arrays([pa.array([5], pa.int64()), pa.array([members], kind), pa.array([None], kind)], ["token", "first", "second"])
-    pairs = [row for out in minhash._comparer(80, 80)([batch]) for row in out.to_pylist()]
-    assert pairs == [{"a": 3, "b": 8}]
+    tokens = {8: [32 * 100 + 0, 32 * 7 + 5, 32 * 9 + 7], 3: [32 * 200 + 0, 32 * 7 + 5, 32 * 9 + 7]}
+    shingles = {8: np.arange(100, dtype=np.uint64), 3: np.arange(10, 110, dtype=np.uint64)}
+    members = [{"component": rep, "rep": rep, "n": 100, "sig": sig.tobytes(), "tokens": tokens[rep], "shingles": shingles[rep].tobytes()}
+               for rep, sig in ((8, first), (3, second))]
+    fields = [("component", pa.int64()), ("rep", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("tokens", pa.list_(pa.int64())), ("shingles", pa.binary())]
+    kind = pa.list_(pa.struct(fields))
+
+    def out(stage, token):
+        batch = pa.RecordBatch.from_arrays([pa.array([token], pa.int64()), pa.array([members], kind), pa.array([None], kind)], ["token", "first", "second"])
+        return [tuple(row.values()) for part in stage([batch]) for row in part.to_pylist()]
+
+    assert out(minhash._scout(80, 80), tokens[3][1]) == [(tokens[3][1], 3), (tokens[3][1], 8)]
+    assert out(minhash._scout(80, 80), tokens[3][2]) == []
+    assert out(minhash._judge(80, 80), tokens[3][1]) == [(3, 8)]  # 90 of 110
+    assert out(minhash._judge(80, 82), tokens[3][1]) == []
+    assert out(minhash._scout(120, 80), tokens[3][1]) == []  # too few min-hashes agree
 
 
 def test_components_of_a_chain(spark):
@@ -276,8 +287,11 @@ def test_secrets(spark, documents):
     got = {r["doc_id"]: r for r in secret_scan.secret_digest(frame, formats).collect()}
     assert len(got) == len(rows) and got[102]["n_assign"] == 1 and got[103]["n_access"] == 1 and got[100]["spans"] == ""
     assert all(got[i]["n_assign"] == 1 and got[i]["n_hex"] == 1 for i in range(60))
-    cleaned = frame.withColumn("s", secret_scan.scanner(formats)(F.coalesce("text", F.lit("")))).select(secret_scan.redact(F.col("text"), F.col("s.spans")).alias("t"))
-    assert not any(k in (r["t"] or "") for r in cleaned.collect() for k in keys)
+    cleaned = secret_scan.redact_texts(frame.withColumn("spans", F.lit("own")), formats, into="changed")
+    assert cleaned.columns == ["doc_id", "text", "spans", "changed"]
+    for r in cleaned.collect():
+        assert not any(k in (r["text"] or "") for k in keys) and r["changed"] == bool(got[r["doc_id"]]["spans"])
+        assert r["text"] == rows[r["doc_id"] if r["doc_id"] < 60 else r["doc_id"] - 40][1] or r["changed"]
     assert secret_scan.secret_digest(frame.limit(0), secret_scan.fit_formats(frame.limit(0))).count() == 0
 
 
