@@ -247,10 +247,11 @@ def decode_long(ranked: DataFrame, *, key: str = "sample_id") -> DataFrame:
 
 
 def register_decode_function(spark: SparkSession, contract: HeadContract, name: str = "decode_memberships") -> None:
-    """SQL table function ``name(logits)`` -> rows ``kind, code, score``.
+    """SQL function ``name(logits)`` -> array of ``kind, code, score``, roots first.
 
-    Use as ``FROM t, LATERAL decode_memberships(t.logits)``.  The body is plain
-    SQL over the same rule, so calls are optimized like any other query.
+    Use as ``FROM (SELECT id, decode_memberships(logits) AS found FROM t) LATERAL VIEW OUTER inline(found) AS kind, code,
+    score`` (rows without labels then have NULLs).  The body is a plain expression over the same rule: each row is decoded
+    where it lies, once, without a join or a shuffle.
     """
     def literals(values: list[str]) -> str:
         return "array(" + ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values) + ")"
@@ -282,11 +283,11 @@ def register_decode_function(spark: SparkSession, contract: HeadContract, name:
     finite = "forall(l, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity'))"
     problem = f"cast(raise_error('Expected {contract.width} finite logits per document') AS array<float>)"
     guarded = f"if(size(l) = {contract.width} AND {finite}, l, {problem})"
+    def shown(kind: str, entries: str) -> str:
+        return f"transform({entries}, x -> named_struct('kind', '{kind}', 'code', x.code, 'score', x.score))"
+
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {name}(l ARRAY<FLOAT>)
-        RETURNS TABLE(kind STRING, code STRING, score DOUBLE)
-        RETURN SELECT m.kind, m.e.code, m.e.score FROM (
-            SELECT explode_outer(get(transform(array({guarded}), v -> concat(
-                transform({root_rows}, x -> named_struct('kind', 'root', 'e', x)),
-                transform({kept}, x -> named_struct('kind', 'exact', 'e', x)))), 0)) AS m) WHERE m.kind IS NOT NULL
+        RETURNS ARRAY<STRUCT<kind: STRING, code: STRING, score: DOUBLE>>
+        RETURN get(transform(array({guarded}), v -> concat({shown('root', root_rows)}, {shown('exact', kept)})), 0)
     """)

@@ -17,22 +17,38 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
 
 
-def has_duplicates(df: DataFrame, keys: list[str]) -> bool:
-    """True if any key occurs twice.  Shuffles 8-byte hashes, not the keys.
+# Doubled hashes up to this many (16 MB) are broadcast to the rows; more are joined by hash.
+MAX_BROADCAST_HASHES = 1_000_000
+
+
+def suspects(df: DataFrame, keys: list[str]) -> DataFrame | None:
+    """The rows' keys whose hash occurs twice; None if there are none.  Other keys are not moved."""
+    hashed = df.select(F.xxhash64(*keys).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    doubled = hashed.count()
+    if not doubled:
+        return None
+    marked = df.select(*keys, F.xxhash64(*keys).alias("h"))
+    return marked.join(F.broadcast(hashed) if doubled <= MAX_BROADCAST_HASHES else hashed, "h", "left_semi").select(*keys)
+
 
-    Only if two rows share a hash are the keys themselves compared, so a hash
-    collision never counts as a duplicate.
+def first_duplicates(df: DataFrame, keys: list[str], shown: int) -> list[tuple]:
+    """Some keys that occur twice.  Shuffles 8-byte hashes, and the keys of rows that share one.
+
+    Keys decide in the end, so a hash collision never counts as a duplicate.
     """
-    hashed = df.select(F.xxhash64(*keys).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-    if hashed.where("n > 1").isEmpty():
-        return False
-    return not duplicate_keys(df, keys).isEmpty()
+    found = suspects(df, keys)
+    return [] if found is None else [tuple(r)[:-1] for r in duplicate_keys(found, keys).limit(shown).collect()]
+
+
+def has_duplicates(df: DataFrame, keys: list[str]) -> bool:
+    """True if any key occurs twice."""
+    return bool(first_duplicates(df, keys, 1))
 
 
 def require_unique(df: DataFrame, keys: list[str]) -> None:
-    if has_duplicates(df, keys):
-        shown = [str(tuple(r)[:-1]) for r in duplicate_keys(df, keys).limit(5).collect()]
-        raise DuplicateDocuments("Duplicate IDs, for example " + ", ".join(shown))
+    shown = first_duplicates(df, keys, 5)
+    if shown:
+        raise DuplicateDocuments("Duplicate IDs, for example " + ", ".join(map(str, shown)))
 
 
 def repeated_ids(batch: DataFrame, committed: DataFrame, key: str = "sample_id", *, small_batch: bool = False) -> DataFrame:

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterator
+from urllib.parse import unquote
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxaflow.errors import BindingMismatch, IntegrityError, InvalidInput
+from taxaflow.sources.remote import can_open, open_file
 from taxaflow.sources.storage import qualified
 
 LANES = 4  # 32 bits each: sums of 2^31 rows still fit a BIGINT
@@ -34,19 +41,52 @@ def content_digest(df: DataFrame, by: list[str], row_sha256: str, row_bytes: str
     return totals.select(*by, "rows", "bytes", digest.alias("digest"), *[c for c in totals.columns if c not in computed])
 
 
-def file_inventory(spark: SparkSession, path: str, *, glob: str | None = None, content: bool = True) -> DataFrame:
-    """``path, bytes, sha256`` of all files below a folder; paths are relative to it.
+BLOCK_BYTES = 8 << 20
+HASHING_TASKS = 10_000  # most tasks that hash files
+EMPTY_SHA256 = hashlib.sha256().hexdigest()
+
+
+def _hash_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Size and SHA-256 of whole files of any size, read block by block."""
+    for batch in batches:
+        sizes, digests = [], []
+        for path in batch.column(0).to_pylist():
+            total, size = hashlib.sha256(), 0
+            with open_file(path) as handle:
+                while block := handle.read(BLOCK_BYTES):
+                    total.update(block)
+                    size += len(block)
+            sizes.append(size)
+            digests.append(total.hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.string())], ["path", "bytes", "sha256"])
 
-    Without ``content`` only names and sizes are listed.
+
+def hashed_files(spark: SparkSession, paths: list[str], *, glob: str | None = None, content: bool = True) -> DataFrame:
+    """``path, bytes, sha256`` of all files at or below some paths.
+
+    Tasks read each file in blocks, so a file may have any size.  In a store that tasks can't open, Spark reads files as
+    a whole, up to 2 GB each.  Without ``content`` only names and sizes are listed.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(path)
+    files = reader.load(paths)
+    names = [re.sub("^file:/+", "file:/", unquote(f)) for f in files.inputFiles()]
+    listed = spark.createDataFrame(pa.table({"path": pa.array(names, pa.string())}), "path string")
+    if content and all(can_open(qualified(spark, p)) for p in paths):
+        spread = listed.repartition(max(1, min(len(names), HASHING_TASKS)))
+        return spread.mapInArrow(_hash_files, "path string, bytes bigint, sha256 string")
+    none = F.lit(None).cast("string")
+    read = files.select("path", F.col("length").alias("bytes"), (F.sha2("content", 256) if content else none).alias("sha256"))
+    # Spark's scan leaves empty files out.
+    empty = listed.join(files.select("path"), "path", "left_anti")
+    return read.unionAll(empty.select("path", F.lit(0).cast("bigint"), F.lit(EMPTY_SHA256) if content else none))
+
+
+def file_inventory(spark: SparkSession, path: str, *, glob: str | None = None, content: bool = True) -> DataFrame:
+    """:func:`hashed_files` of a folder, with paths relative to it."""
     prefix = len(qualified(spark, path)) + 2
-    relative = F.substring("path", prefix, 1 << 20)
-    digest = F.sha2("content", 256) if content else F.lit(None).cast("string")
-    return files.select(relative.alias("path"), F.col("length").alias("bytes"), digest.alias("sha256"))
+    return hashed_files(spark, [path], glob=glob, content=content).withColumn("path", F.substring("path", prefix, 1 << 20))
 
 
 def is_safe_path(path: Column) -> Column:
@@ -96,11 +136,30 @@ def dangling(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return child.join(parent.select(key), key, "left_anti")
 
 
+def signed_counts(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` with the number of rows on either side; both tables are read once and meet in one shuffle.
+
+    Counts combine on the map side, so a value that fills a third of the rows is one row of each task.  NULLs are equal.
+    """
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    tagged = left.select(*columns, one.alias("in_left"), none.alias("in_right")).unionAll(
+        right.select(*columns, none.alias("in_left"), one.alias("in_right"))
+    )
+    return tagged.groupBy(*columns).agg(F.sum("in_left").alias("in_left"), F.sum("in_right").alias("in_right"))
+
+
+def surplus(counted: DataFrame, columns: list[str], left: Column, right: Column) -> DataFrame:
+    """As many rows of ``columns, side`` as one side has more."""
+    several = counted.select(
+        *columns, F.when(left > 0, "left").otherwise("right").alias("side"), F.greatest(left, right).cast("int").alias("n")
+    ).where("n > 0")
+    return several.select(*columns, "side", F.explode(F.array_repeat(F.lit(0), F.col("n"))).alias("one")).drop("one")
+
+
 def key_mismatch(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Keys only one of two tables has, with the side that has them."""
-    only_left = left.select(key).join(right.select(key), key, "left_anti").withColumn("side", F.lit("left"))
-    only_right = right.select(key).join(left.select(key), key, "left_anti").withColumn("side", F.lit("right"))
-    return only_left.unionByName(only_right)
+    """Keys only one of two tables has, with the side that has them, once for each row."""
+    here, there = F.col("in_left"), F.col("in_right")
+    return surplus(signed_counts(left, right, [key]), [key], F.when(there == 0, here).otherwise(0), F.when(here == 0, there).otherwise(0))
 
 
 def receipt_audit(shards: DataFrame, receipts: DataFrame, observed: DataFrame | None = None) -> DataFrame:

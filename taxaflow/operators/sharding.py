@@ -1,8 +1,8 @@
 """Positions, shards and batches without a global sort.
 
 A row's position is the number of rows in earlier input splits plus its place
-in its own split.  Only the table of splits (one row per split) is summed up in
-order; the documents themselves are neither sorted nor moved.
+in its own split.  Only the table of splits (one row per split) is summed up, in
+two steps; the documents themselves are neither sorted nor moved.
 """
 
 from __future__ import annotations
@@ -10,37 +10,50 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A split entry takes about 50 bytes, so this stays near 100 MB when broadcast.
+# A split is three numbers when broadcast, 24 bytes and some overhead, so this stays near 100 MB.
 MAX_BROADCAST_SPLITS = 2_000_000
 
 
+def split_key(split: list[str]) -> Column:
+    """A number for a split's path and offset; whoever joins by it checks that no two splits share one."""
+    return F.xxhash64(*split)
+
+
 def split_offsets(df: DataFrame, split: list[str], seq: str = "seq") -> DataFrame:
-    """One row per split: its columns, ``first_seq`` and ``offset`` (rows before it).
+    """One row per split: its columns and key, ``first_seq`` and ``offset`` (rows before it).
 
-    Map-side combining leaves one row per split; the running sum below goes
-    over those rows only.
+    Map-side combining leaves one row per split.  They are summed up inside each file, and over the files.
     """
     sizes = df.groupBy(*split).agg(F.count(F.lit(1)).alias("split_rows"), F.min(seq).alias("first_seq"))
-    before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.select(
-        *split, "first_seq", "split_rows",
-        F.coalesce(F.sum("split_rows").over(before), F.lit(0)).cast("bigint").alias("offset"),
+    files = sizes.groupBy(split[0]).agg(F.sum("split_rows").alias("file_rows"))
+    inside = Window.partitionBy(split[0]).orderBy(*split[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.col("file_offset") + F.coalesce(F.sum("split_rows").over(inside), F.lit(0))
+    return sizes.join(_file_offsets(files, split[0]), split[0]).select(
+        *split, split_key(split).alias("split_key"), "first_seq", "split_rows", offset.cast("bigint").alias("offset")
     )
 
 
-def with_position(df: DataFrame, offsets: DataFrame, split: list[str], seq: str = "seq", *, n_splits: int | None = None) -> DataFrame:
+def _file_offsets(files: DataFrame, path: str) -> DataFrame:
+    """Rows in earlier files; one row per file, summed up in one task."""
+    earlier = Window.orderBy(path).rowsBetween(Window.unboundedPreceding, -1)
+    return files.select(path, F.coalesce(F.sum("file_rows").over(earlier), F.lit(0)).cast("bigint").alias("file_offset"))
+
+
+def with_position(df: DataFrame, offsets: DataFrame, split: list[str], seq: str = "seq", *, n_splits: int | None = None, distinct_keys: bool = False) -> DataFrame:
     """Add ``input_pos``.  ``seq`` must rise by one from row to row within a split.
 
-    The splits are broadcast only if their counted number is small enough;
-    otherwise Spark picks the join.
+    With ``distinct_keys`` (the caller counted them) rows find their split by a number, else by its columns.  The
+    splits are broadcast only if their counted number is small enough; otherwise Spark picks the join.
     """
-    table = offsets.select(*split, "first_seq", "offset")
+    by = ["split_key"] if distinct_keys else split
+    table = offsets.select(*by, "first_seq", "offset")
     if n_splits is not None and n_splits <= MAX_BROADCAST_SPLITS:
         table = F.broadcast(table)
+    keyed = df.withColumn("split_key", split_key(split)) if distinct_keys else df
     return (
-        df.join(table, split)
+        keyed.join(table, by)
         .withColumn("input_pos", F.col("offset") + F.col(seq) - F.col("first_seq"))
-        .drop("offset", "first_seq")
+        .drop("offset", "first_seq", "split_key")
     )
 
 
@@ -65,10 +78,8 @@ def with_dense_position(placed: DataFrame, split: list[str], run_rows: int, seq:
     segments = placed.groupBy(task.alias("task"), *split, "chunk", F.floor(F.col(seq) / run_rows).alias("run")).agg(
         F.count(F.lit(1)).alias("n"), F.min("k").alias("first_k"), F.min(seq).alias("first_seq")
     )
-    per_file = segments.groupBy(split[0]).agg(F.sum("n").alias("file_rows"))
-    before = [Window.orderBy(split[0]), Window.partitionBy(split[0]).orderBy(*split[1:], "first_seq")]
-    earlier, inside = (w.rowsBetween(Window.unboundedPreceding, -1) for w in before)
-    files = per_file.select(split[0], F.coalesce(F.sum("file_rows").over(earlier), F.lit(0)).alias("file_offset"))
+    files = _file_offsets(segments.groupBy(split[0]).agg(F.sum("n").alias("file_rows")), split[0])
+    inside = Window.partitionBy(split[0]).orderBy(*split[1:], "first_seq").rowsBetween(Window.unboundedPreceding, -1)
     offset = (F.col("file_offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))).cast("bigint")
     located = segments.join(files, split[0]).select("task", F.struct("first_k", offset.alias("offset")).alias("segment"))
     by_task = located.groupBy("task").agg(F.sort_array(F.collect_list("segment")).alias("segments"))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxaflow.errors import InvalidInput
+from taxaflow.operators.integrity import signed_counts, surplus
 from taxaflow.schemas import TAXONOMY
 
 # Document-state outputs and their labels in logit order.
@@ -129,7 +130,5 @@ def label_memberships(memberships: DataFrame, taxonomy: DataFrame) -> DataFrame:
 
 def table_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows only one side has, duplicates counted; empty if the tables are equal."""
-    columns = left.columns
-    right = right.select(columns)
-    only_left = left.exceptAll(right).withColumn("side", F.lit("left"))
-    return only_left.unionByName(right.exceptAll(left).withColumn("side", F.lit("right")))
+    more = F.col("in_left") - F.col("in_right")
+    return surplus(signed_counts(left, right, left.columns), left.columns, more, -more)

@@ -45,7 +45,7 @@ def dangling_memberships(memberships: DataFrame, documents: DataFrame) -> DataFr
 
 
 def publish_tables(
-    spark: SparkSession, predictions: DataFrame, output: str, binding: dict, rows: int, recheck: Callable[[], None],
+    spark: SparkSession, predictions: DataFrame, output: str, binding: dict, rows: int, check: Callable[[], None],
     *, check_references: bool = False,
 ) -> dict:
     """Write the tables and their file registry below a folder of this attempt; the receipt names it and comes last."""
@@ -62,7 +62,7 @@ def publish_tables(
             documents = spark.read.parquet(f"{data}/documents")
             for kind in ("exact_membership", "root_membership", "review_queue"):
                 require_empty(dangling_memberships(spark.read.parquet(f"{data}/{kind}"), documents), f"{kind} points nowhere")
-        recheck()  # predictions must not have changed while they were read
+        check()  # after the reading, so that it also holds for what was read
         file_inventory(spark, data, glob="*.parquet").write.parquet(f"{data}/files")
         write_json_record(spark, dict(binding=binding, counts=counts, tables=part), f"{output}/{EXPORT_RECEIPT}")
     except Exception:
@@ -85,7 +85,6 @@ def export(spark: SparkSession, job_path: str, predictions_path: str, output: st
     def check() -> None:
         verify_receipts(spark, job, predictions_path)
 
-    check()
     predictions = read_predictions(spark, predictions_path)
     return publish_tables(spark, predictions, output, binding, job.manifest["rows"], check, check_references=check_references)
 
@@ -109,7 +108,6 @@ def export_increments(spark: SparkSession, predictions_path: str, output: str, *
         require_empty(position_faults(batches, predictions), "Positions do not follow the batches")
 
     predictions = read_predictions(spark, predictions_path)
-    check()
     return publish_tables(spark, predictions, output, binding, facts["rows"], check, check_references=check_references)
 
 

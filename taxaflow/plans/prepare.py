@@ -11,7 +11,7 @@ from taxaflow.errors import IntegrityError, InvalidInput
 from taxaflow.functions.metadata import reprint_stored
 from taxaflow.functions.text import INPUT_SCOPE, VISIBLE_TOKENS
 from taxaflow.operators.duplicates import require_unique
-from taxaflow.operators.integrity import content_digest
+from taxaflow.operators.integrity import content_digest, hashed_files
 from taxaflow.operators.normalize import normalize_fields, record_line
 from taxaflow.operators.sharding import (
     shard_id, shard_index, shard_path, split_offsets, with_dense_position, with_position, with_stored_place,
@@ -28,9 +28,12 @@ PLACE = ["input_pos", "shard_index"]
 
 def source_state(spark: SparkSession, paths: list[str], check: str) -> str:
     """Digest of the input files' names, sizes and times, or of their content."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
-    mark = F.sha2("content", 256) if check == "digest" else F.col("modificationTime").cast("string")
-    rows = files.select(F.sha2(F.concat_ws("\n", "path", F.col("length").cast("string"), mark), 256).alias("h"), "length")
+    if check == "digest":
+        files = hashed_files(spark, paths).select("path", F.col("bytes").alias("length"), F.col("sha256").alias("mark"))
+    else:
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+        files = found.select("path", "length", F.col("modificationTime").cast("string").alias("mark"))
+    rows = files.select(F.sha2(F.concat_ws("\n", "path", F.col("length").cast("string"), "mark"), 256).alias("h"), "length")
     return content_digest(rows, [], "h", "length").first()["digest"]
 
 
@@ -75,7 +78,8 @@ def _table_splits(spark: SparkSession, paths: list[str]) -> DataFrame:
 def numbered(rows: DataFrame, counted: DataFrame, staging: str, shard_rows: int, *, hashed: bool = True) -> DataFrame:
     """Give ``rows`` their position and shard, from the split sizes found in ``counted``."""
     offsets = storage.write_table(split_offsets(counted, SPLIT), f"{staging}/splits")
-    placed = with_position(rows, offsets, SPLIT, n_splits=offsets.count())
+    counts = offsets.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("split_key").alias("keys")).first()
+    placed = with_position(rows, offsets, SPLIT, n_splits=counts["n"], distinct_keys=counts["n"] == counts["keys"])
     placed = placed.withColumn("shard_index", shard_index(F.col("input_pos"), shard_rows))
     return with_content_hash(placed) if hashed else placed
 

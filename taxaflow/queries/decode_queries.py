@@ -19,8 +19,8 @@ from taxaflow.operators.scoring import (
 )
 from taxaflow.operators.taxonomy import label_memberships, taxonomy_table
 from taxaflow.queries.inputs import (
-    CONTRACT, EXACT_CODES_SQL, LOGIT_SCALE, LOGITS_SQL, MODEL_INPUT_SQL, PAD, PRIMARY_SQL, ROOT_CODES_SQL,
-    STATE_JSON_SQL, WORDS_SQL, decode_sql, documents, logits, sigmoid_sql, state_sql, table, token_vectors,
+    ALL_LOGITS_SQL, CONTRACT, EXACT_CODES_SQL, LOGIT_SCALE, LOGITS_SQL, PAD, PRIMARY_SQL, ROOT_CODES_SQL,
+    STATE_JSON_SQL, WORDS_SQL, decode_sql, digest_logits, documents, logits, sigmoid_sql, state_sql, table, token_vectors,
 )
 from taxaflow.queries.registry import query
 
@@ -33,14 +33,19 @@ def decoded(spark, sf_dir):
     return decode_logits(logits(spark, sf_dir), CONTRACT)
 
 
+def scored_documents(spark, sf_dir):
+    """Every usable document with logits: of its vector, joined by ID, or of its text where it has none."""
+    ready = with_model_input(documents(spark, sf_dir).where(F.size("violations") == 0)).drop("text_window", "metadata_compact", "model_input", "violations")
+    joined = ready.join(logits(spark, sf_dir).drop("vec_id"), "sample_id", "left")
+    return joined.withColumn("logits", F.coalesce("logits", digest_logits(F.col("model_input_sha256"))))
+
+
 def predictions(spark, sf_dir):
-    """Documents joined with their logits by ID, decoded into prediction columns."""
-    ready = with_model_input(documents(spark, sf_dir)).drop("text_window", "metadata_compact", "model_input", "violations")
-    scored = ready.join(logits(spark, sf_dir).drop("vec_id"), "sample_id")
-    return prediction_columns(decode_logits(scored, CONTRACT))
+    """All documents, decoded into prediction columns."""
+    return prediction_columns(decode_logits(scored_documents(spark, sf_dir), CONTRACT))
 
 
-PREDICTED_SQL = f"""{decode_sql()}, {MODEL_INPUT_SQL}, predicted AS (
+PREDICTED_SQL = f"""{decode_sql(ALL_LOGITS_SQL)}, predicted AS (
     SELECT d.*, e.l, len({WORDS_SQL.format("d.model_input")}) AS n_tokens,
         (SELECT count(*) FROM kept k WHERE k.sample_id = d.sample_id) AS n_exact
     FROM inputs d JOIN emb e ON e.sample_id = d.sample_id)"""
@@ -147,12 +152,13 @@ WITH {decode_sql()}
 SELECT sample_id, 'root' AS kind, code, round(score, 6) AS score FROM root_sel
 UNION ALL SELECT sample_id, 'exact', code, round(score, 6) FROM kept""")
 def decode_function(spark, sf_dir):
-    """The SQL table function over a view."""
+    """The SQL function over a view, its array unfolded beside each row."""
     register_decode_function(spark, CONTRACT)
     logits(spark, sf_dir).createOrReplaceTempView("taxaflow_logits")
     return spark.sql(
-        "SELECT t.sample_id, m.kind, m.code, round(m.score, 6) AS score "
-        "FROM taxaflow_logits t, LATERAL decode_memberships(t.logits) m"
+        "SELECT sample_id, kind, code, round(score, 6) AS score "
+        "FROM (SELECT sample_id, decode_memberships(logits) AS found FROM taxaflow_logits) "
+        "LATERAL VIEW OUTER inline(found) AS kind, code, score WHERE kind IS NOT NULL"
     )
 
 
@@ -180,12 +186,11 @@ def root_membership(spark, sf_dir):
 
 
 @query("exact_membership", f"""
-WITH {decode_sql()}
-SELECT k.sample_id, k.code, round(k.score, 6) AS score FROM kept k JOIN documents d ON 'doc-' || d.doc_id = k.sample_id""")
+WITH {decode_sql(ALL_LOGITS_SQL)}
+SELECT sample_id, code, round(score, 6) AS score FROM kept""")
 def exact_membership(spark, sf_dir):
     """Documents joined with their logits, decoded, unfolded."""
-    known = documents(spark, sf_dir).where(F.size("violations") == 0).select("sample_id")
-    scored = known.join(logits(spark, sf_dir), "sample_id")
+    scored = scored_documents(spark, sf_dir).select("sample_id", "logits")
     return membership(decode_logits(scored, CONTRACT), "exact").select("sample_id", "code", score6())
 
 

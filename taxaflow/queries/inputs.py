@@ -120,6 +120,24 @@ LOGITS_SQL = f"""emb AS (
     FROM embeddings)"""
 
 
+def digest_logits(sha256: Column) -> Column:
+    """Logits made from the digits of a hash: each of the 64 hex digits d gives (d - 7.5) / 2."""
+    digit = lambda i: F.conv(F.substr(sha256, i, F.lit(1)), 16, 10).cast("double")
+    return F.transform(F.sequence(F.lit(1), F.lit(64)), lambda i: ((digit(i) - 7.5) * 0.5).cast("float"))
+
+
+DIGEST_LOGITS = """SELECT doc_id AS vec_id, sample_id, list_transform(range(1, 65), lambda i:
+        ((strpos('0123456789abcdef', substr(sha, i, 1)) - 8.5) * 0.5)::FLOAT) AS l
+    FROM (SELECT doc_id, sample_id, sha256(model_input) AS sha FROM inputs)"""
+DIGEST_LOGITS_SQL = f"{MODEL_INPUT_SQL}, emb AS ({DIGEST_LOGITS})"
+
+# Every document: its vector's logits, or those of its text where it has no vector.
+ALL_LOGITS_SQL = f"""{MODEL_INPUT_SQL}, emb AS (
+    SELECT vec_id, 'doc-' || vec_id AS sample_id, list_transform(embedding, lambda x: (x::DOUBLE * {LOGIT_SCALE})::FLOAT) AS l
+    FROM embeddings WHERE vec_id IN (SELECT doc_id FROM documents)
+    UNION ALL SELECT * FROM ({DIGEST_LOGITS}) WHERE vec_id NOT IN (SELECT vec_id FROM embeddings))"""
+
+
 def sigmoid_sql(logit: str) -> str:
     return f"(1 / (1 + exp(-({logit})::DOUBLE)))::FLOAT::DOUBLE"
 

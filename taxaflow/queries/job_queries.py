@@ -12,7 +12,7 @@ from taxaflow.plans.export import export, export_increments
 from taxaflow.plans.prepare import prepare
 from taxaflow.plans.run import run
 from taxaflow.queries.inputs import (
-    CONTENT_BYTES_SQL, CONTENT_SHA_SQL, CONTRACT, DOCUMENTS_SQL, MODEL_INPUT_SQL, PRIMARY_SQL, SHARD_ROWS, STATE_JSON_SQL, WORDS_SQL, decode_sql,
+    CONTENT_BYTES_SQL, CONTENT_SHA_SQL, CONTRACT, DIGEST_LOGITS_SQL, DOCUMENTS_SQL, PRIMARY_SQL, SHARD_ROWS, STATE_JSON_SQL, WORDS_SQL, decode_sql,
     digest_sql, raw_records,
 )
 from taxaflow.operators.memberships import EXPORTS, state_json
@@ -39,11 +39,6 @@ class DigestScorer:
 
 MODEL = hashlib.sha256(b"digest scorer").hexdigest()
 
-DIGEST_LOGITS_SQL = f"""{MODEL_INPUT_SQL}, emb AS (
-    SELECT doc_id AS vec_id, sample_id, list_transform(range(1, 65), lambda i:
-        ((strpos('0123456789abcdef', substr(sha, i, 1)) - 8.5) * 0.5)::FLOAT) AS l
-    FROM (SELECT doc_id, sample_id, sha256(model_input) AS sha FROM inputs))"""
-
 SCORED_SQL = f"""{decode_sql(DIGEST_LOGITS_SQL)}, scored AS (
     SELECT d.*, e.l, len({WORDS_SQL.format("d.model_input")})::BIGINT AS input_tokens,
         coalesce((SELECT string_agg(code, '|' ORDER BY idx) FROM root_sel r WHERE r.sample_id = d.sample_id), '') AS roots,
@@ -270,3 +265,23 @@ def incremental_positions(spark, sf_dir):
     one = F.lit(1)
     none = strays.agg(F.count(one).alias("strays")).where("strays = 0").select(one.alias("k"))
     return found.withColumn("k", one).join(none, "k").drop("k")
+
+
+@query("commit_log", f"""
+WITH totals AS (SELECT count(*) AS rows, ((count(*) + {SHARD_ROWS - 1}) // {SHARD_ROWS})::BIGINT AS shards FROM documents)
+SELECT log, shards, rows, true AS calls_agree, true AS timed FROM totals JOIN (VALUES ('receipts'), ('progress'), ('session')) AS l(log) ON true""")
+def commit_log(spark, sf_dir):
+    """What the three logs of one run say: its receipts, its progress records and its session record."""
+    job, seen = _prepared(spark, sf_dir), []
+    path = shared_dir(spark, "logged")
+    outcome = run(spark, job, path, DigestScorer, CONTRACT, model_sha256=MODEL, wave_shards=5, on_commit=seen.append)
+    receipts = read_receipts(spark, path).agg(
+        F.count(F.lit(1)).alias("shards"), F.sum("rows").alias("rows"), F.sum("model_calls").alias("calls"), F.min("seconds").alias("seconds"))
+    sums = "count(*) AS n, sum(shards) AS shards, sum(rows) AS rows, sum(model_calls) AS calls, min(seconds) AS seconds"
+    schema = "commit string, shards bigint, rows bigint, model_calls bigint, seconds double"
+    progress = spark.createDataFrame(seen, schema).selectExpr(*sums.split(", "))
+    session = spark.read.json(f"{path}/sessions").select(
+        F.lit(receipts.first()["shards"]).alias("shards"), (F.col("scored") + F.col("kept")).alias("rows"), F.col("model_calls").alias("calls"), "seconds")
+    parts = [p.select(F.lit(name).alias("log"), "shards", "rows", (F.col("calls") == outcome["model_calls"]).alias("calls_agree"), (F.col("seconds") > 0).alias("timed"))
+             for name, p in (("receipts", receipts), ("progress", progress), ("session", session))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

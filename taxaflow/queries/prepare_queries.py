@@ -149,7 +149,7 @@ def renamed_columns(spark, sf_dir):
     )
 
 
-def _metadata_records(spark, sf_dir):
+def _metadata_records(spark, sf_dir, *keep):
     """Metadata as JSON text: every text is a title, some with overlay, falsy and foreign keys."""
     rest = F.pmod(F.col("doc_id"), F.lit(4))
     title = F.when(F.col("doc_id") % 8 == 7, "").otherwise(F.col("text"))
@@ -162,7 +162,7 @@ def _metadata_records(spark, sf_dir):
         .when(rest == 2, F.concat(F.lit("["), F.to_json("top"), F.lit("]"))).otherwise(F.to_json("top"))
     )
     docs = table(spark, sf_dir, "documents").withColumn("top", top).withColumn("overlay", overlay)
-    return docs.select("doc_id", text.alias("metadata"))
+    return docs.select("doc_id", *keep, text.alias("metadata"))
 
 
 METADATA_SQL = """meta AS (
@@ -209,9 +209,7 @@ SELECT d.doc_id, sha256('[DOCUMENT METADATA]' || chr(10) || s.metadata_compact |
 def raw_model_input(spark, sf_dir):
     """Model input straight from raw text and raw metadata."""
     configure(spark)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
-    raw = _metadata_records(spark, sf_dir).join(docs, "doc_id")
-    return prepare_inputs(raw).select("doc_id", F.sha2("model_input", 256).alias("model_input_sha256"))
+    return prepare_inputs(_metadata_records(spark, sf_dir, "text")).select("doc_id", F.sha2("model_input", 256).alias("model_input_sha256"))
 
 
 @query("model_input_hash", f"""

@@ -30,12 +30,23 @@ def can_open(path: str) -> bool:
     return not colon or "/" in scheme or scheme in OPENED
 
 
-def open_file(path: str):
-    """A file of any supported store for ranged reads.  ``file:`` paths hold percent signs as they are."""
+def _system(path: str) -> tuple[fs.FileSystem, str]:
+    """File system and path; ``file:`` paths hold percent signs as they are."""
     uri = _uri(path)
     if uri.startswith("file://"):
-        return fs.LocalFileSystem().open_input_file(uri[len("file://"):])
+        return fs.LocalFileSystem(), uri[len("file://"):]
     if "://" not in uri:
-        return fs.LocalFileSystem().open_input_file(uri)
-    system, where = fs.FileSystem.from_uri(uri)
+        return fs.LocalFileSystem(), uri
+    return fs.FileSystem.from_uri(uri)
+
+
+def open_file(path: str):
+    """A file of any supported store, for ranged reads."""
+    system, where = _system(path)
     return system.open_input_file(where)
+
+
+def create_file(path: str):
+    """A stream into a new file, as the bytes are whatever its suffix; a file of that name is replaced."""
+    system, where = _system(path)
+    return system.open_output_stream(where, compression=None)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -109,7 +110,7 @@ def scan_tables(spark: SparkSession, paths: list[str], used: list[str]) -> list[
     used = list(dict.fromkeys(used))
     # No column is read here; Spark lists the files as it would for a scan and looks into none of them.
     listing = spark.read.schema(T.StructType([T.StructField(used[0], T.StringType())])).parquet(*paths)
-    files = listing.inputFiles()
+    files = [unquote(f) for f in listing.inputFiles()]  # Spark shows them encoded, and takes them plain
     if not files:
         return [_placed(listing.limit(0), used)]
     scans = reconciled(file_types(spark, files, used))

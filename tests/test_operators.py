@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import os
 import random
 
 import numpy as np
@@ -12,7 +13,8 @@ from taxaflow.errors import BindingMismatch, DuplicateDocuments, InvalidInput
 from taxaflow.operators.decode import (
     decode_logits, decode_long, exact_rank, predict_sets, register_decode_function,
 )
-from taxaflow.operators.duplicates import has_duplicates, repeated_ids, require_unique
+from taxaflow.operators import duplicates, integrity
+from taxaflow.operators.duplicates import has_duplicates, repeated_ids, require_unique, suspects
 from taxaflow.operators.integrity import (
     file_inventory, file_set_digest, is_safe_path, key_mismatch, manifest_faults, missing_required, receipt_audit,
     registry_audit, require_same_binding,
@@ -101,7 +103,7 @@ def test_row_form_long_form_and_sql_function_agree(spark):
     assert row_form == set(long_form) and len(long_form) == len(row_form) > 100
     register_decode_function(spark, contract, "decode_small")
     frame.createOrReplaceTempView("small_logits")
-    by_sql = spark.sql("SELECT t.sample_id, m.* FROM small_logits t, LATERAL decode_small(t.logits) m")
+    by_sql = spark.sql("SELECT sample_id, kind, code, score FROM (SELECT sample_id, decode_small(logits) AS found FROM small_logits) LATERAL VIEW OUTER inline(found) AS kind, code, score WHERE kind IS NOT NULL")
     both = all_memberships(decode_logits(frame, contract)).select("sample_id", "kind", "code", "score")
     assert both.exceptAll(by_sql.select("sample_id", "kind", "code", "score")).isEmpty() and both.count() == by_sql.count()
 
@@ -257,11 +259,59 @@ def test_pooling(spark):
         mean_pool(holes, 4, key="doc").collect()
 
 
-def test_safe_paths(spark):
-    paths = ["../escape", "/absolute", "a/../../b", "", ".", "a\\b", "a/b", "a..b/c", "./a", None]
-    frame = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "i int, p string")
-    got = [r["ok"] for r in frame.select("i", is_safe_path(F.col("p")).alias("ok")).orderBy("i").collect()]
-    assert got == [False] * 6 + [True] * 3 + [False]
+SAFE = ["file", "deep/er/file.txt", "x..y/z", "./here", "a//b", "...", "über/日本"]
+UNSAFE = ["..", "up/..", "in/../../out", "/from/root", "", ".", "./.", "//", "back\\slash", None]
+
+
+def test_paths_that_stay_inside_a_folder(spark):
+    frame = spark.createDataFrame([(p,) for p in SAFE + UNSAFE], "p string")
+    kept = [r["p"] for r in frame.where(is_safe_path(F.col("p"))).collect()]
+    assert kept == SAFE and frame.where(is_safe_path(F.col("p")).isNull()).isEmpty()
+
+
+def test_files_are_hashed_block_by_block(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(integrity, "BLOCK_BYTES", 1000)
+    contents = {"empty.bin": b"", "one block.bin": b"x" * 1000, "a%20b/odd.bin": os.urandom(12_345)}
+    for name, content in contents.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(content)
+    want = {n: (len(c), hashlib.sha256(c).hexdigest()) for n, c in contents.items()}
+    for opens in (True, False):  # in a store that tasks can't open, Spark reads the files
+        monkeypatch.setattr(integrity, "can_open", lambda path: opens)
+        assert {r["path"]: (r["bytes"], r["sha256"]) for r in file_inventory(spark, str(tmp_path)).collect()} == want
+
+
+@pytest.mark.skipif("TAXAFLOW_LARGE" not in os.environ, reason="writes a sparse file of 3 GB")
+def test_a_file_above_two_gigabytes(spark, tmp_path):
+    size = 3 << 30
+    with (tmp_path / "large.bin").open("wb") as out:
+        out.truncate(size)
+        out.seek(size - 3)
+        out.write(b"end")
+    total = hashlib.sha256()
+    for _ in range(size // (1 << 20) - 1):
+        total.update(bytes(1 << 20))
+    total.update(bytes((1 << 20) - 3) + b"end")
+    (row,) = file_inventory(spark, str(tmp_path)).collect()
+    assert (row["bytes"], row["sha256"]) == (size, total.hexdigest())
+
+
+def test_two_sided_comparisons_count_copies(spark):
+    left = spark.createDataFrame([("a", 1), ("a", 1), ("b", None), (None, 2), ("c", 3)], "k string, v int")
+    right = spark.createDataFrame([("a", 1), ("b", None), (None, 2), ("d", 4), ("d", 4)], "k string, v int")
+    rows = sorted(tuple(r) for r in table_difference(left, right).collect())
+    assert rows == [("a", 1, "left"), ("c", 3, "left"), ("d", 4, "right"), ("d", 4, "right")]
+    assert sorted(tuple(r) for r in key_mismatch(left, right, "k").collect()) == [("c", "left"), ("d", "right"), ("d", "right")]
+
+
+def test_a_hash_collision_is_no_duplicate(spark, monkeypatch):
+    monkeypatch.setattr(F, "xxhash64", lambda *keys: F.length(keys[0]).cast("bigint"))
+    frame = spark.createDataFrame([("ab",), ("cd",), ("x",), ("longest",)], "sample_id string")
+    assert sorted(r[0] for r in suspects(frame, ["sample_id"]).collect()) == ["ab", "cd"]
+    assert not has_duplicates(frame, ["sample_id"])
+    assert has_duplicates(frame.unionAll(frame.where("sample_id = 'cd'")), ["sample_id"])
+    monkeypatch.setattr(duplicates, "MAX_BROADCAST_HASHES", 0)
+    assert not has_duplicates(frame, ["sample_id"]) and suspects(frame.limit(0), ["sample_id"]) is None
 
 
 def test_registry_audit_of_real_files(spark, tmp_path):

@@ -8,12 +8,13 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from taxaflow.operators.decode import decode_logits, decode_long, exact_rank
-from taxaflow.operators.duplicates import duplicate_keys, repeated_ids
-from taxaflow.operators.integrity import content_digest
+from taxaflow.operators.decode import decode_logits, decode_long, exact_rank, register_decode_function
+from taxaflow.operators.duplicates import duplicate_keys, repeated_ids, suspects
+from taxaflow.operators.integrity import content_digest, key_mismatch
 from taxaflow.operators.memberships import EXPORTS
 from taxaflow.operators.normalize import normalize
-from taxaflow.operators.taxonomy import HeadContract, taxonomy_table
+from taxaflow.operators.sharding import with_dense_position, with_stored_place
+from taxaflow.operators.taxonomy import HeadContract, table_difference, taxonomy_table
 from taxaflow.plans.prepare import numbered, shard_table, with_content_hash
 from taxaflow.plans.run import label
 from taxaflow.schemas import PREDICTION
@@ -125,3 +126,41 @@ def test_only_awkward_prediction_lines_reach_python(spark, tmp_path):
 
 def test_hash_of_content_is_row_local(spark, stored):
     assert "Exchange" not in plan(with_content_hash(stored("documents", JOB_DOCUMENTS).drop("row_bytes", "row_sha256")))
+
+
+def test_the_sql_decoder_moves_nothing(spark, stored):
+    register_decode_function(spark, HEAD, "decode_plan")
+    stored("logits", "sample_id string, logits array<float>").createOrReplaceTempView("plan_logits")
+    text = plan(spark.sql("SELECT sample_id, m.* FROM (SELECT sample_id, decode_plan(logits) AS found FROM plan_logits) LATERAL VIEW OUTER inline(found) m AS kind, code, score WHERE kind IS NOT NULL"))
+    assert "Exchange" not in text and "Join" not in text and "Python" not in text and text.count("FileScan") == 1
+
+
+def test_two_sided_comparisons_read_and_shuffle_once(spark, stored):
+    left, right = stored("left", "k string, v string"), stored("right", "k string, v string")
+    for text in (plan(key_mismatch(left, right, "k")), plan(table_difference(left, right))):
+        assert text.count("Exchange hashpartitioning") == 1 and text.count("FileScan") == 2
+        assert "Join" not in text and "partial_sum" in text
+
+
+def test_only_keys_that_share_a_hash_are_moved(spark, tmp_path):
+    spark.range(1000).selectExpr("if(id = 7, 'k6', concat('k', id)) AS k", "repeat('x', 100) AS text").write.parquet(str(tmp_path / "keys"))
+    text = plan(suspects(spark.read.parquet(str(tmp_path / "keys")), ["k"]))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "text" not in text.split("ReadSchema")[-1]
+    # The one exchange deals hashes, not keys.
+    assert text.count("Exchange hashpartitioning") == 1 and "hashpartitioning(h" in text
+
+
+def test_dense_positions_join_by_task_number(spark, tmp_path):
+    spark.range(10).selectExpr("'f' AS file_path", "0L AS block_start", "id AS seq", "'t' AS text_window").write.parquet(str(tmp_path / "scan"))
+    scanned = spark.read.parquet(str(tmp_path / "scan"))
+    with_stored_place(scanned, F.col("seq") % 3 > 0).write.parquet(str(tmp_path / "clean"))
+    placed = with_dense_position(spark.read.parquet(str(tmp_path / "clean")), ["file_path", "block_start"], 4)
+    assert sorted(tuple(r) for r in placed.select("seq", "input_pos").collect()) == [(1, 0), (2, 1), (4, 2), (5, 3), (7, 4), (8, 5)]
+    joins = [line for line in plan(placed).split("\n") if "Join [task" in line]
+    assert joins and "[task" in joins[0]
+
+
+def test_exports_of_jobs_and_streams_are_narrow(spark, stored):
+    predictions = stored("all", PREDICTION)
+    for project in EXPORTS.values():
+        assert "Exchange" not in plan(project(predictions))

@@ -45,7 +45,7 @@ def drifting(tmp_path):
     put(folder, "5.parquet", pa.table({"sample_id": ["f"], "text_window": ["text f"], "at": pa.array([datetime.time(1, 2)], pa.time32("ms")),
                                        "metadata_compact": [{"title": "U", "date": 2.5}]}))
     put(folder, "6.parquet", {"sample_id": [8], "text_window": ["its ID is a number"]})
-    put(folder, "7.parquet", {"text_window": pa.array(["large"], pa.large_string()), "sample_id": pa.array(["g"]).dictionary_encode(), "source_family": [3]})
+    put(folder, "7 a%20b ü.parquet", {"text_window": pa.array(["large"], pa.large_string()), "sample_id": pa.array(["g"]).dictionary_encode(), "source_family": [3]})
     return folder
 
 
