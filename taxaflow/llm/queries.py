@@ -88,6 +88,52 @@ SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
 FROM payloads"""
 
 
+REPEATS_SQL = """
+WITH texts AS (SELECT doc_id, hex(coalesce(text, '')) AS h, strlen(coalesce(text, ''))::BIGINT AS n FROM documents),
+chunks AS (SELECT doc_id, n, c, substr(h, (2 * c + 1)::INT, 610) AS ch FROM (SELECT *, unnest(range(0, n - 49, 256)) AS c FROM texts WHERE n >= 50)),
+strings AS (SELECT doc_id, c + o AS k, substr(ch, (2 * o + 1)::INT, 100) AS s FROM (SELECT *, unnest(range(0, least(256, n - 49 - c))) AS o FROM chunks)),
+gone AS (
+    SELECT doc_id, k, lag(k) OVER (PARTITION BY doc_id ORDER BY k) AS before
+    FROM strings JOIN (SELECT s, min(doc_id) AS first FROM strings GROUP BY s) USING (s) WHERE doc_id > first),
+runs AS (SELECT doc_id, k, sum(CASE WHEN before IS NULL OR k > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY k) AS run FROM gone),
+spans AS (SELECT doc_id, min(k) AS a, max(k) + 50 AS b FROM runs GROUP BY doc_id, run),
+ordered AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS from_here FROM spans),
+kept AS (
+    SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, max(b) AS last,
+        string_agg(substr(h, (2 * from_here + 1)::INT, (2 * (a - from_here))::INT), '' ORDER BY a) AS pieces
+    FROM ordered JOIN texts USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(coalesce(pieces, '') || substr(h, (2 * coalesce(last, 0) + 1)::INT))) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)"""
+
+NEAR_SQL = f"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 2 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM split),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
+links AS (SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 80 * (p.n + q.n - c)),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT b, other FROM reach JOIN links ON a = doc_id),
+least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM least LEFT JOIN sizes USING (doc_id)"""
+
+LEAKS_SQL = f"""
+WITH texts AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{HASHED_WORD}') AS w FROM documents),
+items AS (SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{HASHED_WORD}') AS w FROM benchmark),
+windows AS (
+    SELECT DISTINCT item, least(len(w), 10) AS size, array_to_string(w[i:i + 9], ' ') AS phrase
+    FROM items, range(1, 100000) t(i) WHERE len(w) > 0 AND i <= greatest(len(w) - 9, 1)),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (SELECT doc_id, size, unnest(range(1, len(w) - size + 2)) AS p, w FROM texts, sizes WHERE len(w) >= size),
+found AS (SELECT doc_id, p, size, item FROM (SELECT doc_id, p, size, array_to_string(w[p:p + size - 1], ' ') AS phrase FROM places) JOIN windows USING (size, phrase)),
+hits AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + size)) AS place FROM found) GROUP BY doc_id),
+held AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AS contaminated
+FROM texts LEFT JOIN hits USING (doc_id) LEFT JOIN held USING (doc_id)"""
+
+
 @query("op1_url_filters")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(table(spark, sf_dir, "pages"))
@@ -108,7 +154,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count_table(table(spark, sf_dir, "documents"))
 
 
-@query("op7_decontamination")
+@query("op7_decontamination", LEAKS_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -129,12 +175,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data_digest(table(spark, sf_dir, "documents"))
 
 
-@query("op3_minhash")
+@query("op3_minhash", NEAR_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=2, threshold=0.8)
 
 
-@query("op2_suffix_dedup")
+@query("op2_suffix_dedup", REPEATS_SQL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_digest(table(spark, sf_dir, "documents"))
 
