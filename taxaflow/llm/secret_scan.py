@@ -1,9 +1,10 @@
 """Secret scans: base patterns, and formats learned by merging states of a prefix tree.
 
-Labelled credentials become a prefix tree whose states are merged when their continuations are
-statistically compatible (Hoeffding bound); the result is a probabilistic automaton per kind.  Every
-long token of every text is then scored by its likelihood under the automata against that under a
-background model of ordinary tokens.  Only texts go to Python, only spans come back; nothing is shuffled.
+Labelled credentials become a prefix tree of characters whose states are merged when their continuations
+are statistically compatible (Hoeffding bound); the result is a probabilistic automaton per kind.  Every
+long token of every text is then scored by its likelihood under the automata against that under the
+automata of ordinary tokens: words, and tokens with digits that have the shape of numbers, dates, versions,
+host names or numbered names.  Times and UUIDs are ordinary in any corpus.  Only texts go to Python, only spans come back; nothing is shuffled.
 
 NULL and empty texts have no spans; repeated rows each get a result; without labelled credentials
 only base spans are found.  Offsets are code points, ends exclusive.
@@ -14,7 +15,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
@@ -35,10 +36,17 @@ BASE_KINDS = ("assign", "access", "hex")
 
 LEAST = 12  # characters of the shortest candidate, as of the shortest assigned credential
 TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")  # candidates of the learned formats
-LABELLED_ROWS = 2_000  # most credentials, and most ordinary tokens, that a model is fitted on
-MAX_STATES = 4_000  # most states of a prefix tree before merging: longer tails share one state
+LABELLED_ROWS = 2_000  # most credentials, and most ordinary tokens of either sort, that a model is fitted on
+DEPTH = 40  # characters after which a token stays in its last state of the prefix tree, the same for all tokens
 ALPHA = 0.05  # level of the compatibility test
 ACCEPT = 1.5  # nats per character by which a format must beat the background
+SHRINK = 5.0  # weight, in characters, of a state's share of a symbol against its own count of a character
+CACHE = 50_000  # tokens whose score a task remembers
+
+# Ordinary tokens with digits: letters, then digits, between separators.
+NUMBERED = re.compile(r"[+/_.=-]*+[A-Za-z]*+[0-9]*+(?:[+/_.=-]++[A-Za-z]*+[0-9]*+)*+")
+WORD, NUMBER = "", "number"  # the two sorts of ordinary tokens
+UUID_SHAPE = "x" * 8 + ("-" + "x" * 4) * 3 + "-" + "x" * 12
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -54,7 +62,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def symbol(char: str) -> str:
-    """The alphabet of the automata: digits, a-f, other lower case, upper case, the rest as they are."""
+    """The class of a character: digits, a-f, other lower case, upper case, the rest as they are."""
     if "0" <= char <= "9":
         return "0"
     if "a" <= char <= "f":
@@ -64,58 +72,81 @@ def symbol(char: str) -> str:
     return "A" if "A" <= char <= "Z" else char
 
 
-# How many characters stand for one symbol: a likelihood of characters shares a symbol's probability among them.
+# How many characters share the probability of a symbol.
 SHARE = {"0": 10, "a": 6, "z": 20, "A": 26}
 
 
+def by_symbol(counts: Counter) -> Counter:
+    out: Counter = Counter()
+    for char, n in counts.items():
+        out[symbol(char)] += n
+    return out
+
+
 class Automaton:
-    """A probabilistic automaton over symbols: ``counts[state]`` is {symbol: count, "": ends}."""
+    """A probabilistic automaton over characters: ``counts[state]`` is {character: count, "": ends}.
+
+    A state's count of a character is smoothed by its share of the character's symbol.  A character that a state
+    has never seen moves as the commonest one of its symbol does there, or stays.
+    """
 
     def __init__(self, counts: list[Counter], moves: list[dict[str, int]]) -> None:
         self.counts, self.moves = counts, moves
         self.totals = [sum(c.values()) for c in counts]
+        self.symbols = [by_symbol(c) for c in counts]
+        self.steps: list[dict[str, tuple[float, int]]] = [{} for _ in counts]
+
+    def _step(self, state: int, char: str) -> tuple[float, int]:
+        s, counts, total = symbol(char), self.counts[state], self.totals[state]
+        share = (self.symbols[state][s] + 0.01) / (total + 0.7) / SHARE.get(s, 1)
+        alike = [c for c in self.moves[state] if symbol(c) == s]
+        best = char if char in self.moves[state] else max(alike, key=lambda c: (counts[c], c), default=None)
+        found = self.steps[state][char] = math.log((counts[char] + SHRINK * share) / (total + SHRINK)), self.moves[state].get(best, state)
+        return found
 
     def log_likelihood(self, token: str) -> float:
-        """Log probability of a token; unseen continuations cost a smoothed share and keep the state."""
         state, total = 0, 0.0
         for char in token:
-            s = symbol(char)
-            total += math.log((self.counts[state][s] + 0.01) / (self.totals[state] + 0.7) / SHARE.get(s, 1))
-            state = self.moves[state].get(s, state)
+            cost, state = self.steps[state].get(char) or self._step(state, char)
+            total += cost
         return total
 
 
 def _prefix_tree(tokens: Iterable[str]) -> tuple[list[Counter], list[dict[str, int]]]:
+    """Counts and moves of each state; characters after the first DEPTH are counted in the state reached there."""
     counts, moves = [Counter()], [{}]
     for token in tokens:
         state = 0
-        for char in token:
-            s = symbol(char)
-            counts[state][s] += 1
-            if s not in moves[state]:
-                if len(counts) >= MAX_STATES:
-                    moves[state][s] = state
-                else:
-                    moves[state][s] = len(counts)
-                    counts.append(Counter())
-                    moves.append({})
-            state = moves[state][s]
+        for place, char in enumerate(token):
+            counts[state][char] += 1
+            if place >= DEPTH:
+                moves[state][char] = state
+                continue
+            if char not in moves[state]:
+                moves[state][char] = len(counts)
+                counts.append(Counter())
+                moves.append({})
+            state = moves[state][char]
         counts[state][""] += 1
     return counts, moves
 
 
-def _similar(a: Counter, b: Counter) -> bool:
-    """Hoeffding test on every symbol's share."""
+def _difference(a: Counter, b: Counter) -> float | None:
+    """The largest difference of two states' shares, of characters or symbols; None if it is beyond the Hoeffding bound."""
     na, nb = sum(a.values()), sum(b.values())
     if not na or not nb:
-        return True
-    bound = math.sqrt(0.5 * math.log(2 / ALPHA)) * (1 / math.sqrt(na) + 1 / math.sqrt(nb))
-    return all(abs(a[s] / na - b[s] / nb) <= bound for s in {*a, *b})
+        return 0.0
+    bound, worst = math.sqrt(0.5 * math.log(2 / ALPHA)) * (1 / math.sqrt(na) + 1 / math.sqrt(nb)), 0.0
+    for one, other in ((a, b), (by_symbol(a), by_symbol(b))):
+        worst = max(worst, max(abs(one[s] / na - other[s] / nb) for s in {*one, *other}))
+        if worst > bound:
+            return None
+    return worst
 
 
 def infer(tokens: list[str]) -> Automaton:
-    """Merge compatible states of the prefix tree of ``tokens``, in breadth-first order."""
-    counts, moves = _prefix_tree(sorted(tokens))
+    """Merge states of the prefix tree of ``tokens``, in breadth-first order, each with the closest compatible state."""
+    counts, moves = _prefix_tree(tokens)
     parent = list(range(len(counts)))
 
     def find(x: int) -> int:
@@ -124,17 +155,20 @@ def infer(tokens: list[str]) -> Automaton:
             x = parent[x]
         return x
 
-    def compatible(a: int, b: int) -> bool:
-        waiting, seen = [(a, b)], set()
+    def distance(a: int, b: int) -> float | None:
+        """How far two states and all that follows them lie apart; None if some pair is incompatible."""
+        first, waiting, seen = None, [(a, b)], set()
         while waiting:
             a, b = (find(x) for x in waiting.pop())
             if a == b or (a, b) in seen:
                 continue
             seen.add((a, b))
-            if not _similar(counts[a], counts[b]):
-                return False
+            apart = _difference(counts[a], counts[b])
+            if apart is None:
+                return None
+            first = apart if first is None else first
             waiting += [(moves[a][s], moves[b][s]) for s in moves[a].keys() & moves[b].keys()]
-        return True
+        return first or 0.0
 
     def merge(a: int, b: int) -> None:
         waiting = [(a, b)]
@@ -151,19 +185,21 @@ def infer(tokens: list[str]) -> Automaton:
                     moves[a][s] = target
 
     red = [0]
-    queue = [moves[0][s] for s in sorted(moves[0])]
+    queue = deque(moves[0][s] for s in sorted(moves[0]))
     while queue:
-        blue = find(queue.pop(0))
-        if blue in red:
+        blue = find(queue.popleft())
+        own = dict.fromkeys(map(find, red))
+        if blue in own:
             continue
-        partner = next((r for r in dict.fromkeys(map(find, red)) if r != blue and compatible(r, blue)), None)
-        if partner is None:
+        apart = [(d, place, r) for place, r in enumerate(own) if (d := distance(r, blue)) is not None]
+        if not apart:
             red.append(blue)
             queue += [moves[blue][s] for s in sorted(moves[blue])]
         else:
+            partner = min(apart)[2]
             merge(partner, blue)
             root = find(partner)
-            queue += [moves[root][s] for s in sorted(moves[root]) if find(moves[root][s]) not in red]
+            queue += [moves[root][s] for s in sorted(moves[root]) if find(moves[root][s]) not in own]
     names = {s: i for i, s in enumerate(dict.fromkeys(find(x) for x in [0, *red]))}
     todo = list(names)
     while todo:
@@ -175,19 +211,48 @@ def infer(tokens: list[str]) -> Automaton:
     return Automaton([counts[s] for s in order], [{k: names[find(t)] for k, t in moves[s].items()} for s in order])
 
 
+def ordinary_sort(token: str) -> str | None:
+    """WORD or NUMBER for a token that looks ordinary, else None."""
+    if not any("0" <= c <= "9" for c in token):
+        return WORD
+    return NUMBER if NUMBERED.fullmatch(token) else None
+
+
+def uuid_automaton() -> Automaton:
+    """UUIDs, which a corpus need not hold: one state for each place."""
+    hexadecimal = "0123456789abcdefABCDEF"
+    counts = [Counter({"-": 1_000} if s == "-" else dict.fromkeys(hexadecimal, 50)) for s in UUID_SHAPE]
+    return Automaton([*counts, Counter({"": 1_000})], [*(dict.fromkeys(c, i + 1) for i, c in enumerate(counts)), {}])
+
+
+def times() -> list[str]:
+    """Dates with hours, which a corpus need not hold."""
+    return [f"{1970 + i}-{1 + i * 5 % 12:02}-{1 + i * 11 % 28:02}T{i * 7 % 24:02}" for i in range(80)]
+
+
 class Formats:
-    """Automata of credential formats, and one of ordinary tokens."""
+    """Automata of credential formats, and of the sorts of ordinary tokens."""
 
     def __init__(self, labelled: dict[str, list[str]], ordinary: list[str]) -> None:
         self.automata = {kind: infer(tokens) for kind, tokens in sorted(labelled.items()) if len(tokens) >= 5}
-        self.background = infer(ordinary)
+        sorts = {sort: [t for t in ordinary if ordinary_sort(t) == sort] for sort in (WORD, NUMBER)}
+        sorts[NUMBER] += times()
+        self.background = [uuid_automaton(), *(infer(tokens) for tokens in sorts.values() if tokens)]
+        self.known: dict[str, float] = {}
 
     def score(self, token: str) -> float:
-        """Nats per character by which the best format beats the background."""
+        """Nats per character by which the best format beats the best background."""
         if not self.automata:
             return -math.inf
-        best = max(a.log_likelihood(token) for a in self.automata.values())
-        return (best - self.background.log_likelihood(token)) / len(token)
+        found = self.known.get(token)
+        if found is None:
+            best = max(a.log_likelihood(token) for a in self.automata.values())
+            found = (best - max(a.log_likelihood(token) for a in self.background)) / len(token)
+            if len(self.known) >= CACHE:
+                self.known.clear()
+            if len(token) <= 4 * DEPTH:
+                self.known[token] = found
+        return found
 
 
 def all_spans(text: str, formats: Formats | None, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
@@ -240,13 +305,13 @@ def scanner(formats: Formats | None):
 
 
 def labelled_tokens(text: str) -> Iterator[tuple[str, str]]:
-    """(kind, token) of each base span, and ordinary long tokens (kind '') that hold no digit."""
+    """(kind, token) of each base span, and ordinary long tokens outside base spans with their sort."""
     base = base_spans(text)
     for kind, start, end in base:
         yield kind, ASSIGN.match(text, start)[2] if kind == "assign" else text[start:end]
     for m in TOKEN.finditer(text):
-        if not any("0" <= c <= "9" for c in m[0]) and not any(s < m.end() and m.start() < e for _, s, e in base):
-            yield "", m[0]
+        if not any(s < m.end() and m.start() < e for _, s, e in base) and (sort := ordinary_sort(m[0])) is not None:
+            yield sort, m[0]
 
 
 def _place(kind: str, token: str) -> int:
@@ -260,7 +325,7 @@ def _sampled(rows: int):
         for batch in batches:
             for value in batch["text"]:
                 for kind, token in labelled_tokens(as_text(value)):
-                    best.setdefault(kind, set()).add((_place(kind, token), token))
+                    best.setdefault(kind, set()).add((_place(kind, token), token[:4 * DEPTH]))
             best = {kind: set(sorted(tokens)[:rows]) for kind, tokens in best.items()}
         for kind, tokens in best.items():
             yield pd.DataFrame([(kind, place, token) for place, token in tokens], columns=["kind", "place", "token"])
@@ -269,13 +334,16 @@ def _sampled(rows: int):
 
 
 def fit_formats(documents: DataFrame, rows: int = LABELLED_ROWS) -> Formats:
-    """Fit on a bounded sample of labelled tokens: the ``rows`` distinct ones of each kind that come first by hash."""
+    """Fit on a bounded sample of labelled tokens: the ``rows`` distinct ones of each kind that come first by hash.
+
+    Of each, the first 4 * DEPTH characters are learned from; texts are searched for whole tokens.
+    """
     tokens = stored(documents.select("text").mapInPandas(lean_stage(_sampled(rows)), "kind string, place bigint, token string"), "credentials")
     by_kind = {}
-    for kind in ("", *BASE_KINDS):
+    for kind in (WORD, NUMBER, *BASE_KINDS):
         sample = tokens.where(F.col("kind") == kind).select("place", "token").distinct().orderBy("place", "token").limit(rows)
         by_kind[kind] = [r["token"] for r in sample.collect()]
-    return Formats({k: v for k, v in by_kind.items() if k}, by_kind[""])
+    return Formats({k: by_kind[k] for k in BASE_KINDS}, by_kind[WORD] + by_kind[NUMBER])
 
 
 def find_secrets(df: DataFrame, formats: Formats | None, text: str = "text", into: str = "secrets") -> DataFrame:

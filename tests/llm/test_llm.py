@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import uuid
 import zlib
 
 import numpy as np
@@ -316,6 +317,55 @@ def test_candidates_of_learned_formats():
     assert not any(secret_scan.all_spans(word, formats, []) for word in ordinary)
 
 
+def test_learned_formats_hold_back():
+    """Automata learn structure from all tokens alike; held-back credentials are found, ordinary numbers are not."""
+    rng = np.random.default_rng(21)
+    hexes, base62 = list("0123456789abcdef"), list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+
+    def key(size, chars, head=""):
+        return head + "".join(rng.choice(chars, size))
+
+    labelled = {"assign": [key(24, base62, "sk_live_") for _ in range(600)], "hex": [key(32, hexes) for _ in range(600)]}
+    ordinary = [key(int(rng.integers(12, 18)), list("etaoinshrdlu")) for _ in range(600)]
+    ordinary += [".".join(str(n) for n in rng.integers(100, 256, 4)) for _ in range(300)] + [f"host{n}.example.org" for n in range(100)]
+    formats = secret_scan.Formats({k: v[:300] for k, v in labelled.items()}, ordinary[:450] + ordinary[600:750] + ordinary[900:])
+    assert len(formats.automata["assign"].counts) > 8  # one state at least for each place of the head
+
+    def share(tokens):
+        return sum(formats.score(t) >= secret_scan.ACCEPT for t in tokens) / len(tokens)
+
+    for tokens in labelled.values():
+        assert share(tokens[300:]) >= 0.95
+    plain = {
+        "words": ordinary[450:600], "addresses": ordinary[750:900], "times": [f"20{n % 30:02}-1{n % 3}-{n % 28 + 1:02}T1{n % 10}" for n in range(200)],
+        "uuids": [str(uuid.UUID(int=int(rng.integers(1 << 62)) << 64 | int(rng.integers(1 << 62)))) for _ in range(200)],
+    }
+    for name, tokens in plain.items():
+        assert share(tokens) <= 0.02, name
+    # The tree holds no more than DEPTH states for a token, and later tokens have as many as earlier ones.
+    long = [key(200, base62) for _ in range(20)]
+    counts, _ = secret_scan._prefix_tree(long)
+    assert len(counts) <= 20 * secret_scan.DEPTH + 1
+    assert len(secret_scan._prefix_tree(long[:10])[0]) <= len(counts) * 0.6
+
+
+def test_base_secrets_against_plain_patterns(spark, documents):
+    """Base counts and digests of whole texts, long and repeated ones included, are those of the plain patterns."""
+    texts = [r["text"] for r in documents.select("text").collect()]
+    texts += ["", None, "word " * 200_000 + "api-key: abcdefghijkl " + "0123456789abcdef" * 3, "TOKEN='" + "k" * 12 + "'" + "=" * 5_000, texts[0]]
+    frame = spark.createDataFrame([(i, t, "own") for i, t in enumerate(texts)], "doc_id bigint, text string, secrets string")
+    rules = [
+        ("assign", r"(?ai)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", lambda m: len(m[2]) >= 12),
+        ("access", r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 18), ("hex", r"[0-9a-f]+", lambda m: len(m[0]) >= 16),
+    ]
+    got = {r["doc_id"]: r for r in secret_scan.secret_digest(frame, None).collect()}
+    for i, text in enumerate(texts):
+        spans = [(m.start(), place, name, m.end()) for place, (name, rule, fits) in enumerate(rules) for m in re.finditer(rule, text or "") if fits(m)]
+        line = ",".join(f"{name}:{start}:{end}" for start, _, name, end in sorted(spans))
+        assert got[i]["base_sha256"] == hashlib.sha256(line.encode()).hexdigest() and got[i]["spans"] == line
+        assert [got[i][f"n_{name}"] for name, _, _ in rules] == [sum(s[2] == name for s in spans) for name, _, _ in rules]
+
+
 def test_toxicity(spark):
     rng = np.random.default_rng(4)
     rows = [(i, " ".join(rng.choice(["blue", "green", "tree", "river", "stone", "cloud"], 30)) + (" grumblefoot" if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(300)]
