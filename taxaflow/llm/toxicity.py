@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -87,7 +88,16 @@ def matched_weight(folded: str, automaton: ahocorasick.Automaton | None) -> floa
             spared.append((start, end))
         else:
             best[start] = max(weight, best.get(start, weight))
-    return sum(w for s, w in best.items() if not any(a <= s < b for a, b in spared))
+    if not spared:
+        return sum(best.values())
+    begins, ends = [], []  # of disjoint stretches of exception phrases
+    for a, b in sorted(spared):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            begins.append(a)
+            ends.append(b)
+    return sum(w for s, w in best.items() if not ((at := bisect_right(begins, s)) and s < ends[at - 1]))
 
 
 def features(texts: list[str], automaton: ahocorasick.Automaton | None) -> np.ndarray:
