@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from taxaflow.llm.common import text_or_empty
 
 BLOCK = 256  # spans joined to the result at a time, so that long lists are not copied once per span
+CUT = 512  # code points of a piece of text; context is looked up in pieces, not from the start of the text
 NEAR = 40  # code points on either side in which context words count
 ACCEPT = 0.6  # score from which an added span is reported
 
@@ -129,17 +130,31 @@ def matches(text: Column, pattern: str) -> Column:
     return _let(hits, lambda found: F.when(F.size(found) > 0, located(found)).otherwise(F.array().cast(_SPANS)))
 
 
+def _cut(text: Column) -> Column:
+    """The text in pieces of CUT code points, the last one shorter."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0))
+
+
+def _around(cuts: Column, span: Column) -> Column:
+    """A span with NEAR code points on either side, from the pieces of its text that hold them."""
+    begin = F.greatest(span["start"] - NEAR, F.lit(0))
+    piece = F.floor(begin / CUT).cast("int")
+    pieces = F.slice(cuts, piece + 1, F.floor((span["end"] + NEAR - 1) / CUT).cast("int") - piece + 1)
+    return F.substring(F.array_join(pieces, ""), begin - piece * CUT + 1, span["end"] + NEAR - begin)
+
+
 def _kind_spans(text: Column, kind: Kind) -> Column:
     """Accepted spans of one kind as array<struct<kind, start, end, score, base>>."""
-    def scored(span: Column) -> Column:
-        around = F.substring(text, F.greatest(span["start"] - NEAR, F.lit(0)) + 1, span["end"] - span["start"] + 2 * NEAR)
+    def scored(span: Column, cuts: Column) -> Column:
+        around = _around(cuts, span)
         near = F.lower(around).rlike(rf"\b(?:{CONTEXT[kind.name]})")
         return F.struct(F.lit(kind.name).alias("kind"), span["start"].alias("start"), span["end"].alias("end"),
                         (F.lit(kind.score) + F.when(near, 0.15 if kind.base else 0.35).otherwise(0.0)).alias("score"), F.lit(kind.base).alias("base"))
 
-    found = F.transform(F.filter(matches(text, kind.pattern), lambda s: _valid(kind.name, s["hit"])), scored)
-    found = found if kind.base else F.filter(found, lambda s: s["score"] >= ACCEPT)
     empty = F.array().cast("array<struct<kind:string,start:int,end:int,score:double,base:boolean>>")
+    valid = F.filter(matches(text, kind.pattern), lambda s: _valid(kind.name, s["hit"]))
+    found = _let(valid, lambda hits: F.when(F.size(hits) > 0, _let(_cut(text), lambda cuts: F.transform(hits, lambda s: scored(s, cuts)))).otherwise(empty))
+    found = found if kind.base else F.filter(found, lambda s: s["score"] >= ACCEPT)
     return F.when(text.contains(kind.needs), found).otherwise(empty) if kind.needs else found
 
 
