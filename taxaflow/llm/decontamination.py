@@ -23,7 +23,7 @@ from pyspark.sql import Window
 from taxaflow.llm.common import ascii_lower, stored
 
 WIDTH = 10
-MOST_BROADCAST = 200_000  # terms in a broadcast table: some 10 MB
+MOST_BROADCAST = 32 << 20  # characters in a broadcast table
 
 # Fixed value: the characters between words, after A-Z have been lowered.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -35,9 +35,15 @@ def words(text: Column | str) -> Column:
     return F.array_remove(F.split(ascii_lower(F.coalesce(value, F.lit(""))), GAP), "")
 
 
-def small(df: DataFrame, rows: int = MOST_BROADCAST) -> DataFrame:
-    """A stored table, marked for broadcast if it has no more than ``rows`` rows; else Spark joins by sorting."""
-    return F.broadcast(df) if df.count() <= rows else df
+def is_small(df: DataFrame) -> bool:
+    """Whether a stored table's values, lists included, have no more than MOST_BROADCAST characters."""
+    size = F.length(F.to_json(F.struct("*")))
+    return (df.agg(F.sum(size)).first()[0] or 0) <= MOST_BROADCAST
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A stored table, marked for broadcast if it is small; else Spark joins by sorting."""
+    return F.broadcast(df) if is_small(df) else df
 
 
 def benchmark_windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -68,9 +74,13 @@ def postings(documents: DataFrame, terms: DataFrame, reach: int = WIDTH) -> Data
     ``around`` are up to ``reach`` - 1 words on either side of the term, which stands at index ``shift`` in it.
     """
     listed = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), words("text").alias("w"))
-    entries = listed.select("doc_id", "text_hash", "w", F.posexplode("w").alias("position", "term")).join(small(terms), "term")
+    entries = listed.select("doc_id", "text_hash", "w", F.posexplode("w").alias("position", "term"))
     first = F.greatest(F.col("position") - reach + 1, F.lit(0))
-    return entries.select("term", "doc_id", "text_hash", "position", F.slice("w", first + 1, F.col("position") - first + reach).alias("around"), (F.col("position") - first).alias("shift"))
+    around = F.slice("w", first + 1, F.col("position") - first + reach).alias("around")
+    columns = ["term", "doc_id", "text_hash", "position", around, (F.col("position") - first).alias("shift")]
+    if is_small(terms):
+        return entries.join(F.broadcast(terms), "term").select(*columns)
+    return entries.select(*columns).join(terms, "term")  # a word travels with its surroundings, not with its text
 
 
 def phrase_matches(index: DataFrame, rarest: DataFrame) -> DataFrame:
@@ -94,7 +104,7 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, width: int =
 
 
 def hit_summary(matches: DataFrame) -> DataFrame:
-    """(_id, _hash, n_hit, n_near, items): distinct words hit, proximity matches and sorted item ids of each document."""
+    """(_id, _hash, n_hit, items): distinct words hit by exact matches and sorted item ids of each document."""
     exact = matches.where("exact")
     places = exact.select("doc_id", "text_hash", F.explode(F.sequence("start", F.col("start") + F.col("size") - 1)).alias("at")).distinct()
     hit = places.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n_hit"))

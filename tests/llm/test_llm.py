@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import uuid
 import zlib
 
@@ -11,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from taxaflow.llm import minhash, mixing, neighbours, pii, secret_scan, suffix_dedup, token_counts, toxicity, url_filters
+from taxaflow.llm import decontamination, minhash, mixing, neighbours, pii, secret_scan, suffix_dedup, token_counts, toxicity, url_filters
 from taxaflow.llm.components import connected_components
 from taxaflow.llm.decontamination import contamination_digest
 from taxaflow.llm.suffixes import HashedSuffixes
@@ -379,6 +380,54 @@ def test_toxicity(spark):
     assert {r["score"] for r in none} == {0.0}
 
 
+def test_matched_weight_of_many_matches():
+    """Exception phrases that overlap, touch or nest spare exactly the entries that begin in them; time grows with the matches."""
+    lexicon = toxicity.Lexicon({" bad ": 2.0, " ba": 1.0, " worse ": 3.0}, [" not bad ", " bad worse ", " worse bad ", " bad bad "])
+    automaton = lexicon.automaton()
+    rng = np.random.default_rng(6)
+    for size in (1, 2, 5, 30, 200):
+        text = " " + " ".join(rng.choice(["bad", "worse", "not", "fine", "bat"], size)) + " "
+        spared = {p for phrase in lexicon.exceptions for a in range(len(text)) if text.startswith(phrase, a) for p in range(a, a + len(phrase) - 1)}  # its last space begins the next word
+        heaviest = {}
+        for entry, weight in lexicon.entries.items():
+            for a in range(len(text)):
+                if text.startswith(entry, a) and a not in spared:
+                    heaviest[a] = max(weight, heaviest.get(a, 0.0))
+        assert toxicity.matched_weight(text, automaton) == pytest.approx(sum(heaviest.values()))
+    begun = time.process_time()
+    assert toxicity.matched_weight(" not bad fine worse" * 100_000 + " ", automaton) == pytest.approx(300_000.0)
+    assert time.process_time() - begun < 20
+
+
+def test_context_of_personal_data_in_long_texts(spark):
+    """Context words count within NEAR code points of a span wherever it stands, across the edges of pieces too."""
+    gaps = [10, 39, 40, 41, 460, 500, 1_000]
+    parts = []
+    for i in range(600):
+        parts += ["ä𝄞" * (gaps[i % 7] // 2), " mail " if i % 3 else " word ", "x" * (gaps[(i // 7) % 7] % 47), " ", f"a{i}@bc.de", " "]
+    text = "".join(parts)
+    frame = spark.createDataFrame([(1, text), (2, "é " * 400_000 + "visa 4111 1111 1111 1111 " * 2_000)], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["personal"] for r in pii.find_personal_data(frame).collect()}
+    assert len(got[1]) == 600 and len(got[2]) == 2_000
+    context = re.compile(rf"\b(?:{pii.CONTEXT['email']})", re.A)
+    for span in got[1]:
+        around = text[max(span["start"] - pii.NEAR, 0):span["end"] + pii.NEAR].lower()
+        assert (span["score"] > 0.85) == bool(context.search(around))
+    assert all(span["score"] == pytest.approx(0.95) for span in got[2])
+
+
+def test_contamination_beyond_a_broadcast(spark, documents, monkeypatch):
+    """A benchmark of any size gives the same rows; beyond the limit words travel without their texts."""
+    benchmark = spark.createDataFrame([("a", documents.where("doc_id = 3").first()["text"]), ("b", "one"), (None, "one")], "item_id string, text string")
+    wanted = sorted(map(str, contamination_digest(documents, benchmark).collect()))
+    monkeypatch.setattr(decontamination, "MOST_BROADCAST", 0)
+    assert sorted(map(str, contamination_digest(documents, benchmark).collect())) == wanted
+    terms = benchmark.select(F.explode(decontamination.words("text")).alias("term")).distinct()
+    plan = decontamination.postings(documents, terms)._jdf.queryExecution().executedPlan().toString()
+    outputs = [line for line in plan.splitlines() if "Project" in line and "around" in line]
+    assert outputs and not any(re.search(r"\bw#\d+\]", line) for line in outputs) and "BroadcastHashJoin" not in plan
+
+
 def test_urls(spark):
     urls = ["https://a.example.net/en/1?x", "http://net/de", "http://b.net", "https://Example.COM/de/", "m.org/fr/", None, "", "x://casinobets.example.org/play/1", "http://tree.org/fr/2#t"]
     pages = spark.createDataFrame([(i, u, "<p>tree river casino play</p>") for i, u in enumerate(urls * 5)], "page_id bigint, url string, html string")
