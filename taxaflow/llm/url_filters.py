@@ -3,7 +3,10 @@
 Concatenated host names are split by a unigram Viterbi search whose word frequencies come from the
 whole corpus; a multinomial naive Bayes model scores the words.  Its labelled rows are the urls
 themselves: a host that holds a seed word is an example of what to block, every other host of what to
-allow.  Counts go to a fixed number of hashed bins, so the model has the same size for any corpus.
+allow.  The model learns from the words beside the one that gave the label: a seed word is counted only if
+the host's other words are labelled without it, and the strong ones have a few prior counts besides.  So a
+verdict can differ from the seed list.  Counts go to a fixed number of hashed bins, so the model has the
+same size for any corpus.
 
 NULL urls and urls without "://" have an empty host and path, match no rule and score 0 (allow).
 Repeated rows are judged each; host and path keep their characters, only A-Z of the host are lowered.
@@ -37,6 +40,7 @@ SEEDS = (
 )
 # Two of these must meet in a host, unless the word stands in STRONG.
 STRONG = ("adult", "ads", "bets", "betting", "casino", "escort", "gambling", "pills", "poker", "porn", "sex", "spam", "tracker", "viagra", "xxx")
+SEED_COUNT = 5  # prior examples to block in which each strong seed is held to have been seen
 
 
 @dataclass(frozen=True)
@@ -132,6 +136,11 @@ def seeded(host_words: list[str]) -> bool:
     return bool(found & set(STRONG)) or len(found) > 1
 
 
+def witnesses(host_words: list[str]) -> list[str]:
+    """The words of a seeded host that are examples to block: all but seeds on which the label itself rests."""
+    return [w for w in host_words if w not in SEEDS or seeded([v for v in host_words if v != w])]
+
+
 def word_frequencies(texts: DataFrame, size: int = VOCABULARY) -> dict[str, int]:
     """The most frequent a-z words of a text column, counted over all rows; the seeds are always known."""
     words = texts.select(F.explode(F.split(F.lower(F.col(texts.columns[0])), "[^a-z]+")).alias("word"))
@@ -168,7 +177,7 @@ def train_model(urls: DataFrame, segmenter: Segmenter) -> HostModel:
                     continue
                 host_words, path_words = tokens_of(host, path, own)
                 label = int(seeded(host_words))
-                np.add.at(counts[:, label], bins_of(host_words, path_words), 1)
+                np.add.at(counts[:, label], bins_of(witnesses(host_words) if label else host_words, path_words), 1)
                 counts[BINS, label] += 1
         used = np.flatnonzero(counts.any(axis=1))
         yield pd.DataFrame({"bin": used, "allow": counts[used, 0], "block": counts[used, 1]})
@@ -177,6 +186,7 @@ def train_model(urls: DataFrame, segmenter: Segmenter) -> HostModel:
     table = np.zeros((BINS + 1, 2))
     for r in parts.groupBy("bin").agg(F.sum("allow").alias("allow"), F.sum("block").alias("block")).collect():  # BINS + 1 rows at most
         table[r["bin"]] = r["allow"], r["block"]
+    table[[_bin("h:" + seed) for seed in STRONG], 1] += SEED_COUNT
     return HostModel(table[:BINS], table[BINS])
 
 

@@ -438,6 +438,20 @@ def test_urls(spark):
     assert got[7]["host_words"][:2] == ["casino", "bets"] and got[7]["verdict"] == "block" and got[2]["verdict"] == "allow" and got[5]["host"] == ""
 
 
+def test_urls_that_only_the_model_can_judge(spark):
+    """Words seen beside seeds block a host without any seed; a weak seed that stands in clean hosts does not."""
+    names = ["casino-jackpot", "jackpot-poker", "jackpot-slots-casino"] * 20 + ["river-city", "stone-bridge", "garden-win", "old-mill"] * 100
+    names += ["jackpot-palace", "slots-jackpot", "river-win", "casino"]
+    pages = spark.createDataFrame([(i, f"https://www.{n}.example.org/a/{i}", None, "own", "own") for i, n in enumerate(names)],
+                                  "page_id bigint, url string, html string, host string, verdict string")
+    got = [r["verdict"] for r in url_filters.url_verdicts(pages).orderBy("page_id").collect()]
+    assert not any(url_filters.seeded(n.split("-")) for n in names[-4:-1])
+    assert got[:60] == ["block"] * 60 and got[60:460] == ["allow"] * 400 and got[460:] == ["block", "block", "allow", "block"]
+    # No word of a host vouches for itself.
+    assert url_filters.witnesses(["www", "casino", "win", "org"]) == ["www", "win", "org"]
+    assert url_filters.witnesses(["casino", "bets"]) == ["casino", "bets"]
+
+
 def test_token_counts(spark, documents):
     pieces = token_counts.load_pieces()
     counter = token_counts.TrieCounter(pieces)
