@@ -129,9 +129,10 @@ SELECT printf('shard-%06d', pos // {SHARD_ROWS}) AS id, count(*) AS rows, min(po
 def quarantined_shards(spark, sf_dir):
     """A job whose input holds a bad record in every seven; the others are numbered without holes."""
     source, path = shared_dir(spark, "with-faults"), shared_dir(spark, "quarantined")
-    records = raw_records(spark, sf_dir)
+    # Files of ranges of doc_id: their names rise with it, in whatever order the table's files are read.
+    records = raw_records(spark, sf_dir).orderBy("doc_id")
     blank = F.when(F.pmod("doc_id", F.lit(7)) == 3, F.lit("  ")).otherwise(F.col("text_window"))
-    records.withColumn("text_window", blank).drop("doc_id").coalesce(1).write.json(source)
+    records.withColumn("text_window", blank).drop("doc_id").write.json(source)
     prepare(spark, source, path, shard_rows=SHARD_ROWS, on_error="quarantine")
     job = read_job(spark, path)
     places = job.documents.groupBy("shard_index").agg(F.min("input_pos").alias("first_pos"), F.max("input_pos").alias("last_pos"))

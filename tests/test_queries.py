@@ -3,6 +3,9 @@
 import os
 import sys
 
+import duckdb
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -39,3 +42,26 @@ def test_query(spark, tables, name):
 def test_entry(spark):
     frame = entry.entry(spark)
     assert frame.columns == ["sample_id", "code", "score"] and frame.count() > 0
+
+
+@pytest.fixture(scope="module")
+def scattered(tmp_path_factory):
+    """A table ``documents`` in files of rising size, which Spark reads largest first: no file stands where its IDs would."""
+    folder = tmp_path_factory.mktemp("scattered")
+    (folder / "documents.parquet").mkdir()
+    first = 0
+    for number, rows in enumerate((30, 200, 700)):
+        ids = range(first, first + rows)
+        first += rows
+        pq.write_table(pa.table({
+            "doc_id": pa.array(ids, pa.int64()), "text": [f"document {i} " + "word " * (i % 50) for i in ids],
+            "lang": ["en" if i % 3 else "de" for i in ids], "source": [f"s{i % 4}" for i in ids], "n_chars": pa.array(ids, pa.int64()),
+        }), folder / "documents.parquet" / f"part-{number}.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    return str(folder), con
+
+
+def test_quarantined_shards_go_by_doc_id(spark, scattered):
+    folder, con = scattered
+    assert differences(entry.queries()["quarantined_shards"](spark, folder), con, entry.oracle_sql()["quarantined_shards"]) is None
