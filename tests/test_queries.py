@@ -12,6 +12,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as entry  # noqa: E402
 from compare import connect, differences  # noqa: E402
+from taxaflow.queries import job_queries, source_queries  # noqa: E402
+from taxaflow.sources.jobs import commits  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -65,3 +67,34 @@ def scattered(tmp_path_factory):
 def test_quarantined_shards_go_by_doc_id(spark, scattered):
     folder, con = scattered
     assert differences(entry.queries()["quarantined_shards"](spark, folder), con, entry.oracle_sql()["quarantined_shards"]) is None
+
+
+def largest_share(spark, folder, pattern):
+    """Rows of the largest of some written files, and all rows."""
+    rows = [r["count"] for r in spark.read.text(folder, pathGlobFilter=pattern, recursiveFileLookup=True).groupBy("_metadata.file_path").count().collect()]
+    return max(rows), sum(rows)
+
+
+def test_arriving_files_grow_in_number(spark, scattered, monkeypatch):
+    monkeypatch.setattr(job_queries, "ARRIVING_BYTES", 8_000)
+    folder, con = scattered
+    source, at_once = job_queries._arriving(spark, folder)
+    largest, rows = largest_share(spark, source, "*.json")
+    assert rows == 930 and largest < rows / 6 and at_once > 10
+    for name in ("incremental_positions", "incremental_export", "incremental_resume"):
+        assert differences(entry.queries()[name](spark, folder), con, entry.oracle_sql()[name]) is None
+    assert len(commits(spark, job_queries._streamed(spark, folder))) == 2
+
+
+def test_drifting_tables_are_written_by_several_tasks(spark, scattered, tmp_path):
+    folder, con = scattered
+    conf = {"spark.sql.files.maxPartitionBytes": "2000", "spark.sql.files.openCostInBytes": "0"}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        source_queries._drifting_tables(spark, folder, str(tmp_path / "drift"))
+        assert len(list((tmp_path / "drift").glob("*.parquet"))) > 5
+        assert differences(entry.queries()["table_drift"](spark, folder), con, entry.oracle_sql()["table_drift"]) is None
+    finally:
+        for key in conf:
+            spark.conf.unset(key)
