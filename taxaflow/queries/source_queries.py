@@ -25,7 +25,7 @@ from taxaflow.sources.remote import create_file
 
 
 def _drifting_tables(spark, sf_dir, path):
-    """Five Parquet tables in one folder: columns are missing, foreign, named like the reader's own, or of other types."""
+    """Five kinds of Parquet files in one folder: columns are missing, foreign, named like the reader's own, or of other types."""
     records = raw_records(spark, sf_dir)
     kind, doc_id = F.pmod("doc_id", F.lit(5)), F.col("doc_id")
     ids = ["sample_id", "text_window"]
@@ -40,7 +40,7 @@ def _drifting_tables(spark, sf_dir, path):
          doc_id.alias("source_locator"), F.lit(None).cast("boolean").alias("raw_windowed"), F.lit(0.5).alias("block_start")],
     ]
     for number, columns in enumerate(shapes):
-        records.where(kind == number).select(*columns).coalesce(1).write.mode("append").parquet(path)
+        records.where(kind == number).select(*columns).write.mode("append").parquet(path)
 
 
 @query("table_drift", f"""
