@@ -100,10 +100,12 @@ def locators(spark, sf_dir):
         planted = F.when(F.pmod("doc_id", F.lit(len(LOCATORS))) == number, value).otherwise(planted)
     body = F.to_json(F.struct(F.concat(F.lit("doc-"), doc_id).alias("sample_id"), F.col("text").alias("text_window")))
     line = F.concat(F.substring(body, F.lit(1), F.length(body) - 1), F.lit(","), planted, F.lit("}"))
-    source, lines = shared_dir(spark, "locators"), shared_dir(spark, "prediction-lines")
+    source, lines, kept = (shared_dir(spark, what) for what in ("locators", "prediction-lines", "found-locators"))
     table(spark, sf_dir, "documents").select(line.alias("value")).write.text(source)
     rows = exact_fields(normalize_fields(read_records(spark, source)))
-    found = rows.where(F.size("violations") == 0).select("sample_id", "source_locator")
+    # Stored, so that the lines with their texts are parsed once, not for the filter, the line files and the join each.
+    stored = storage.write_table(rows.select("sample_id", "source_locator", F.size("violations").alias("faults")), kept)
+    found = stored.where("faults = 0").drop("faults")
     write_prediction_lines(prediction_columns(found.withColumn("exact", F.array().cast("array<string>"))), lines)
     again = read_prediction_lines(spark, lines).select("sample_id", F.col("source_locator").alias("read_back"))
     return found.join(again, "sample_id", "left")
