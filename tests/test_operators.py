@@ -4,6 +4,7 @@ import hashlib
 import json
 import os
 import random
+import re
 
 import numpy as np
 import pytest
@@ -13,10 +14,11 @@ from taxaflow.errors import BindingMismatch, DuplicateDocuments, InvalidInput
 from taxaflow.operators.decode import (
     decode_logits, decode_long, exact_rank, predict_sets, register_decode_function,
 )
+from taxaflow.functions.text import words
 from taxaflow.operators import duplicates, integrity
 from taxaflow.operators.duplicates import has_duplicates, repeated_ids, require_unique, suspects
 from taxaflow.operators.integrity import (
-    file_inventory, file_set_digest, is_safe_path, key_mismatch, manifest_faults, missing_required, receipt_audit,
+    file_inventory, file_set_digest, hashed_files, is_safe_path, key_mismatch, manifest_faults, missing_required, receipt_audit,
     registry_audit, require_same_binding,
 )
 from taxaflow.operators.memberships import all_memberships, export_documents, label_metrics, membership, review_queue
@@ -394,3 +396,22 @@ def test_prediction_lines_round_trip(spark, tmp_path):
     path.write_text('{"sample_id": "a"} trailing\n')
     with pytest.raises(Exception, match="Malformed prediction"):
         read_prediction_lines(spark, str(path)).collect()
+
+
+def test_many_small_files_share_tasks(spark, tmp_path):
+    for i in range(200):
+        (tmp_path / f"{i:03d}.txt").write_text(f"text {i}")
+    files = hashed_files(spark, [str(tmp_path)])
+    assert files.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+    assert {(r["bytes"], r["sha256"]) for r in files.collect()} == {
+        (len(f"text {i}"), hashlib.sha256(f"text {i}".encode()).hexdigest()) for i in range(200)
+    }
+
+
+def test_words_are_cut_without_trimming(spark, capsys):
+    texts = ["", " ", "a", " a", "a ", "\t a\n\nb\x0b\x0c", "a\u00a0b \u2028", None]
+    found = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", words(F.col("t")).alias("w"))
+    wanted = [None if t is None else [w for w in re.split("[ \t\n\r\f\x0b]+", t) if w] for t in texts]
+    assert [r["w"] for r in found.orderBy("i").collect()] == wanted
+    found.explain()
+    assert "trim(" not in capsys.readouterr().out
