@@ -13,6 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import __spark_entry__ as entry  # noqa: E402
 from compare import connect, differences  # noqa: E402
 from taxaflow.queries import job_queries, source_queries  # noqa: E402
+from taxaflow.sources import storage  # noqa: E402
 from taxaflow.sources.jobs import commits  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -106,3 +107,35 @@ def test_locators_are_parsed_once(spark, scattered):
     frame = entry.queries()["locators"](spark, folder)
     assert not any("taxaflow-locators-" in f for f in frame.inputFiles())
     assert differences(frame, con, entry.oracle_sql()["locators"]) is None
+
+
+def write_documents(folder, ids):
+    pq.write_table(pa.table({
+        "doc_id": pa.array(ids, pa.int64()), "text": [f"document {i} " + "word " * (i % 50) for i in ids],
+        "lang": ["en" if i % 3 else "de" for i in ids], "source": [f"s{i % 4}" for i in ids], "n_chars": pa.array(ids, pa.int64()),
+    }), folder / "documents.parquet")
+
+
+def test_jobs_are_run_again_if_their_folder_or_their_table_has_changed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(job_queries, "_jobs", {})
+    con = duckdb.connect()
+
+    def ran(*names):
+        """Folders of the jobs that queries have used, by what they hold; the queries' rows are those of their SQL."""
+        for name in names:
+            assert differences(entry.queries()[name](spark, str(tmp_path)), con, entry.oracle_sql()[name]) is None
+        return {what: path for (_, what, _), (path, _) in job_queries._jobs.items()}
+
+    write_documents(tmp_path, range(150))
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet'")
+    first = ran("scoring_job", "incremental_positions")
+    assert ran("scoring_job", "incremental_positions") == first  # nothing has changed, nothing is run again
+    for what in ("job", "arriving"):
+        path = first[what]
+        storage.remove(spark, f"{path}/{storage.children(spark, path)[-1]}")
+    second = ran("scoring_job", "incremental_positions")
+    # What was made of a job that was run again is made again as well.
+    assert {what for what in first if first[what] != second[what]} == {"job", "scored", "arriving", "stream"}
+    write_documents(tmp_path, range(1000, 1070))  # another table under the same path
+    third = ran("prepare_job")
+    assert third["lines"] != second["lines"] and third["job"] != second["job"]
